@@ -1,3 +1,4 @@
 """Import every query module so each registers its queries."""
 
 from scribal.plans import q_clean  # noqa: F401
+from scribal.plans import q_collate  # noqa: F401

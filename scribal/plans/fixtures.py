@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scribal.functions.text import literal_fold
+from scribal.sources.tables import spread
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES: markup injected into prose, applied in this order.
@@ -52,5 +53,5 @@ def marked(col: Column) -> Column:
 
 def marked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, source, lang, t)`` with markup injected into the text."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     return docs.select("doc_id", "source", "lang", marked(F.col("text")).alias("t"))
