@@ -51,3 +51,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df):
+    """Cut lineage at a stage boundary: write ``df`` to the shared checkpoint
+    folder (reliable ``checkpoint()``, never a node-local one) and read it
+    back, so later consumers neither recompute nor re-plan it."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
