@@ -4,3 +4,4 @@ from scribal.plans import q_clean  # noqa: F401
 from scribal.plans import q_collate  # noqa: F401
 from scribal.plans import q_lookups  # noqa: F401
 from scribal.plans import q_resolve  # noqa: F401
+from scribal.plans import q_split_reconcile  # noqa: F401
