@@ -6,3 +6,4 @@ from scribal.plans import q_lookups  # noqa: F401
 from scribal.plans import q_resolve  # noqa: F401
 from scribal.plans import q_split_reconcile  # noqa: F401
 from scribal.plans import q_tree  # noqa: F401
+from scribal.plans import q_ingest  # noqa: F401
