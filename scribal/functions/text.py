@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 # Below this many pairs a fold is emitted as nested ``replace`` calls
 # (fully code-generated); above it, as one ``aggregate`` over a literal
 # array so the expression tree stays small.
-_NESTED_FOLD_MAX = 12
+_NESTED_FOLD_MAX = 100
 
 
 def lit_str(value: str) -> Column:

@@ -87,6 +87,19 @@ SQUARE = (
 )
 
 
+def _xon_groups() -> tuple:
+    """The 96 x/o/n pairs grouped per character, each group guarded by one
+    scan: every search string is ``A c B`` with A in ``( [ - space \n #``
+    and B in ``) ] - space \n $ #``, so the guard matches whenever any
+    pair of the group could fire."""
+    pairs = V.xon_pairs()
+    per = len(V.XON_TEMPLATES)
+    return tuple(
+        (r"[(\[ \n#-]" + ch + r"[)\] \n$#-]", tuple(pairs[i * per:(i + 1) * per]))
+        for i, ch in enumerate(V.XON_CHARS)
+    )
+
+
 def _xon_pass() -> tuple:
     return (
         Step(
@@ -98,7 +111,7 @@ def _xon_pass() -> tuple:
             # two passes reach the matches whose delimiter was consumed.
             re2=((r"([ \n-])([xXnNo])([ \n-]|$)", r"\1" + M + r"\3"),) * 2,
         ),
-        Step("K20b", "fold", pairs=tuple(V.xon_pairs())),
+        Step("K20b", "gfold", groups=_xon_groups()),
         Step("K23", "patch", name="xon"),
     )
 

@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scribal.functions.text import contains_any, find_replace, literal_fold, regex_sub
+from scribal.functions.text import contains_any, find_replace, let, literal_fold, regex_sub
 
 CHECKS_COL = "_checks"
 
@@ -26,6 +26,10 @@ class Step:
 
     kind
         ``fold``   ordered literal ``pairs``
+        ``gfold``  ordered literal ``groups`` of (guard regex, pairs): a group
+                   runs only when its guard matches. The guard must match
+                   whenever any of the group's search strings occurs, so a
+                   skipped group is exactly a group of no-op replacements
         ``find``   ``pattern``/``group`` matches rewritten by ``rewrite``:
                    ``const`` (to ``repl``), ``swap`` (``swap[0]`` -> ``swap[1]``
                    inside the match) or ``bar`` (hyphens stripped, ``-``
@@ -50,6 +54,10 @@ class Step:
     needles: tuple = ()
     name: str = ""
     re2: tuple | None = field(default=None)
+    groups: tuple = ()
+
+    def all_pairs(self) -> tuple:
+        return self.pairs if self.kind == "fold" else tuple(p for _, ps in self.groups for p in ps)
 
 
 def _rewrite(step: Step):
@@ -76,6 +84,10 @@ def _patch_expr(col: Column, id_col: Column, patches: Sequence[tuple], point: st
     return out
 
 
+def _guarded(guard: str, pairs: tuple):
+    return lambda x: F.when(x.rlike(guard), literal_fold(x, pairs)).otherwise(x)
+
+
 def apply_chain(
     df: DataFrame,
     text_col: str,
@@ -100,6 +112,10 @@ def apply_chain(
     for step in chain:
         if step.kind == "fold":
             cur, pending = literal_fold(cur, step.pairs), True
+        elif step.kind == "gfold":
+            for guard, pairs in step.groups:
+                cur = let(cur, _guarded(guard, pairs))
+            pending = True
         elif step.kind == "regex":
             cur, pending = regex_sub(cur, step.pattern, step.repl), True
         elif step.kind == "patch":

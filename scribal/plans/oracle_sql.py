@@ -84,8 +84,8 @@ def chain_sql(
         expr, pending = text_col, False
 
     for step in chain:
-        if step.kind == "fold":
-            expr, pending = fold_sql(expr, step.pairs), True
+        if step.kind in ("fold", "gfold"):
+            expr, pending = fold_sql(expr, step.all_pairs()), True
         elif step.kind == "regex":
             expr, pending = _regex_sql(expr, step), True
         elif step.kind == "patch":

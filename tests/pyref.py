@@ -20,8 +20,8 @@ def _py_repl(r: str) -> str:
 
 def apply_steps(text: str, chain, text_id: str = "", patches=()) -> str:
     for s in chain:
-        if s.kind == "fold":
-            for a, b in s.pairs:
+        if s.kind in ("fold", "gfold"):
+            for a, b in s.all_pairs():
                 text = text.replace(a, b)
         elif s.kind == "regex":
             text = re.sub(_py_pattern(s.pattern), _py_repl(s.repl), text)
