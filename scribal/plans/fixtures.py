@@ -44,7 +44,8 @@ TABLES = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, spread over the cores when it arrives as few splits."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def marked(col: Column) -> Column:
@@ -53,5 +54,5 @@ def marked(col: Column) -> Column:
 
 def marked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, source, lang, t)`` with markup injected into the text."""
-    docs = spread(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", "source", "lang", marked(F.col("text")).alias("t"))

@@ -61,10 +61,16 @@ def _partition_exists(stage_dir: str, name: str, corpus: str) -> bool:
     return os.path.isdir(p) if "://" not in p else False
 
 
+def _landed(landing: str, corpus: str) -> bool:
+    """A corpus folder is present (remote stores are assumed complete)."""
+    path = f"{landing.rstrip('/')}/{corpus}"
+    return os.path.isdir(path) if "://" not in path else True
+
+
 def stage_ingest(spark: SparkSession, landing: str, stage_dir: str) -> None:
     """S2-S7 + N1-N10 per corpus; ``langs`` is replaced by the tree's languages."""
     for rank, (corpus, kind) in enumerate(CORPORA):
-        if _partition_exists(stage_dir, "texts", corpus):
+        if _partition_exists(stage_dir, "texts", corpus) or not _landed(landing, corpus):
             continue
         good, cat_rejects = conform_catalogue(read_catalogue(spark, landing, corpus), corpus, kind, rank)
         rows, missing = attach_texts(good, read_texts(spark, landing, corpus))

@@ -15,6 +15,9 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # object aggregates (collect_list/collect_set) stay hash-based for more
+    # keys per task before falling back to sort-based aggregation
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
 }
 
 

@@ -65,10 +65,10 @@ def _conform(body):
     """Dictionary field names -> :data:`SIGN_SCHEMA` field names."""
     return F.struct(
         body["n"].alias("n"),
-        body["`sl:ucun`"].alias("ucun"),
-        F.transform(body["`j:aka`"], lambda a: a["`sl:aka`"]["n"]).alias("aka"),
+        body["sl:ucun"].alias("ucun"),
+        F.transform(body["j:aka"], lambda a: a["sl:aka"]["n"]).alias("aka"),
         # an entry without a reading becomes null and is skipped later
-        F.transform(body["`j:values`"], lambda v: v["`sl:v`"]["n"]).alias("values"),
+        F.transform(body["j:values"], lambda v: v["sl:v"]["n"]).alias("values"),
     )
 
 
@@ -83,7 +83,7 @@ def read_sign_list(spark: SparkSession, path: str) -> DataFrame:
     letters = doc.select(F.explode("d.`sl:signlist`.`j:letters`").alias("l"))
     signs = letters.select(F.explode("l.`sl:letter`.`j:signs`").alias("s")).select(F.col("s.`sl:sign`").alias("b"))
     base = _conform(F.col("b"))
-    forms = F.transform(F.col("b.`j:forms`"), lambda f: _conform(f["`sl:form`"]))
+    forms = F.transform(F.col("b.`j:forms`"), lambda f: _conform(f["sl:form"]))
     sign = F.struct(base["n"], base["ucun"], base["aka"], base["values"], forms.alias("forms"))
     return signs.select(sign.cast(SIGN_SCHEMA).alias("sign"))
 
