@@ -199,3 +199,21 @@ WHERE NOT dropped AND out_reading NOT IN {_SPECIALS} GROUP BY out_glyph, out_rea
 GLYPH_COUNT_SQL = sql(f"""SELECT count(*) AS n_rows, CAST(coalesce(sum(length({fold_sql(
     "coalesce(glyphs, '')", [(t, '') for t in V.GLYPH_COUNT_EXCLUDED] + [(' ', '')])})), 0) AS BIGINT) AS n_glyphs
 FROM parallel""")
+
+TOP_SQL = sql("""SELECT category, item, CAST(n AS BIGINT) AS n FROM (
+  SELECT *, row_number() OVER (PARTITION BY category ORDER BY n DESC, seen ASC) AS rk FROM (
+    SELECT category, item, sum(cnt) AS n, min({'f': first, 'm': morph_pos}) AS seen FROM (
+      SELECT unk_cat AS category, morpheme AS item, cnt, first, morph_pos FROM occ2 WHERE unk_cat IS NOT NULL
+      UNION ALL
+      SELECT glyph_status, glyph_name, cnt, first, morph_pos FROM occ2 WHERE glyph_status IN ('not_in_map', 'no_codepoint')
+    ) GROUP BY category, item
+  )
+) WHERE rk <= 20""").replace("\nSELECT category, item, CAST(n", """,
+wfirst AS (SELECT wordform, min({'d': doc_id, 'w': word_pos}) AS first FROM toks GROUP BY wordform),
+occ2 AS (SELECT o.*, f.first FROM occ o JOIN wfirst f USING (wordform))
+SELECT category, item, CAST(n""", 1)
+
+FINGERPRINT_SQL = sql("""SELECT count(*) AS n_rows, CAST(coalesce(sum(CAST(('0x' || substr(h, 1, 15)) AS BIGINT)::HUGEINT), 0)
+  AS VARCHAR) AS fingerprint FROM (
+  SELECT sha256(concat_ws(chr(31), coalesce(CAST(doc_id AS VARCHAR), ''), coalesce(lang, ''),
+         coalesce(transliteration, ''), coalesce(glyph_names, ''), coalesce(glyphs, ''))) AS h FROM parallel)""")
