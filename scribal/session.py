@@ -18,6 +18,9 @@ DEFAULT_CONF = {
     # object aggregates (collect_list/collect_set) stay hash-based for more
     # keys per task before falling back to sort-based aggregation
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
+    # AQE broadcasts a join side only after measuring its shuffle output
+    # below this size (dictionaries: yes; token tables: never)
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
 }
 
 
