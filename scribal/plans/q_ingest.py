@@ -49,7 +49,22 @@ def corpus_registry(spark, sf_dir):
     return corpora(spark)
 
 
-@register("validate_schema", None, "S2 S5 S6")
+_E = "CAST([] AS VARCHAR[])"
+_S5_SQL = f"""
+WITH p AS (
+  SELECT doc_id, list_concat(list_concat(
+      CASE WHEN n_chars % 9 = 0 THEN ['unknown field xyz'] ELSE {_E} END,
+      CASE WHEN n_chars % 11 = 0 THEN ['missing field project'] ELSE {_E} END),
+      CASE WHEN lang = 'de' THEN ['value outside domain: language'] ELSE {_E} END) AS probs
+  FROM documents
+)
+SELECT 'test' AS corpus, 'P' || CAST(doc_id AS VARCHAR) AS id,
+       CASE WHEN len(probs) = 0 THEN 'ok' ELSE 'catalogue' END AS scope, array_to_string(probs, '; ') AS reason
+FROM p
+"""
+
+
+@register("validate_schema", _S5_SQL, "S2 S5 S6")
 def validate_schema(spark, sf_dir):
     """One single-member catalogue per document; some members carry an
     unknown field, lack a required field, or hold an out-of-domain value."""

@@ -67,7 +67,28 @@ def conversation_trees(spark, sf_dir):
     return per_conv.select(F.col("conv_id").alias("id"), doc.alias("json"))
 
 
-@register("flatten_tree", None, "N1 N2")
+_E = "CAST([] AS VARCHAR[])"
+# the node kinds each turn chunk holds, in order, derived from the turn
+_FLAT_SQL = f"""
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS ti,
+    list_concat(list_concat(CASE WHEN turn % 2 = 0 THEN ['d'] ELSE {_E} END,
+      flatten(list_transform(list_filter(string_split(text, chr(10)), lambda ln: trim(ln) <> ''),
+        lambda ln: list_concat(['d'], list_transform(list_filter(string_split(ln, ' '), lambda w: w <> ''),
+                                                     lambda w: 'l'))))),
+      [CASE turn % 4 WHEN 1 THEN 'd' WHEN 2 THEN 'd' WHEN 3 THEN 'll' ELSE 'linkbase' END]) AS kinds
+  FROM conversations
+)
+SELECT DISTINCT conv_id AS id, '0' AS path, 'c' AS kind FROM conversations
+UNION ALL
+SELECT conv_id, '0.' || CAST(ti AS VARCHAR), 'c' FROM t
+UNION ALL
+SELECT conv_id, '0.' || CAST(ti AS VARCHAR) || '.' || CAST(u.pos - 1 AS VARCHAR), u.k
+FROM t, unnest(kinds) WITH ORDINALITY AS u(k, pos)
+"""
+
+
+@register("flatten_tree", _FLAT_SQL, "N1 N2")
 def flatten_tree_q(spark, sf_dir):
     nodes = flatten_tree(conversation_trees(spark, sf_dir))
     toks = node_tokens(nodes)
