@@ -95,7 +95,54 @@ def flatten_tree_q(spark, sf_dir):
     return toks.select("id", F.array_join(F.transform("path", lambda p: p.cast("string")), ".").alias("path"), "kind")
 
 
-@register("assemble_text", None, "N4 N5 N6 N7 N8 N9 N10")
+def _assemble_sql() -> str:
+    from scribal.functions.text import PY_WHITESPACE
+
+    ws = " || ".join(f"chr({ord(c)})" for c in PY_WHITESPACE)
+    nl = "chr(10)"
+    return f"""
+WITH t AS (
+  SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS ti FROM conversations
+), lines AS (
+  SELECT conv_id, ti, role, l.ln, l.li FROM t,
+    unnest(list_filter(string_split(text, {nl}), lambda x: trim(x) <> '')) WITH ORDINALITY AS l(ln, li)
+), words AS (
+  SELECT conv_id, ti, role, li, ww.w, ww.wi FROM lines,
+    unnest(list_filter(string_split(ln, ' '), lambda x: x <> '')) WITH ORDINALITY AS ww(w, wi)
+), a AS (
+  SELECT *, CASE WHEN length(w) > 12 THEN substr(w, 1, 6) ELSE w END AS t,
+    (CASE WHEN regexp_matches(w, '^[A-Z]') THEN '[' ELSE '' END) || (CASE WHEN suffix(w, ',') THEN ']' ELSE '' END) AS ideal,
+    CASE WHEN role = 'user' THEN 'sux' ELSE 'sux-x-emesal' END AS lang
+  FROM words
+),{_repair_ctes('a')},
+toks AS (
+  SELECT conv_id, ti, 0 AS s1, 0 AS s2, 0 AS s3, '#SURFACE#' AS tok FROM t WHERE turn % 2 = 0
+  UNION ALL SELECT conv_id, ti, 1, li, 0, {nl} FROM lines
+  UNION ALL SELECT conv_id, ti, 1, li, wi, repaired FROM rep
+  UNION ALL SELECT conv_id, ti, 2, 0, 0, CASE turn % 4 WHEN 1 THEN {nl} || '#BLANK_SPACE#' || {nl}
+                                           WHEN 2 THEN {nl} || '#MISSING#' || {nl} END FROM t
+), joined AS (
+  SELECT c.conv_id,
+    coalesce(string_agg(tok, ' ' ORDER BY ti, s1, s2, s3) FILTER (WHERE tok IS NOT NULL AND tok <> ''), '') AS j
+  FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN toks USING (conv_id) GROUP BY c.conv_id
+), surf AS (
+  SELECT conv_id, list_filter(list_transform(string_split(j, '#SURFACE#'), lambda x: trim(x, {ws})),
+    lambda x: replace(replace(regexp_replace(x, '#\\S*?#', '', 'g'), {nl}, ''), ' ', '') <> '') AS kept
+  FROM joined
+), txt AS (
+  SELECT conv_id, CASE WHEN len(kept) > 0 THEN '#SURFACE#' || {nl} || array_to_string(kept, {nl} || '#SURFACE#' || {nl})
+                       ELSE '' END AS x FROM surf
+), langs AS (
+  SELECT conv_id, string_agg(DISTINCT lang, ', ' ORDER BY lang) AS langs FROM a GROUP BY conv_id
+)
+SELECT txt.conv_id AS id,
+  trim(regexp_replace(regexp_replace(regexp_replace(x, ' *' || {nl} || ' *', {nl}, 'g'), {nl} || '+', {nl}, 'g'),
+       ' +', ' ', 'g'), {ws}) AS transliteration,
+  coalesce(langs.langs, '') AS langs
+FROM txt LEFT JOIN langs USING (conv_id)
+"""
+
+
 def assemble_text_q(spark, sf_dir):
     nodes = flatten_tree(conversation_trees(spark, sf_dir))
     return assemble_text(node_tokens(nodes))
@@ -147,10 +194,10 @@ def _sql_unbracket(x: str) -> str:
     return f"replace(replace({x}, '[', ''), ']', '')"
 
 
-_N6_SQL = f"""
-WITH words AS ({_WORDS_SQL}),
-a AS (SELECT w, {_N6_TEXT} AS t, {_N6_IDEAL} AS ideal FROM words),
-b AS (SELECT *, {_sql_brackets('t')} AS actual FROM a),
+def _repair_ctes(src: str) -> str:
+    """CTEs over ``src(t, ideal, ...)`` ending in ``rep`` with ``repaired``."""
+    return f"""
+b AS (SELECT *, {_sql_brackets('t')} AS actual FROM {src}),
 c AS (SELECT *,
   CASE WHEN actual LIKE '[%' THEN t ELSE '[' || t END AS r2a FROM b),
 d AS (SELECT *, CASE WHEN actual LIKE '%]' THEN r2a ELSE r2a || ']' END AS r2b FROM c),
@@ -166,14 +213,20 @@ f AS (SELECT *,
 g AS (SELECT *, {_sql_unbracket('r4')} AS fb0 FROM f),
 h AS (SELECT *, CASE WHEN contains(ideal, '[]') THEN '[' || fb0 || ']' ELSE fb0 END AS fb1 FROM g),
 i AS (SELECT *, CASE WHEN ideal LIKE '[%' THEN '[' || fb1 ELSE fb1 END AS fb2 FROM h),
-j AS (SELECT *, CASE WHEN ideal LIKE '%]' THEN fb2 || ']' ELSE fb2 END AS fb3 FROM i)
-SELECT w, t AS text, ideal, CASE
+j AS (SELECT *, CASE WHEN ideal LIKE '%]' THEN fb2 || ']' ELSE fb2 END AS fb3 FROM i),
+rep AS (SELECT *, CASE
   WHEN ideal = '' THEN t
   WHEN ideal = actual THEN t
   WHEN ideal LIKE '[%' AND ideal LIKE '%]' THEN r2
   WHEN {_sql_brackets('r4')} = ideal THEN r4
-  ELSE fb3 END AS repaired
-FROM j
+  ELSE fb3 END AS repaired FROM j)"""
+
+
+_N6_SQL = f"""
+WITH words AS ({_WORDS_SQL}),
+a AS (SELECT w, {_N6_TEXT} AS t, {_N6_IDEAL} AS ideal FROM words),
+{_repair_ctes('a').strip()}
+SELECT w, t AS text, ideal, repaired FROM rep
 """
 
 
@@ -184,3 +237,6 @@ def repair_brackets_q(spark, sf_dir):
     x = words.select("w", F.expr(_N6_TEXT.replace("substr(w, 3)", "substr(w, 3)")).alias("text"),
                      F.expr(_N6_IDEAL).alias("ideal"))
     return x.select("w", "text", "ideal", repair_brackets(F.col("text"), F.col("ideal")).alias("repaired"))
+
+
+register("assemble_text", _assemble_sql(), "N4 N5 N6 N7 N8 N9 N10")(assemble_text_q)
