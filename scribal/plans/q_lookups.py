@@ -65,7 +65,9 @@ def override_rows(vocab: DataFrame) -> DataFrame:
 
 
 def build_lookups(spark, sf_dir):
-    vocab = vocabulary(spark, sf_dir)
+    from scribal.session import materialize
+
+    vocab = materialize(vocabulary(spark, sf_dir))  # read by signs and overrides
     signs = sign_rows(vocab)
     readings = reading_index(reading_pairs(signs), override_rows(vocab))
     glyphs = glyph_index(glyph_pairs(signs))

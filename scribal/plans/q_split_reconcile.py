@@ -119,7 +119,32 @@ def reconcile_cells(spark, sf_dir):
     return cell_diff(left, right, "doc_id", _CELL_COLS)
 
 
-@register("reconcile_report", None, "V1 V2 V3 V4 V5 V6 V7")
+def _fp_sql(src: str) -> str:
+    cols = ["CAST(doc_id AS VARCHAR)", "text", "lang", "source"]
+    parts = ", ".join(f"coalesce({c}, '')" for c in cols)
+    return (f"(SELECT count(*) AS n, CAST(coalesce(sum(CAST(('0x' || substr(sha256(concat_ws(chr(31), {parts})), 1, 15))"
+            f" AS BIGINT)::HUGEINT), 0) AS VARCHAR) AS f FROM {src})")
+
+
+_REPORT_SQL = _VERSIONS_SQL + f""", ol AS (SELECT doc_id FROM l ANTI JOIN r USING (doc_id)),
+orr AS (SELECT doc_id FROM r ANTI JOIN l USING (doc_id)),
+d AS ({_cells_sql()}),
+fl AS {_fp_sql('l')}, fr AS {_fp_sql('r')}
+SELECT 'rows_left' AS "check", CAST(NULL AS VARCHAR) AS "column", count(*) AS n, CAST(NULL AS VARCHAR) AS detail FROM l
+UNION ALL SELECT 'rows_right', NULL, count(*), NULL FROM r
+UNION ALL SELECT 'columns_only_right', 'note', 1, NULL
+UNION ALL SELECT 'only_left', NULL, (SELECT count(*) FROM ol), {_sample_sql('ol', 10)}
+UNION ALL SELECT 'only_right', NULL, (SELECT count(*) FROM orr), {_sample_sql('orr', 10)}
+UNION ALL SELECT 'duplicate_keys_left', NULL, (SELECT count(*) FROM (SELECT doc_id FROM l GROUP BY doc_id HAVING count(*) > 1)), NULL
+UNION ALL SELECT 'duplicate_keys_right', NULL, (SELECT count(*) FROM (SELECT doc_id FROM r GROUP BY doc_id HAVING count(*) > 1)), NULL
+UNION ALL SELECT 'cells', column_name, count(*), array_to_string(list_slice(list_sort(list(doc_id)), 1, 3), ',')
+          FROM d GROUP BY column_name
+UNION ALL SELECT 'fingerprint_equal', NULL, CASE WHEN fl.n = fr.n AND fl.f = fr.f THEN 1 ELSE 0 END, fl.f || ' vs ' || fr.f
+          FROM fl, fr
+"""
+
+
+@register("reconcile_report", _REPORT_SQL, "V1 V2 V3 V4 V5 V6 V7")
 def reconcile_report(spark, sf_dir):
     left, right = _versions(spark, sf_dir)
     return reconcile(left, right.withColumn("note", F.lit("v2")), "doc_id")
