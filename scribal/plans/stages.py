@@ -10,12 +10,10 @@ already exists. No stage collects data to the driver.
 from __future__ import annotations
 
 import os
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scribal.functions import rule_values as V
 from scribal.operators import clean as C
 from scribal.operators import resolve as R
 from scribal.operators import stats as S
@@ -150,5 +148,3 @@ def splits_union(spark: SparkSession, stage_dir: str) -> DataFrame:
     """V7: the three splits as one table (partition column ``split``)."""
     return read_stage(spark, stage_dir, "splits")
 
-
-__all__ = ["run_stages", "STAGES", "export_csv", "import_csv", "reduce", "V"]
