@@ -54,8 +54,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="scribal-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
+    try:  # record it for readers of the session conf; core keys may be locked
+        spark.conf.set("spark.checkpoint.dir", path)
+    except Exception:  # noqa: BLE001
+        pass
     return path
 
 
