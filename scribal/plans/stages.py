@@ -144,6 +144,23 @@ def run_stages(spark: SparkSession, landing: str, stage_dir: str, sign_list: str
             step()
 
 
+STAGE_TABLES = ["texts", "collated", "cleaned", "readings", "glyphs", "parallel", "splits"]
+
+
+def stage_counts(spark: SparkSession, stage_dir: str) -> DataFrame:
+    """T4: ``(stage, n_rows)`` for every written stage table (Parquet row
+    counts come from file footers, so this reads no data pages)."""
+    parts = []
+    for name in STAGE_TABLES:
+        if os.path.isdir(_path(stage_dir, name)) or "://" in stage_dir:
+            n = read_stage(spark, stage_dir, name).agg(F.count(F.lit(1)).alias("n_rows"))
+            parts.append(n.select(F.lit(name).alias("stage"), "n_rows"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def splits_union(spark: SparkSession, stage_dir: str) -> DataFrame:
     """V7: the three splits as one table (partition column ``split``)."""
     return read_stage(spark, stage_dir, "splits")

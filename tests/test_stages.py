@@ -1,6 +1,6 @@
 import json
 
-from scribal.plans.stages import read_stage, run_stages
+from scribal.plans.stages import read_stage, run_stages, stage_counts
 
 
 def _lemma(form, lang="sux"):
@@ -57,3 +57,5 @@ def test_run_stages_end_to_end(spark, tmp_path):
     splits = read_stage(spark, stages, "splits")
     assert splits.count() == len(par)
     assert read_stage(spark, stages, "totals").first().n_rows == len(par)
+    counts = {r.stage: r.n_rows for r in stage_counts(spark, stages).collect()}
+    assert counts["parallel"] == len(par) and counts["texts"] >= counts["collated"] >= counts["cleaned"]
