@@ -50,17 +50,17 @@ COLLAPSE = (
 )
 
 GLOSSES = (
-    Step("K3a", "find", pattern=r"\{\{[^\n]*?\}\}", rewrite="const", repl=""),
-    Step("K3b", "find", pattern=r"\n[^\n]*?\}\}", rewrite="const", repl=NL),
+    Step("K3a", "find", pattern=r"\{\{[^\n]*?\}\}", rewrite="const", repl="", requires="{{"),
+    Step("K3b", "find", pattern=r"\n[^\n]*?\}\}", rewrite="const", repl=NL, requires="}}"),
 )
 
 ENCLOSURE_ORDER = (
-    Step("K7", "find", pattern=r"\(\[[- x]*?\)[- x]*?\]", rewrite="swap", swap=("([", "[(")),
-    Step("K8", "find", pattern=r"\[[^\n(\]]*?\([^\n)\]]*?\]\)", rewrite="swap", swap=("])", ")]")),
-    Step("K9", "find", pattern=r"\{\[[^\n}\]]*?\}[^\n\]]*?\]", rewrite="swap", swap=("{[", "[{")),
-    Step("K10", "find", pattern=r"\[[^\n{\]]*?\{[^\n\]]*?\]\}", rewrite="swap", swap=("]}", "}]")),
-    Step("K11", "find", pattern=r"<[^\n{>]*?\{[^\n}>]*?>\}", rewrite="swap", swap=(">}", "}>")),
-    Step("K12", "find", pattern=r"\{<[^\n}>]*?\}", rewrite="swap", swap=("{<", "<{")),
+    Step("K7", "find", pattern=r"\(\[[- x]*?\)[- x]*?\]", rewrite="swap", swap=("([", "[("), requires="(["),
+    Step("K8", "find", pattern=r"\[[^\n(\]]*?\([^\n)\]]*?\]\)", rewrite="swap", swap=("])", ")]"), requires="])"),
+    Step("K9", "find", pattern=r"\{\[[^\n}\]]*?\}[^\n\]]*?\]", rewrite="swap", swap=("{[", "[{"), requires="{["),
+    Step("K10", "find", pattern=r"\[[^\n{\]]*?\{[^\n\]]*?\]\}", rewrite="swap", swap=("]}", "}]"), requires="]}"),
+    Step("K11", "find", pattern=r"<[^\n{>]*?\{[^\n}>]*?>\}", rewrite="swap", swap=(">}", "}>"), requires=">}"),
+    Step("K12", "find", pattern=r"\{<[^\n}>]*?\}", rewrite="swap", swap=("{<", "<{"), requires="{<"),
 )
 
 ANGLE = (
@@ -72,7 +72,7 @@ ANGLE = (
 
 SEMICOLONS = (Step("K14", "fold", pairs=tuple(V.SEMICOLONS)),)
 CURLY = (Step("K15", "fold", pairs=tuple(V.CURLY_HYPHENS)),)
-BARS = (Step("K16", "find", pattern=r"(\|[^|a-z]*?\|)", group=1, rewrite="bar"),)
+BARS = (Step("K16", "find", pattern=r"(\|[^|a-z]*?\|)", group=1, rewrite="bar", requires="|"),)
 PARENS_HYPHEN = (
     Step("K17a", "regex", pattern=r"-+\)", repl=")-", re2=((r"-+\)", ")-"),)),
     Step("K17b", "regex", pattern=r"\)([a-zA-Z])", repl=")-$1", re2=((r"\)([a-zA-Z])", r")-\1"),)),
@@ -121,7 +121,7 @@ DOLLARS = (Step("K21", "fold", pairs=tuple((s, M) for s in V.DOLLAR_LITERALS)),)
 ELLIPSES = (Step("K22", "fold", pairs=tuple(V.ELLIPSIS)),)
 STANDALONE_PARENS = (
     Step("K24", "find", pattern=r"(?d)(?:^|\n| |-)(\([^\n)]+\))(?:$|\n| |-)", group=1,
-         rewrite="const", repl="",
+         rewrite="const", repl="", requires="(",
          re2=((r"(?:^|\n| |-)(\([^\n)]+\))(?:$|\n| |-)", ""),)),
 )
 MISSING_ALONE = (

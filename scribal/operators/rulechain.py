@@ -55,6 +55,9 @@ class Step:
     name: str = ""
     re2: tuple | None = field(default=None)
     groups: tuple = ()
+    # find steps: a literal every match contains; rows without it skip the
+    # regex scan (the step would be a no-op there)
+    requires: str = ""
 
     def all_pairs(self) -> tuple:
         return self.pairs if self.kind == "fold" else tuple(p for _, ps in self.groups for p in ps)
@@ -125,8 +128,10 @@ def apply_chain(
         elif step.kind == "find":
             df = flush(df)
             rewrite, search = _rewrite(step)
-            cur = find_replace(F.col(text_col), step.pattern, step.group, rewrite, search)
-            pending = True
+            found = find_replace(F.col(text_col), step.pattern, step.group, rewrite, search)
+            if step.requires:
+                found = F.when(F.col(text_col).contains(step.requires), found).otherwise(F.col(text_col))
+            cur, pending = found, True
         elif step.kind == "check":
             if not report:
                 continue
