@@ -11,10 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scribal.llm import mixing, quality_rules
+from scribal.llm import bpe, mixing, quality_rules, secrets
 from scribal.llm.common import table
 from scribal.llm.oracles import MIXING_SQL, QUALITY_RULES_SQL
 
+#: The file of a public tokenizer is found by this name; its path is a parameter of the operator.
+BPE_FILE = "word_bpe_49k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -29,6 +32,42 @@ def _query(name: str, sql: str | None = None):
     return deco
 
 
+def bpe_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(BPE_FILE)
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    """Counts and digests of the ids and of the text they decode to."""
+    encoded = bpe.decode(bpe.encode(docs, bpe_path()), bpe_path())
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
+@_query("op3_bpe")
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(table(spark, sf_dir, "documents"))
+
+
+@_query("op4_secrets")
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["kind"] != "entropy")
+    return found.select(
+        "doc_id", number("assign").alias("n_assign"), number("access").alias("n_access"), number("hex").alias("n_hex"),
+        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 @_query("op5_quality_rules", QUALITY_RULES_SQL)
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents")).select(
