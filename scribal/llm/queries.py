@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scribal.llm import bpe, mixing, quality_rules, secrets
+from scribal.llm import bpe, html_text, mixing, quality_rules, secrets
 from scribal.llm.common import table
 from scribal.llm.oracles import MIXING_SQL, QUALITY_RULES_SQL
 
@@ -32,6 +32,12 @@ def _query(name: str, sql: str | None = None):
     return deco
 
 
+@_query("op1_html_text")
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def bpe_path() -> str:
     import public_tokenizers
 

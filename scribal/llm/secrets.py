@@ -88,14 +88,14 @@ def entropy_spans(run: bytes, window: int = WINDOW, thresholds: dict[str, float]
     place = {1 << b: b for b in range(6)}
     total, spans = 0.0, []
     for i, c in enumerate(run):
-        total += cost[counts[c] + 1] - cost[counts[c]]
-        counts[c] += 1
-        members[place[kind[i]]] += 1
         if i >= window:
             old = run[i - window]
             total += cost[counts[old] - 1] - cost[counts[old]]
             counts[old] -= 1
             members[place[kind[i - window]]] -= 1
+        total += cost[counts[c] + 1] - cost[counts[c]]
+        counts[c] += 1
+        members[place[kind[i]]] += 1
         if i >= window - 1:
             name = _window_class(sum((members[b] > 0) << b for b in range(6)))
             if name is not None and math.log2(window) - total / window >= limits[name] - 1e-9:
