@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scribal.llm import bpe, html_text, mixing, quality_rules, secrets
+from scribal.llm import bpe, html_text, mixing, quality_classifier, quality_rules, secrets, toxicity
 from scribal.llm.common import table
+from scribal.llm.labelled import held_out
 from scribal.llm.oracles import MIXING_SQL, QUALITY_RULES_SQL
 
 #: The file of a public tokenizer is found by this name; its path is a parameter of the operator.
@@ -38,6 +39,23 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def _predicted(scored: DataFrame, least: float) -> DataFrame:
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted"))
+
+
+@_query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return _predicted(toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"))), 0.5)
+
+
+@_query("op6_quality_classifier")
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return _predicted(quality_classifier.score(docs, quality_classifier.fit(docs, table(spark, sf_dir, "labels"))), 0.3)
+
+
 def bpe_path() -> str:
     import public_tokenizers
 
