@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import scribal
 from scribal.session import ensure_checkpoint_dir
 
 #: A word is a longest run of characters other than these (ASCII white space).
@@ -19,6 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it,
+    as when it is installed there too (else pass it by --py-files)."""
+    home = os.path.dirname(os.path.dirname(os.path.abspath(scribal.__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if home not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in (home, known) if p)
+    return spark
+
+
 def words(text: Column) -> Column:
     """The words of ``text`` as an array; null and blank texts have none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE_CLASS), "")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scribal.llm import mixing, quality_rules
+from scribal.llm import mixing, ngram_join, quality_rules
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -87,3 +87,20 @@ SELECT doc_id, size, source_size, target,
   size * ((upto >> {mixing.UNIT_BITS}) - ((upto - units) >> {mixing.UNIT_BITS})) AS taken
 FROM c
 """
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Every pair with a common shingle is counted; components by recursion.
+NGRAM_JOIN_SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {ngram_join.WIDTH} THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - {ngram_join.WIDTH - 2}), lambda i: array_to_string(w[i:i+{ngram_join.WIDTH - 1}], ' ')) END) AS k FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= {ngram_join.PERCENT} * (x.n + y.n - c)),
+r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.c = l.a)
+SELECT r.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(r.c) AS component_id
+FROM r LEFT JOIN n ON r.doc_id = n.doc_id GROUP BY r.doc_id
+"""

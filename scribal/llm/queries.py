@@ -11,10 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scribal.llm import bpe, html_text, mixing, quality_classifier, quality_rules, secrets, toxicity
-from scribal.llm.common import table
+from scribal.llm import bpe, html_text, mixing, ngram_join, quality_classifier, quality_rules, secrets, toxicity
+from scribal.llm.common import importable, table
 from scribal.llm.labelled import held_out
-from scribal.llm.oracles import MIXING_SQL, QUALITY_RULES_SQL
+from scribal.llm.oracles import MIXING_SQL, NGRAM_JOIN_SQL, QUALITY_RULES_SQL
 
 #: The file of a public tokenizer is found by this name; its path is a parameter of the operator.
 BPE_FILE = "word_bpe_49k.json"
@@ -25,7 +25,7 @@ ORACLE_SQL: dict[str, str] = {}
 
 def _query(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        QUERIES[name] = lambda spark, sf_dir: fn(importable(spark), sf_dir)
         if sql is not None:
             ORACLE_SQL[name] = sql
         return fn
@@ -102,3 +102,8 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@_query("op9_ngram_join", NGRAM_JOIN_SQL)
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_ngrams(table(spark, sf_dir, "documents"))
