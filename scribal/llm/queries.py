@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scribal.llm import bpe, html_text, mixing, ngram_join, quality_classifier, quality_rules, secrets, toxicity
-from scribal.llm.common import importable, table
+from scribal.llm import bpe, html_text, mixing, ngram_join, quality_classifier, quality_rules, secrets, simhash, toxicity
+from scribal.llm.common import importable, table, written
 from scribal.llm.labelled import held_out
 from scribal.llm.oracles import MIXING_SQL, NGRAM_JOIN_SQL, QUALITY_RULES_SQL
 
@@ -104,6 +104,19 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+@_query("op8_simhash")
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents; for those whose id is divisible by 20
+    also how many other fingerprints lie within the radius."""
+    marked = written(simhash.fingerprint_documents(table(spark, sf_dir, "documents")))
+    near = simhash.within_radius(marked.where("doc_id % 20 = 0").select("hi", "lo"), marked.select("hi", "lo"))
+    counts = near.groupBy("q_hi", "q_lo").agg(F.sum(F.size("near")).alias("_n"))
+    joined = marked.join(counts, (marked.hi == counts.q_hi) & (marked.lo == counts.q_lo), "left")
+    return joined.select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+        F.when(F.col("doc_id") % 20 == 0, F.coalesce("_n", F.lit(0))).alias("n_near"))
+
+
 @_query("op9_ngram_join", NGRAM_JOIN_SQL)
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_ngrams(table(spark, sf_dir, "documents"))
