@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scribal.llm import bpe, html_text, mixing, ngram_join, quality_classifier, quality_rules, secrets, simhash, toxicity
+from scribal.llm import bpe, html_text, mixing, ngram_join, quality_classifier, quality_rules, secrets, simhash, span_dedup, toxicity
 from scribal.llm.common import importable, table, written
 from scribal.llm.labelled import held_out
 from scribal.llm.oracles import MIXING_SQL, NGRAM_JOIN_SQL, QUALITY_RULES_SQL
@@ -120,3 +120,9 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op9_ngram_join", NGRAM_JOIN_SQL)
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_ngrams(table(spark, sf_dir, "documents"))
+
+
+@_query("op10_span_dedup")
+def op10_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return span_dedup.remove_repeats(docs)
