@@ -64,3 +64,27 @@ def written(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: A table of up to this many narrow rows may be broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint when it is checked to be small; beyond
+    that Spark joins it by a shuffle."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
+def mark(text: Column) -> Column:
+    """A number that tells apart the texts of rows with one key."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def one_of_equal(rows: DataFrame, many: DataFrame, same: Column, keys: list[str]) -> DataFrame:
+    """``rows`` with one row of each group of ``keys`` that ``many`` names; the
+    others, nearly all as a rule, are not shuffled."""
+    if many.isEmpty():
+        return rows
+    few = small(many)
+    return rows.join(few, same, "left_anti").unionByName(rows.join(few, same, "left_semi").dropDuplicates(keys))

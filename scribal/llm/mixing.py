@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scribal.llm.common import need, words, written
+from scribal.llm.common import mark, need, one_of_equal, small, words, written
 
 UNIT_BITS = 24
 UNIT = 1 << UNIT_BITS
@@ -107,10 +107,11 @@ def mix(
     weights: Sequence[int] = WEIGHTS, share_percent: int = SHARE_PERCENT, max_copies: int = MAX_COPIES,
     seed: str = SEED,
 ) -> DataFrame:
-    """Per document: key, size (words), its source's size and target, copies."""
+    """Per document: key, mark of its text, size (words), its source's size and
+    target, copies."""
     need(docs, [key, text, source])
     sized = written(docs.select(
-        F.col(key).alias("_key"), F.col(source).alias("source"),
+        F.col(key).alias("_key"), mark(F.col(text)).alias("mark"), F.col(source).alias("source"),
         F.size(words(F.col(text))).cast("bigint").alias("size")))
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sums, weights, share_percent, max_copies).select(
@@ -119,8 +120,23 @@ def mix(
         F.col("source_size") > 0,
         F.floor(F.col("target") / F.col("source_size") * F.lit(float(UNIT))).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
     rows = sized.join(targets, F.col("source").eqNullSafe(F.col("_source"))).select(
-        "_key", "source", "size", "source_size", "target", expected.alias("_units"))
-    summed = running_sum(rows, "_units", "source", ["size", "_key"], "_upto")
+        "_key", "mark", "source", "size", "source_size", "target", expected.alias("_units"))
+    summed = running_sum(rows, "_units", "source", ["size", "_key", "mark"], "_upto")
     upto = F.col("_upto") + _offset(seed)
     copies = F.shiftright(upto, UNIT_BITS) - F.shiftright(upto - F.col("_units"), UNIT_BITS)
-    return summed.select(F.col("_key").alias(key), "source", "size", "source_size", "target", copies.alias("copies"))
+    return summed.select(F.col("_key").alias(key), "mark", "source", "size", "source_size", "target", copies.alias("copies"))
+
+
+def emit(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **settings) -> DataFrame:
+    """``docs`` with every row as often as the mix takes it. Equal rows (key,
+    text and source) come as often as all of them together."""
+    drawn = mix(docs, key, text, source, **settings)
+    taken = written(drawn.groupBy(F.col(key).alias("_key"), F.col("mark").alias("_mark"), F.col("source").alias("_source")).agg(
+        F.sum("copies").cast("int").alias("_copies"), F.count("*").alias("_rows")).where("_copies > 0"))
+    marked = docs.withColumn("_text_mark", mark(F.col(text)))
+    same = (F.col(key).eqNullSafe(F.col("_key")) & (F.col("_text_mark") == F.col("_mark"))
+            & F.col(source).eqNullSafe(F.col("_source")))
+    many = taken.where("_rows > 1").select("_key", "_mark", "_source")
+    single = one_of_equal(marked, many, same, [key, "_text_mark", source])
+    joined = single.join(small(taken.drop("_rows")), same)
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)

@@ -35,8 +35,6 @@ are null. Only the key and text columns are used.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scribal.llm.common import need, written
+from scribal.llm.common import mark, need, one_of_equal, small, written
 from scribal.llm.labelled import groups
 from scribal.llm.shingles import Shingler, digests, mix, pair_hash, segment_sums
 
@@ -57,8 +55,6 @@ GROWTH = 1.5
 PROBES = 8
 #: Sets of a tile that one task compares with each other at a time.
 BLOCK = 512
-#: A table of up to this many rows of two numbers may be broadcast.
-BROADCAST_ROWS = 2_000_000
 
 
 def bands(percent: int = PERCENT, largest: int = 1 << 40) -> list[tuple[int, int, int]]:
@@ -156,10 +152,10 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
 
 def describe(docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
     """One row per document: key, size, digest, bitmap, probe and tile keys."""
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), mark(F.col(text)).alias("mark"))
     numbers = T.ArrayType(T.LongType(), False)
     schema = T.StructType([
-        rows.schema["key"], T.StructField("size", T.LongType(), False), T.StructField("sid", T.LongType(), False),
+        rows.schema["key"], rows.schema["mark"], T.StructField("size", T.LongType(), False), T.StructField("sid", T.LongType(), False),
         T.StructField("bits", T.BinaryType(), False), T.StructField("probes", numbers, False),
         T.StructField("tiles", numbers, False)])
 
@@ -181,18 +177,14 @@ def describe(docs: DataFrame, key: str, text: str, width: int, percent: int) ->
                 keys = np.concatenate([k for _, _, k in tiles])
                 probe = part < PROBES
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(a, b - a), pa.array(counts.astype(np.int64)), pa.array(digests(values, counts)),
+                    batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(counts.astype(np.int64)),
+                    pa.array(digests(values, counts)),
                     pa.array([bitmap(values[e - c:e]) for e, c in zip(ends, counts)], pa.binary()),
                     lists(owner[probe], keys[probe], b - a), lists(owner, keys, b - a)], names=schema.names)
 
     return rows.mapInArrow(batches, schema)
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """``df`` with a broadcast hint when it is checked to be small."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def pass_bitmaps(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that sizes and bitmaps let through."""
     side = {s: nodes.select(F.col("sid").alias(s), F.col("size").alias(f"size_{s}"), F.col("bits").alias(f"bits_{s}"))
@@ -219,7 +211,7 @@ def exact_links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int,
         F.col("b").alias("hub"), F.pmod(F.xxhash64("a"), blocks).alias("block"), F.lit(1).alias("role"), F.col("a").alias("sid"))
     hubs = members.select("hub", "block").distinct().select("hub", "block", F.lit(0).alias("role"), F.col("hub").alias("sid"))
     asked = members.unionByName(hubs).join(nodes.select("sid", "key"), "sid")
-    texts = docs.where(F.col("key").isNotNull()).join(_small(written(asked)), "key")
+    texts = docs.where(F.col("key").isNotNull()).join(small(written(asked)), "key")
     dealt = (texts.select("hub", "block", "role", "sid", "text").repartition(F.col("hub"), F.col("block"))
              .sortWithinPartitions("hub", "block", "role", "sid"))
 
@@ -348,9 +340,9 @@ def open_pairs(members: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(batches, "a long, b long").distinct()
 
 
-def join_ngrams(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH,
-                percent: int = PERCENT) -> DataFrame:
-    """``(key, n_shingles, component_id)`` of every document."""
+def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
+    """``(key, mark, size, label, name)`` of every document: mark tells texts of
+    one key apart, label is the component, name its least key."""
     need(docs, [key, text])
     plain = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     described = written(describe(docs, key, text, width, percent))
@@ -363,19 +355,42 @@ def join_ngrams(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     first = written(exact_links(written(pass_bitmaps(pairs, nodes, percent)), nodes, plain, width, percent))
     labels = components(first)
     # tiles that still hold more than one component
-    tagged = described.where("size > 0").join(_small(labels), "sid", "left").select(
+    tagged = described.where("size > 0").join(small(labels), "sid", "left").select(
         "sid", F.coalesce("label", "sid").alias("label"), "tiles")
     exploded = tagged.select("sid", "label", F.explode("tiles").alias("tile"))
     crossing = written(exploded.groupBy("tile").agg(F.min("label").alias("low"), F.max("label").alias("high"))
                        .where("low < high").select("tile"))
-    members = written(exploded.join(_small(crossing), "tile").distinct().join(nodes.select("sid", "size", "bits"), "sid"))
+    members = written(exploded.join(small(crossing), "tile").distinct().join(nodes.select("sid", "size", "bits"), "sid"))
     more = exact_links(written(open_pairs(members, percent)), nodes, plain, width, percent)
-    final = components(reduce(DataFrame.unionByName, [first, more]))
+    final = components(first.unionByName(more))
     # the least document of every component names it
-    sets = described.select("key", "size", "sid").join(final, "sid", "left").select(
-        "key", "size", "sid", F.coalesce("label", "sid").alias("label"))
+    sets = described.select("key", "mark", "size", "sid").join(final, "sid", "left").select(
+        "key", "mark", "size", F.coalesce("label", "sid").alias("label"))
     names = sets.where("size > 0").groupBy("label").agg(F.min("key").alias("name"))
-    named = sets.where("size > 0").join(names, "label").select("key", "size", "name")
-    alone = sets.where("size = 0").select("key", "size", F.col("key").alias("name"))
-    return named.unionByName(alone).select(
+    named = sets.where("size > 0").join(names, "label").select("key", "mark", "size", "label", "name")
+    alone = sets.where("size = 0").select("key", "mark", "size", "label", F.col("key").alias("name"))
+    return named.unionByName(alone)
+
+
+def join_ngrams(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH,
+                percent: int = PERCENT) -> DataFrame:
+    """``(key, n_shingles, component_id)`` of every document."""
+    return component_rows(docs, key, text, width, percent).select(
         F.col("key").alias(key), F.col("size").alias("n_shingles"), F.col("name").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH,
+             percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one document of every component: that of the least key, of
+    several texts under it the one with the least hash, of equal rows one.
+    Documents without words are linked with nothing and all stay."""
+    rows = written(component_rows(docs, key, text, width, percent).where("size > 0"))
+    best = rows.where(F.col("key").eqNullSafe(F.col("name"))).groupBy("label").agg(F.min("mark").alias("best"))
+    judged = written(rows.join(best, "label").select(
+        F.col("key").alias("_key"), F.col("mark").alias("_mark"),
+        (F.col("key").eqNullSafe(F.col("name")) & (F.col("mark") == F.col("best"))).alias("stays")))
+    marked = docs.withColumn("_text_mark", mark(F.col(text)))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_text_mark") == F.col("_mark"))
+    kept = marked.join(small(judged.where("not stays").drop("stays").distinct()), same, "left_anti")
+    many = judged.where("stays").groupBy("_key", "_mark").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    return one_of_equal(kept, written(many), same, [key, "_text_mark"]).select(*docs.columns)

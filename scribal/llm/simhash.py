@@ -30,7 +30,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scribal.llm.common import bind, need, words, written
+from scribal.llm.common import bind, mark, need, small, words, written
 
 BITS = 128
 MOST_WEIGHT = 16
@@ -38,17 +38,11 @@ BLOCKS, BLOCK_BITS = 8, 16
 RADIUS = 6
 #: Fingerprints of a bucket that stand in one list.
 TILE = 512
-#: A table of up to this many narrow rows may be broadcast.
-BROADCAST_ROWS = 1_000_000
 _LANES = 0x0000000100000001
 _LOW = 0xFFFFFFFF
 _ROW_BITS = 33
 
 
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def fingerprints(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
     """``keys`` with their text's fingerprint as two numbers, ``hi`` and ``lo``.
 
@@ -128,7 +122,7 @@ def within_radius(queries: DataFrame, stored: DataFrame, radius: int = RADIUS) -
     wanted = asked.select("mask", "bits").distinct()
     kept = stored.select("hi", "lo").distinct()
     kept = kept.select("hi", "lo", F.explode(_tables(F.col("hi"), F.col("lo"))).alias("at")).select("at.mask", "at.bits", "hi", "lo")
-    hits = written(kept.join(_small(wanted), ["mask", "bits"], "left_semi"))
+    hits = written(kept.join(small(wanted), ["mask", "bits"], "left_semi"))
     sizes = hits.groupBy("mask", "bits").agg(F.count("*").alias("n"))
     tile = F.pmod(F.xxhash64("hi", "lo"), F.ceil(2 * F.col("n") / TILE).cast("long"))
     tiles = (hits.join(sizes, ["mask", "bits"]).withColumn("tile", tile)
@@ -173,7 +167,7 @@ def documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     """``(key, mark, text)``: texts without nulls, marked by their hash."""
     need(docs, [key, text])
     body = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.col(key).alias("key"), F.xxhash64(body).alias("mark"), body.alias("text"))
+    return docs.select(F.col(key).alias("key"), mark(F.col(text)).alias("mark"), body.alias("text"))
 
 
 def edited_texts(rows: DataFrame, following: DataFrame) -> DataFrame:
@@ -182,7 +176,7 @@ def edited_texts(rows: DataFrame, following: DataFrame) -> DataFrame:
     own = rows.select("key", "mark", F.expr("length(text) div 2").alias("cut"),
                       F.substring("text", F.lit(1), n - F.expr("length(text) div 2")).alias("kept"))
     # texts go to the document before them, once for equal rows
-    links = _small(following.select("key", "mark", "next_key", "next_mark"))
+    links = small(following.select("key", "mark", "next_key", "next_mark"))
     given = (rows.alias("r").join(links.alias("l"), F.col("r.key").eqNullSafe(F.col("l.next_key"))
                                   & (F.col("r.mark") == F.col("l.next_mark")))
              .select(F.col("l.key"), F.col("l.mark"), F.col("r.text")).dropDuplicates(["key", "mark"]))
