@@ -20,12 +20,16 @@ exact intersection of the sorted hash arrays.
 
 Plan. (1) One pass over the texts writes size, digest, bitmap and tile keys per
 document; equal sets share a digest and are one node from here on. (2) In the
-tiles of the first few parts every set is checked against the tile's least one
+tiles of the first few parts every set is checked against one pivot of the tile
 (as many checks as rows) and the links' components are found. (3) For all tiles
 the least and the largest component are aggregated; tiles within one component
-are done. (4) In the others all pairs of different components are checked, the
-tile cut into blocks of bounded size. Copies and near copies in any number thus
-cost as many checks as rows, and hot tiles are aggregated before they meet.
+are done. As linked sets share as many tiles as there are spare parts, and one
+more, sets with fewer open tiles leave them. (4) What is left is checked against
+one more pivot per tile. (5) In tiles that are open still, all pairs of different
+components are held against their bitmaps, the tile cut into blocks of bounded
+size, and a pair goes on to the exact test from the first tile that it shares.
+Copies and near copies in any number thus cost as many checks as rows, and hot
+tiles are aggregated before they meet.
 
 Hashes have 64 bits. Defined results: null, empty or blank texts have the empty
 set, link with nothing and are their own component; repeated rows and equal
@@ -72,9 +76,10 @@ def _band_of(sizes: np.ndarray, uppers: np.ndarray) -> np.ndarray:
     return np.searchsorted(uppers, sizes, side="left")
 
 
-def tile_keys(values: np.ndarray, counts: np.ndarray, percent: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def tile_keys(values: np.ndarray, counts: np.ndarray, percent: int) -> list[tuple[np.ndarray, ...]]:
     """For the own band and the one below: (owner, part, key) of every tile
-    that each set enters."""
+    that each set enters, and how many tiles each set shares with every set
+    that it is linked with."""
     table = bands(percent, int(counts.max()) if len(counts) else 1)
     uppers, parts, spare = (np.array(x, dtype=np.int64) for x in zip(*table))
     own = _band_of(counts, uppers)
@@ -96,6 +101,8 @@ def tile_keys(values: np.ndarray, counts: np.ndarray, percent: int) -> list[tupl
         key = pair_hash(segment_sums(sums, starts), place)
         full = np.bincount(owner_at, minlength=len(counts))
         empty = n_parts - full
+        free = spare[np.maximum(band, 0)] - empty
+        shared = np.where((n_parts > 0) & (free >= 0), 1 + free, 1)
         extra_owner, extra_part = [], []
         for i in np.flatnonzero((n_parts > 0) & (empty > spare[np.maximum(band, 0)])):
             missing = np.setdiff1d(np.arange(n_parts[i]), part_at[owner_at == i])
@@ -106,13 +113,13 @@ def tile_keys(values: np.ndarray, counts: np.ndarray, percent: int) -> list[tupl
             place = (band[more].astype(np.uint64) << np.uint64(40)) | none.astype(np.uint64)
             owner_at, part_at = np.r_[owner_at, more], np.r_[part_at, none]
             key = np.concatenate([key, pair_hash(np.zeros(len(more), dtype=np.uint64), place)])
-        out.append((owner_at, part_at, key.view(np.int64)))
+        out.append((owner_at, part_at, key.view(np.int64), shared))
     return out
 
 
 def bitmap_bits(size: int) -> int:
-    """Length of a set's bitmap: a power of two, twice its size or more."""
-    return max(256, 1 << (2 * size - 1).bit_length()) if size else 256
+    """Length of a set's bitmap: a power of two, eight times its size or more."""
+    return max(256, 1 << (8 * size - 1).bit_length()) if size else 256
 
 
 def bitmap(values: np.ndarray) -> bytes:
@@ -151,13 +158,16 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
 
 
 def describe(docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
-    """One row per document: key, size, digest, bitmap, probe and tile keys."""
+    """One row per document: key, size, digest, bitmap, probe and tile keys;
+    the first ``own`` tiles are of the own band, the others of the one below,
+    ``share_0`` and ``share_1`` say how many of each linked sets share."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), mark(F.col(text)).alias("mark"))
     numbers = T.ArrayType(T.LongType(), False)
     schema = T.StructType([
-        rows.schema["key"], rows.schema["mark"], T.StructField("size", T.LongType(), False), T.StructField("sid", T.LongType(), False),
-        T.StructField("bits", T.BinaryType(), False), T.StructField("probes", numbers, False),
-        T.StructField("tiles", numbers, False)])
+        rows.schema["key"], rows.schema["mark"], T.StructField("size", T.LongType(), False),
+        T.StructField("sid", T.LongType(), False), T.StructField("bits", T.BinaryType(), False),
+        T.StructField("probes", numbers, False), T.StructField("tiles", numbers, False),
+        *(T.StructField(c, T.IntegerType(), False) for c in ("own", "share_0", "share_1"))])
 
     def lists(owner: np.ndarray, keys: np.ndarray, n: int) -> pa.ListArray:
         order = np.argsort(owner, kind="stable")
@@ -166,40 +176,71 @@ def describe(docs: DataFrame, key: str, text: str, width: int, percent: int) ->
 
     def batches(it):
         shingler = Shingler(width)
-        for batch in it:
-            texts = [(t or "").encode("utf-8") for t in batch.column(1).to_pylist()]
-            for a, b in groups(texts):
-                values, counts = shingler.sets(texts[a:b])
-                ends = np.cumsum(counts)
-                tiles = tile_keys(values, counts, percent)
-                owner = np.concatenate([o for o, _, _ in tiles])
-                part = np.concatenate([p for _, p, _ in tiles])
-                keys = np.concatenate([k for _, _, k in tiles])
-                probe = part < PROBES
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(counts.astype(np.int64)),
-                    pa.array(digests(values, counts)),
-                    pa.array([bitmap(values[e - c:e]) for e, c in zip(ends, counts)], pa.binary()),
-                    lists(owner[probe], keys[probe], b - a), lists(owner, keys, b - a)], names=schema.names)
+        for whole in it:
+            for at in range(0, len(whole), 1000):
+                batch = whole.slice(at, 1000)
+                texts = [(t or "").encode("utf-8") for t in batch.column(1).to_pylist()]
+                for a, b in groups(texts, 1_000_000):
+                    values, counts = shingler.sets(texts[a:b])
+                    ends = np.cumsum(counts)
+                    tiles = tile_keys(values, counts, percent)
+                    owner, part, keys = (np.concatenate([x[k] for x in tiles]) for k in range(3))
+                    probe = part < PROBES
+                    yield pa.RecordBatch.from_arrays([
+                        batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(counts.astype(np.int64)),
+                        pa.array(digests(values, counts)),
+                        pa.array([bitmap(values[e - c:e]) for e, c in zip(ends, counts)], pa.binary()),
+                        lists(owner[probe], keys[probe], b - a), lists(owner, keys, b - a),
+                        pa.array(np.bincount(tiles[0][0], minlength=b - a).astype(np.int32)),
+                        *(pa.array(x[3].astype(np.int32)) for x in tiles)], names=schema.names)
 
     return rows.mapInArrow(batches, schema)
 
 
-def pass_bitmaps(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def bitmaps_of(described: DataFrame, sids: DataFrame) -> DataFrame:
+    """``(sid, size, bits)`` of the sets named by ``sids``."""
+    return described.select("sid", "size", "bits").join(small(sids), "sid").dropDuplicates(["sid"])
+
+
+def _may_link_all(size_a: list[int], bits_a: list[bytes], size_b: list[int], bits_b: list[bytes], percent: int) -> np.ndarray:
+    """``may_link`` for many pairs; those with equal lengths at once."""
+    out = np.zeros(len(size_a), dtype=bool)
+    lengths: dict[tuple[int, int], list[int]] = {}
+    for i, (x, y) in enumerate(zip(bits_a, bits_b)):
+        lengths.setdefault((len(x), len(y)), []).append(i)
+    for at in lengths.values():
+        words = _packed([bits_a[i] for i in at] + [bits_b[i] for i in at])
+        a, b = (np.array([v[i] for i in at], dtype=np.int64) for v in (size_a, size_b))
+        out[at] = _bounded(a, words[: len(at)], b, words[len(at):], percent)
+    return out
+
+
+def _bounded(size_a: np.ndarray, a: np.ndarray, size_b: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    most = np.minimum(size_a - np.bitwise_count(a & ~b).sum(axis=1, dtype=np.int64),
+                      size_b - np.bitwise_count(b & ~a).sum(axis=1, dtype=np.int64))
+    fits = percent * np.maximum(size_a, size_b) <= 100 * np.minimum(size_a, size_b)
+    return fits & (100 * most >= percent * (size_a + size_b - most))
+
+
+def pass_bitmaps(pairs: DataFrame, described: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that sizes and bitmaps let through."""
-    side = {s: nodes.select(F.col("sid").alias(s), F.col("size").alias(f"size_{s}"), F.col("bits").alias(f"bits_{s}"))
+    sids = written(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct())
+    known = written(bitmaps_of(described, sids))
+    side = {s: known.select(F.col("sid").alias(s), F.col("size").alias(f"size_{s}"), F.col("bits").alias(f"bits_{s}"))
             for s in ("a", "b")}
     fits = percent * F.greatest("size_a", "size_b") <= 100 * F.least("size_a", "size_b")
-    both = pairs.join(side["a"], "a").join(side["b"], "b").where(fits)
-    columns = ["a", "b", "size_a", "bits_a", "size_b", "bits_b"]
+    sized = pairs.join(side["a"].drop("bits_a"), "a").join(side["b"].drop("bits_b"), "b").where(fits).select("a", "b")
+    both = sized.join(side["a"], "a").join(side["b"], "b")
 
     def batches(it):
-        for batch in it:
-            d = batch.to_pydict()
-            keep = [may_link(*x, percent) for x in zip(d["size_a"], d["bits_a"], d["size_b"], d["bits_b"])]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        for whole in it:
+            for at in range(0, len(whole), 2000):
+                batch = whole.slice(at, 2000)
+                d = batch.select(["size_a", "bits_a", "size_b", "bits_b"]).to_pydict()
+                keep = _may_link_all(d["size_a"], d["bits_a"], d["size_b"], d["bits_b"], percent)
+                yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    return both.select(*columns).mapInArrow(batches, "a long, b long")
+    return both.select("a", "b", "size_a", "bits_a", "size_b", "bits_b").mapInArrow(batches, "a long, b long")
 
 
 def exact_links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -217,11 +258,11 @@ def exact_links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int,
 
     def batches(it):
         shingler, hub, of = Shingler(width), None, None
-        for batch in it:
+        for batch in (whole.slice(at, 1000) for whole in it for at in range(0, len(whole), 1000)):
             d = batch.to_pydict()
             texts = [(t or "").encode("utf-8") for t in d["text"]]
             out: tuple[list[int], list[int]] = ([], [])
-            for a, b in groups(texts):
+            for a, b in groups(texts, 1_000_000):
                 values, sizes = shingler.sets(texts[a:b])
                 ends, marks = np.cumsum(sizes), digests(values, sizes)
                 for i in range(b - a):
@@ -277,69 +318,103 @@ def _packed(bits: list[bytes]) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def _compare(own: np.ndarray, sid: np.ndarray, label: np.ndarray, size: np.ndarray, bits: list[bytes], same: bool,
-             percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of two blocks (or, if ``same``, of one) that may be linked."""
+def _compare(tile: int, own: np.ndarray, sid: np.ndarray, label: np.ndarray, share: np.ndarray, size: np.ndarray,
+             bits: list[bytes], tiles: list[list[int]], same: bool, percent: int) -> list[tuple[int, int]]:
+    """Pairs of two blocks (or, if ``same``, of one) that may be linked, by
+    bitmaps and by the tiles they share; this tile must be the first of these."""
     first = np.flatnonzero(own == own.min())
     second = first if same else np.flatnonzero(own == own.max())
     if same and len(first) < 2 or not same and own.min() == own.max():
-        return sid[:0], sid[:0]
-    big, small = np.maximum.outer(size[first], size[second]), np.minimum.outer(size[first], size[second])
-    fits = (percent * big <= 100 * small) & (label[first][:, None] != label[second][None, :])
+        return []
+    big, low = np.maximum.outer(size[first], size[second]), np.minimum.outer(size[first], size[second])
+    fits = (percent * big <= 100 * low) & (label[first][:, None] != label[second][None, :])
     if same:
         fits &= np.arange(len(first))[:, None] < np.arange(len(first))[None, :]
     x, y = np.nonzero(fits)
     if not len(x):
-        return sid[:0], sid[:0]
+        return []
     x, y = first[x], second[y]
     words = _packed(bits)
-    keep = np.empty(len(x), dtype=bool)
-    for at in range(0, len(x), 20_000):
-        a, b = x[at:at + 20_000], y[at:at + 20_000]
-        left, right = words[a], words[b]
-        most = np.minimum(size[a] - np.bitwise_count(left & ~right).sum(axis=1, dtype=np.int64),
-                          size[b] - np.bitwise_count(right & ~left).sum(axis=1, dtype=np.int64))
-        keep[at:at + 20_000] = 100 * most >= percent * (size[a] + size[b] - most)
-    x, y = sid[x[keep]], sid[y[keep]]
-    return np.maximum(x, y), np.minimum(x, y)
-
-
-def open_pairs(members: DataFrame, percent: int) -> DataFrame:
+    step = max(1, 4_000_000 // words.shape[1])
+    keep = np.concatenate([
+        _bounded(size[x[at:at + step]], words[x[at:at + step]], size[y[at:at + step]], words[y[at:at + step]], percent)
+        for at in range(0, len(x), step)])
+    sets: dict[int, set[int]] = {}
+    out = []
+    for i, j in zip(x[keep].tolist(), y[keep].tolist()):
+        for k in (i, j):
+            if k not in sets:
+                sets[k] = set(tiles[k])
+        common = sets[i] & sets[j]
+        if min(common) == tile and len(common) >= max(share[i], share[j]):
+            out.append((max(int(sid[i]), int(sid[j])), min(int(sid[i]), int(sid[j]))))
+    return out
+
+
+def open_pairs(members: DataFrame, described: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of sets of one tile but different components that sizes
     and bitmaps let through. Tiles are compared block by block: a task reads
     its blocks in order and holds two of them at a time."""
     counts = members.groupBy("tile").agg(F.count("*").alias("n"))
-    spread = members.join(counts, "tile").select(
-        "tile", F.explode(_block_pairs(F.col("sid"), F.col("n"))).alias("at"), "sid", "label", "size", "bits")
-    rows = (spread.select("tile", "at.i", "at.j", "at.own", "sid", "label", "size", "bits")
+    known = written(bitmaps_of(described, written(members.select("sid").distinct())))
+    tiles = members.groupBy("sid", "below").agg(F.collect_list("tile").alias("tiles"))
+    spread = members.join(counts, "tile").withColumn("at", F.explode(_block_pairs(F.col("sid"), F.col("n"))))
+    full = spread.join(known, "sid").join(tiles, ["sid", "below"])
+    rows = (full.select("tile", "at.i", "at.j", "at.own", "sid", "label", "share", "size", "bits", "tiles")
             .repartition(F.col("tile"), F.col("i"), F.col("j")).sortWithinPartitions("tile", "i", "j"))
 
     def batches(it):
-        held, of = [], None  # the rows of the block pair being read
+        held, of = [], (0, 0, 0)  # the rows of the block pair being read
 
         def done():
-            own, sid, label, size, bits = zip(*held)
-            return _compare(*(np.array(v, dtype=np.int64) for v in (own, sid, label, size)), list(bits), of[1] == of[2], percent)
+            if len(held) < 2:
+                return []
+            own, sid, label, share, size, bits, tiles = zip(*held)
+            numbers = (np.array(v, dtype=np.int64) for v in (own, sid, label, share, size))
+            return _compare(of[0], *numbers, list(bits), list(tiles), of[1] == of[2], percent)
+
+        def batch_of(found):
+            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-        for batch in it:
+        for batch in (whole.slice(at, 1000) for whole in it for at in range(0, len(whole), 1000)):
             d = batch.to_pydict()
             found = []
             for place, row in zip(zip(d["tile"], d["i"], d["j"]),
-                                  zip(d["own"], d["sid"], d["label"], d["size"], d["bits"])):
+                                  zip(*(d[c] for c in ("own", "sid", "label", "share", "size", "bits", "tiles")))):
                 if place != of:
-                    if len(held) > 1:
-                        found.append(done())
+                    found += done()
                     held, of = [], place
                 held.append(row)
-            a, b = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-        if len(held) > 1:
-            a, b = done()
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            yield batch_of(found)
+        yield batch_of(done())
 
     return rows.mapInArrow(batches, "a long, b long").distinct()
 
 
+def _pivots(rows: DataFrame, extra: str) -> DataFrame:
+    """``(tile, b)``: one set of every tile, another one in every tile of a group."""
+    turned = F.xxhash64(F.lit(extra), "tile")
+    return (rows.groupBy("tile").agg(F.min(F.col("sid").bitwiseXOR(turned)).alias("least"))
+            .select("tile", F.col("least").bitwiseXOR(turned).alias("b")))
+
+
+def _against_pivots(rows: DataFrame, extra: str) -> DataFrame:
+    """Pairs (a, b) of each set and the pivot of each of its tiles."""
+    met = rows.join(_pivots(rows, extra), "tile").where("sid <> b")
+    return met.select(F.greatest("sid", "b").alias("a"), F.least("sid", "b").alias("b")).distinct()
+
+
+def _still_open(members: DataFrame) -> DataFrame:
+    """Members of tiles with two components or more that are in as many such
+    tiles as they would share with a linked set; two rounds of dropping."""
+    for _ in range(2):
+        tiles = members.groupBy("tile").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+        kept = members.join(tiles.select("tile"), "tile")
+        often = kept.groupBy("sid", "below").agg(F.count("*").alias("n"))
+        members = written(kept.join(often, ["sid", "below"]).where("n >= share").drop("n"))
+    return members
+
+
 def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
     """``(key, mark, size, label, name)`` of every document: mark tells texts of
     one key apart, label is the component, name its least key."""
@@ -347,22 +422,31 @@ def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: in
     plain = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     described = written(describe(docs, key, text, width, percent))
     # one node per distinct set, standing for its least document
-    nodes = written(described.where("size > 0 and key is not null").groupBy("sid").agg(
-        F.min("key").alias("key"), F.first("size").alias("size"), F.first("bits").alias("bits")))
+    nodes = written(described.where("size > 0 and key is not null").groupBy("sid").agg(F.min("key").alias("key")))
+
+    def links_among(pairs: DataFrame) -> DataFrame:
+        return written(exact_links(written(pass_bitmaps(pairs, described, percent)), nodes, plain, width, percent))
+
+    def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+        return rows.join(small(labels), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+
     probes = described.select(F.explode("probes").alias("tile"), "sid")
-    least = probes.groupBy("tile").agg(F.min("sid").alias("b"), F.max("sid").alias("most")).where("b < most")
-    pairs = probes.join(least, "tile").where("sid > b").select(F.col("sid").alias("a"), "b").distinct()
-    first = written(exact_links(written(pass_bitmaps(pairs, nodes, percent)), nodes, plain, width, percent))
-    labels = components(first)
+    links = links_among(written(_against_pivots(probes, "first")))
+    labels = components(links)
     # tiles that still hold more than one component
-    tagged = described.where("size > 0").join(small(labels), "sid", "left").select(
-        "sid", F.coalesce("label", "sid").alias("label"), "tiles")
-    exploded = tagged.select("sid", "label", F.explode("tiles").alias("tile"))
-    crossing = written(exploded.groupBy("tile").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-                       .where("low < high").select("tile"))
-    members = written(exploded.join(small(crossing), "tile").distinct().join(nodes.select("sid", "size", "bits"), "sid"))
-    more = exact_links(written(open_pairs(members, percent)), nodes, plain, width, percent)
-    final = components(first.unionByName(more))
+    tagged = labelled(described.where("size > 0").select("sid", "tiles", "own", "share_0", "share_1"), labels)
+    crossing = written(tagged.select("label", F.explode("tiles").alias("tile")).groupBy("tile").agg(
+        F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("tile"))
+    entered = tagged.select("sid", "own", "share_0", "share_1", "label", F.posexplode("tiles").alias("at", "tile"))
+    below = F.col("at") >= F.col("own")
+    members = _still_open(written(entered.join(small(crossing), "tile").select(
+        "tile", "sid", "label", below.alias("below"), F.when(below, F.col("share_1")).otherwise(F.col("share_0")).alias("share"))
+        .distinct()))
+    links = written(links.unionByName(links_among(written(_against_pivots(members, "second")))))
+    labels = components(links)
+    members = _still_open(written(labelled(members.drop("label"), labels)))
+    links = links.unionByName(exact_links(written(open_pairs(members, described, percent)), nodes, plain, width, percent))
+    final = components(links)
     # the least document of every component names it
     sets = described.select("key", "mark", "size", "sid").join(final, "sid", "left").select(
         "key", "mark", "size", F.coalesce("label", "sid").alias("label"))

@@ -94,10 +94,22 @@ def test_linked_sets_share_a_tile():
         b = np.unique(np.r_[rng.permutation(a)[drop:], rng.integers(0, 1 << 63, lost - drop, dtype=np.uint64)])
         both = [np.concatenate([x, y]) for x, y in [(a, b)]][0]
         tiles = J.tile_keys(both, np.array([len(a), len(b)]), 85)
-        keys = [{int(k) for o, _, ks in tiles for k in ks[o == i]} for i in (0, 1)]
+        keys = [{int(k) for o, _, ks, _ in tiles for k in ks[o == i]} for i in (0, 1)]
+        maps = ([len(a)], [J.bitmap(a)], [len(b)], [J.bitmap(b)])
+        assert J._may_link_all(*maps, 85)[0] == J.may_link(*(m[0] for m in maps))
         if J.linked(a, b):
             assert J.may_link(len(a), J.bitmap(a), len(b), J.bitmap(b))
-            assert np.array_equal(a, b) or keys[0] & keys[1], (len(a), len(b))
+            if not np.array_equal(a, b):  # in the band of the smaller one they share as many tiles as said
+                smaller = 0 if len(a) <= len(b) else 1
+                for below in (0, 1):
+                    mine, other = tiles[0], tiles[below]
+                    common = {int(k) for k in mine[2][mine[0] == smaller]} & {int(k) for k in other[2][other[0] == 1 - smaller]}
+                    if common:
+                        assert len(common) >= max(mine[3][smaller], other[3][1 - smaller])
+                        break
+                else:
+                    raise AssertionError((len(a), len(b)))
+                assert keys[0] & keys[1]
 
 
 def test_exact_threshold_and_shingles():
