@@ -151,12 +151,14 @@ def ranked(rows: DataFrame, order: list[Column]) -> DataFrame:
 
 
 def next_documents(docs: DataFrame) -> DataFrame:
-    """``(key, mark, next_key, next_mark)`` for documents of (key, mark)."""
-    places = written(ranked(docs.select("key", "mark").distinct(), [F.col("key").desc_nulls_last(), F.col("mark").asc()]))
+    """``(key, mark, cut, next_key, next_mark)`` for documents of (key, mark);
+    ``cut``: how many characters of the next one the edited text takes."""
+    listed = docs.select("key", "mark", F.expr("length(text) div 2").alias("cut")).distinct()
+    places = written(ranked(listed, [F.col("key").desc_nulls_last(), F.col("mark").asc()]))
     total = max(1, places.count())
     after = places.select(F.col("key").alias("next_key"), F.col("mark").alias("next_mark"), F.col("rank").alias("at"))
     with_next = places.withColumn("at", (F.col("rank") + 1) % total)
-    return written(with_next.join(after, "at").select("key", "mark", "next_key", "next_mark"))
+    return written(with_next.join(after, "at").select("key", "mark", "cut", "next_key", "next_mark"))
 
 
 def _same(a: str, b: str, key: str = "key", mark: str = "mark") -> Column:
@@ -171,18 +173,17 @@ def documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
 
 def edited_texts(rows: DataFrame, following: DataFrame) -> DataFrame:
-    """``(key, mark, edited)`` per row of ``documents``."""
-    n = F.length("text")
-    own = rows.select("key", "mark", F.expr("length(text) div 2").alias("cut"),
-                      F.substring("text", F.lit(1), n - F.expr("length(text) div 2")).alias("kept"))
-    # texts go to the document before them, once for equal rows
-    links = small(following.select("key", "mark", "next_key", "next_mark"))
-    given = (rows.alias("r").join(links.alias("l"), F.col("r.key").eqNullSafe(F.col("l.next_key"))
+    """``(key, mark, edited)`` per row of ``documents``. Only what an edited
+    text takes of its two texts is shuffled."""
+    cut = F.expr("length(text) div 2")
+    own = rows.select("key", "mark", F.substring("text", F.lit(1), F.length("text") - cut).alias("kept"))
+    # beginnings go to the document before them, once for equal rows
+    given = (rows.alias("r").join(small(following).alias("l"), F.col("r.key").eqNullSafe(F.col("l.next_key"))
                                   & (F.col("r.mark") == F.col("l.next_mark")))
-             .select(F.col("l.key"), F.col("l.mark"), F.col("r.text")).dropDuplicates(["key", "mark"]))
+             .select(F.col("l.key"), F.col("l.mark"), F.expr("substring(r.text, 1, l.cut)").alias("given"))
+             .dropDuplicates(["key", "mark"]))
     both = own.alias("o").join(given.alias("g"), _same("o", "g"))
-    return both.select("o.key", "o.mark", F.concat(
-        F.col("o.kept"), F.substring(F.col("g.text"), F.lit(1), F.col("o.cut"))).alias("edited"))
+    return both.select("o.key", "o.mark", F.concat("o.kept", "g.given").alias("edited"))
 
 
 def fingerprint_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
