@@ -1,16 +1,19 @@
 """Exact stratified train / validation / test split.
 
-Sizes follow stratified hold-out semantics: the hold-out takes
+Sizes follow stratified hold-out semantics: a hold-out takes
 ``ceil(N * num / den)`` rows overall; each stratum gets the floor of its
 share plus one for the strata with the largest remainders (ties by
-stratum value). Members are the rows with the smallest seeded hash of
-their key inside their stratum, so the split is reproducible and
-independent of partitioning.
-
-Scale: the cut inside a stratum is found from a histogram of 16-bit hash
-prefixes (an aggregate, combined map-side); only the rows of the single
-boundary bucket of each stratum are ranked exactly. No task ever sorts a
-whole stratum, however dominant.
+stratum value, null first). Inside a stratum the rows stand in the order of
+one seeded hash of their key: the first ones are the test rows, the next
+ones the validation rows, the others train. The split is reproducible and
+independent of partitioning. A null stratum is a stratum like any other.
+
+Scale: rows are hashed once. A histogram of 16-bit hash prefixes (an
+aggregate, combined map-side) gives one row per stratum with the prefixes
+at which test and validation end (written once: the input is read for the
+histogram and for the result's two parts); rows are labelled by comparing prefixes,
+and only those of the two boundary prefixes of each stratum are ranked. No
+task ever sorts a whole stratum, however dominant.
 """
 
 from __future__ import annotations
@@ -18,49 +21,46 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scribal.session import materialize
+
 _PREFIX = 4  # hex chars of the hash used as histogram bucket (65,536 buckets)
 
 
-def _quotas(hist: DataFrame, strata: str, num: int, den: int) -> DataFrame:
-    """``(strata, quota)`` from the bucket histogram: one row per stratum."""
-    counts = hist.groupBy(strata).agg(F.sum("_bn").alias("n"))
-    whole = Window.partitionBy()  # over the per-stratum counts only
-    q = counts.select(
-        strata,
-        "n",
-        F.expr(f"(n * {num}) div {den}").alias("base"),
-        F.expr(f"(n * {num}) % {den}").alias("rem"),
-    )
+def _with_quota(counts: DataFrame, n: str, num: int, den: int, out: str) -> DataFrame:
+    """The per-stratum table with each stratum's share ``out`` of a hold-out.
+
+    The windows here run over one row per stratum.
+    """
+    whole = Window.partitionBy()
+    largest = Window.orderBy(F.col("_rem").desc(), F.col("stratum").asc_nulls_first())
+    q = counts.withColumn("_base", F.expr(f"({n} * {num}) div {den}")).withColumn("_rem", F.expr(f"({n} * {num}) % {den}"))
     # exact integer ceiling of N * num / den
-    q = q.withColumn("total", F.expr(f"(sum(n) OVER () * {num} + {den - 1}) div {den}"))
-    q = q.withColumn("extra", F.col("total") - F.sum("base").over(whole))
-    rank = F.row_number().over(Window.orderBy(F.col("rem").desc(), F.col(strata).asc_nulls_first()))
-    q = q.withColumn("rk", rank)
-    return q.select(strata, (F.col("base") + F.when(F.col("rk") <= F.col("extra"), 1).otherwise(0)).alias("quota"))
-
-
-def holdout(df: DataFrame, strata: str, key: str, num: int, den: int, salt: str, flag: str) -> DataFrame:
-    """Add boolean ``flag``: the row belongs to the hold-out sample."""
-    h = F.md5(F.concat(F.lit(salt), F.lit("|"), F.col(key).cast("string")))
-    x = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, _PREFIX))
-    hist = x.groupBy(strata, "_b").agg(F.count(F.lit(1)).alias("_bn"))
-    quotas = _quotas(hist, strata, num, den)
-    per_stratum = Window.partitionBy(strata).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumn("_cum", F.sum("_bn").over(per_stratum)).join(quotas, strata, "left")
-    # rows of a bucket before the cut are all in; the bucket where the
-    # running count crosses the quota takes only its first (quota - before)
-    hist = hist.select(
-        strata, "_b",
-        (F.col("quota") - (F.col("_cum") - F.col("_bn"))).alias("_take"),
-        (F.col("_cum") <= F.col("quota")).alias("_all"),
-    )
-    x = x.join(hist, [strata, "_b"], "left")
-    boundary = (~F.col("_all")) & (F.col("_take") > 0)
-    in_bucket = Window.partitionBy(strata, "_b").orderBy("_h", key)
-    exact = x.filter(boundary).withColumn("_rn", F.row_number().over(in_bucket))
-    exact = exact.withColumn(flag, F.col("_rn") <= F.col("_take")).drop("_rn")
-    easy = x.filter(~boundary).withColumn(flag, F.col("_all"))
-    return easy.unionByName(exact).drop("_h", "_b", "_take", "_all")
+    q = q.withColumn("_total", F.floor((F.sum(n).over(whole) * num + (den - 1)) / den).cast("bigint"))
+    q = q.withColumn("_extra", F.col("_total") - F.sum("_base").over(whole)).withColumn("_rk", F.row_number().over(largest))
+    more = F.when(F.col("_rk") <= F.col("_extra"), 1).otherwise(0)
+    return q.withColumn(out, F.col("_base") + more).drop("_base", "_rem", "_total", "_extra", "_rk")
+
+
+def _cuts(rows: DataFrame, test: tuple[int, int], validation: tuple[int, int]) -> DataFrame:
+    """One row per stratum: the ranks where test and validation end, the
+    prefix that holds each of them, and the rows before that prefix."""
+    hist = materialize(rows.groupBy("stratum", "_b").agg(F.count(F.lit(1)).alias("_bn")))
+    counts = _with_quota(hist.groupBy("stratum").agg(F.sum("_bn").alias("n")), "n", *test, "_test")
+    counts = counts.withColumn("_rest", F.col("n") - F.col("_test"))
+    counts = _with_quota(counts, "_rest", *validation, "_validation")
+    ends = counts.select(F.col("stratum").alias("_s"), F.col("_test").alias("end_test"),
+                         (F.col("_test") + F.col("_validation")).alias("end_validation"))
+    upto = Window.partitionBy("stratum").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = hist.withColumn("_cum", F.sum("_bn").over(upto)).join(ends, F.col("stratum").eqNullSafe(F.col("_s")))
+
+    def boundary(end: str) -> list[Column]:
+        holds = (F.col("_cum") >= F.col(end)) & (F.col("_cum") - F.col("_bn") < F.col(end))
+        return [F.max(F.when(holds, F.col("_b"))).alias(f"{end}_b"),
+                F.max(F.when(holds, F.col("_cum") - F.col("_bn"))).alias(f"{end}_before")]
+
+    return summed.groupBy("stratum").agg(
+        F.max("end_test").alias("end_test"), F.max("end_validation").alias("end_validation"),
+        *boundary("end_test"), *boundary("end_validation")).withColumnRenamed("stratum", "_s")
 
 
 def split_stratified(
@@ -80,11 +80,21 @@ def split_stratified(
     order carries no meaning; sort by a seeded hash if an order is wanted).
     """
     routed = F.coalesce(route_to_train, F.lit(False)) if route_to_train is not None else F.lit(False)
-    x = df.withColumn("_routed", routed)
-    lexical = x.filter(F.col("_routed")).withColumn("split", F.lit("train"))
-    rest = holdout(x.filter(~F.col("_routed")), strata, key, *test, f"{seed}|test", "_test")
-    in_test = rest.filter(F.col("_test")).withColumn("split", F.lit("test"))
-    remain = holdout(rest.filter(~F.col("_test")), strata, key, *validation, f"{seed}|validation", "_val")
-    labelled = remain.withColumn("split", F.when(F.col("_val"), F.lit("validation")).otherwise(F.lit("train")))
+    h = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    rows = df.withColumn("_routed", routed).withColumn("_h", h).withColumn("_b", F.substring("_h", 1, _PREFIX))
+    cuts = materialize(_cuts(rows.filter(~F.col("_routed")).select(F.col(strata).alias("stratum"), "_b"), test, validation))
+    rows = rows.join(cuts, F.col(strata).eqNullSafe(F.col("_s")) & ~F.col("_routed"), "left")
+    at_test, at_validation = (F.coalesce(F.col("_b") == F.col(f"{e}_b"), F.lit(False)) for e in ("end_test", "end_validation"))
+    ranked = at_test | at_validation
+    # a hold-out of no rows has no boundary prefix: nothing lies before it
+    before = {e: F.coalesce(F.col("_b") < F.col(f"{e}_b"), F.lit(False)) for e in ("end_test", "end_validation")}
+    easy = rows.filter(~ranked).withColumn(
+        "split", F.when(before["end_test"], "test").when(before["end_validation"], "validation").otherwise("train"))
+    in_prefix = Window.partitionBy(strata, "_b").orderBy("_h", key)
+    start = F.when(at_test, F.col("end_test_before")).otherwise(F.col("end_validation_before"))
+    rank = start + F.row_number().over(in_prefix)
+    exact = rows.filter(ranked).withColumn("_rank", rank).withColumn(
+        "split", F.when(F.col("_rank") <= F.col("end_test"), "test")
+        .when(F.col("_rank") <= F.col("end_validation"), "validation").otherwise("train"))
     cols = [*df.columns, "split"]
-    return lexical.select(*cols).unionByName(in_test.select(*cols)).unionByName(labelled.select(*cols))
+    return easy.select(*cols).unionByName(exact.select(*cols))

@@ -3,25 +3,29 @@
 A text is a JSON document ``{"cdl": [node, ...]}``; chunk nodes (``c``)
 hold child lists, so the tree is recursive and has no fixed schema.
 ``flatten_tree`` walks it level by level: each level is one distributed
-explode of the chunk frontier (a nested node is kept as raw JSON text),
-the loop runs once per tree level (a small number fixed by the data),
-and every frontier is checkpointed to the shared folder so lineage never
-grows with depth. ``path`` (array of child positions) orders nodes in
-pre-order because arrays compare lexicographically.
+explode of the chunks met so far, and the loop ends when no chunk is left.
+Leaves are taken out where they are first seen; only chunks with children are
+carried to the next level, whose table is written to the shared folder so
+lineage never grows with depth and no level is computed twice.
+``path`` (array of child positions) orders nodes in pre-order because arrays
+compare lexicographically.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scribal.functions.rule_values import BLANK_SPACE, COLUMN, MISSING, RULING, SURFACE
-from scribal.functions.text import strip_ws
+from scribal.functions.text import let, strip_ws
 from scribal.session import materialize
 
 _CHILDREN = T.StructType([T.StructField("cdl", T.ArrayType(T.StringType()))])
-_BRK = T.StructType([T.StructField("breakStart", T.StringType()), T.StructField("breakEnd", T.StringType())])
+# VARIANT keeps the JSON type: a string "0" marks a break, a number 0 does not
+_BRK = T.StructType([T.StructField("breakStart", T.VariantType()), T.StructField("breakEnd", T.VariantType())])
 _GDL = T.StructType(_BRK.fields + [T.StructField("seq", T.ArrayType(_BRK)), T.StructField("group", T.ArrayType(_BRK))])
 NODE_SCHEMA = T.StructType(
     [
@@ -44,38 +48,35 @@ NODE_SCHEMA = T.StructType(
     ]
 )
 NODE_KINDS = ["c", "d", "l", "ll"]
-MAX_DEPTH = 10_000  # a guard that raises; the tree is never truncated
 
 
-def flatten_tree(texts: DataFrame, id_col: str = "id", json_col: str = "json", checkpoint: bool = True) -> DataFrame:
+def _children(of: DataFrame, json_col: str, path: Column) -> DataFrame:
+    """``(id, path, node, is_chunk)``: the members of each row's child list."""
+    child = of.select("id", path.alias("_p"), F.posexplode(F.from_json(json_col, _CHILDREN)["cdl"]).alias("pos", "node"))
+    child = child.filter(F.col("node").isNotNull())
+    return child.select("id", F.concat("_p", F.array("pos")).alias("path"), "node",
+                        (F.get_json_object("node", "$.node") == "c").alias("is_chunk"))
+
+
+def flatten_tree(texts: DataFrame, id_col: str = "id", json_col: str = "json") -> DataFrame:
     """``(id, path array<int>, node string)`` for every node, pre-order.
 
-    Only chunks are crawled; ``ll`` choices and linkbase contents are not.
+    Only chunks are crawled; ``ll`` choices and linkbase contents are not. A
+    chunk's own row holds its fields without the child list.
     """
-    top = texts.select(
-        F.col(id_col).alias("id"),
-        F.posexplode_outer(F.from_json(F.col(json_col), _CHILDREN)["cdl"]).alias("pos", "node"),
-    ).filter(F.col("node").isNotNull())
-    level = top.select("id", F.array(F.col("pos")).alias("path"), "node")
+    top = texts.select(F.col(id_col).alias("id"), F.col(json_col).alias("_json"))
+    level = materialize(_children(top, "_json", F.array().cast("array<int>")))
     levels = [level]
-    for _ in range(MAX_DEPTH):
-        chunks = level.filter(F.get_json_object("node", "$.node") == "c")
-        children = chunks.select(
-            "id", "path", F.posexplode_outer(F.from_json("node", _CHILDREN)["cdl"]).alias("pos", "child")
-        ).filter(F.col("child").isNotNull())
-        nxt = children.select("id", F.concat("path", F.array("pos")).alias("path"), F.col("child").alias("node"))
-        if checkpoint:
-            nxt = materialize(nxt)
+    while True:
+        nxt = materialize(_children(level.filter("is_chunk"), "node", F.col("path")))
         if nxt.isEmpty():
             break
         levels.append(nxt)
         level = nxt
-    else:
-        raise RuntimeError("tree deeper than MAX_DEPTH")
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
-    return out
+    # the child lists have been walked; what is left of a chunk is small
+    bare = F.when(F.col("is_chunk"), F.to_json(F.map_filter(
+        F.from_json("node", "map<string,string>"), lambda k, v: k != "cdl"))).otherwise(F.col("node"))
+    return reduce(DataFrame.unionByName, levels).select("id", "path", bare.alias("node"))
 
 
 def node_kind(n: Column) -> Column:
@@ -100,7 +101,16 @@ def discontinuity_token(n: Column) -> Column:
 
 
 def _truthy(v: Column) -> Column:
-    return v.isNotNull() & ~v.isin("", "false", "0", "null", "[]", "{}")
+    """A JSON value counts unless it is null, false, zero or empty."""
+    kind, text = F.schema_of_variant(v), F.to_json(v)
+    number = F.try_variant_get(v, "$", "double")
+    return F.coalesce(
+        F.when(kind == "VOID", F.lit(False))
+        .when(kind == "STRING", text != '""')
+        .when(kind == "BOOLEAN", text == "true")
+        .when(kind.startswith("ARRAY"), text != "[]")
+        .when(kind.startswith("OBJECT"), text != "{}")
+        .otherwise(number != 0), F.lit(False))
 
 
 def _marks(b: Column) -> Column:
@@ -135,27 +145,37 @@ def _insert_before_first(t: Column, ch: str, before: str, otherwise: Column) ->
 
 
 def repair_brackets(text: Column, ideal: Column) -> Column:
-    """Make a lemma's square brackets agree with its ideal sequence."""
-    actual = _brackets(text)
-    # R2: ideal is "[...]"
-    r2 = F.when(actual.startswith("["), text).otherwise(F.concat(F.lit("["), text))
-    r2 = F.when(actual.endswith("]"), r2).otherwise(F.concat(r2, F.lit("]")))
-    r2 = F.when(_brackets(r2) == ideal, r2).otherwise(F.concat(F.lit("["), _unbracket(text), F.lit("]")))
+    """Make a lemma's square brackets agree with its ideal sequence.
+
+    Every intermediate text is bound once, so the expression stays linear in
+    the number of rules."""
+    return let(F.struct(text.alias("t"), ideal.alias("ideal"), _brackets(text).alias("actual")), _repaired)
+
+
+def _repaired(x: Column) -> Column:
+    text, ideal, actual = x["t"], x["ideal"], x["actual"]
+
+    def enclosed() -> Column:  # R2: ideal is "[...]"
+        opened = F.when(actual.startswith("["), text).otherwise(F.concat(F.lit("["), text))
+        closed = let(opened, lambda r: F.when(actual.endswith("]"), r).otherwise(F.concat(r, F.lit("]"))))
+        return let(closed, lambda r: F.when(_brackets(r) == ideal, r).otherwise(
+            F.concat(F.lit("["), _unbracket(text), F.lit("]"))))
+
+    def fallback(r4: Column) -> Column:  # R5
+        fb = let(_unbracket(r4), lambda r: F.when(ideal.contains("[]"), F.concat(F.lit("["), r, F.lit("]"))).otherwise(r))
+        fb = let(fb, lambda r: F.when(ideal.startswith("["), F.concat(F.lit("["), r)).otherwise(r))
+        return let(fb, lambda r: F.when(ideal.endswith("]"), F.concat(r, F.lit("]"))).otherwise(r))
+
     # R3 then R4 (R4 tests the actual sequence from before R3)
     r3 = F.when(ideal.startswith("]") & ~actual.startswith("]"),
                 _insert_before_first(text, "]", "[", F.concat(text, F.lit("]")))).otherwise(text)
-    r4 = F.when(ideal.endswith("[") & ~actual.endswith("["),
-                _insert_before_first(r3, "[", "]", F.concat(F.lit("["), r3))).otherwise(r3)
-    # R5 fallback
-    fb = _unbracket(r4)
-    fb = F.when(ideal.contains("[]"), F.concat(F.lit("["), fb, F.lit("]"))).otherwise(fb)
-    fb = F.when(ideal.startswith("["), F.concat(F.lit("["), fb)).otherwise(fb)
-    fb = F.when(ideal.endswith("]"), F.concat(fb, F.lit("]"))).otherwise(fb)
-    r5 = F.when(_brackets(r4) == ideal, r4).otherwise(fb)
+    r4 = let(r3, lambda r: F.when(ideal.endswith("[") & ~actual.endswith("["),
+                                  _insert_before_first(r, "[", "]", F.concat(F.lit("["), r))).otherwise(r))
+    r5 = let(r4, lambda r: F.when(_brackets(r) == ideal, r).otherwise(fallback(r)))
     return (
         F.when(ideal == "", text)
         .when(ideal == actual, text)
-        .when(ideal.startswith("[") & ideal.endswith("]"), r2)
+        .when(ideal.startswith("[") & ideal.endswith("]"), enclosed())
         .otherwise(r5)
     )
 

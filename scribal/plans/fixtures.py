@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scribal.functions.text import literal_fold
-from scribal.sources.tables import spread
+from scribal.sources.tables import input_partitions, spread
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES: markup injected into prose, applied in this order.
@@ -44,8 +44,8 @@ TABLES = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, spread over the cores when it arrives as few splits."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    """A driver table, dealt anew when the session's setting says so."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"), input_partitions(spark))
 
 
 def marked(col: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scribal.sources.catalogue import catalogue_from_text, conform_catalogue, corpora, text_id_expr
+from scribal.sources.catalogue import catalogue_from_text, conform_catalogue, text_id_expr
 from scribal.plans.fixtures import table
 from scribal.plans.registry import register
 
@@ -41,14 +41,6 @@ def resolve_text_id(spark, sf_dir):
     return c.select("doc_id", "kind", expr.alias("text_id"))
 
 
-@register("corpus_registry", "SELECT * FROM (VALUES " + ", ".join(
-    f"('{c}', {i}, '{k}')" for i, (c, k) in enumerate(
-        __import__("scribal.sources.catalogue", fromlist=["CORPORA"]).CORPORA)
-) + ") AS t(corpus, corpus_rank, kind)", "S1")
-def corpus_registry(spark, sf_dir):
-    return corpora(spark)
-
-
 _E = "CAST([] AS VARCHAR[])"
 _S5_SQL = f"""
 WITH p AS (

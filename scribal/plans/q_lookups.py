@@ -31,7 +31,7 @@ def glyph_of(k: Column) -> Column:
 def vocabulary(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     words = docs.select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("w"))
-    return words.filter(F.length("w") >= 2).distinct()
+    return words.filter(F.col("w") != "").distinct()
 
 
 def _name(w: Column) -> Column:
@@ -79,7 +79,7 @@ _T = f"'{LOWER}', '{UPPER}'"
 VOCAB_SQL = f"""
 words AS (
   SELECT DISTINCT w FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}]+')) AS w FROM documents)
-  WHERE length(w) >= 2
+  WHERE w <> ''
 ), s AS (
   SELECT w, translate(w, {_T}) || CASE WHEN length(w) = 6 THEN '&amp;' ELSE '' END AS n,
          (length(w) * 7 + ascii(w)) % 900 AS k

@@ -11,35 +11,35 @@ from scribal.plans.registry import register
 
 
 def _labelled_docs(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    """Documents with their quality label; one source's language is unknown."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", F.when(F.col("source") != "src5", F.col("lang")).alias("lang"))
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     return docs.join(labels, "doc_id", "left")
 
 
-def _holdout_sql(src: str, name: str, num: int, den: int, salt: str) -> str:
+def _quota_sql(src: str, name: str, n: str, num: int, den: int) -> str:
     return f"""
-{name}_h AS (SELECT doc_id, lang, md5('{salt}|' || CAST(doc_id AS VARCHAR)) AS h FROM {src}),
-{name}_q0 AS (SELECT lang, count(*) AS n, (count(*) * {num}) // {den} AS b, (count(*) * {num}) % {den} AS r
-              FROM {name}_h GROUP BY lang),
-{name}_t AS (SELECT (sum(n) * {num} + {den - 1}) // {den} - sum(b) AS extra FROM {name}_q0),
-{name}_q AS (SELECT lang, b + CASE WHEN row_number() OVER (ORDER BY r DESC, lang NULLS FIRST) <= (SELECT extra FROM {name}_t)
-                                   THEN 1 ELSE 0 END AS quota FROM {name}_q0),
-{name} AS (SELECT doc_id FROM (SELECT {name}_h.*, row_number() OVER (PARTITION BY lang ORDER BY h, doc_id) AS rn
-                               FROM {name}_h) x JOIN {name}_q USING (lang) WHERE rn <= quota)"""
+{name}_0 AS (SELECT *, ({n} * {num}) // {den} AS b, ({n} * {num}) % {den} AS r FROM {src}),
+{name} AS (SELECT * EXCLUDE (b, r), b + CASE WHEN row_number() OVER (ORDER BY r DESC, lang NULLS FIRST)
+    <= (sum({n}) OVER () * {num} + {den - 1}) // {den} - sum(b) OVER () THEN 1 ELSE 0 END AS {name}_q FROM {name}_0)"""
 
 
 _SPLIT_SQL = f"""
 WITH base AS (
-  SELECT d.doc_id, d.lang, coalesce(l.quality = 0, false) AS routed
+  SELECT d.doc_id, CASE WHEN d.source <> 'src5' THEN d.lang END AS lang, coalesce(l.quality = 0, false) AS routed
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
-), rest AS (SELECT * FROM base WHERE NOT routed),
-{_holdout_sql('rest', 'tst', 5, 100, '42|test')},
-remain AS (SELECT * FROM rest WHERE doc_id NOT IN (SELECT doc_id FROM tst)),
-{_holdout_sql('remain', 'val', 5, 95, '42|validation')}
-SELECT doc_id, lang,
-       CASE WHEN routed THEN 'train' WHEN doc_id IN (SELECT doc_id FROM tst) THEN 'test'
-            WHEN doc_id IN (SELECT doc_id FROM val) THEN 'validation' ELSE 'train' END AS split
-FROM base
+), rest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY md5('42|' || CAST(doc_id AS VARCHAR)), doc_id) AS rn
+  FROM base WHERE NOT routed),
+counts AS (SELECT lang, count(*) AS n FROM rest GROUP BY lang),
+{_quota_sql('counts', 'tst', 'n', 5, 100)},
+remain AS (SELECT *, n - tst_q AS m FROM tst),
+{_quota_sql('remain', 'val', 'm', 5, 95)}
+SELECT doc_id, lang, 'train' AS split FROM base WHERE routed
+UNION ALL
+SELECT doc_id, rest.lang, CASE WHEN rn <= tst_q THEN 'test' WHEN rn <= tst_q + val_q THEN 'validation' ELSE 'train' END
+FROM rest JOIN val ON rest.lang IS NOT DISTINCT FROM val.lang
 """
 
 

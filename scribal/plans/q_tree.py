@@ -183,7 +183,7 @@ _N6_TEXT = ("CASE length(w) % 5 WHEN 0 THEN w WHEN 1 THEN '[' || w WHEN 2 THEN w
 _N6_IDEAL = ("CASE ascii(w) % 7 WHEN 0 THEN '' WHEN 1 THEN '[]' WHEN 2 THEN '[' WHEN 3 THEN ']' "
              "WHEN 4 THEN '][' WHEN 5 THEN '[][]' ELSE ']]' END")
 _WORDS_SQL = ("SELECT DISTINCT w FROM (SELECT unnest(string_split(text, ' ')) AS w FROM documents) "
-              "WHERE length(w) >= 3")
+              "WHERE w <> ''")
 
 
 def _sql_brackets(x: str) -> str:
@@ -233,8 +233,8 @@ SELECT w, t AS text, ideal, repaired FROM rep
 @register("repair_brackets", _N6_SQL, "N6")
 def repair_brackets_q(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    words = docs.select(F.explode(F.split("text", " ", -1)).alias("w")).filter(F.length("w") >= 3).distinct()
-    x = words.select("w", F.expr(_N6_TEXT.replace("substr(w, 3)", "substr(w, 3)")).alias("text"),
+    words = docs.select(F.explode(F.split("text", " ", -1)).alias("w")).filter(F.col("w") != "").distinct()
+    x = words.select("w", F.expr(_N6_TEXT).alias("text"),
                      F.expr(_N6_IDEAL).alias("ideal"))
     return x.select("w", "text", "ideal", repair_brackets(F.col("text"), F.col("ideal")).alias("repaired"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -31,6 +32,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         builder = builder.config(key, value)
     builder = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("scribal.input.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("SCRIBAL_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
@@ -42,8 +44,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must already be set to shared storage. Only a local
-    session (tests) without the setting gets a private scratch folder.
+    On a cluster (``local-cluster`` included) this must already be set to
+    shared storage. Only a one-process local session (tests) without the
+    setting gets a private scratch folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
@@ -51,7 +54,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(configured)
         return configured
     master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="scribal-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
@@ -62,9 +65,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def _store(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and the path in its terms."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, in whatever store it lies."""
+    fs, hadoop_path = _store(spark, path)
+    return bool(fs.exists(hadoop_path))
+
+
 def materialize(df):
-    """Cut lineage at a stage boundary: write ``df`` to the shared checkpoint
-    folder (reliable ``checkpoint()``, never a node-local one) and read it
-    back, so later consumers neither recompute nor re-plan it."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage at a stage boundary: write ``df`` as a Parquet table in the
+    shared checkpoint folder (never a node-local one) and read it back, so
+    later consumers neither recompute nor re-plan it and still read only the
+    columns they use. The table is removed when the driver's JVM ends."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scribal-{uuid.uuid4().hex}"
+    fs, hadoop_path = _store(spark, path)
+    fs.deleteOnExit(hadoop_path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

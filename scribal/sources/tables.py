@@ -1,25 +1,26 @@
-"""Reading inputs and giving CPU-heavy stages enough parallelism."""
+"""Giving CPU-heavy stages enough parallelism over few input splits."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Session setting: deal every input table to this many partitions. Unset (the
+#: default, and right for large inputs) leaves the splits as they are read.
+#: Text rules are CPU-bound per row, so a small single-file table, which arrives
+#: as one split, gains from it.
+PARTITIONS_SETTING = "scribal.input.partitions"
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition only when the input has too few partitions.
 
-    Text rules are CPU-bound per row; a small single-file input arrives as
-    one split and would run in one task. Large inputs already have at
-    least as many splits as cores and are left untouched (no shuffle).
-    Partition counts come from planning, not from running a job.
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition to ``partitions``; None leaves ``df`` as it is.
+
+    The rows' order changes: what depends on it must carry an explicit order
+    column (see :func:`scribal.operators.collate.with_ord`).
     """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    return df if partitions is None else df.repartition(partitions)
 
 
-def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
-    return df.select(*columns) if columns else df
+def input_partitions(spark: SparkSession) -> int | None:
+    """The setting's value, None when unset."""
+    value = spark.conf.get(PARTITIONS_SETTING, None)
+    return int(value) if value else None

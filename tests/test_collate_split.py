@@ -38,3 +38,18 @@ def test_split_sizes_disjoint_and_partition_independent(spark):
     n_test = sum(1 for v in got.values() if v == "test")
     assert n_test == -(-n_free * 5 // 100)
     assert all(got[i] == "train" for i in range(0, 2000, 17))
+
+
+def test_split_keeps_null_strata_and_a_dominant_one(spark):
+    rows = [(i, None if i % 20 == 0 else "rare" if i % 20 == 1 else "main") for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, period string")
+    out = split_stratified(df, "period", "id")
+    got = [(r.id, r.period, r.split) for r in out.collect()]
+    assert sorted((i, str(p)) for i, p, _ in got) == sorted((i, str(p)) for i, p in rows)
+    n = {(p, s): sum(1 for _, q, t in got if (q, t) == (p, s)) for p in (None, "rare", "main") for s in ("test", "validation", "train")}
+    assert sum(v for (_, s), v in n.items() if s == "test") == 150
+    assert sum(v for (_, s), v in n.items() if s == "validation") == 150  # ceil(2850 * 5 / 95)
+    assert n[None, "test"] in (7, 8) and n["rare", "test"] in (7, 8) and n["main", "test"] in (135, 136)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") <= 3
+    assert split_stratified(df.limit(0), "period", "id").count() == 0

@@ -31,7 +31,7 @@ def test_tree_to_text(spark, tmp_path):
         {"node": "d", "type": "surface"}, {"node": "d", "type": "object"},
         {"node": "d", "type": "surface"}, {"node": "d", "type": "line-start"}, _lemma("mu")]}]}
     df = spark.createDataFrame([("T1", json.dumps(tree))], "id string, json string")
-    out = assemble_text(node_tokens(flatten_tree(df, checkpoint=False))).first()
+    out = assemble_text(node_tokens(flatten_tree(df))).first()
     assert out.transliteration == "#SURFACE#\nlugal [e] ki\n#MISSING#\n#SURFACE#\nmu"
     assert out.langs == "akk, sux"
 
