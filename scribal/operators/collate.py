@@ -1,9 +1,9 @@
 """Collation: union many sources, filter, keep-first dedup, standardise.
 
 Row order is semantic upstream ("first" wins), and Spark has no implicit
-row order, so every row carries ``ord = struct(corpus_rank, pos)``:
-``corpus_rank`` is the source's position in the union and ``pos`` the
-row's position inside its source. "First" means the smallest ``ord``.
+row order, so every row carries one number ``ord``: its source's position in
+the union, then the row's given position inside its source. "First" means the
+smallest ``ord``.
 """
 
 from __future__ import annotations
@@ -18,34 +18,38 @@ from scribal.functions import rule_values as V
 
 ORD = "ord"
 
-# Above this many entries a value map is joined (broadcast behind AQE's
-# size check) instead of being compiled into a CASE expression.
-_CASE_MAX = 256
+# Bits of ``ord`` that hold the position inside a source.
+POS_BITS = 40
 
 
-def with_ord(df: DataFrame, corpus_rank: int, pos: Column | str | None = None) -> DataFrame:
-    """Attach ``ord``; ``pos`` defaults to the row's position in file order.
+def order_number(corpus_rank: int, pos: Column) -> Column:
+    """``ord`` from a source's rank and a position of up to 40 bits."""
+    return F.lit(corpus_rank << POS_BITS).cast("bigint") + pos.cast("bigint")
 
-    ``monotonically_increasing_id`` is deterministic for a file source
-    (same splits, same order), so a retried task reproduces the same ids.
-    """
-    pos_col = F.monotonically_increasing_id() if pos is None else (F.col(pos) if isinstance(pos, str) else pos)
-    return df.withColumn(ORD, F.struct(F.lit(corpus_rank).alias("corpus_rank"), pos_col.cast("bigint").alias("pos")))
+
+def order_parts(order: Column) -> tuple[Column, Column]:
+    """``(corpus_rank, pos)`` of an ``ord``."""
+    return F.shiftright(order, POS_BITS).cast("int"), order.bitwiseAND(F.lit((1 << POS_BITS) - 1))
+
+
+def with_ord(df: DataFrame, corpus_rank: int, pos: Column | str) -> DataFrame:
+    """Attach ``ord``. The position must be given: Spark reads larger splits
+    first, so no generated id follows the order of files."""
+    return df.withColumn(ORD, order_number(corpus_rank, F.col(pos) if isinstance(pos, str) else pos))
 
 
 def union_common(tables: Sequence[DataFrame]) -> DataFrame:
     """Bag union on the columns every table has (first table's order).
 
     Column intersection is computed from schemas on the driver; no data
-    moves. Tables lacking ``ord`` get one from their list position.
+    moves. Every table must carry ``ord`` (see :func:`with_ord`).
     """
     if not tables:
         raise ValueError("nothing to union")
-    ordered = [t if ORD in t.columns else with_ord(t, i) for i, t in enumerate(tables)]
-    common = [c for c in ordered[0].columns if all(c in t.columns for t in ordered[1:])]
-    if ORD not in common:
-        common.append(ORD)
-    return reduce(lambda a, b: a.unionByName(b), [t.select(*common) for t in ordered])
+    if any(ORD not in t.columns for t in tables):
+        raise ValueError(f"every table needs the column {ORD}")
+    common = [c for c in tables[0].columns if all(c in t.columns for t in tables[1:])]
+    return reduce(lambda a, b: a.unionByName(b), [t.select(*common) for t in tables])
 
 
 def default_filters() -> list[Column]:
@@ -66,17 +70,21 @@ def apply_filters(df: DataFrame, predicates: Sequence[Column]) -> DataFrame:
 def keep_first(df: DataFrame, keys: Sequence[str], order_col: str = ORD) -> DataFrame:
     """For each key keep the row with the smallest ``order_col``.
 
-    ``min(struct(ord, rest))`` is an ordinary aggregate: it is combined
-    map-side before the shuffle, so a key holding a third of all rows
-    still sends one row per input partition, and no group is ever
-    collected. Exact: the key itself is the grouping key (no hash stand-in).
+    The least order number per key (string keys by their sha-256) is a hash
+    aggregate of fixed-size values, combined map-side before the shuffle, so a
+    key holding a third of all rows still sends one row per input partition.
+    Rows are then kept by key and order number, which must be unique among the
+    rows of a key; null keys are one key.
     """
-    rest = [c for c in df.columns if c not in keys and c != order_col]
-    winner = F.min(F.struct(F.col(order_col), *[F.col(c) for c in rest])).alias("_w")
-    out = df.groupBy(*[F.col(k) for k in keys]).agg(winner)
-    return out.select(*[F.col(k) for k in keys], *[F.col(f"_w.{c}").alias(c) for c in [order_col, *rest]]).select(
-        *df.columns
-    )
+    kinds = dict(df.dtypes)
+    hashed = [F.sha2(F.col(k), 256) if kinds[k] == "string" else F.col(k) for k in keys]
+    named = [h.alias(f"_k{i}") for i, h in enumerate(hashed)]
+    first = df.select(*named, F.col(order_col).alias("_ord")).groupBy(*[f"_k{i}" for i in range(len(keys))]).agg(
+        F.min("_ord").alias("_first"))
+    same = F.col(order_col) == F.col("_first")
+    for i, h in enumerate(hashed):
+        same = same & h.eqNullSafe(F.col(f"_k{i}"))
+    return df.join(first, same, "left_semi")
 
 
 def collapse_values(col: Column, values: Sequence[str], to: str) -> Column:
@@ -107,16 +115,11 @@ def standardise(df: DataFrame, col: str, pairs: Sequence[tuple[str, str]]) -> Da
     closed = close_mapping(pairs)
     if not closed:
         return df
-    if len(closed) <= _CASE_MAX:
-        expr = None
-        for raw, canonical in sorted(closed.items()):
-            cond = F.col(col) == F.lit(raw)
-            expr = F.when(cond, F.lit(canonical)) if expr is None else expr.when(cond, F.lit(canonical))
-        return df.withColumn(col, expr.otherwise(F.col(col)))
-    spark = df.sparkSession
-    lookup = spark.createDataFrame(sorted(closed.items()), "_raw string, _canon string")
-    joined = df.join(lookup, F.col(col) == F.col("_raw"), "left")
-    return joined.withColumn(col, F.coalesce(F.col("_canon"), F.col(col))).drop("_raw", "_canon")
+    expr = None
+    for raw, canonical in sorted(closed.items()):
+        cond = F.col(col) == F.lit(raw)
+        expr = F.when(cond, F.lit(canonical)) if expr is None else expr.when(cond, F.lit(canonical))
+    return df.withColumn(col, expr.otherwise(F.col(col)))
 
 
 def collate(

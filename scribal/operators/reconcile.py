@@ -1,7 +1,9 @@
 """Dataset reconciliation: two versions of a table, cell by cell (V1-V7).
 
-Everything is a join or an aggregate; samples are distributed top-k
-(``orderBy(key).limit(k)``), so no side is ever collected whole.
+Keys of both sides are counted once and written as one narrow table, from
+which every key check is answered; cells are compared in one join per result.
+Samples are the first rows per group by ``row_number``, which Spark limits per
+partition before the shuffle, so no side is ever collected whole.
 """
 
 from __future__ import annotations
@@ -9,64 +11,79 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scribal.operators.stats import fingerprint
+from scribal.session import materialize
 
 SAMPLE_KEYS = 10
 SAMPLE_CELLS = 3
 SAMPLE_CHARS = 120
+_SIDES = ["only_left", "only_right"]
 
 
-def _sample(df: DataFrame, key: str, k: int) -> DataFrame:
-    """One row: the ``k`` smallest keys, comma-joined in key order."""
-    top = df.select(key).orderBy(key).limit(k)
-    return top.agg(
-        F.coalesce(
-            F.array_join(F.transform(F.array_sort(F.collect_list(key)), lambda v: v.cast("string")), ","), F.lit("")
-        ).alias("sample")
-    )
+def _first(df: DataFrame, group: str, key: str, k: int, shown: Column, joiner: str) -> DataFrame:
+    """``(group, sample)``: ``shown`` of the first ``k`` rows by key."""
+    rank = F.row_number().over(Window.partitionBy(group).orderBy(F.col(key).asc_nulls_last()))
+    top = df.withColumn("_rn", rank).filter(F.col("_rn") <= k).select(group, "_rn", shown.alias("_shown"))
+    listed = F.array_sort(F.collect_list(F.struct("_rn", "_shown")))  # k rows at most
+    return top.groupBy(group).agg(F.array_join(F.transform(listed, lambda x: x["_shown"]), joiner).alias("sample"))
 
 
-def key_diff(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """V3: ``(side, n, sample)`` for keys present on one side only."""
-    parts = []
-    for side, a, b in (("only_left", left, right), ("only_right", right, left)):
-        anti = a.select(key).join(b.select(key), key, "left_anti")
-        n = anti.agg(F.count(F.lit(1)).alias("n"))
-        parts.append(n.crossJoin(_sample(anti, key, SAMPLE_KEYS)).select(F.lit(side).alias("side"), "n", "sample"))
-    return parts[0].unionByName(parts[1])
+def key_table(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``(key, n_left, n_right)`` per distinct key (null is one key), written
+    to the shared folder."""
+    sides = [df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias(f"n_{s}")) for s, df in (("left", left), ("right", right))]
+    both = sides[0].alias("l").join(sides[1].alias("r"), F.col("l.key").eqNullSafe(F.col("r.key")), "full_outer")
+    return materialize(both.select(
+        F.coalesce("l.key", "r.key").alias("key"), F.coalesce("n_left", F.lit(0)).alias("n_left"),
+        F.coalesce("n_right", F.lit(0)).alias("n_right")))
 
 
-def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
+def key_diff(keys: DataFrame) -> DataFrame:
+    """V3: ``(side, n, sample)`` for distinct keys present on one side only."""
+    side = F.when(F.col("n_right") == 0, F.lit(_SIDES[0])).when(F.col("n_left") == 0, F.lit(_SIDES[1]))
+    single = keys.select(side.alias("side"), "key").filter(F.col("side").isNotNull())
+    counts = single.groupBy("side").agg(F.count(F.lit(1)).alias("n"))
+    samples = _first(single, "side", "key", SAMPLE_KEYS, F.coalesce(F.col("key").cast("string"), F.lit("null")), ",")
+    sides = keys.sparkSession.createDataFrame([(s,) for s in _SIDES], "side string")
+    found = sides.join(counts, "side", "left").join(samples, "side", "left")
+    return found.select("side", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("sample", F.lit("")).alias("sample"))
+
+
+def duplicate_keys(keys: DataFrame, side: str) -> DataFrame:
     """Keys occurring more than once (the comparison assumes unique keys)."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    return keys.filter(F.col(f"n_{side}") > 1).select("key", F.col(f"n_{side}").alias("n"))
 
 
-def _as_text(c: str):
+def _as_text(c: str) -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit(""))
 
 
 def cell_diff(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     """V4+V5: on shared keys, ``(column, n, sample)`` per differing column;
-    null and empty string are equal; sample = first keys with a difference."""
-    l = left.select(key, *[F.col(c).alias(f"l_{c}") for c in cols])
-    r = right.select(key, *[F.col(c).alias(f"r_{c}") for c in cols])
-    both = l.join(r, key, "inner")
+    null and empty string are equal. The sample shows the first keys with a
+    difference, one a line, with both values cut to ``SAMPLE_CHARS``."""
+    lhs = left.select(key, *[F.col(c).alias(f"l_{c}") for c in cols])
+    rhs = right.select(key, *[F.col(c).alias(f"r_{c}") for c in cols])
     cells = F.array(*[
         F.struct(F.lit(c).alias("column"), (_as_text(f"l_{c}") != _as_text(f"r_{c}")).alias("diff"),
                  F.substring(_as_text(f"l_{c}"), 1, SAMPLE_CHARS).alias("left"),
                  F.substring(_as_text(f"r_{c}"), 1, SAMPLE_CHARS).alias("right"))
         for c in cols
     ])
-    diffs = both.select(key, F.explode(cells).alias("c")).filter("c.diff").select(key, "c.column", "c.left", "c.right")
+    both = lhs.join(rhs, key, "inner").select(F.col(key).alias("key"), F.explode(cells).alias("c")).filter("c.diff")
+    diffs = both.select("key", "c.column", "c.left", "c.right")
     counts = diffs.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
-    samples = [
-        _sample(diffs.filter(F.col("column") == c), key, SAMPLE_CELLS).select(F.lit(c).alias("column"), "sample")
-        for c in cols
-    ]
-    return counts.join(reduce(DataFrame.unionByName, samples), "column")
+    shown = F.concat(F.col("key").cast("string"), F.lit(": "), "left", F.lit(" => "), "right")
+    return counts.join(_first(diffs, "column", "key", SAMPLE_CELLS, shown, "\n"), "column")
+
+
+def _row(check: str, n: Column, detail: Column | None = None, column: Column | None = None) -> list[Column]:
+    none = F.lit(None).cast("string")
+    return [F.lit(check).alias("check"), (none if column is None else column).alias("column"),
+            n.cast("bigint").alias("n"), (none if detail is None else detail).alias("detail")]
 
 
 def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] | None = None) -> DataFrame:
@@ -74,36 +91,35 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str] |
 
     Checks: row counts, column-set differences (from schemas), keys on one
     side only, duplicate keys, per-column cell differences on shared keys,
-    and whether the content fingerprints agree.
+    and whether the content fingerprints of the shared keys' rows agree.
     """
     spark = left.sparkSession
     lc, rc = set(left.columns), set(right.columns)
     common = [c for c in (cols or left.columns) if c in lc and c in rc and c != key]
+    keys = key_table(left, right, key)
     rows = []
-    for name, df in (("rows_left", left), ("rows_right", right)):
-        rows.append(df.agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(name).alias("check"), F.lit(None).cast("string").alias("column"), "n",
-            F.lit(None).cast("string").alias("detail")))
+    for side in ("left", "right"):
+        rows.append(keys.agg(F.coalesce(F.sum(f"n_{side}"), F.lit(0)).alias("n")).select(*_row(f"rows_{side}", F.col("n"))))
     schema_rows = [("columns_only_left", c) for c in sorted(lc - rc)] + [("columns_only_right", c) for c in sorted(rc - lc)]
     if schema_rows:
-        rows.append(spark.createDataFrame(schema_rows, "check string, column string").select(
-            "check", "column", F.lit(1).cast("bigint").alias("n"), F.lit(None).cast("string").alias("detail")))
-    kd = key_diff(left, right, key)
-    rows.append(kd.select(F.col("side").alias("check"), F.lit(None).cast("string").alias("column"), "n",
-                          F.col("sample").alias("detail")))
-    for name, df in (("duplicate_keys_left", left), ("duplicate_keys_right", right)):
-        rows.append(duplicate_keys(df, key).agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(name).alias("check"), F.lit(None).cast("string").alias("column"), "n",
-            F.lit(None).cast("string").alias("detail")))
+        found = spark.createDataFrame(schema_rows, "check string, column string")
+        rows.append(found.select("check", "column", F.lit(1).cast("bigint").alias("n"), F.lit(None).cast("string").alias("detail")))
+    kd = key_diff(keys)
+    rows.append(kd.select(F.col("side").alias("check"), F.lit(None).cast("string").alias("column"), "n", F.col("sample").alias("detail")))
+    for side in ("left", "right"):
+        rows.append(duplicate_keys(keys, side).agg(F.count(F.lit(1)).alias("n")).select(*_row(f"duplicate_keys_{side}", F.col("n"))))
     if common:
         cd = cell_diff(left, right, key, common)
         rows.append(cd.select(F.lit("cells").alias("check"), "column", "n", F.col("sample").alias("detail")))
-        fl = fingerprint(left, [key, *common]).select(F.col("n_rows").alias("ln"), F.col("fingerprint").alias("lf"))
-        fr = fingerprint(right, [key, *common]).select(F.col("n_rows").alias("rn"), F.col("fingerprint").alias("rf"))
-        rows.append(fl.crossJoin(fr).select(
-            F.lit("fingerprint_equal").alias("check"), F.lit(None).cast("string").alias("column"),
-            ((F.col("ln") == F.col("rn")) & (F.col("lf") == F.col("rf"))).cast("bigint").alias("n"),
-            F.concat_ws(" vs ", "lf", "rf").alias("detail")))
+        shared = keys.filter("n_left > 0 and n_right > 0").select(F.col("key").alias("_shared"))
+        prints = [
+            fingerprint(df.join(shared, F.col(key).eqNullSafe(F.col("_shared")), "left_semi"), [key, *common])
+            .select(F.lit(side).alias("side"), F.concat_ws("/", "n_rows", "fingerprint").alias("f"), "fingerprint")
+            for side, df in (("l", left), ("r", right))]
+        one = prints[0].unionByName(prints[1]).agg(*[
+            F.max(F.when(F.col("side") == s, F.col(c))).alias(f"{s}_{c}") for s in ("l", "r") for c in ("f", "fingerprint")])
+        rows.append(one.select(*_row("fingerprint_equal", (F.col("l_f") == F.col("r_f")),
+                                     F.concat_ws(" vs ", "l_fingerprint", "r_fingerprint"))))
     return reduce(DataFrame.unionByName, rows)
 
 

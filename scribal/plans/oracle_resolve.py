@@ -200,8 +200,8 @@ GLYPH_COUNT_SQL = sql(f"""SELECT count(*) AS n_rows, CAST(coalesce(sum(length({f
     "coalesce(glyphs, '')", [(t, '') for t in V.GLYPH_COUNT_EXCLUDED] + [(' ', '')])})), 0) AS BIGINT) AS n_glyphs
 FROM parallel""")
 
-TOP_SQL = sql("""SELECT category, item, CAST(n AS BIGINT) AS n FROM (
-  SELECT *, row_number() OVER (PARTITION BY category ORDER BY n DESC, seen ASC) AS rk FROM (
+TOP_SQL = sql("""SELECT category, item, CAST(n AS BIGINT) AS n, category_total FROM (
+  SELECT *, CAST(sum(n) OVER (PARTITION BY category) AS BIGINT) AS category_total, row_number() OVER (PARTITION BY category ORDER BY n DESC, seen ASC) AS rk FROM (
     SELECT category, item, sum(cnt) AS n, min({'f': first, 'm': morph_pos}) AS seen FROM (
       SELECT unk_cat AS category, morpheme AS item, cnt, first, morph_pos FROM occ2 WHERE unk_cat IS NOT NULL
       UNION ALL

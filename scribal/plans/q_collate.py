@@ -9,6 +9,7 @@ from scribal.operators.collate import (
     apply_filters,
     collapse_values,
     keep_first,
+    order_parts,
     standardise,
     union_common,
     with_ord,
@@ -44,8 +45,8 @@ def _filters():
 
 
 def _flat(df):
-    return df.select(*[c for c in df.columns if c != ORD], F.col(f"{ORD}.corpus_rank").alias("corpus_rank"),
-                     F.col(f"{ORD}.pos").alias("pos"))
+    rank, pos = order_parts(F.col(ORD))
+    return df.select(*[c for c in df.columns if c != ORD], rank.alias("corpus_rank"), pos.alias("pos"))
 
 
 _UNION_SQL = f"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scribal.operators.reconcile import cell_diff, key_diff, reconcile
+from scribal.operators.reconcile import cell_diff, key_diff, key_table, reconcile, union_splits
 from scribal.operators.split import split_stratified
 from scribal.plans.fixtures import table
 from scribal.plans.registry import register
@@ -54,6 +54,7 @@ def split_stratified_q(spark, sf_dir):
 # edited, one source's language changed, and some rows added
 def _versions(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = union_splits([docs.filter(F.col("doc_id") % 3 == k) for k in range(3)])  # V7: three split files
     bench = table(spark, sf_dir, "benchmark")
     altered = docs.filter(F.col("source") != "src3").select(
         "doc_id",
@@ -92,16 +93,21 @@ SELECT 'only_right', (SELECT count(*) FROM orr), {_sample_sql('orr', 10)}""",
 )
 def reconcile_keys(spark, sf_dir):
     left, right = _versions(spark, sf_dir)
-    return key_diff(left, right, "doc_id")
+    return key_diff(key_table(left, right, "doc_id"))
 
 
 _CELL_COLS = ["text", "lang", "source"]
 
 
+_EXAMPLES = """array_to_string(list_transform(list_slice(list_sort(list({'k': doc_id, 's': CAST(doc_id AS VARCHAR) || ': ' || substr(lv, 1, 120)
+  || ' => ' || substr(rv, 1, 120)})), 1, 3), lambda x: x.s), chr(10))"""
+
+
 def _cells_sql() -> str:
     parts = []
     for c in _CELL_COLS:
-        parts.append(f"SELECT '{c}' AS column_name, doc_id FROM l JOIN r USING (doc_id) "
+        parts.append(f"SELECT '{c}' AS column_name, doc_id, coalesce(CAST(l.{c} AS VARCHAR), '') AS lv, "
+                     f"coalesce(CAST(r.{c} AS VARCHAR), '') AS rv FROM l JOIN r USING (doc_id) "
                      f"WHERE coalesce(CAST(l.{c} AS VARCHAR), '') <> coalesce(CAST(r.{c} AS VARCHAR), '')")
     return " UNION ALL ".join(parts)
 
@@ -110,7 +116,7 @@ def _cells_sql() -> str:
     "reconcile_cells",
     _VERSIONS_SQL + f""", d AS ({_cells_sql()})
 SELECT column_name AS "column", count(*) AS n,
-       array_to_string(list_slice(list_sort(list(doc_id)), 1, 3), ',') AS sample
+       {_EXAMPLES} AS sample
 FROM d GROUP BY column_name""",
     "V4 V5",
 )
@@ -129,7 +135,8 @@ def _fp_sql(src: str) -> str:
 _REPORT_SQL = _VERSIONS_SQL + f""", ol AS (SELECT doc_id FROM l ANTI JOIN r USING (doc_id)),
 orr AS (SELECT doc_id FROM r ANTI JOIN l USING (doc_id)),
 d AS ({_cells_sql()}),
-fl AS {_fp_sql('l')}, fr AS {_fp_sql('r')}
+ls AS (SELECT * FROM l SEMI JOIN r USING (doc_id)), rs AS (SELECT * FROM r SEMI JOIN l USING (doc_id)),
+fl AS {_fp_sql('ls')}, fr AS {_fp_sql('rs')}
 SELECT 'rows_left' AS "check", CAST(NULL AS VARCHAR) AS "column", count(*) AS n, CAST(NULL AS VARCHAR) AS detail FROM l
 UNION ALL SELECT 'rows_right', NULL, count(*), NULL FROM r
 UNION ALL SELECT 'columns_only_right', 'note', 1, NULL
@@ -137,7 +144,7 @@ UNION ALL SELECT 'only_left', NULL, (SELECT count(*) FROM ol), {_sample_sql('ol'
 UNION ALL SELECT 'only_right', NULL, (SELECT count(*) FROM orr), {_sample_sql('orr', 10)}
 UNION ALL SELECT 'duplicate_keys_left', NULL, (SELECT count(*) FROM (SELECT doc_id FROM l GROUP BY doc_id HAVING count(*) > 1)), NULL
 UNION ALL SELECT 'duplicate_keys_right', NULL, (SELECT count(*) FROM (SELECT doc_id FROM r GROUP BY doc_id HAVING count(*) > 1)), NULL
-UNION ALL SELECT 'cells', column_name, count(*), array_to_string(list_slice(list_sort(list(doc_id)), 1, 3), ',')
+UNION ALL SELECT 'cells', column_name, count(*), {_EXAMPLES}
           FROM d GROUP BY column_name
 UNION ALL SELECT 'fingerprint_equal', NULL, CASE WHEN fl.n = fr.n AND fl.f = fr.f THEN 1 ELSE 0 END, fl.f || ' vs ' || fr.f
           FROM fl, fr

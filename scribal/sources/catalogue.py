@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scribal.operators.collate import order_number
+
 # ---------------------------------------------------------------------------
 # FIXED VALUES: corpora in union order (= keep-first precedence), with the
 # text model each uses.
@@ -140,7 +142,7 @@ def conform_catalogue(cat: DataFrame, corpus: str, kind: str, corpus_rank: int)
     cols = {("id_" if f == "id" else f): F.coalesce(meta[f], F.lit("")) for f in allowed}  # S6: null -> ""
     x = cat.select(
         F.lit(corpus).alias("corpus"),
-        F.struct(F.lit(corpus_rank).alias("corpus_rank"), F.col("pos").cast("bigint").alias("pos")).alias("ord"),
+        order_number(corpus_rank, F.col("pos")).alias("ord"),
         file_id.alias("id"),
         *[v.alias(k) for k, v in cols.items()],
         F.concat(

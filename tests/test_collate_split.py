@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from scribal.operators.collate import apply_filters, close_mapping, keep_first, standardise, union_common, with_ord
@@ -14,8 +15,24 @@ def test_keep_first_after_filter(spark):
 def test_union_common_columns(spark):
     a = spark.createDataFrame([(1, "x", 5)], "id int, t string, extra int")
     b = spark.createDataFrame([(2, "y")], "id int, t string")
-    u = union_common([a, b])
+    u = union_common([with_ord(a, 0, "id"), with_ord(b, 1, "id")])
     assert u.columns == ["id", "t", "ord"] and u.count() == 2
+    with pytest.raises(ValueError):
+        union_common([a, b])
+
+
+def test_keep_first_by_source_rank_then_position(spark, tmp_path):
+    """A small first file wins over a large second one, whatever is read first."""
+    spark.createDataFrame([("dup", "first", 1)], "t string, who string, p long").write.parquet(f"{tmp_path}/a")
+    spark.range(50_000).selectExpr("concat('t', id) t", "'second' who", "id p").unionByName(
+        spark.createDataFrame([("dup", "second", 0), (None, "null one", 60_000), (None, "null two", 60_001)],
+                              "t string, who string, p long")).write.parquet(f"{tmp_path}/b")
+    tables = [with_ord(spark.read.parquet(f"{tmp_path}/{n}"), i, "p") for i, n in enumerate("ab")]
+    out = keep_first(union_common(tables), ["t"])
+    assert [r.who for r in out.filter("t = 'dup'").collect()] == ["first"]
+    assert [r.who for r in out.filter("t is null").collect()] == ["null one"]
+    assert out.count() == 50_002
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
 
 
 def test_standardise_closure(spark):
