@@ -56,7 +56,7 @@ PERCENT = 85
 #: Upper sizes of the bands grow by this factor.
 GROWTH = 1.5
 #: Parts whose tiles give the first links.
-PROBES = 8
+PROBES = 6
 #: Sets of a tile that one task compares with each other at a time.
 BLOCK = 512
 
@@ -118,8 +118,8 @@ def tile_keys(values: np.ndarray, counts: np.ndarray, percent: int) -> list[tupl
 
 
 def bitmap_bits(size: int) -> int:
-    """Length of a set's bitmap: a power of two, eight times its size or more."""
-    return max(256, 1 << (8 * size - 1).bit_length()) if size else 256
+    """Length of a set's bitmap: a power of two, four times its size or more."""
+    return max(256, 1 << (4 * size - 1).bit_length()) if size else 256
 
 
 def bitmap(values: np.ndarray) -> bytes:
@@ -391,16 +391,13 @@ def open_pairs(members: DataFrame, described: DataFrame, percent: int) -> DataFr
     return rows.mapInArrow(batches, "a long, b long").distinct()
 
 
-def _pivots(rows: DataFrame, extra: str) -> DataFrame:
-    """``(tile, b)``: one set of every tile, another one in every tile of a group."""
-    turned = F.xxhash64(F.lit(extra), "tile")
-    return (rows.groupBy("tile").agg(F.min(F.col("sid").bitwiseXOR(turned)).alias("least"))
-            .select("tile", F.col("least").bitwiseXOR(turned).alias("b")))
-
-
-def _against_pivots(rows: DataFrame, extra: str) -> DataFrame:
-    """Pairs (a, b) of each set and the pivot of each of its tiles."""
-    met = rows.join(_pivots(rows, extra), "tile").where("sid <> b")
+def _against_pivots(rows: DataFrame, turned: bool) -> DataFrame:
+    """Pairs (a, b) of each set and the pivot of each of its tiles: the least
+    set, or, when ``turned``, another one in every tile of a group."""
+    turn = F.xxhash64("tile") if turned else F.lit(0).cast("long")
+    pivots = (rows.groupBy("tile").agg(F.min(F.col("sid").bitwiseXOR(turn)).alias("least"))
+              .select("tile", F.col("least").bitwiseXOR(turn).alias("b")))
+    met = rows.join(pivots, "tile").where("sid <> b")
     return met.select(F.greatest("sid", "b").alias("a"), F.least("sid", "b").alias("b")).distinct()
 
 
@@ -431,10 +428,12 @@ def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: in
         return rows.join(small(labels), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
 
     probes = described.select(F.explode("probes").alias("tile"), "sid")
-    links = links_among(written(_against_pivots(probes, "first")))
+    links = links_among(written(_against_pivots(probes, turned=False)))
     labels = components(links)
     # tiles that still hold more than one component
-    tagged = labelled(described.where("size > 0").select("sid", "tiles", "own", "share_0", "share_1"), labels)
+    once = described.where("size > 0").select("key", "sid", "tiles", "own", "share_0", "share_1").join(
+        small(nodes.withColumnRenamed("key", "_rep")), "sid").where("key = _rep")  # one document per set
+    tagged = labelled(once, labels)
     crossing = written(tagged.select("label", F.explode("tiles").alias("tile")).groupBy("tile").agg(
         F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("tile"))
     entered = tagged.select("sid", "own", "share_0", "share_1", "label", F.posexplode("tiles").alias("at", "tile"))
@@ -442,7 +441,7 @@ def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: in
     members = _still_open(written(entered.join(small(crossing), "tile").select(
         "tile", "sid", "label", below.alias("below"), F.when(below, F.col("share_1")).otherwise(F.col("share_0")).alias("share"))
         .distinct()))
-    links = written(links.unionByName(links_among(written(_against_pivots(members, "second")))))
+    links = written(links.unionByName(links_among(written(_against_pivots(members, turned=True)))))
     labels = components(links)
     members = _still_open(written(labelled(members.drop("label"), labels)))
     links = links.unionByName(exact_links(written(open_pairs(members, described, percent)), nodes, plain, width, percent))
