@@ -1,8 +1,8 @@
 """Rule tables from their JSON files.
 
-Rule files are small configuration (tens to a few hundred pairs). They are
-read on the driver, keeping file order, because order is part of a rule
-table's meaning; the pairs are then compiled into column expressions.
+Rule files are small configuration (tens to a few hundred pairs). Spark reads
+them, from whatever store they lie in; the pairs keep their order, which is
+part of a rule table's meaning, and are compiled into column expressions.
 """
 
 from __future__ import annotations
@@ -13,10 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
-def load_pairs(path: str) -> list[tuple[str, str]]:
+def load_pairs(spark: SparkSession, path: str) -> list[tuple[str, str]]:
     """Ordered ``(old, new)`` pairs from a JSON object or a list of pairs."""
-    with open(path, encoding="utf-8") as fh:
-        data = json.load(fh)  # dicts keep member order
+    data = json.loads(spark.read.option("wholetext", True).text(path).first()["value"])  # dicts keep member order
     if isinstance(data, dict):
         return [(str(k), str(v)) for k, v in data.items()]
     return [(str(a), str(b)) for a, b in data]

@@ -7,10 +7,10 @@ from scribal.sources.rules import load_pairs, rules_frame
 def test_load_pairs_keeps_order(spark, tmp_path):
     m = tmp_path / "m.json"
     m.write_text(json.dumps(dict(V.GENRE_NORMALIZATION)))
-    assert load_pairs(str(m)) == V.GENRE_NORMALIZATION
+    assert load_pairs(spark, str(m)) == V.GENRE_NORMALIZATION
     lst = tmp_path / "l.json"
     lst.write_text(json.dumps([list(p) for p in V.SIGN_LIST_REPLACEMENTS], ensure_ascii=False))
-    assert load_pairs(str(lst)) == V.SIGN_LIST_REPLACEMENTS
+    assert load_pairs(spark, str(lst)) == V.SIGN_LIST_REPLACEMENTS
     df = rules_frame(spark, V.READING_FIXES, "reading_fixes")
     assert [r.old for r in df.orderBy("rule_no").collect()] == [a for a, _ in V.READING_FIXES]
 
