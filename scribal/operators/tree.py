@@ -48,6 +48,28 @@ NODE_SCHEMA = T.StructType(
     ]
 )
 NODE_KINDS = ["c", "d", "l", "ll"]
+_FIELDS = "map<string,variant>"
+# ---------------------------------------------------------------------------
+# FIXED VALUES: the fields of each kind of node (required, other strings, other
+# fields by JSON type) and the closed domains of their types.
+# ---------------------------------------------------------------------------
+REQUIRED = {"c": ["type", "id"], "d": ["type"], "l": ["id", "ref", "inst", "f", "props"], "ll": ["id", "choices"]}
+STRINGS = {
+    "c": ["type", "id", "label", "ref", "subtype", "tag"],
+    "d": ["type", "ref", "label", "n", "subtype", "strict", "state", "extent", "scope", "frag", "lang", "delim", "queried",
+          "flags", "o"],
+    "l": ["id", "ref", "inst", "frag", "sig", "exoprj", "exolng", "exosig", "ftype", "cof-tails", "cof-head", "tail-sig", "bad"],
+    "ll": ["id"],
+}
+OTHERS = {"c": {"cdl": "ARRAY", "implicit": "BOOLEAN"}, "d": {}, "l": {"f": "OBJECT", "props": "ARRAY", "para": "ARRAY"},
+          "ll": {"choices": "ARRAY"}}
+TYPES = {
+    "c": ["discourse", "phrase", "sentence", "text"],
+    "d": ["cell-start", "cell-end", "column", "field-start", "field-end", "line-start", "nonw", "nonx", "object", "surface"],
+}
+PARA_FIELDS = ["class", "type", "text", "val", "bracketing_level"]
+PARA_CLASSES = ["syntax", "boundary", "pointer"]
+PARA_TYPES = ["and", "brack_o", "brack_c", "sentence", "no sentence", "no_sentence", "label", "pointer_ref"]
 
 
 def _children(of: DataFrame, json_col: str, path: Column) -> DataFrame:
@@ -62,7 +84,7 @@ def flatten_tree(texts: DataFrame, id_col: str = "id", json_col: str = "json") -
     """``(id, path array<int>, node string)`` for every node, pre-order.
 
     Only chunks are crawled; ``ll`` choices and linkbase contents are not. A
-    chunk's own row holds its fields without the child list.
+    chunk's own row holds its fields with an empty child list.
     """
     top = texts.select(F.col(id_col).alias("id"), F.col(json_col).alias("_json"))
     level = materialize(_children(top, "_json", F.array().cast("array<int>")))
@@ -73,9 +95,9 @@ def flatten_tree(texts: DataFrame, id_col: str = "id", json_col: str = "json") -
             break
         levels.append(nxt)
         level = nxt
-    # the child lists have been walked; what is left of a chunk is small
-    bare = F.when(F.col("is_chunk"), F.to_json(F.map_filter(
-        F.from_json("node", "map<string,string>"), lambda k, v: k != "cdl"))).otherwise(F.col("node"))
+    # child lists have been walked: an empty one stands for them
+    bare = F.when(F.col("is_chunk"), F.to_json(F.transform_values(F.from_json("node", _FIELDS), lambda k, v: F.when(
+        (k == "cdl") & F.schema_of_variant(v).startswith("ARRAY"), F.parse_json(F.lit("[]"))).otherwise(v)))).otherwise(F.col("node"))
     return reduce(DataFrame.unionByName, levels).select("id", "path", bare.alias("node"))
 
 
@@ -204,7 +226,7 @@ _TOKEN_RE = r"(?U)#\S*?#"
 def assemble_text(tokens: DataFrame) -> DataFrame:
     """``(id, transliteration, langs)``; one ordered regroup per text.
 
-    Unknown node kinds make the text a reject; call :func:`tree_rejects`.
+    Texts with malformed nodes are rejects; call :func:`tree_rejects`.
     """
     grouped = tokens.groupBy("id").agg(
         F.array_sort(F.collect_list(F.when(F.coalesce(F.col("tok"), F.lit("")) != "",
@@ -224,8 +246,63 @@ def assemble_text(tokens: DataFrame) -> DataFrame:
     return grouped.select("id", strip_ws(text).alias("transliteration"), F.array_join("_l", ", ").alias("langs"))
 
 
-def tree_rejects(tokens: DataFrame) -> DataFrame:
-    """Texts holding a node of unknown kind: ``(id, scope, reason)``."""
-    return tokens.filter(F.col("kind").isNull()).select("id").distinct().select(
-        "id", F.lit("tree").alias("scope"), F.lit("unknown node kind").alias("reason")
-    )
+def _named(names: list[str]) -> Column:
+    return F.array(*[F.lit(n) for n in names])
+
+
+def _kind_problems(kind: str, fields: Column) -> Column:
+    """Problems of a node known to be of ``kind``, as an array of texts."""
+    allowed = _named(["node", *dict.fromkeys([*REQUIRED[kind], *STRINGS[kind], *OTHERS[kind]])])
+    unknown = F.array_except(F.map_keys(fields), allowed)
+    missing = F.filter(_named(REQUIRED[kind]), lambda f: ~F.map_contains_key(fields, f))
+
+    def wrong(name: str, json_type: str) -> Column:
+        held = F.schema_of_variant(fields[name])
+        return F.when(F.map_contains_key(fields, name) & ~F.coalesce(held.startswith(json_type), F.lit(False)), F.lit(name))
+
+    types = [wrong(n, "STRING") for n in STRINGS[kind]] + [wrong(n, t) for n, t in OTHERS[kind].items()]
+    mistyped = F.array_compact(F.array(*types))
+    parts = [
+        F.transform(unknown, lambda f: F.concat(F.lit("unknown field "), f)),
+        F.transform(missing, lambda f: F.concat(F.lit("missing field "), f)),
+        F.transform(mistyped, lambda f: F.concat(F.lit("wrong type of "), f)),
+    ]
+    none = F.array().cast("array<string>")
+    if kind in TYPES:
+        value = F.try_variant_get(fields["type"], "$", "string")
+        parts.append(F.when(~value.isin(*TYPES[kind]), F.array(F.lit("value outside domain: type"))).otherwise(none))
+    if kind == "l":
+        entries = F.from_json(F.to_json(fields["para"]), "array<map<string,string>>")
+        bad = F.exists(entries, lambda e: (F.size(F.array_except(F.map_keys(e), _named(PARA_FIELDS))) > 0)
+                       | (F.size(F.array_except(_named(PARA_FIELDS), F.map_keys(e))) > 0)
+                       | ~e["class"].isin(*PARA_CLASSES) | ~e["type"].isin(*PARA_TYPES))
+        parts.append(F.when(F.coalesce(bad, F.lit(False)), F.array(F.lit("malformed para"))).otherwise(none))
+    return F.concat(*parts)
+
+
+def node_problems(node: Column) -> Column:
+    """What is wrong with one node (JSON text): an array, empty if nothing."""
+
+    def judge(fields: Column) -> Column:
+        kind = F.try_variant_get(fields["node"], "$", "string")
+        out = F.when(fields.isNull(), F.array(F.lit("not an object")))
+        for k in NODE_KINDS:
+            out = out.when(kind == k, _kind_problems(k, fields))
+        out = out.when(F.map_contains_key(fields, "linkbase"), F.array().cast("array<string>"))
+        return out.otherwise(F.array(F.lit("unknown node kind")))
+
+    return let(F.from_json(node, _FIELDS), judge)
+
+
+def tree_rejects(texts: DataFrame, nodes: DataFrame, id_col: str = "id", json_col: str = "json") -> DataFrame:
+    """``(id, scope, reason)`` of texts that cannot be used, one row each: text
+    files that are no JSON or hold no node list (scope ``text``), and texts with
+    nodes that break the node tables (scope ``tree``; the problems, in order)."""
+    parsed = F.try_parse_json(F.col(json_col))
+    listed = F.coalesce(F.schema_of_variant(F.try_variant_get(parsed, "$.cdl", "variant")).startswith("ARRAY"), F.lit(False))
+    reason = F.when(parsed.isNull(), F.lit("malformed JSON")).when(~listed, F.lit("no node list"))
+    files = texts.select(F.col(id_col).alias("id"), F.lit("text").alias("scope"), reason.alias("reason"))
+    problems = nodes.select("id", F.explode(node_problems(F.col("node"))).alias("reason"))
+    trees = problems.groupBy("id").agg(F.array_join(F.array_sort(F.collect_set("reason")), "; ").alias("reason"))
+    return files.filter(F.col("reason").isNotNull()).unionByName(
+        trees.select("id", F.lit("tree").alias("scope"), "reason"))

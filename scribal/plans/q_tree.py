@@ -17,18 +17,22 @@ from scribal.operators.tree import (
     flatten_tree,
     node_tokens,
     repair_brackets,
+    tree_rejects,
 )
 from scribal.plans.fixtures import table
 from scribal.plans.registry import register
-
-_LEAF_GDL = "array<struct<breakStart:string,breakEnd:string>>"
+from scribal.session import materialize
 
 
 def _word_json(w: Column, lang: Column) -> Column:
-    gdl = F.array(
-        F.struct(F.when(w.rlike("^[A-Z]"), F.lit("1")).alias("breakStart"), F.lit(None).cast("string").alias("breakEnd")),
-        F.struct(F.lit(None).cast("string").alias("breakStart"), F.when(w.endswith(","), F.lit("1")).alias("breakEnd")),
-    ).cast(_LEAF_GDL)
+    """A lemma; its break marks are JSON strings, booleans and numbers, of
+    which null, false, 0 and "" mark no break but the string "0" does."""
+    truthy = F.when(F.length(w) % 3 == 0, F.lit('"0"')).when(F.length(w) % 3 == 1, F.lit("true")).otherwise(F.lit('"1"'))
+    falsy = F.when(F.length(w) % 4 == 0, F.lit("false")).when(F.length(w) % 4 == 1, F.lit("0")).when(F.length(w) % 4 == 2, F.lit('""'))
+    start = F.parse_json(F.when(w.rlike("^[A-Z]"), truthy).otherwise(falsy))
+    end = F.parse_json(F.when(w.endswith(","), truthy).otherwise(falsy))
+    none = F.parse_json(F.lit(None).cast("string"))
+    gdl = F.array(F.struct(start.alias("breakStart"), none.alias("breakEnd")), F.struct(none.alias("breakStart"), end.alias("breakEnd")))
     node = F.struct(
         F.lit("l").alias("node"), F.lit("x").alias("id"), F.lit("r").alias("ref"), F.lit("i").alias("inst"),
         F.when(F.length(w) > 12, F.substring(w, 1, 6)).alias("frag"),
@@ -240,3 +244,30 @@ def repair_brackets_q(spark, sf_dir):
 
 
 register("assemble_text", _assemble_sql(), "N4 N5 N6 N7 N8 N9 N10")(assemble_text_q)
+
+
+# ---- S3 S5: faults planted in trees, one kind per conversation ------------
+_FAULTS = [  # (what a conversation's text becomes, scope, reason), by conv_id % 8
+    ("substring(json, 1, length(json) - 1)", "text", "malformed JSON"),
+    ("replace(json, '{\"cdl\":[{\"node\":\"c\",\"type\":\"text\"', '{\"CDL\":[{\"node\":\"c\",\"type\":\"text\"')", "text", "no node list"),
+    ("replace(json, '\"type\":\"line-start\"', '\"type\":\"line-begin\"')", "tree", "value outside domain: type"),
+    ("replace(json, '\"inst\":\"i\"', '\"inst\":\"i\",\"extra\":1')", "tree", "unknown field extra"),
+    ("replace(json, '\"type\":\"discourse\",\"id\":\"t\"', '\"type\":\"discourse\"')", "tree", "missing field id"),
+    ("replace(json, '\"ref\":\"r\"', '\"ref\":7')", "tree", "wrong type of ref"),
+    ("replace(json, '\"node\":\"l\"', '\"node\":\"z\"')", "tree", "unknown node kind"),
+]
+_VALIDATE_SQL = "SELECT DISTINCT conv_id AS id, CASE conv_id % 8 " + " ".join(
+    f"WHEN {i} THEN '{scope}'" for i, (_, scope, _r) in enumerate(_FAULTS)) + " ELSE 'ok' END AS scope, CASE conv_id % 8 " + " ".join(
+    f"WHEN {i} THEN '{reason}'" for i, (_, _s, reason) in enumerate(_FAULTS)) + " ELSE '' END AS reason FROM conversations"
+
+
+@register("validate_nodes", _VALIDATE_SQL, "S3 S5")
+def validate_nodes(spark, sf_dir):
+    trees = conversation_trees(spark, sf_dir)
+    fault = F.col("json")
+    for i, (change, _, _r) in enumerate(_FAULTS):
+        fault = F.when(F.col("id") % 8 == i, F.expr(change)).otherwise(fault)
+    texts = materialize(trees.select("id", fault.alias("json")))
+    rejects = tree_rejects(texts, flatten_tree(texts))
+    good = texts.select("id").join(rejects.select("id"), "id", "left_anti")
+    return rejects.unionByName(good.select("id", F.lit("ok").alias("scope"), F.lit("").alias("reason")))
