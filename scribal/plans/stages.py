@@ -3,13 +3,16 @@ S12, S13).
 
 Each stage reads the previous stage's Parquet table and writes its own:
 the written table is the lineage cut, a failed run resumes at any stage
-(``from_stage``), and the per-corpus ingest skips corpora whose partition
-already exists. No stage collects data to the driver.
+(``from_stage``), and the per-corpus ingest skips corpora whose texts are
+already written. A corpus's rejects are written before its texts, so a run
+that ends between them does both again. Paths may lie in any store that
+Spark reads. No stage collects data to the driver.
 """
 
 from __future__ import annotations
 
-import os
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,14 +20,23 @@ from pyspark.sql import functions as F
 from scribal.operators import clean as C
 from scribal.operators import resolve as R
 from scribal.operators import stats as S
+from scribal.functions import rule_values as V
 from scribal.operators.collate import collate
 from scribal.operators.lookups import glyph_index, glyph_pairs, invert, reading_index, reading_pairs
 from scribal.operators.split import split_stratified
 from scribal.operators.tree import assemble_text, flatten_tree, node_tokens, tree_rejects
 from scribal.sources.catalogue import CORPORA, attach_texts, conform_catalogue, read_catalogue, read_texts
+from scribal.sources.rules import load_pairs
 from scribal.sources.signs import read_reading_index, read_sign_list
+from scribal.session import materialize, path_exists, remove_path
 
 STAGES = ["ingest", "collate", "clean", "lookups", "glyphs", "split"]
+_REJECTS = "corpus string, id string, scope string, reason string"
+#: Rule tables that a run may replace, by name.
+RULES: dict[str, list[tuple[str, str]]] = {
+    "genres": V.GENRE_NORMALIZATION, "signs": V.SIGN_LIST_REPLACEMENTS, "numbers": V.READING_FIXES,
+    "names": V.GLYPH_NAME_REPLACEMENTS,
+}
 
 
 def _path(stage_dir: str, name: str) -> str:
@@ -54,40 +66,54 @@ def import_csv(spark: SparkSession, path: str, schema: str | None = None) -> Dat
     return r.csv(path).na.fill("")
 
 
-def _partition_exists(stage_dir: str, name: str, corpus: str) -> bool:
-    p = _path(stage_dir, name) + f"/corpus={corpus}"
-    return os.path.isdir(p) if "://" not in p else False
+def read_rejects(spark: SparkSession, stage_dir: str) -> DataFrame:
+    """``(corpus, id, scope, reason)``; readable when nothing was rejected."""
+    path = _path(stage_dir, "rejects")
+    return spark.read.schema(_REJECTS).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], _REJECTS)
 
 
-def _landed(landing: str, corpus: str) -> bool:
-    """A corpus folder is present (remote stores are assumed complete)."""
-    path = f"{landing.rstrip('/')}/{corpus}"
-    return os.path.isdir(path) if "://" not in path else True
+def load_rules(spark: SparkSession, paths: Mapping[str, str] | None) -> dict[str, list[tuple[str, str]]]:
+    """The built-in rule tables, with those of ``paths`` read from files."""
+    unknown = set(paths or {}) - set(RULES)
+    if unknown:
+        raise ValueError(f"unknown rule tables {sorted(unknown)}; there are {sorted(RULES)}")
+    return RULES | {name: load_pairs(spark, path) for name, path in (paths or {}).items()}
+
+
+def ingest_corpus(spark: SparkSession, landing: str, corpus: str, kind: str, rank: int) -> tuple[DataFrame, DataFrame]:
+    """S2-S6 + N1-N10 of one corpus: ``(texts, rejects)``. Each catalogue member
+    is in one of both; ``langs`` is replaced by the tree's languages."""
+    good, cat_rejects = conform_catalogue(read_catalogue(spark, landing, corpus), corpus, kind, rank)
+    rows, missing = attach_texts(good, read_texts(spark, landing, corpus))
+    rows = materialize(rows)
+    files = rows.select("id", "json").dropDuplicates(["id"])
+    nodes = flatten_tree(files)
+    bad = materialize(tree_rejects(files, nodes))
+    text = assemble_text(node_tokens(nodes)).withColumnRenamed("id", "_k")
+    out = rows.drop("json", "langs").join(bad.select("id").distinct(), "id", "left_anti")
+    out = out.join(text, out["id"] == text["_k"], "left").drop("_k")
+    for c in ("transliteration", "langs"):
+        out = out.withColumn(c, F.coalesce(c, F.lit("")))
+    tree_bad = rows.select("corpus", "id").join(bad, "id").select("corpus", "id", "scope", "reason")
+    return out, cat_rejects.unionByName(missing).unionByName(tree_bad)
 
 
 def stage_ingest(spark: SparkSession, landing: str, stage_dir: str) -> None:
-    """S2-S7 + N1-N10 per corpus; ``langs`` is replaced by the tree's languages."""
+    """Every landed corpus whose texts are not written yet."""
     for rank, (corpus, kind) in enumerate(CORPORA):
-        if _partition_exists(stage_dir, "texts", corpus) or not _landed(landing, corpus):
+        partition = {name: f"{_path(stage_dir, name)}/corpus={corpus}" for name in ("texts", "rejects")}
+        if path_exists(spark, partition["texts"]) or not path_exists(spark, f"{landing.rstrip('/')}/{corpus}"):
             continue
-        good, cat_rejects = conform_catalogue(read_catalogue(spark, landing, corpus), corpus, kind, rank)
-        rows, missing = attach_texts(good, read_texts(spark, landing, corpus))
-        nodes = flatten_tree(rows.select(F.concat_ws("\u0000", "corpus", "id").alias("id"), "json"))
-        toks = node_tokens(nodes)
-        text = assemble_text(toks).withColumnRenamed("id", "_k")
-        bad = tree_rejects(toks).withColumnRenamed("id", "_k")
-        keyed = rows.drop("json", "langs").withColumn("_k", F.concat_ws("\u0000", "corpus", "id"))
-        out = keyed.join(text, "_k", "left").join(bad.select("_k"), "_k", "left_anti").drop("_k")
-        out = out.withColumn("transliteration", F.coalesce("transliteration", F.lit("")))
-        write_stage(out, stage_dir, "texts", ["corpus"])
-        tree_bad = keyed.join(bad, "_k").select("corpus", "id", "scope", "reason")
-        write_stage(cat_rejects.unionByName(missing).unionByName(tree_bad), stage_dir, "rejects", ["corpus"])
-
-
-def stage_collate(spark: SparkSession, stage_dir: str) -> None:
+        texts, rejects = ingest_corpus(spark, landing, corpus, kind, rank)
+        remove_path(spark, partition["rejects"])  # of a run that ended before the texts
+        write_stage(rejects, stage_dir, "rejects", ["corpus"])
+        write_stage(texts, stage_dir, "texts", ["corpus"])
+
+
+def stage_collate(spark: SparkSession, stage_dir: str, genres: Sequence[tuple[str, str]] = tuple(V.GENRE_NORMALIZATION)) -> None:
     texts = read_stage(spark, stage_dir, "texts")
     tables = [texts.filter(F.col("corpus") == c).drop("corpus") for c, _ in CORPORA]
-    write_stage(collate(tables), stage_dir, "collated")
+    write_stage(collate(tables, genre_rules=genres), stage_dir, "collated")
 
 
 def stage_clean(spark: SparkSession, stage_dir: str) -> None:
@@ -100,19 +126,19 @@ def stage_lookups(spark: SparkSession, stage_dir: str, sign_list: str, reading_l
     write_stage(glyph_index(glyph_pairs(signs)), stage_dir, "glyphs")
 
 
-def stage_glyphs(spark: SparkSession, stage_dir: str) -> None:
-    texts = R.prepare(read_stage(spark, stage_dir, "cleaned"))
+def stage_glyphs(spark: SparkSession, stage_dir: str, signs: Sequence[tuple[str, str]] = tuple(V.SIGN_LIST_REPLACEMENTS),
+                 numbers: Sequence[tuple[str, str]] = tuple(V.READING_FIXES),
+                 names: Sequence[tuple[str, str]] = tuple(V.GLYPH_NAME_REPLACEMENTS)) -> None:
+    texts = materialize(R.prepare(read_stage(spark, stage_dir, "cleaned"), replacements=signs))
     readings = read_stage(spark, stage_dir, "readings")
     glyphs = read_stage(spark, stage_dir, "glyphs")
-    parallel, tokens, details = R.add_glyphs(texts, readings, glyphs, invert(readings), keys=["id"])
-    meta = texts.select("id", "period", "genre", "ord")
-    full = parallel.join(meta, "id").select("id", "ord", "period", "genre", "transliteration", "glyph_names", "glyphs")
+    parallel, tokens, details = R.add_glyphs(texts, readings, glyphs, invert(readings), ["id", "ord"],
+                                             number_rules=numbers, name_rules=names)
+    full = parallel.join(texts.select("id", "period", "genre"), "id").select(
+        "id", "ord", "period", "genre", "transliteration", "glyph_names", "glyphs")
+    write_stage(R.dedup_parallel(materialize(full)), stage_dir, "parallel")
     write_stage(details, stage_dir, "wordform_details")
-    write_stage(tokens.groupBy("wordform").agg(F.count(F.lit(1)).alias("cnt"),
-                                                F.min(F.struct("id", "word_pos")).alias("first")),
-                stage_dir, "wordform_counts")
-    write_stage(R.dedup_parallel(full), stage_dir, "parallel")
-    occ = read_stage(spark, stage_dir, "wordform_details").join(read_stage(spark, stage_dir, "wordform_counts"), "wordform")
+    occ = materialize(S.occurrences(tokens, details, "ord"))  # ties go to the first text in order
     write_stage(S.conversion_rates(occ), stage_dir, "stats_rates")
     write_stage(S.top_unresolved(occ), stage_dir, "stats_top")
     write_stage(S.observed_readings(occ), stage_dir, "stats_observed")
@@ -123,20 +149,24 @@ def stage_split(spark: SparkSession, stage_dir: str, seed: int = 42) -> None:
     out = split_stratified(parallel, "period", "id", route_to_train=F.col("genre") == "Lexical", seed=seed)
     write_stage(out.drop("ord"), stage_dir, "splits", ["split"])
     final = read_stage(spark, stage_dir, "splits")
-    totals = S.glyph_count(final).crossJoin(
-        S.fingerprint(final, ["id", "period", "genre", "transliteration", "glyph_names", "glyphs"]).drop("n_rows"))
-    write_stage(totals, stage_dir, "totals")
+    counts = S.glyph_count(final)
+    content = S.fingerprint(final, ["id", "period", "genre", "transliteration", "glyph_names", "glyphs"])
+    write_stage(counts.join(content, "n_rows"), stage_dir, "totals")  # one row each
 
 
 def run_stages(spark: SparkSession, landing: str, stage_dir: str, sign_list: str, reading_list: str,
-               from_stage: int = 1) -> None:
-    """Run stages ``from_stage``..6 (1-based, as :data:`STAGES`)."""
+               from_stage: int = 1, rules: Mapping[str, str] | None = None) -> None:
+    """Run stages ``from_stage``..6 (1-based, as :data:`STAGES`).
+
+    ``rules`` names rule files (see :data:`RULES`) that replace built-in tables.
+    """
+    r = load_rules(spark, rules)
     steps = [
         lambda: stage_ingest(spark, landing, stage_dir),
-        lambda: stage_collate(spark, stage_dir),
+        lambda: stage_collate(spark, stage_dir, r["genres"]),
         lambda: stage_clean(spark, stage_dir),
         lambda: stage_lookups(spark, stage_dir, sign_list, reading_list),
-        lambda: stage_glyphs(spark, stage_dir),
+        lambda: stage_glyphs(spark, stage_dir, r["signs"], r["numbers"], r["names"]),
         lambda: stage_split(spark, stage_dir),
     ]
     for number, step in enumerate(steps, start=1):
@@ -150,18 +180,9 @@ STAGE_TABLES = ["texts", "collated", "cleaned", "readings", "glyphs", "parallel"
 def stage_counts(spark: SparkSession, stage_dir: str) -> DataFrame:
     """T4: ``(stage, n_rows)`` for every written stage table (Parquet row
     counts come from file footers, so this reads no data pages)."""
-    parts = []
-    for name in STAGE_TABLES:
-        if os.path.isdir(_path(stage_dir, name)) or "://" in stage_dir:
-            n = read_stage(spark, stage_dir, name).agg(F.count(F.lit(1)).alias("n_rows"))
-            parts.append(n.select(F.lit(name).alias("stage"), "n_rows"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def splits_union(spark: SparkSession, stage_dir: str) -> DataFrame:
-    """V7: the three splits as one table (partition column ``split``)."""
-    return read_stage(spark, stage_dir, "splits")
-
+    found = [n for n in STAGE_TABLES if path_exists(spark, _path(stage_dir, n))]
+    if not found:
+        return spark.createDataFrame([], "stage string, n_rows bigint")
+    return reduce(DataFrame.unionByName, [
+        read_stage(spark, stage_dir, n).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("stage"), "n_rows")
+        for n in found])

@@ -77,6 +77,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hadoop_path))
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a table of this library's own, if it exists."""
+    fs, hadoop_path = _store(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def materialize(df):
     """Cut lineage at a stage boundary: write ``df`` as a Parquet table in the
     shared checkpoint folder (never a node-local one) and read it back, so

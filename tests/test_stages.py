@@ -1,6 +1,8 @@
 import json
 
-from scribal.plans.stages import read_stage, run_stages, stage_counts
+import pytest
+
+from scribal.plans.stages import export_csv, import_csv, load_rules, read_rejects, read_stage, run_stages, stage_counts
 
 
 def _lemma(form, lang="sux"):
@@ -20,7 +22,7 @@ def _write_corpus(root, corpus, members, texts):
     (d / "corpusjson").mkdir(parents=True)
     (d / "catalogue.json").write_text(json.dumps({"members": members}, ensure_ascii=False))
     for tid, tree in texts.items():
-        (d / "corpusjson" / f"{tid}.json").write_text(json.dumps(tree, ensure_ascii=False))
+        (d / "corpusjson" / f"{tid}.json").write_text(tree if isinstance(tree, str) else json.dumps(tree, ensure_ascii=False))
 
 
 def test_run_stages_end_to_end(spark, tmp_path):
@@ -31,8 +33,11 @@ def test_run_stages_end_to_end(spark, tmp_path):
     members["P39"]["bogus"] = "1"  # unknown field -> catalogue reject
     texts = {f"P{i}": _tree(["lugal", f"{i}", "ki"], ["mu", "x", "[ma]"]) for i in range(1, 39)}
     texts["P2"] = texts["P1"]  # duplicate transliteration -> dropped by keep-first
-    _write_corpus(landing, "admin_ed12", members, texts)
     royal = {"R1": dict(base, id_text="", id_composite="Q1", genre="Royal/Monumental"), "P1": dict(base, id_text="P1")}
+    for bad in ("BAD", "NOKEY", "ENUM", "EMPTY"):
+        members[bad] = dict(base, id_text=bad)
+    texts |= {"BAD": "{", "NOKEY": {"text": []}, "ENUM": {"cdl": [{"node": "d", "type": "nothing"}]}, "EMPTY": {"cdl": []}}
+    _write_corpus(landing, "admin_ed12", members, texts)
     _write_corpus(landing, "royal", royal, {"Q1": _tree(["lugal", "ki"]), "P1": _tree(["other", "text"])})
     sl = {"sl:signlist": {"j:letters": [{"sl:letter": {"j:signs": [
         {"sl:sign": {"n": "LUGAL", "sl:ucun": "𒈗", "j:values": [{"sl:v": {"n": "lugal"}}]}},
@@ -44,7 +49,11 @@ def test_run_stages_end_to_end(spark, tmp_path):
     stages = str(tmp_path / "stages")
     run_stages(spark, str(landing), stages, str(tmp_path / "sl.json"), str(tmp_path / "idx.json"))
 
-    rejects = {(r.id, r.scope) for r in read_stage(spark, stages, "rejects").collect()}
+    rejects = {(r.id, r.scope) for r in read_rejects(spark, stages).collect()}
+    assert {"BAD", "NOKEY", "ENUM"} == {i for i, s in rejects if i in ("BAD", "NOKEY", "ENUM")}
+    ingested = {r.id: r for r in read_stage(spark, stages, "texts").collect()}
+    assert not {"BAD", "NOKEY", "ENUM"} & set(ingested) and all(r.langs is not None for r in ingested.values())
+    assert ingested["EMPTY"].transliteration == "" and ingested["EMPTY"].langs == ""
     assert ("P39", "catalogue") in rejects and ("P39", "text") not in rejects
     assert ("P40", "text") in rejects  # no text file
     collated = {r.id: r for r in read_stage(spark, stages, "collated").collect()}
@@ -59,3 +68,28 @@ def test_run_stages_end_to_end(spark, tmp_path):
     assert read_stage(spark, stages, "totals").first().n_rows == len(par)
     counts = {r.stage: r.n_rows for r in stage_counts(spark, stages).collect()}
     assert counts["parallel"] == len(par) and counts["texts"] >= counts["collated"] >= counts["cleaned"]
+    assert dict((r.stage, r.n_rows) for r in stage_counts(spark, str(tmp_path / "none")).collect()) == {}
+
+    # A finished corpus is skipped, a later start reuses what is written
+    before = {r.id: r.split for r in splits.collect()}
+    (tmp_path / "names.json").write_text(json.dumps({"LUGAL": "KI"}))
+    run_stages(spark, str(landing), stages, str(tmp_path / "sl.json"), str(tmp_path / "idx.json"), from_stage=5,
+               rules={"names": str(tmp_path / "names.json")})
+    again = {r.id: r for r in read_stage(spark, stages, "parallel").collect()}
+    assert again["P1"].glyphs == "<SURFACE>\n𒆠𒁹𒆠\n𒈬..."  # the rule file took effect
+    assert set(before) >= set(again)
+    top = read_stage(spark, stages, "stats_top").collect()
+    assert all(r.category_total >= r.n for r in top)
+
+
+def test_rule_files_and_empty_rejects(spark, tmp_path):
+    with pytest.raises(ValueError):
+        load_rules(spark, {"nothing": "x"})
+    assert read_rejects(spark, str(tmp_path)).count() == 0
+
+
+def test_csv_round_trip(spark, tmp_path):
+    rows = [("a", 'one\ntwo "quoted", comma', ""), ("b", "", "x")]
+    df = spark.createDataFrame(rows, "id string, t string, u string")
+    export_csv(df, str(tmp_path / "c"))
+    assert sorted(tuple(r) for r in import_csv(spark, str(tmp_path / "c"), "id string, t string, u string").collect()) == rows
