@@ -39,8 +39,8 @@ from scribal.llm.common import need
 _CHUNK = re.compile("[^\t-\r \x85\xa0  -     　]+")
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: Characters of text encoded together, and words remembered between batches.
-CHARS_AT_ONCE = 4_000_000
-WORDS_KEPT = 300_000
+CHARS_AT_ONCE = 1_000_000
+WORDS_KEPT = 150_000
 _NONE = np.iinfo(np.int64).max
 
 

@@ -21,9 +21,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Texts that one Arrow batch holds, where the session leaves Spark's default.
+ROWS_PER_BATCH = 1000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def importable(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package from where the driver has it,
-    as when it is installed there too (else pass it by --py-files)."""
+    as when it is installed there too (else pass it by --py-files), and keep
+    Arrow batches of texts small on both sides."""
+    if spark.conf.get(_BATCH_SETTING) == "10000":
+        spark.conf.set(_BATCH_SETTING, str(ROWS_PER_BATCH))
     home = os.path.dirname(os.path.dirname(os.path.abspath(scribal.__file__)))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if home not in known.split(os.pathsep):

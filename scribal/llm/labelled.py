@@ -41,7 +41,7 @@ class TokenTable:
     """Values of tokens, worked out once per distinct token and kept for a
     bounded number of them."""
 
-    def __init__(self, pattern: re.Pattern, values: Callable[[list[str]], np.ndarray], keep: int = 300_000):
+    def __init__(self, pattern: re.Pattern, values: Callable[[list[str]], np.ndarray], keep: int = 150_000):
         self.find, self.values, self.keep = pattern.findall, values, keep
         self.index: dict[str, int] = {}
         self.known = values([])
@@ -62,7 +62,7 @@ class TokenTable:
         return self.known[at], counts
 
 
-def groups(texts: list[str], chars: int = 2_000_000):
+def groups(texts: list[str], chars: int = 1_000_000):
     """Stretches of texts of about ``chars`` characters; one text at least."""
     begin = size = 0
     for i, t in enumerate(texts):

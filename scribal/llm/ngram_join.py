@@ -55,8 +55,12 @@ WIDTH = 4
 PERCENT = 85
 #: Upper sizes of the bands grow by this factor.
 GROWTH = 1.5
+#: Shortest and longest bitmap.
+LEAST_BITS, MOST_BITS = 256, 2048
 #: Parts whose tiles give the first links.
-PROBES = 6
+PROBES = 4
+#: Sets whose bitmaps and tile lists (some hundred bytes each) may be broadcast.
+WIDE_ROWS = 100_000
 #: Sets of a tile that one task compares with each other at a time.
 BLOCK = 512
 
@@ -118,8 +122,9 @@ def tile_keys(values: np.ndarray, counts: np.ndarray, percent: int) -> list[tupl
 
 
 def bitmap_bits(size: int) -> int:
-    """Length of a set's bitmap: a power of two, four times its size or more."""
-    return max(256, 1 << (4 * size - 1).bit_length()) if size else 256
+    """Length of a set's bitmap: a power of two, four times its size or more
+    while that is not over the longest."""
+    return min(MOST_BITS, max(LEAST_BITS, 1 << max(0, 4 * size - 1).bit_length()))
 
 
 def bitmap(values: np.ndarray) -> bytes:
@@ -352,16 +357,21 @@ def _compare(tile: int, own: np.ndarray, sid: np.ndarray, label: np.ndarray, sha
 
 
 def open_pairs(members: DataFrame, described: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of sets of one tile but different components that sizes
-    and bitmaps let through. Tiles are compared block by block: a task reads
+    """Pairs (a, b) of sets of one tile but different components that sizes,
+    shared tiles and bitmaps let through. Tiles are compared block by block: a task reads
     its blocks in order and holds two of them at a time."""
     counts = members.groupBy("tile").agg(F.count("*").alias("n"))
-    known = written(bitmaps_of(described, written(members.select("sid").distinct())))
+    known = bitmaps_of(described, written(members.select("sid").distinct()))
     tiles = members.groupBy("sid", "below").agg(F.collect_list("tile").alias("tiles"))
+    brought = written(tiles.join(known, "sid"))
     spread = members.join(counts, "tile").withColumn("at", F.explode(_block_pairs(F.col("sid"), F.col("n"))))
-    full = spread.join(known, "sid").join(tiles, ["sid", "below"])
-    rows = (full.select("tile", "at.i", "at.j", "at.own", "sid", "label", "share", "size", "bits", "tiles")
-            .repartition(F.col("tile"), F.col("i"), F.col("j")).sortWithinPartitions("tile", "i", "j"))
+    narrow = spread.select("tile", "at.i", "at.j", "at.own", "sid", "below", "label", "share")
+    at = [F.col("tile"), F.col("i"), F.col("j")]
+    if brought.count() <= WIDE_ROWS:  # what sets bring along need not be shuffled with every tile
+        rows = narrow.repartition(*at).join(F.broadcast(brought), ["sid", "below"])
+    else:
+        rows = narrow.join(brought, ["sid", "below"]).repartition(*at)
+    rows = rows.select("tile", "i", "j", "own", "sid", "label", "share", "size", "bits", "tiles").sortWithinPartitions("tile", "i", "j")
 
     def batches(it):
         held, of = [], (0, 0, 0)  # the rows of the block pair being read
@@ -403,13 +413,11 @@ def _against_pivots(rows: DataFrame, turned: bool) -> DataFrame:
 
 def _still_open(members: DataFrame) -> DataFrame:
     """Members of tiles with two components or more that are in as many such
-    tiles as they would share with a linked set; two rounds of dropping."""
-    for _ in range(2):
-        tiles = members.groupBy("tile").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-        kept = members.join(tiles.select("tile"), "tile")
-        often = kept.groupBy("sid", "below").agg(F.count("*").alias("n"))
-        members = written(kept.join(often, ["sid", "below"]).where("n >= share").drop("n"))
-    return members
+    tiles as they would share with a linked set."""
+    tiles = members.groupBy("tile").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    kept = members.join(tiles.select("tile"), "tile")
+    often = kept.groupBy("sid", "below").agg(F.count("*").alias("n"))
+    return written(kept.join(often, ["sid", "below"]).where("n >= share").drop("n"))
 
 
 def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
@@ -444,7 +452,7 @@ def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: in
     links = written(links.unionByName(links_among(written(_against_pivots(members, turned=True)))))
     labels = components(links)
     members = _still_open(written(labelled(members.drop("label"), labels)))
-    links = links.unionByName(exact_links(written(open_pairs(members, described, percent)), nodes, plain, width, percent))
+    links = links.unionByName(links_among(written(open_pairs(members, described, percent))))
     final = components(links)
     # the least document of every component names it
     sets = described.select("key", "mark", "size", "sid").join(final, "sid", "left").select(

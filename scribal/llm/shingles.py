@@ -22,7 +22,7 @@ class Shingler:
     run, a text without words has none. Hashes of words already met are kept,
     up to ``keep`` of them."""
 
-    def __init__(self, width: int, keep: int = 300_000):
+    def __init__(self, width: int, keep: int = 150_000):
         self.width, self.keep = width, keep
         self.index: dict[bytes, int] = {}
         self.hashes = np.empty(0, dtype=np.uint64)

@@ -59,6 +59,7 @@ def corpus(rng, n):
 def test_equals_all_pairs(frame, monkeypatch, probes):
     monkeypatch.setattr(J, "PROBES", probes)  # without probes every link comes from the open tiles
     monkeypatch.setattr(J, "BLOCK", 16)
+    monkeypatch.setattr(J, "WIDE_ROWS", probes * 1000)  # both ways to bring bitmaps to the tiles
     texts = [*corpus(random.Random(probes), 500), None, "", " \n", "A b", "a B", "É x", "é x", "a\x1cb c", "x " * 3000, "x " * 2999]
     keys = list(range(100, 100 + len(texts)))
     docs = frame([(k, t, 9) for k, t in zip(keys, texts)], "doc_id long, text string, size long")
