@@ -55,8 +55,8 @@ WIDTH = 4
 PERCENT = 85
 #: Upper sizes of the bands grow by this factor.
 GROWTH = 1.5
-#: Shortest and longest bitmap.
-LEAST_BITS, MOST_BITS = 256, 2048
+#: Bits of the shortest bitmap.
+LEAST_BITS = 256
 #: Parts whose tiles give the first links.
 PROBES = 4
 #: Sets whose bitmaps and tile lists (some hundred bytes each) may be broadcast.
@@ -122,9 +122,8 @@ def tile_keys(values: np.ndarray, counts: np.ndarray, percent: int) -> list[tupl
 
 
 def bitmap_bits(size: int) -> int:
-    """Length of a set's bitmap: a power of two, four times its size or more
-    while that is not over the longest."""
-    return min(MOST_BITS, max(LEAST_BITS, 1 << max(0, 4 * size - 1).bit_length()))
+    """Length of a set's bitmap: a power of two, eight times its size or more."""
+    return max(LEAST_BITS, 1 << max(0, 8 * size - 1).bit_length())
 
 
 def bitmap(values: np.ndarray) -> bytes:
@@ -367,10 +366,11 @@ def open_pairs(members: DataFrame, described: DataFrame, percent: int) -> DataFr
     spread = members.join(counts, "tile").withColumn("at", F.explode(_block_pairs(F.col("sid"), F.col("n"))))
     narrow = spread.select("tile", "at.i", "at.j", "at.own", "sid", "below", "label", "share")
     at = [F.col("tile"), F.col("i"), F.col("j")]
+    tasks = 4 * int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # of few bytes but much work
     if brought.count() <= WIDE_ROWS:  # what sets bring along need not be shuffled with every tile
-        rows = narrow.repartition(*at).join(F.broadcast(brought), ["sid", "below"])
+        rows = narrow.repartition(tasks, *at).join(F.broadcast(brought), ["sid", "below"])
     else:
-        rows = narrow.join(brought, ["sid", "below"]).repartition(*at)
+        rows = narrow.join(brought, ["sid", "below"]).repartition(tasks, *at)
     rows = rows.select("tile", "i", "j", "own", "sid", "label", "share", "size", "bits", "tiles").sortWithinPartitions("tile", "i", "j")
 
     def batches(it):
@@ -401,16 +401,26 @@ def open_pairs(members: DataFrame, described: DataFrame, percent: int) -> DataFr
     return rows.mapInArrow(batches, "a long, b long").distinct()
 
 
-def _against_pivots(rows: DataFrame, turned: bool) -> DataFrame:
-    """Pairs (a, b) of each set and the pivot of each of its tiles: the least
-    set, or, when ``turned``, another one in every tile of a group."""
-    turn = F.xxhash64("tile") if turned else F.lit(0).cast("long")
-    pivots = (rows.groupBy("tile").agg(F.min(F.col("sid").bitwiseXOR(turn)).alias("least"))
-              .select("tile", F.col("least").bitwiseXOR(turn).alias("b")))
+def _least_members(rows: DataFrame) -> DataFrame:
+    """``(tile, b)``: the least set of every tile."""
+    return rows.groupBy("tile").agg(F.min("sid").alias("b"))
+
+
+def _against(rows: DataFrame, pivots: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each set and the pivot of its tiles."""
     met = rows.join(pivots, "tile").where("sid <> b")
     return met.select(F.greatest("sid", "b").alias("a"), F.least("sid", "b").alias("b")).distinct()
 
 
+def _two_tiles(members: DataFrame) -> DataFrame:
+    """``(sid, tile)``: two of the open tiles of every set, picked by a hash of
+    the tile, so that similar sets mostly pick the same."""
+    turn = F.xxhash64("tile")
+    picked = members.select("sid", "tile", turn.alias("turn")).groupBy("sid").agg(
+        F.min("turn").alias("low"), F.max("turn").alias("high"))
+    return members.select("sid", "tile").distinct().join(picked, "sid").where(turn.isin(F.col("low"), F.col("high"))).select("sid", "tile")
+
+
 def _still_open(members: DataFrame) -> DataFrame:
     """Members of tiles with two components or more that are in as many such
     tiles as they would share with a linked set."""
@@ -436,7 +446,7 @@ def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: in
         return rows.join(small(labels), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
 
     probes = described.select(F.explode("probes").alias("tile"), "sid")
-    links = links_among(written(_against_pivots(probes, turned=False)))
+    links = links_among(written(_against(probes, _least_members(probes))))
     labels = components(links)
     # tiles that still hold more than one component
     once = described.where("size > 0").select("key", "sid", "tiles", "own", "share_0", "share_1").join(
@@ -449,10 +459,13 @@ def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: in
     members = _still_open(written(entered.join(small(crossing), "tile").select(
         "tile", "sid", "label", below.alias("below"), F.when(below, F.col("share_1")).otherwise(F.col("share_0")).alias("share"))
         .distinct()))
-    links = written(links.unionByName(links_among(written(_against_pivots(members, turned=True)))))
+    apart = _against(_two_tiles(members), _least_members(members))
+    for side in ("a", "b"):
+        apart = labelled(apart.withColumnRenamed(side, "sid"), labels).withColumnsRenamed({"sid": side, "label": f"label_{side}"})
+    links = written(links.unionByName(links_among(written(apart.where("label_a <> label_b").select("a", "b")))))
     labels = components(links)
     members = _still_open(written(labelled(members.drop("label"), labels)))
-    links = links.unionByName(links_among(written(open_pairs(members, described, percent))))
+    links = links.unionByName(exact_links(written(open_pairs(members, described, percent)), nodes, plain, width, percent))
     final = components(links)
     # the least document of every component names it
     sets = described.select("key", "mark", "size", "sid").join(final, "sid", "left").select(
