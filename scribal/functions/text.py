@@ -22,27 +22,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Below this many pairs a fold is emitted as nested ``replace`` calls
-# (fully code-generated); above it, as one ``aggregate`` over a literal
-# array so the expression tree stays small.
-_NESTED_FOLD_MAX = 100
-
-
-def lit_str(value: str) -> Column:
-    return F.lit(value)
-
 
 def literal_fold(col: Column, pairs: Sequence[tuple[str, str]]) -> Column:
-    """Apply ``replace(old, new)`` for each pair, in order, to ``col``."""
-    if not pairs:
-        return col
-    if len(pairs) <= _NESTED_FOLD_MAX:
-        out = col
-        for old, new in pairs:
-            out = F.replace(out, F.lit(old), F.lit(new))
-        return out
-    table = F.array(*[F.struct(F.lit(o).alias("o"), F.lit(n).alias("n")) for o, n in pairs])
-    return F.aggregate(table, col, lambda acc, p: F.replace(acc, p["o"], p["n"]))
+    """Apply ``replace(old, new)`` for each pair, in order, to ``col``: nested
+    ``replace`` calls, which generate code. Every rule table is far smaller than
+    what one expression may hold."""
+    for old, new in pairs:
+        col = F.replace(col, F.lit(old), F.lit(new))
+    return col
 
 
 def find_replace(

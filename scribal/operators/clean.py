@@ -137,18 +137,18 @@ def _check(name: str, needles: Sequence[str]) -> Step:
 
 
 CHAIN = (
-    # (1) easy wins
+    # doubled marks, half brackets, glosses, runs of hyphens and gaps
     Step("K1", "fold", pairs=tuple(V.DOUBLE_ANGLE)),
     Step("K2", "fold", pairs=tuple(V.HALF_BRACKETS)),
     *GLOSSES,
     _check("glosses", ["{{", "}}"]),
     *COLLAPSE,
     _check("check_1", V.CHECK_1),
-    # (2) enclosures out of order
+    # brackets, braces and parentheses that cross each other
     Step("K6", "patch", name="before_enclosures"),
     *ENCLOSURE_ORDER,
     Step("K12p", "patch", name="after_enclosures"),
-    # (3) other elements
+    # angle brackets, line marks, bars, hyphens at parentheses
     *ANGLE,
     *SEMICOLONS,
     *CURLY,
@@ -156,7 +156,7 @@ CHAIN = (
     *PARENS_HYPHEN,
     *COLLAPSE,
     _check("check_2", V.CHECK_2),
-    # (4) missing text
+    # square brackets and every other sign of lost text
     *SQUARE,
     *MISSING_MARKS,
     *DOLLARS,
@@ -165,11 +165,11 @@ CHAIN = (
     *STANDALONE_PARENS,
     *COLLAPSE,
     _check("check_3", V.CHECK_3),
-    # (5) enclosures
+    # enclosures that hold a gap only, or nothing
     *MISSING_ALONE,
     *EMPTY_ENCLOSURES,
     *COLLAPSE,
-    # (6) final
+    # last check, then the published tokens
     _check("check_final", V.CHECK_1 + V.CHECK_2 + V.CHECK_3 + V.CHECK_FINAL_EXTRA),
     *PUBLISH,
 )

@@ -1,25 +1,13 @@
-"""Quality reports: disallowed substrings (Q1) and bracket balance (Q2)."""
+"""Quality reports: bracket balance (Q2); substring checks (Q1) are steps of the cleaning chain."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scribal.functions.text import contains_any
-
 _BROKEN = -1_000_000  # sticky marker: a closing bracket without an opener
 
 
-def substring_violations(df: DataFrame, text_col: str, id_col: str, stage: str, needles: Sequence[str]) -> DataFrame:
-    """Rows ``(id, stage, rule)`` for each needle contained in the text."""
-    hits = contains_any(F.col(text_col), needles)
-    return df.select(F.col(id_col), F.explode(hits).alias("rule")).select(
-        id_col, F.lit(stage).alias("stage"), "rule"
-    )
-
-
 def bracket_balance(df: DataFrame, text_col: str, id_col: str, first_line_only: bool = False) -> DataFrame:
     """Lines whose square brackets do not cancel out.
 

@@ -17,7 +17,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     -> texts and tokens per language."""
     docs = apply_filters(union_common(_corpora(spark, sf_dir)), [F.col("transliteration") != ""])
     firsts = keep_first(docs, ["transliteration"])
-    texts = firsts.select("id", F.col("language").alias("lang"), marked(F.col("transliteration")).alias("t"))
+    texts = firsts.select("id", F.col("language").alias("lang"), marked(F.col("transliteration"), F.col("id")).alias("t"))
     cleaned = clean(texts, text_col="t", id_col="id", out_col="t")
     tokens = F.size(F.filter(F.split(F.col("t"), "[ \n]+"), lambda w: w != ""))
     return cleaned.groupBy("lang").agg(

@@ -11,12 +11,12 @@ from __future__ import annotations
 from scribal.functions import rule_values as V
 from scribal.functions.text import PY_WHITESPACE
 from scribal.operators import clean as C
-from scribal.plans.fixtures import MARKUP
+from scribal.plans.fixtures import marked_sql
 from scribal.plans.oracle_sql import chain_sql, fold_sql, q
 from scribal.plans.q_clean import TEST_PATCHES
 from scribal.plans.q_lookups import VOCAB_SQL
 
-_BASE = f"SELECT doc_id, lang, {fold_sql('text', MARKUP)} AS t FROM documents"
+_BASE = f"SELECT doc_id, lang, {marked_sql()} AS t FROM documents"
 _CTES, _LAST = chain_sql(_BASE, C.CHAIN, "t", "doc_id", TEST_PATCHES, prefix="k")
 _RESIDUE = fold_sql("t", [(tok, "") for tok in V.PUBLISHED_TOKENS])
 _SPECIALS = "(" + ", ".join(q(s) for s in V.SPECIAL_TOKENS) + ")"

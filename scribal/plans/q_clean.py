@@ -8,11 +8,11 @@ from scribal.functions import rule_values as V
 from scribal.operators import clean as C
 from scribal.operators.quality import bracket_balance
 from scribal.operators.rulechain import apply_chain
-from scribal.plans.fixtures import MARKUP, marked_documents
+from scribal.plans.fixtures import marked_documents, marked_sql, table
 from scribal.plans.oracle_sql import chain_sql, fold_sql, q, with_query
 from scribal.plans.registry import register
 
-MARKED_SQL = f"SELECT doc_id, {fold_sql('text', MARKUP)} AS t FROM documents"
+MARKED_SQL = f"SELECT doc_id, {marked_sql()} AS t FROM documents"
 
 # Test patches keyed on driver document ids (the production patches are
 # keyed on corpus ids that do not occur in the test tables).
@@ -118,3 +118,23 @@ def bracket_balance_q(spark, sf_dir):
 
 
 __all__ = ["q"]
+
+
+# the patches of single texts, each on documents that carry its text's id and
+# the string that it replaces
+_IDS = [p[0] for p in V.TEXT_PATCHES]
+_BITS = [f" qa {old}ku " for _, _, old, _ in V.TEXT_PATCHES]
+_N = len(_IDS)
+
+
+# no SQL: DuckDB takes many minutes for it; tests hold it against plain Python
+@register("clean_text_patches", None, "K5 K18 K25 K28")
+def clean_text_patches(spark, sf_dir):
+    def pick(values, at):
+        return F.element_at(F.array(*[F.lit(v) for v in values]), (at % _N + 1).cast("int"))
+
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", pick(_IDS, F.col("doc_id")).alias("id"),
+        F.concat("text", pick(_BITS, F.floor(F.col("doc_id") / _N))).alias("t"))
+    out = apply_chain(docs, "t", C.CHAIN, id_col="id", patches=V.TEXT_PATCHES)
+    return out.select("doc_id", "id", F.col("t").alias("text"))

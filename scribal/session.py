@@ -83,14 +83,20 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the shared checkpoint folder, removed when the driver's
+    JVM ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scribal-{uuid.uuid4().hex}"
+    fs, hadoop_path = _store(spark, path)
+    fs.deleteOnExit(hadoop_path)
+    return path
+
+
 def materialize(df):
     """Cut lineage at a stage boundary: write ``df`` as a Parquet table in the
     shared checkpoint folder (never a node-local one) and read it back, so
     later consumers neither recompute nor re-plan it and still read only the
-    columns they use. The table is removed when the driver's JVM ends."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scribal-{uuid.uuid4().hex}"
-    fs, hadoop_path = _store(spark, path)
-    fs.deleteOnExit(hadoop_path)
+    columns they use."""
+    path = scratch_path(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

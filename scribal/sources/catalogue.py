@@ -88,10 +88,6 @@ def corpora(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(c, i, k) for i, (c, k) in enumerate(CORPORA)], "corpus string, corpus_rank int, kind string")
 
 
-def list_corpora() -> list[str]:
-    return [c for c, _ in CORPORA]
-
-
 def allowed_fields(kind: str) -> list[str]:
     return BASE_FIELDS + EXTRA_FIELDS[kind]
 

@@ -3,6 +3,7 @@ import random
 import pytest
 
 from pyref import apply_steps
+from scribal.functions import rule_values as V
 from scribal.operators import clean as C
 from scribal.operators.rulechain import apply_chain
 from scribal.operators.quality import bracket_balance
@@ -73,3 +74,66 @@ def test_bracket_balance(spark):
     df = spark.createDataFrame([("a", "a] [b\n[ok]\n[[x]"), ("b", "[]")], "id string, t string")
     rows = sorted((r.id, r.line_no) for r in bracket_balance(df, "t", "id").collect())
     assert rows == [("a", 0), ("a", 2)]
+
+
+# Literal input -> expected output per rule group, written out by hand: none of
+# them reads the rule tables.
+LITERAL_CASES = [
+    (C.DOLLARS, "a $ traces $ b", "a #MISSING# b"), (C.DOLLARS, "a ($erasure$) b", "a #MISSING# b"),
+    (C.DOLLARS, "a $erasure$ b", "a #MISSING# b"),
+    *[(C.DOLLARS, f"qa ${w} ku", None) for w in ("AN", "MU", "UŠ", "KID", "DI", "GA₂", "HAR")],
+    (C.SEMICOLONS, "a;b", "a\nb"), (C.CURLY, "{-ki-}", "{ki}"), (C.ELLIPSES, "a ... b", "a #MISSING# b"),
+    (C.EMPTY_ENCLOSURES, "a {} () b", "a   b"),
+]
+
+
+@pytest.mark.parametrize("chain,inp,expected", LITERAL_CASES)
+def test_literal_cases(spark, chain, inp, expected):
+    [got] = _run(spark, chain, [inp])
+    if expected is None:  # the sign's dollar goes, whatever the sign
+        assert "$" not in got and got.startswith("qa") and got.endswith("ku")
+    else:
+        assert got == expected
+
+
+# (text id, text, what must be in the result of the whole chain, what must not)
+PATCH_CASES = [
+    ("P343022", "lugal [x x x\nki", "lugal...\nki", "["),
+    ("P324221", "[ma-da za-ab-ša-li{<ki]>} e", "ma-da", "<ki]"),
+    ("P010855", "lugal x:ur ki", "ur...", "x:ur"),
+    ("P278368", "lugal-x/EREN ki", "lugal...", "EREN"),
+    ("P323466", "lugal |3xAN| ki", "|AN.AN.AN|", "3xAN"),
+    ("P467714", "lugal gur(x) ki", "gur...", "x)"),
+]
+
+
+@pytest.mark.parametrize("text_id,text,present,absent", PATCH_CASES)
+def test_text_patches(spark, text_id, text, present, absent):
+    df = spark.createDataFrame([(text_id, text), ("P000001", text)], "id string, t string")
+    got = {r.id: r.t for r in apply_chain(df, "t", C.CHAIN, id_col="id", patches=V.TEXT_PATCHES).collect()}
+    assert got[text_id] == apply_steps(text, C.CHAIN, text_id, V.TEXT_PATCHES)
+    assert absent not in got[text_id] and got["P000001"] == apply_steps(text, C.CHAIN)
+    if text_id != "P324221":  # its brackets become a gap later in the chain
+        assert present in got[text_id]
+
+
+def test_text_patches_query_equals_plain_python(spark, tmp_path):
+    from scribal.plans.registry import REGISTRY
+    from scribal.plans import q_clean  # noqa: F401
+
+    rows = [(i, t) for i, t in enumerate(_fuzz(5, 72, 40))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r.doc_id: (r.id, r.text) for r in REGISTRY["clean_text_patches"].build(spark, str(tmp_path)).collect()}
+    n = len(V.TEXT_PATCHES)
+    for i, t in rows:
+        text_id, bit = V.TEXT_PATCHES[i % n][0], f" qa {V.TEXT_PATCHES[i // n % n][2]}ku "
+        assert out[i] == (text_id, apply_steps(t + bit, C.CHAIN, text_id, V.TEXT_PATCHES))
+
+
+def test_every_rule_string_is_in_the_fixture():
+    from scribal.plans.fixtures import ADDITIONS
+
+    joined = "\n".join(ADDITIONS)
+    for table in (V.SIGN_LIST_REPLACEMENTS, V.READING_FIXES):
+        assert all(old in joined for old, _ in table)
+    assert all(d in joined for d in V.DOLLAR_LITERALS) and "#note#" in joined
