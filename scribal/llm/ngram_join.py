@@ -59,6 +59,8 @@ GROWTH = 1.5
 LEAST_BITS = 256
 #: Parts whose tiles give the first links.
 PROBES = 4
+#: Rounds in which the sets of open tiles are checked against pivots.
+PIVOT_ROUNDS = 2
 #: Sets whose bitmaps and tile lists (some hundred bytes each) may be broadcast.
 WIDE_ROWS = 100_000
 #: Sets of a tile that one task compares with each other at a time.
@@ -355,17 +357,41 @@ def _compare(tile: int, own: np.ndarray, sid: np.ndarray, label: np.ndarray, sha
     return out
 
 
-def open_pairs(members: DataFrame, described: DataFrame, percent: int) -> DataFrame:
+def _against_one(tile: int, turn: int, sid: np.ndarray, label: np.ndarray, size: np.ndarray, bits: list[bytes],
+                 percent: int) -> list[tuple[int, int, float]]:
+    """(set, pivot, bound of their similarity) for the sets of one block that
+    may be linked with its pivot, a set that the tile picks, of another
+    component."""
+    pivot = int(np.argmin(mix(sid.astype(np.uint64) ^ np.uint64((tile ^ turn) & ((1 << 64) - 1)))))
+    at = np.flatnonzero((label != label[pivot]) & (percent * np.maximum(size, size[pivot]) <= 100 * np.minimum(size, size[pivot])))
+    if not len(at):
+        return []
+    words = _packed(bits)
+    most = np.minimum(size[at] - np.bitwise_count(words[at] & ~words[pivot]).sum(axis=1, dtype=np.int64),
+                      size[pivot] - np.bitwise_count(words[pivot] & ~words[at]).sum(axis=1, dtype=np.int64))
+    union = size[at] + size[pivot] - most
+    keep = 100 * most >= percent * union
+    return [(int(x), int(sid[pivot]), float(b)) for x, b in zip(sid[at[keep]], (most / union)[keep])]
+
+
+def open_pairs(members: DataFrame, described: DataFrame, percent: int, pivots: int | None = None) -> DataFrame:
     """Pairs (a, b) of sets of one tile but different components that sizes,
     shared tiles and bitmaps let through. Tiles are compared block by block: a task reads
-    its blocks in order and holds two of them at a time."""
+    its blocks in order and holds two of them at a time.
+
+    With ``pivots`` (a number that varies them) each block is compared with one
+    of its sets only, and each set keeps the likeliest of its pivots."""
     counts = members.groupBy("tile").agg(F.count("*").alias("n"))
     known = bitmaps_of(described, written(members.select("sid").distinct()))
     tiles = members.groupBy("sid", "below").agg(F.collect_list("tile").alias("tiles"))
+    if pivots is not None:  # only pairs need the lists
+        tiles = tiles.withColumn("tiles", F.array().cast("array<long>"))
     brought = written(tiles.join(known, "sid"))
     spread = members.join(counts, "tile").withColumn("at", F.explode(_block_pairs(F.col("sid"), F.col("n"))))
     narrow = spread.select("tile", "at.i", "at.j", "at.own", "sid", "below", "label", "share")
     at = [F.col("tile"), F.col("i"), F.col("j")]
+    if pivots is not None:
+        narrow = narrow.where("i = j")
     tasks = 4 * int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # of few bytes but much work
     if brought.count() <= WIDE_ROWS:  # what sets bring along need not be shuffled with every tile
         rows = narrow.repartition(tasks, *at).join(F.broadcast(brought), ["sid", "below"])
@@ -373,6 +399,8 @@ def open_pairs(members: DataFrame, described: DataFrame, percent: int) -> DataFr
         rows = narrow.join(brought, ["sid", "below"]).repartition(tasks, *at)
     rows = rows.select("tile", "i", "j", "own", "sid", "label", "share", "size", "bits", "tiles").sortWithinPartitions("tile", "i", "j")
 
+    kinds = [pa.int64(), pa.int64()] + ([] if pivots is None else [pa.float64()])
+
     def batches(it):
         held, of = [], (0, 0, 0)  # the rows of the block pair being read
 
@@ -380,11 +408,14 @@ def open_pairs(members: DataFrame, described: DataFrame, percent: int) -> DataFr
             if len(held) < 2:
                 return []
             own, sid, label, share, size, bits, tiles = zip(*held)
+            if pivots is not None:
+                return _against_one(of[0], pivots, *(np.array(v, dtype=np.int64) for v in (sid, label, size)), list(bits), percent)
             numbers = (np.array(v, dtype=np.int64) for v in (own, sid, label, share, size))
             return _compare(of[0], *numbers, list(bits), list(tiles), of[1] == of[2], percent)
 
         def batch_of(found):
-            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+            columns = [pa.array([f[k] for f in found], t) for k, t in enumerate(kinds)]
+            return pa.RecordBatch.from_arrays(columns, names=["a", "b", "bound"][: len(kinds)])
 
         for batch in (whole.slice(at, 1000) for whole in it for at in range(0, len(whole), 1000)):
             d = batch.to_pydict()
@@ -398,7 +429,10 @@ def open_pairs(members: DataFrame, described: DataFrame, percent: int) -> DataFr
             yield batch_of(found)
         yield batch_of(done())
 
-    return rows.mapInArrow(batches, "a long, b long").distinct()
+    if pivots is None:
+        return rows.mapInArrow(batches, "a long, b long").distinct()
+    best = rows.mapInArrow(batches, "a long, b long, bound double").groupBy("a").agg(F.max_by("b", "bound").alias("b"))
+    return best.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def _least_members(rows: DataFrame) -> DataFrame:
@@ -412,15 +446,6 @@ def _against(rows: DataFrame, pivots: DataFrame) -> DataFrame:
     return met.select(F.greatest("sid", "b").alias("a"), F.least("sid", "b").alias("b")).distinct()
 
 
-def _two_tiles(members: DataFrame) -> DataFrame:
-    """``(sid, tile)``: two of the open tiles of every set, picked by a hash of
-    the tile, so that similar sets mostly pick the same."""
-    turn = F.xxhash64("tile")
-    picked = members.select("sid", "tile", turn.alias("turn")).groupBy("sid").agg(
-        F.min("turn").alias("low"), F.max("turn").alias("high"))
-    return members.select("sid", "tile").distinct().join(picked, "sid").where(turn.isin(F.col("low"), F.col("high"))).select("sid", "tile")
-
-
 def _still_open(members: DataFrame) -> DataFrame:
     """Members of tiles with two components or more that are in as many such
     tiles as they would share with a linked set."""
@@ -459,12 +484,10 @@ def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: in
     members = _still_open(written(entered.join(small(crossing), "tile").select(
         "tile", "sid", "label", below.alias("below"), F.when(below, F.col("share_1")).otherwise(F.col("share_0")).alias("share"))
         .distinct()))
-    apart = _against(_two_tiles(members), _least_members(members))
-    for side in ("a", "b"):
-        apart = labelled(apart.withColumnRenamed(side, "sid"), labels).withColumnsRenamed({"sid": side, "label": f"label_{side}"})
-    links = written(links.unionByName(links_among(written(apart.where("label_a <> label_b").select("a", "b")))))
-    labels = components(links)
-    members = _still_open(written(labelled(members.drop("label"), labels)))
+    for turn in range(PIVOT_ROUNDS):
+        likely = written(open_pairs(members, described, percent, pivots=turn))
+        links = written(links.unionByName(exact_links(likely, nodes, plain, width, percent)))
+        members = _still_open(labelled(members.drop("label"), components(links)))
     links = links.unionByName(exact_links(written(open_pairs(members, described, percent)), nodes, plain, width, percent))
     final = components(links)
     # the least document of every component names it
