@@ -86,6 +86,10 @@ _BLOCKS = ["p", "li", "h1", "h2", "h3", "h4", "td", "th", "div", "pre", "dd", "d
            "blockquote", "figcaption", "button"]
 
 
+#: What makes a block clutter also within an article.
+_CLUTTER = {"comment", "ad", "share", "side", "notice", "form", "aside", "nav", "footer", "menu", "hidden", "button"}
+
+
 def _family(word: str) -> str | None:
     found = _FAMILY_OF.get(word)
     if found is None and len(word) >= 5:
@@ -216,8 +220,12 @@ def _path_features(path: tuple) -> tuple[str, ...]:
         if t in ("article", "main"):
             inner = {f for _, fs in path[i + 1:] for f in fs} | {t for t in tags[i + 1:]}
             out.add("inside=article")
+            if not inner & _CLUTTER:
+                out.add("inside=article only")
             out.update("inside+" + f for f in inner & {"comment", "ad", "share", "side", "notice", "form", "aside", "nav",
                                                        "footer", "header", "menu", "figure", "article"})
+    if "header" in tags and not any(t in ("article", "main") for t in tags):
+        out.add("page header")
     nearest = next((fs for _, fs in reversed(path) if fs), ())
     out.update("nearest=" + f for f in nearest)
     if not families and not any(t in _TAGS for t in tags):
@@ -281,7 +289,7 @@ def train(pages: Iterable[tuple[str, Callable[[str], int]]]) -> PageModel:
             counts.append(len(row))
             labels.append(label(b.text))
     chain = crf.fit(np.array(ids, np.int64), np.array(counts, np.int64), np.array(labels, np.int64), np.array(lengths),
-                    len(number), rounds=200, l2=1.0)
+                    len(number), rounds=300, l2=0.1)
     return PageModel(number, chain)
 
 
@@ -351,7 +359,7 @@ def _page(rng: random.Random) -> str:
         return box(rng.choice(["div", "section", "ul", "ol"]), name, head + "".join(one() for _ in range(rng.randint(1, 6))))
 
     def body() -> str:
-        out = [f"<{h}>{_prose(rng, 3, 14, True, rng.random() < .4)}</{h}>" for h in ["h1"] if rng.random() < 0.9]
+        out = [f"<{h}>{_prose(rng, 2, 14, True, rng.random() < .4)}</{h}>" for h in ["h1"] if rng.random() < 0.8]
         if rng.random() < 0.2:
             out = [f"<header>{''.join(out)}{p(True, 3, 15)}</header>"] if out else out
         if rng.random() < 0.2:
@@ -377,7 +385,10 @@ def _page(rng: random.Random) -> str:
                 out.append(clutter())
         return "".join(out)
 
-    top = [f"<header>{_prose(rng, 1, 8, False, False)}</header>", f"<nav>{links(rng.randint(3, 9))}</nav>",
+    level = rng.choice(["h1", "h1", "h2", "p", "div"])
+    top = [f"<header>{_prose(rng, 1, 8, False, False)}</header>",
+           f"<header><{level}>{_prose(rng, 1, 6, False, False)}</{level}>{rng.choice(['', f'<nav>{links(4)}</nav>', p(False, 2, 12)])}</header>",
+           box("div", pick("header"), f"<{level}>{_prose(rng, 1, 6, False, False)}</{level}>"), f"<nav>{links(rng.randint(3, 9))}</nav>",
            box("div", pick("header"), _prose(rng, 1, 10, False, False)), box("div", pick("menu"), links(rng.randint(3, 9))),
            box("div", pick("notice"), some(4, 50)), box("div", pick("ad"), _prose(rng, 2, 40, False)),
            f"<form>{_prose(rng, 1, 5, False, False)}</form>", "<header><nav>" + links(4) + "</nav></header>", clutter()]

@@ -50,3 +50,18 @@ def test_frame(frame):
     out = sorted((str(r.page_id), r.text) for r in H.extract(pages).collect())
     assert out == [("1", TEXT), ("1", TEXT), ("2", ""), ("3", ""), ("None", "")]
     assert H.extract(frame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_other_layouts():
+    text = H.default_model().text
+    plain = ("<body><div id='top-menu'><a href=1>Home</a></div><div class='post-content'><h1>Great title here</h1><p>Some real "
+             "text of the page that goes on for a while, with commas.</p></div><div class='related-posts'><h3>Related</h3><ul><li>"
+             "<a href=3>Other story</a></li></ul></div><div id='comments'><p>Nice post, thanks a lot for writing this down!</p></div>")
+    assert text(plain) == "Great title here Some real text of the page that goes on for a while, with commas."
+    nested = ("<body><header><h1>Site name</h1><nav><a href=1>x</a></nav></header><main><article><header><h1>The headline</h1></header>"
+              "<p>Body text one is here.</p><ul><li>First point</li></ul><div class='newsletter-signup'><p>Subscribe to our letter now.</p>"
+              "</div><p>Body text two.</p></article></main><aside><h2>Popular</h2><p>Teaser text</p></aside>")
+    assert text(nested) == "The headline Body text one is here. First point Body text two."
+    short = ("<body><div role='alert'>This site uses cookies to improve things.</div><article><p>Just one paragraph.</p></article>"
+             "<form><p>Leave your name and address for us here, please do so now.</p><input></form></body>")
+    assert text(short) == "Just one paragraph."
