@@ -324,10 +324,54 @@ def _packed(bits: list[bytes]) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def _compare(tile: int, own: np.ndarray, sid: np.ndarray, label: np.ndarray, share: np.ndarray, size: np.ndarray,
-             bits: list[bytes], tiles: list[list[int]], same: bool, percent: int) -> list[tuple[int, int]]:
-    """Pairs of two blocks (or, if ``same``, of one) that may be linked, by
-    bitmaps and by the tiles they share; this tile must be the first of these."""
+class _Group:
+    """The rows of one block pair of a tile, as stretches of Arrow batches;
+    bitmaps and tile lists are taken out for the rows that need them."""
+
+    def __init__(self, place: tuple[int, int, int]):
+        self.place, self.parts = place, []
+
+    def numbers(self, *names: str) -> list[np.ndarray]:
+        return [np.concatenate([n[name][a:b] for _, n, a, b in self.parts]) for name in names]
+
+    def __len__(self) -> int:
+        return sum(b - a for _, _, a, b in self.parts)
+
+    def take(self, name: str, rows: np.ndarray) -> list:
+        out, begin = [], 0
+        for batch, _, a, b in self.parts:
+            mine = rows[(rows >= begin) & (rows < begin + b - a)] - begin + a
+            out += batch.column(name).take(pa.array(mine)).to_pylist()
+            begin += b - a
+        return out
+
+
+def _groups_of(it, names: tuple[str, ...]) -> Iterator[_Group]:
+    """The groups of a partition's rows, which come in the order of their places."""
+    held = None
+    for whole in it:
+        for at in range(0, len(whole), 1000):
+            batch = whole.slice(at, 1000)
+            numbers = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ("tile", "i", "j", *names)}
+            tile, i, j = (numbers[n] for n in ("tile", "i", "j"))
+            new = np.r_[True, (tile[1:] != tile[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]
+            starts = np.flatnonzero(new).tolist()
+            for a, b in zip(starts, [*starts[1:], len(tile)]):
+                place = (int(tile[a]), int(i[a]), int(j[a]))
+                if held is None or held.place != place:
+                    if held is not None:
+                        yield held
+                    held = _Group(place)
+                held.parts.append((batch, numbers, a, b))
+    if held is not None:
+        yield held
+
+
+def _compare(group: _Group, percent: int) -> list[tuple[int, int]]:
+    """Pairs of two blocks of a tile (or of one) that may be linked, by bitmaps
+    and by the tiles they share; this tile must be the first of these."""
+    tile, same = group.place[0], group.place[1] == group.place[2]
+    own, sid, label, share, size = group.numbers("own", "sid", "label", "share", "size")
     first = np.flatnonzero(own == own.min())
     second = first if same else np.flatnonzero(own == own.max())
     if same and len(first) < 2 or not same and own.min() == own.max():
@@ -340,35 +384,40 @@ def _compare(tile: int, own: np.ndarray, sid: np.ndarray, label: np.ndarray, sha
     if not len(x):
         return []
     x, y = first[x], second[y]
-    words = _packed(bits)
+    rows = np.unique(np.concatenate([x, y]))
+    words = _packed(group.take("bits", rows))
     step = max(1, 4_000_000 // words.shape[1])
+    u, v = np.searchsorted(rows, x), np.searchsorted(rows, y)
     keep = np.concatenate([
-        _bounded(size[x[at:at + step]], words[x[at:at + step]], size[y[at:at + step]], words[y[at:at + step]], percent)
+        _bounded(size[x[at:at + step]], words[u[at:at + step]], size[y[at:at + step]], words[v[at:at + step]], percent)
         for at in range(0, len(x), step)])
-    sets: dict[int, set[int]] = {}
+    x, y = x[keep], y[keep]
+    if not len(x):
+        return []
+    rows = np.unique(np.concatenate([x, y]))
+    sets = dict(zip(rows.tolist(), map(set, group.take("tiles", rows))))
     out = []
-    for i, j in zip(x[keep].tolist(), y[keep].tolist()):
-        for k in (i, j):
-            if k not in sets:
-                sets[k] = set(tiles[k])
+    for i, j in zip(x.tolist(), y.tolist()):
         common = sets[i] & sets[j]
         if min(common) == tile and len(common) >= max(share[i], share[j]):
             out.append((max(int(sid[i]), int(sid[j])), min(int(sid[i]), int(sid[j]))))
     return out
 
 
-def _against_one(tile: int, turn: int, sid: np.ndarray, label: np.ndarray, size: np.ndarray, bits: list[bytes],
-                 percent: int) -> list[tuple[int, int, float]]:
+def _against_one(group: _Group, turn: int, percent: int) -> list[tuple[int, int, float]]:
     """(set, pivot, bound of their similarity) for the sets of one block that
     may be linked with its pivot, a set that the tile picks, of another
     component."""
-    pivot = int(np.argmin(mix(sid.astype(np.uint64) ^ np.uint64((tile ^ turn) & ((1 << 64) - 1)))))
+    sid, label, size = group.numbers("sid", "label", "size")
+    turned = np.uint64((group.place[0] ^ turn) & ((1 << 64) - 1))
+    pivot = int(np.argmin(mix(sid.astype(np.uint64) ^ turned)))
     at = np.flatnonzero((label != label[pivot]) & (percent * np.maximum(size, size[pivot]) <= 100 * np.minimum(size, size[pivot])))
     if not len(at):
         return []
-    words = _packed(bits)
-    most = np.minimum(size[at] - np.bitwise_count(words[at] & ~words[pivot]).sum(axis=1, dtype=np.int64),
-                      size[pivot] - np.bitwise_count(words[pivot] & ~words[at]).sum(axis=1, dtype=np.int64))
+    words = _packed(group.take("bits", at) + group.take("bits", np.array([pivot])))
+    others, one = words[:-1], words[-1]
+    most = np.minimum(size[at] - np.bitwise_count(others & ~one).sum(axis=1, dtype=np.int64),
+                      size[pivot] - np.bitwise_count(one & ~others).sum(axis=1, dtype=np.int64))
     union = size[at] + size[pivot] - most
     keep = 100 * most >= percent * union
     return [(int(x), int(sid[pivot]), float(b)) for x, b in zip(sid[at[keep]], (most / union)[keep])]
@@ -402,32 +451,18 @@ def open_pairs(members: DataFrame, described: DataFrame, percent: int, pivots: i
     kinds = [pa.int64(), pa.int64()] + ([] if pivots is None else [pa.float64()])
 
     def batches(it):
-        held, of = [], (0, 0, 0)  # the rows of the block pair being read
-
-        def done():
-            if len(held) < 2:
-                return []
-            own, sid, label, share, size, bits, tiles = zip(*held)
-            if pivots is not None:
-                return _against_one(of[0], pivots, *(np.array(v, dtype=np.int64) for v in (sid, label, size)), list(bits), percent)
-            numbers = (np.array(v, dtype=np.int64) for v in (own, sid, label, share, size))
-            return _compare(of[0], *numbers, list(bits), list(tiles), of[1] == of[2], percent)
-
-        def batch_of(found):
-            columns = [pa.array([f[k] for f in found], t) for k, t in enumerate(kinds)]
-            return pa.RecordBatch.from_arrays(columns, names=["a", "b", "bound"][: len(kinds)])
-
-        for batch in (whole.slice(at, 1000) for whole in it for at in range(0, len(whole), 1000)):
-            d = batch.to_pydict()
-            found = []
-            for place, row in zip(zip(d["tile"], d["i"], d["j"]),
-                                  zip(*(d[c] for c in ("own", "sid", "label", "share", "size", "bits", "tiles")))):
-                if place != of:
-                    found += done()
-                    held, of = [], place
-                held.append(row)
-            yield batch_of(found)
-        yield batch_of(done())
+        found = []
+        for group in _groups_of(it, ("own", "sid", "label", "share", "size")):
+            if len(group) > 1:
+                found += _compare(group, percent) if pivots is None else _against_one(group, pivots, percent)
+            if len(found) > 10_000:
+                yield batch_of(found)
+                found = []
+        yield batch_of(found)
+
+    def batch_of(found):
+        columns = [pa.array([f[k] for f in found], t) for k, t in enumerate(kinds)]
+        return pa.RecordBatch.from_arrays(columns, names=["a", "b", "bound"][: len(kinds)])
 
     if pivots is None:
         return rows.mapInArrow(batches, "a long, b long").distinct()
