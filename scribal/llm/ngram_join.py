@@ -60,7 +60,7 @@ LEAST_BITS = 256
 #: Parts whose tiles give the first links.
 PROBES = 4
 #: Rounds in which the sets of open tiles are checked against pivots.
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 1
 #: Sets whose bitmaps and tile lists (some hundred bytes each) may be broadcast.
 WIDE_ROWS = 100_000
 #: Sets of a tile that one task compares with each other at a time.
