@@ -124,8 +124,8 @@ def tile_keys(values: np.ndarray, counts: np.ndarray, percent: int) -> list[tupl
 
 
 def bitmap_bits(size: int) -> int:
-    """Length of a set's bitmap: a power of two, eight times its size or more."""
-    return max(LEAST_BITS, 1 << max(0, 8 * size - 1).bit_length())
+    """Length of a set's bitmap: a power of two, four times its size or more."""
+    return max(LEAST_BITS, 1 << max(0, 4 * size - 1).bit_length())
 
 
 def bitmap(values: np.ndarray) -> bytes:
