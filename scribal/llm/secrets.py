@@ -51,7 +51,7 @@ THRESHOLDS = {"hex": 3.0, "letters_digits": 3.6, "mixed_case": 4.0, "base64": 3.
 ALLOW = (
     r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}",  # identifiers in the UUID form
     r"(?i:.*(example|placeholder|changeme|dummy|your[-_]?(api|secret|token|key)).*)",
-    r"(?i:[-_=/+]*(abcdefghijklmnopqrstuvwxyz|0123456789)*[-_=/+]*)+",  # alphabets written out
+    r"(?i:(?:[-_=/+]|abcdefghijklmnopqrstuvwxyz|0123456789)*)",  # marks and alphabets written out; no nested repeats
     r"[A-Za-z]+([-_/][A-Za-z]+)+",  # words joined by dashes, underscores or slashes
 )
 

@@ -2,7 +2,10 @@
 
 import math
 import random
+import subprocess
+import sys
 from collections import Counter
+from pathlib import Path
 
 import pyarrow as pa
 
@@ -58,3 +61,16 @@ def test_frame_and_redaction(frame):
     red = {(r.doc_id, r.text, r.spans) for r in S.redact(docs).collect()}
     assert red == {(1, 'ü [SECRET]" end', 7), (2, None, 7), (3, "", 7), (3, "plain", 7), (None, '[SECRET]"[SECRET]"', 7)}
     assert S.find_secrets(frame([])).count() == 0
+
+
+def test_long_runs_of_marks_end_at_once():
+    """In a process of its own, which is ended when matching backtracks without end."""
+    code = ("import pyarrow as pa; from scribal.llm import secrets as S\n"
+            "texts = [m * n + w for m in '=_-+/' for n in (20, 64, 5000) for w in ('Title', 'name1', '', 'a' * 30)]\n"
+            "texts += ['=-_' * 3000 + 'x9', ('abcdefghijklmnopqrstuvwxyz' + '-=') * 500 + '!', '0123456789' * 900 + 'g']\n"
+            "print(len(S.scan_batch(pa.array(texts), S.Scanner())))")
+    home = Path(__file__).resolve().parents[2]
+    done = subprocess.run([sys.executable, "-c", code], cwd=home, capture_output=True, text=True, timeout=30, check=True)
+    assert done.stdout.split() == ["63"]
+    assert kinds("====" * 9 + "abcdefghijklmnopqrstuvwxyz__0123456789") == kinds("=" * 40 + "Title") == []
+    assert kinds("=" * 30 + " key wJalrXUtnFEMIK7MDENGbPxRfiCYzzzKEYaa") == ["entropy"]
