@@ -5,7 +5,9 @@ as Parquet and read back as the next stage's docs:
 
 1. toxicity: documents that the CRF scores 0.5 or more go;
 2. near_duplicates: of each component of the n-gram Jaccard join one document
-   stays, the one with the least doc_id; documents without words all stay;
+   stays, the one with the least doc_id; documents without words all stay. Texts
+   are linked when their runs of five words have a similarity of 0.8 or more (the
+   op9 query has settings of its own, four words and 0.85);
 3. secrets: findings in the texts give way to a mark, ``n_chars`` is counted anew;
 4. mixing: every document comes as often as the mix takes it;
 5. bpe: one row per remaining document with its token ids.
@@ -27,6 +29,10 @@ from scribal.llm.queries import bpe_path
 from scribal.session import ensure_checkpoint_dir
 
 
+#: Words of a run and percent of similarity from which near_duplicates links texts.
+NEAR_WIDTH, NEAR_PERCENT = 5, 80
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Labels are learned from the given tables, all of docs are scored."""
     importable(spark)
@@ -37,7 +43,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document that names its component stays, the others go."""
     importable(spark)
-    return ngram_join.keep_one(docs)
+    return ngram_join.keep_one(docs, width=NEAR_WIDTH, percent=NEAR_PERCENT)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

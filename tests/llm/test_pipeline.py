@@ -105,3 +105,25 @@ def test_repeated_rows_and_empty_table(spark, folder):
 def test_run(spark, folder):
     assert P.run(spark, folder).count() > 0
     assert [name for name, _ in P.STAGES] == ["toxicity", "near_duplicates", "secrets", "mixing", "bpe"]
+
+
+def test_near_copies_between_the_settings(spark, folder):
+    """Pairs of a five-word similarity from 0.80 on but a four-word one under 0.85 are near duplicates of the stage."""
+
+    def similarity(a, b, width):
+        x, y = ({tuple(w[k:k + width]) for k in range(len(w) - width + 1)} for w in (a.split(), b.split()))
+        return len(x & y) / len(x | y)
+
+    scattered = [f"w{k}" for k in range(1000)]
+    changed = [f"x{k}" if k % 45 == 20 else w for k, w in enumerate(scattered)]
+    block = [f"v{k}" for k in range(200)]
+    replaced = [f"y{k}" if 90 <= k < 107 else w for k, w in enumerate(block)]
+    far = [f"z{k}" if k % 40 == 20 else w for k, w in enumerate(scattered)]
+    pairs = [(" ".join(scattered), " ".join(changed)), (" ".join(block), " ".join(replaced))]
+    for a, b in pairs:
+        assert similarity(a, b, 4) < 0.85 and 0.80 <= similarity(a, b, 5) < 0.85
+    assert similarity(" ".join(scattered), " ".join(far), 5) < 0.80
+    texts = [t for p in pairs for t in p] + [" ".join(far)]
+    docs = spark.createDataFrame([(k, t, "en", "a", len(t)) for k, t in enumerate(texts)], SCHEMA)
+    stage = dict(P.STAGES)["near_duplicates"]
+    assert sorted(r.doc_id for r in stage(spark, docs, folder).collect()) == [0, 2, 4]
