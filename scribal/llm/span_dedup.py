@@ -1,11 +1,15 @@
 """Substring dedup: sliding sentence spans, joined globally.
 
-A text is cut into sentences: stretches up to a sentence mark or comma that white
-space follows, or up to a line end; what is still longer than ``LONG`` words is cut
-after words that their hash picks, so equal passages are cut alike wherever they
-stand. From every sentence on, the shortest run of ``LEAST_SENTENCES`` sentences or
+A text is cut into sentences by its words alone: after every word that ends in a
+sentence mark or comma, and, of every ``WINDOW`` words in a row without such a word,
+after the one with the least hash (of equal ones the last). White space and what
+stands farther off play no part, so sentences have at most ``WINDOW`` words, and of
+a run of ``2 * WINDOW + LEAST_WORDS`` = 50 words or more, wherever it stands, the
+sentences from the cut that its first window picks to the one that its last window
+picks are the same; these cuts are at least 50 + 1 - 2 * ``WINDOW`` words apart.
+From every sentence on, the shortest run of ``LEAST_SENTENCES`` sentences or
 more with ``LEAST_WORDS`` words or more is a span; its words, in lower case, are
-hashed. The first document with a span (by key, then by place) keeps it; wherever
+hashed. So a shared run of 50 words holds a shared span. The first document with a span (by key, then by place) keeps it; wherever
 else it occurs, its sentences are removed, also from texts that only share a part.
 
 Spans are written once, aggregated by hash to the least and largest key (combined
@@ -22,7 +26,6 @@ null key comes last; empty tables give empty results. Other columns are kept by
 from __future__ import annotations
 
 import re
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -36,22 +39,44 @@ from scribal.llm.shingles import mix
 
 LEAST_SENTENCES = 2
 LEAST_WORDS = 20
-LONG = 24
-_END = re.compile(r"[.!?;:,]+[\"'»”)\]]*\s+|\n\s*")
+#: Of so many words in a row one at least ends a sentence.
+WINDOW = 15
+_END = re.compile(r"[.!?;:,]+[\"'»”)\]]*\s+")
+_MARKED = re.compile(r"[.!?;:,][\"'»”)\]]*$")
 _WORD = re.compile(r"\S+\s*")
+_SEED = 1
 _BASE = 0x9E3779B97F4A7C15
 _LAST_KEY = (1 << 63) - 1
 _SPANS = "doc long, hash long, first int, after int, again boolean"
 
 
+def _picked(words: list[str]) -> list[int]:
+    """Of every ``WINDOW`` words in a row the one with the least hash, of equal ones the last."""
+    hashes = [xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"), _SEED) for w in words]
+    out, at = [], -1
+    for last in range(WINDOW - 1, len(hashes)):
+        if at > last - WINDOW:  # still in the window
+            if hashes[last] > hashes[at]:
+                continue
+            at = last
+        else:
+            begin = last - WINDOW + 1
+            at = last - min(range(WINDOW), key=hashes[begin:last + 1][::-1].__getitem__)
+        out.append(at)
+    return out
+
+
 def sentence_ends(text: str) -> list[int]:
     """Where each sentence ends, white space after it included."""
     ends, begin = [], 0
     for end in [m.end() for m in _END.finditer(text)] + [len(text)]:
-        if end - begin > 2 * LONG:  # long enough to hold more than LONG words
-            words = list(_WORD.finditer(text, begin, end))
-            if len(words) > LONG:
-                ends += [w.end() for w in words[:-1] if zlib.crc32(w[0].strip().lower().encode("utf-8", "surrogatepass")) % 6 == 0]
+        if end - begin >= 2 * WINDOW - 1:  # long enough to hold WINDOW words
+            words = text[begin:end].lower().split()
+            if words and _MARKED.search(words[-1]):  # else the text's last
+                words.pop()
+            if len(words) >= WINDOW:
+                after = [w.end() for w in _WORD.finditer(text, begin, end)]
+                ends += [after[i] for i in _picked(words) if after[i] < end]
         if end > begin:
             ends.append(end)
         begin = end

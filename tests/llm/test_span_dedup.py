@@ -72,3 +72,46 @@ def test_odd_rows(frame):
     assert sorted((str(r.doc_id), str(r.text), r.n_removed) for r in out) == [
         ("1", long, 0), ("1", long, 0), ("2", "", 0), ("2", "None", 0), ("None", "alone", 0), ("None", "u v w.", 2)]
     assert S.remove_repeats(frame([])).count() == 0
+
+
+def runs(text, n=50):
+    words = (text or "").lower().split()
+    return {tuple(words[k:k + n]) for k in range(len(words) - n + 1)}
+
+
+def in_two(texts):
+    """Runs of 50 words that two of the texts hold."""
+    seen, twice = set(), set()
+    for t in texts:
+        mine = runs(t)
+        twice |= mine & seen
+        seen |= mine
+    return twice
+
+
+def test_no_run_of_fifty_words_is_left_in_two_texts(frame):
+    """Passages of 50 words and more in mid-sentence, with and without marks, in other white space."""
+    rng = random.Random(8)
+
+    def words(n, marks, few=1000):
+        return [f"q{rng.randrange(few)}" + (rng.choice(".,;") if rng.random() < marks else "") for _ in range(n)]
+
+    passages = [words(50 + k % 4, marks, few) for k in range(24) for marks, few in [((0, 0.02, 0.06, 0.2)[k // 6], (1000, 12)[k % 2])]]
+    sentences = [f"s{k}" for k in range(53)]  # 17 + 18 + 18 words, begun and ended inside sentences
+    sentences[16] += "."
+    sentences[34] += "."
+    passages.append(sentences)
+    docs = []
+    for k, p in enumerate(passages):
+        for copy in range(3):
+            around = [words(rng.randint(0, 30), 0.05, 100_000) + [f"u{k}x{copy}x{side}"] for side in (0, 1)]
+            gap = rng.choice([" ", "\n", "  "])
+            docs.append((10 * k + copy, " ".join(around[0]) + gap + gap.join(p) + gap + " ".join(reversed(around[1]))))
+    assert len(in_two(t for _, t in docs)) >= len(passages)
+    out = {r.doc_id: r for r in S.remove_repeats(frame(docs)).collect()}
+    assert not in_two(r.text for r in out.values())
+    for k, t in docs:
+        if k % 10:
+            assert k - k % 10 in out[k].kept_by and out[k].n_removed
+        # what stands around the passages stays
+        assert set(w for w in t.split() if w[0] == "u") <= set(out[k].text.split())
