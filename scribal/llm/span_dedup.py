@@ -9,18 +9,20 @@ sentences from the cut that its first window picks to the one that its last wind
 picks are the same; these cuts are at least 50 + 1 - 2 * ``WINDOW`` words apart.
 From every sentence on, the shortest run of ``LEAST_SENTENCES`` sentences or
 more with ``LEAST_WORDS`` words or more is a span; its words, in lower case, are
-hashed. So a shared run of 50 words holds a shared span. The first document with a span (by key, then by place) keeps it; wherever
-else it occurs, its sentences are removed, also from texts that only share a part.
+hashed. So a shared run of 50 words holds a shared span. The first row with a span
+(by key, then by the text's mark, then by place) keeps it; wherever else it occurs,
+its sentences are removed, also from texts that only share a part.
 
-Spans are written once, aggregated by hash to the least and largest key (combined
-before the shuffle, so a passage that a third of all documents share is no hot
-key), and joined back; what is left are the repeated ones, grouped by document.
+Spans are written once and aggregated by hash to the least key and the least and
+largest row (combined before the shuffle, so a passage that a third of all documents
+share is no hot key); the repeated ones are picked out and grouped by row.
 
 Defined results: null texts stay null and have no sentences; a text without a
-span long enough stays as it is; rows that share a key are one document, whose
-rows do not count as repeats of each other, but a repeat within one text does; a
-null key comes last; empty tables give empty results. Other columns are kept by
-``remove_repeats``.
+span long enough stays as it is; a row is its key and its text, so different texts
+under one key, or without a key, are documents of their own, while equal rows are
+one document and no repeats of each other; a repeat within one text is one; a null
+key comes last and stands in ``kept_by`` as null; empty tables give empty results.
+Other columns are kept by ``remove_repeats``.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scribal.llm.common import need, written
+from scribal.llm.common import mark, need, small, written
 from scribal.llm.shingles import mix
 
 LEAST_SENTENCES = 2
@@ -46,8 +48,7 @@ _MARKED = re.compile(r"[.!?;:,][\"'»”)\]]*$")
 _WORD = re.compile(r"\S+\s*")
 _SEED = 1
 _BASE = 0x9E3779B97F4A7C15
-_LAST_KEY = (1 << 63) - 1
-_SPANS = "doc long, hash long, first int, after int, again boolean"
+_SPANS = "doc long, mark long, hash long, first int, after int, again boolean"
 
 
 def _picked(words: list[str]) -> list[int]:
@@ -122,47 +123,56 @@ def spans(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def all_spans(docs: DataFrame, key: str, text: str) -> DataFrame:
     """One row per span; ``again``: the text has had the same span before."""
-    rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST_KEY)).alias("doc"), F.col(text).alias("text"))
+    rows = docs.select(F.col(key).cast("long").alias("doc"), mark(F.col(text)).alias("mark"), F.col(text).alias("text"))
 
     def batches(it):
         for batch in it:
             for a in range(0, len(batch), 500):
                 part = batch.slice(a, 500)
-                found = [spans(t or "") for t in part.column(1).to_pylist()]
+                found = [spans(t or "") for t in part.column(2).to_pylist()]
                 counts = np.array([len(h) for h, _, _ in found])
                 again = []
                 for h, _, _ in found:
                     repeat = np.ones(len(h), dtype=bool)
                     repeat[np.unique(h, return_index=True)[1]] = False
                     again.append(repeat)
+                of = pa.array(np.repeat(np.arange(len(part)), counts))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.repeat(part.column(0).to_numpy(), counts)),
+                    part.column(0).take(of), part.column(1).take(of),
                     pa.array(np.concatenate([h for h, _, _ in found]).view(np.int64)),
                     pa.array(np.concatenate([f for _, f, _ in found]).astype(np.int32)),
                     pa.array(np.concatenate([e for _, _, e in found]).astype(np.int32)),
-                    pa.array(np.concatenate(again))], names=["doc", "hash", "first", "after", "again"])
+                    pa.array(np.concatenate(again))], names=["doc", "mark", "hash", "first", "after", "again"])
 
     return rows.mapInArrow(batches, _SPANS)
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc, first, after, kept_by)``: spans whose sentences are removed, and
-    the key of the document that keeps them."""
+    """``(doc, mark, first, after, kept_by)``: spans whose sentences are removed,
+    of the row with that key and mark, and the key of the row that keeps them."""
     need(docs, [key, text])
     found = written(all_spans(docs, key, text))
-    once = found.where("not again").select("doc", "hash", "first", "after")
-    owners = found.groupBy("hash").agg(F.min("doc").alias("kept_by"), F.max("doc").alias("last")).where("kept_by < last")
-    others = once.join(owners, "hash").where("doc > kept_by").select("doc", "first", "after", "kept_by")
-    return others.unionByName(found.where("again").select("doc", "first", "after", F.col("doc").alias("kept_by")))
+    row = F.xxhash64("doc", "mark")
+    owners = written(found.groupBy("hash").agg(F.min("doc").alias("kept_by"), F.min(row).alias("low"), F.max(row).alias("high"))
+                     .where("low < high").select("hash", "kept_by"))
+    once = written(found.where("not again").join(small(owners), "hash").select("doc", "mark", "hash", "first", "after", "kept_by"))
+    # of several texts under the first key the one with the least mark keeps the span
+    first_key = F.col("doc").eqNullSafe(F.col("kept_by"))
+    several = written(once.where(first_key).groupBy("hash").agg(F.min("mark").alias("keeper"), F.max("mark").alias("_last"))
+                      .where("keeper < _last").drop("_last"))
+    out = ["doc", "mark", "first", "after", "kept_by"]
+    others = once.where(~first_key).select(*out)
+    beside = once.where(first_key).join(small(several), "hash").where("mark > keeper").select(*out)
+    within = found.where("again").select("doc", "mark", "first", "after", F.col("doc").alias("kept_by"))
+    return others.unionByName(beside).unionByName(within)
 
 
 def _cut(text: str, first: list[int], after: list[int]) -> tuple[str, int, int]:
     """The text without the covered sentences, how many they are, and of how many."""
     ends = sentence_ends(text)
     gone = np.zeros(len(ends) + 1, dtype=np.int64)
-    inside = [(f, e) for f, e in zip(first, after) if e <= len(ends)]
-    np.add.at(gone, [f for f, _ in inside], 1)
-    np.add.at(gone, [e for _, e in inside], -1)
+    np.add.at(gone, first, 1)
+    np.add.at(gone, after, -1)
     covered = np.cumsum(gone[:-1]) > 0
     begins = [0, *ends[:-1]]
     kept = "".join(text[b:e] for b, e, c in zip(begins, ends, covered.tolist()) if not c)
@@ -175,12 +185,13 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     added = ["n_sentences", "n_removed", "kept_by"]
     if set(added) & set(docs.columns):
         raise ValueError(f"the columns {added} are added; rename the documents' own")
-    removal = repeated_spans(docs, key, text).groupBy(F.col("doc").alias("_of")).agg(
-        F.collect_list(F.struct("first", "after")).alias("_spans"),
-        F.sort_array(F.collect_set("kept_by")).alias("_kept_by"))
+    owner = F.struct(F.col("kept_by").isNull().alias("none"), "kept_by")
+    removal = repeated_spans(docs, key, text).groupBy(F.col("doc").alias("_of"), F.col("mark").alias("_of_mark")).agg(
+        F.collect_set(F.struct("first", "after")).alias("_spans"),  # equal rows have equal spans
+        F.transform(F.sort_array(F.collect_set(owner)), lambda x: x["kept_by"]).alias("_kept_by"))
     columns = docs.columns
-    joined = docs.withColumn("_doc", F.coalesce(F.col(key).cast("long"), F.lit(_LAST_KEY))).join(
-        removal, F.col("_doc") == F.col("_of"), "left")
+    joined = docs.withColumn("_doc", F.col(key).cast("long")).withColumn("_mark", mark(F.col(text))).join(
+        removal, F.col("_doc").eqNullSafe(F.col("_of")) & (F.col("_mark") == F.col("_of_mark")), "left")
     kept_by = F.coalesce("_kept_by", F.array().cast("array<long>"))
     shaped = joined.select(*columns, "_spans", kept_by.alias("kept_by"))
     schema = T.StructType([*docs.schema.fields, T.StructField("n_sentences", T.LongType(), False),

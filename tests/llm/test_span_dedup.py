@@ -115,3 +115,20 @@ def test_no_run_of_fifty_words_is_left_in_two_texts(frame):
             assert k - k % 10 in out[k].kept_by and out[k].n_removed
         # what stands around the passages stays
         assert set(w for w in t.split() if w[0] == "u") <= set(out[k].text.split())
+
+
+def test_texts_of_one_key_or_none_are_documents_of_their_own(frame):
+    rng = random.Random(9)
+    a, b, c, d = (" ".join(f"{x}{rng.randrange(10_000)}{'.' if k % 7 == 6 else ''}" for k in range(140)) for x in "abcd")
+    for key in (5, None):
+        rows = [(key, a + " " + b), (key, c + " " + b), (key, d), (1, d), (key, a + " " + b)]
+        out = S.remove_repeats(frame(rows)).collect()
+        texts = sorted((str(r.doc_id), r.text.strip()) for r in out)
+        assert len(out) == 5 and ("1", d) in texts
+        assert all(r.text == "" and r.kept_by == [1] for r in out if r.doc_id == key and r.n_removed == r.n_sentences)
+        # b stays in one of the two texts, and clean sentences stay; equal rows are alike
+        whole = {r.text for r in out if r.doc_id == key and r.n_removed == 0}
+        cut = {r.text.strip() for r in out if r.doc_id == key and 0 < r.n_removed < r.n_sentences}
+        assert (whole, cut) in [({a + " " + b}, {c}), ({c + " " + b}, {a})]
+        assert all(r.kept_by == [key] for r in out if r.doc_id == key and 0 < r.n_removed < r.n_sentences)
+        assert not any(x in t for t in cut for x in b.split())
