@@ -33,8 +33,9 @@ tiles are aggregated before they meet.
 
 Hashes have 64 bits. Defined results: null, empty or blank texts have the empty
 set, link with nothing and are their own component; repeated rows and equal
-texts are linked; a null key is never a component's name unless all its keys
-are null. Only the key and text columns are used.
+texts are linked, whatever their keys: rows with a null key are linked and link
+others like any, only as a component's name null comes last. Texts of one key are
+told apart by their marks. Only the key and text columns are used.
 """
 
 from __future__ import annotations
@@ -257,8 +258,8 @@ def exact_links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int,
     members = pairs.join(counts, "b").select(
         F.col("b").alias("hub"), F.pmod(F.xxhash64("a"), blocks).alias("block"), F.lit(1).alias("role"), F.col("a").alias("sid"))
     hubs = members.select("hub", "block").distinct().select("hub", "block", F.lit(0).alias("role"), F.col("hub").alias("sid"))
-    asked = members.unionByName(hubs).join(nodes.select("sid", "key"), "sid")
-    texts = docs.where(F.col("key").isNotNull()).join(small(written(asked)), "key")
+    asked = members.unionByName(hubs).join(nodes.select("sid", F.col("key").alias("_key"), F.col("mark").alias("_mark")), "sid")
+    texts = docs.join(small(written(asked)), F.col("key").eqNullSafe(F.col("_key")) & (F.col("mark") == F.col("_mark")))
     dealt = (texts.select("hub", "block", "role", "sid", "text").repartition(F.col("hub"), F.col("block"))
              .sortWithinPartitions("hub", "block", "role", "sid"))
 
@@ -274,7 +275,7 @@ def exact_links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int,
                 for i in range(b - a):
                     j = a + i
                     if marks[i] != d["sid"][j]:
-                        continue  # another text under the same key
+                        continue  # another text with the same mark
                     mine = values[ends[i] - sizes[i]:ends[i]]
                     if d["role"][j] == 0:
                         hub, of = mine.copy(), d["hub"][j]
@@ -494,10 +495,20 @@ def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: in
     """``(key, mark, size, label, name)`` of every document: mark tells texts of
     one key apart, label is the component, name its least key."""
     need(docs, [key, text])
-    plain = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    plain = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), mark(F.col(text)).alias("mark"))
     described = written(describe(docs, key, text, width, percent))
-    # one node per distinct set, standing for its least document
-    nodes = written(described.where("size > 0 and key is not null").groupBy("sid").agg(F.min("key").alias("key")))
+    # one node per distinct set, standing for its least document, those without a key last
+    least = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "mark")).alias("least")
+    nodes = written(described.where("size > 0").groupBy("sid").agg(least).select("sid", "least.key", "least.mark"))
+    # of equal rows that stand for a node one is enough
+    stands = F.col("key").eqNullSafe(F.col("_key")) & (F.col("mark") == F.col("_mark"))
+    standing = small(nodes.select(F.col("sid").alias("_sid"), F.col("key").alias("_key"), F.col("mark").alias("_mark")))
+    of_node = (F.col("sid") == F.col("_sid")) & stands
+    many = written(described.select("sid", "key", "mark").join(standing, of_node).groupBy("_sid").agg(
+        F.count("*").alias("n"), F.first("_key").alias("_key"), F.first("_mark").alias("_mark")).where("n > 1").select("_key", "_mark"))
+    if not many.isEmpty():
+        plain = plain.join(small(many), stands, "left_anti").unionByName(
+            written(plain.join(small(many), stands, "left_semi").dropDuplicates(["key", "mark"])))
 
     def links_among(pairs: DataFrame) -> DataFrame:
         return written(exact_links(written(pass_bitmaps(pairs, described, percent)), nodes, plain, width, percent))
@@ -509,8 +520,7 @@ def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: in
     links = links_among(written(_against(probes, _least_members(probes))))
     labels = components(links)
     # tiles that still hold more than one component
-    once = described.where("size > 0").select("key", "sid", "tiles", "own", "share_0", "share_1").join(
-        small(nodes.withColumnRenamed("key", "_rep")), "sid").where("key = _rep")  # one document per set
+    once = described.where("size > 0").join(standing, of_node).select("sid", "tiles", "own", "share_0", "share_1")
     tagged = labelled(once, labels)
     crossing = written(tagged.select("label", F.explode("tiles").alias("tile")).groupBy("tile").agg(
         F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("tile"))

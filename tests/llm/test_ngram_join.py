@@ -118,3 +118,22 @@ def test_exact_threshold_and_shingles():
     assert J.linked(a[:85], a) and not J.linked(a[:84], a) and not J.linked(a[:0], a[:0])
     values, counts = Shingler(4).sets([b"a b c d a b c d", b"", b"A b", b"a b", b"a b c d"])
     assert counts.tolist() == [4, 0, 1, 1, 1] and values[4] == values[5]
+
+
+def test_texts_without_a_key_are_linked_like_any(frame):
+    """Near copies among rows without a key and of keyed ones, and as bridges, against all pairs."""
+    rng = random.Random(11)
+    texts = corpus(rng, 150)
+    a = [f"b{k}" for k in range(100)]
+    chain = [" ".join(["e", "f"][:n] + a[n:]) for n in (0, 1, 2)] + [" ".join(a[:-k] + ["g"] * k) for k in (1, 3, 6)]
+    keys = [None if rng.random() < 0.4 else 7 if rng.random() < 0.3 else k for k in range(10, 160)] + [500, None, None, None, 501, None]
+    texts += chain
+    keys += [None] * 3 + [7] * 2
+    texts += [chain[0]] * 3 + ["only this text " * 3] * 2
+    order = [(k is None, k or 0) for k in keys]  # null comes last
+    expected = sorted((str(k[1] if not k[0] else None), n, str(c[1] if not c[0] else None)) for k, n, c in brute(order, texts))
+    rows = list(zip(keys, texts))
+    out = J.join_ngrams(frame(rows)).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in out) == expected
+    near = [(None, " ".join(a)), (None, " ".join(["e", *a[1:]])), (3, " ".join(["e", "f", *a[2:]])), (None, "far from all of these")]
+    assert sorted(str(r.doc_id) for r in J.keep_one(frame(near)).collect()) == ["3", "None"]
