@@ -153,9 +153,8 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     need(docs, [key, text])
     found = written(all_spans(docs, key, text))
     row = F.xxhash64("doc", "mark")
-    owners = written(found.groupBy("hash").agg(F.min("doc").alias("kept_by"), F.min(row).alias("low"), F.max(row).alias("high"))
-                     .where("low < high").select("hash", "kept_by"))
-    once = written(found.where("not again").join(small(owners), "hash").select("doc", "mark", "hash", "first", "after", "kept_by"))
+    owners = found.groupBy("hash").agg(F.min("doc").alias("kept_by"), F.min(row).alias("low"), F.max(row).alias("high")).where("low < high")
+    once = written(found.where("not again").join(owners, "hash").select("doc", "mark", "hash", "first", "after", "kept_by"))
     # of several texts under the first key the one with the least mark keeps the span
     first_key = F.col("doc").eqNullSafe(F.col("kept_by"))
     several = written(once.where(first_key).groupBy("hash").agg(F.min("mark").alias("keeper"), F.max("mark").alias("_last"))
