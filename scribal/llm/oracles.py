@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scribal.llm import mixing, ngram_join, quality_rules
+from scribal.llm import lexical_search, mixing, ngram_join, quality_rules
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -104,3 +104,19 @@ r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT r.doc_id, l.b FROM
 SELECT r.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(r.c) AS component_id
 FROM r LEFT JOIN n ON r.doc_id = n.doc_id GROUP BY r.doc_id
 """
+
+_TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+#: Every document is scored for every item.
+LEXICAL_SEARCH_SQL = rf"""
+WITH d AS (SELECT doc_id, {_TERMS} AS t FROM documents),
+l AS (SELECT doc_id, CAST(len(t) AS BIGINT) AS n FROM d WHERE len(t) > 0),
+s AS (SELECT CAST(count(*) AS BIGINT) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM l),
+f AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM d) GROUP BY doc_id, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * nn + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM f, s GROUP BY term, nn),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+r AS (
+  SELECT item_id, f.doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // ll)))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN f USING (term) JOIN l ON f.doc_id = l.doc_id, s GROUP BY item_id, f.doc_id),
+o AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM r WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= {lexical_search.TOP}
+"""

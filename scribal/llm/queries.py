@@ -11,10 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scribal.llm import bpe, html_text, mixing, ngram_join, quality_classifier, quality_rules, secrets, simhash, span_dedup, toxicity
+from scribal.llm import bpe, html_text, lexical_search, mixing, ngram_join, quality_classifier, quality_rules, secrets, simhash, span_dedup, toxicity
 from scribal.llm.common import importable, table, written
 from scribal.llm.labelled import held_out
-from scribal.llm.oracles import MIXING_SQL, NGRAM_JOIN_SQL, QUALITY_RULES_SQL
+from scribal.llm.oracles import LEXICAL_SEARCH_SQL, MIXING_SQL, NGRAM_JOIN_SQL, QUALITY_RULES_SQL
 
 #: The file of a public tokenizer is found by this name; its path is a parameter of the operator.
 BPE_FILE = "word_bpe_49k.json"
@@ -126,3 +126,8 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return span_dedup.remove_repeats(docs)
+
+
+@_query("op13_lexical_search", LEXICAL_SEARCH_SQL)
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
