@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scribal.llm import bpe, html_text, lexical_search, mixing, ngram_join, quality_classifier, quality_rules, secrets, simhash, span_dedup, toxicity
-from scribal.llm.common import importable, table, written
+from scribal.llm import bpe, html_text, lexical_search, mixing, ngram_join, quality_classifier, quality_rules, runs, secrets, simhash, span_dedup, toxicity
+from scribal.llm.common import bind, importable, table, words, written
 from scribal.llm.labelled import held_out
 from scribal.llm.oracles import LEXICAL_SEARCH_SQL, MIXING_SQL, NGRAM_JOIN_SQL, QUALITY_RULES_SQL
 
@@ -128,6 +128,36 @@ def op10_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_dedup.remove_repeats(docs)
 
 
+def periodic_texts(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)``: the texts of a tenth of the documents, by their key's
+    checksum, repeat a stretch of theirs from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+    def repeated(w):
+        def of(n):
+            a = F.expr("g") % n
+            p = F.floor((n - a) / (F.lit(3) + F.col("g") % 8)) + 1
+            return F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(
+                w, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int"))), " ")
+
+        return F.when(F.size(w) > 0, bind(F.size(w).cast("long"), of)).otherwise(F.col("text"))
+
+    hashed = docs.select("doc_id", "text", h.alias("h")).withColumn("g", F.floor(F.col("h") / 10))
+    return hashed.select("doc_id", F.when(F.col("h") % 10 == 0, bind(words(F.col("text")), repeated)).otherwise(F.col("text")).alias("text"))
+
+
+@_query("op11_runs")
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(periodic_texts(table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("short"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.back")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.short")).alias("period"), F.floor(F.expr("1000 * best.length div -best.short")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 @_query("op13_lexical_search", LEXICAL_SEARCH_SQL)
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
