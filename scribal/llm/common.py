@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import threading
 import uuid
 from collections.abc import Callable, Iterable
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,32 +58,80 @@ def need(df: DataFrame, columns: Iterable[str]) -> None:
         raise ValueError(f"missing columns {missing}; the input has {df.columns}")
 
 
+_scopes = threading.local()
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def written(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """``df`` as a table in the shared folder, read back.
 
     Cuts the lineage where a result is used more than once or holds values
     (partition numbers, running ids) that must not be computed again after
     the loss of an executor. The folder is the one that spark.checkpoint.dir
-    names; what is written is removed when the driver's session ends.
+    names; what is written is removed at the end of the ``frees_tables`` call
+    that it belongs to, and else when the driver's session ends.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scribal-{uuid.uuid4().hex}"
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    if getattr(_scopes, "open", None):
+        _scopes.open[-1].append(path)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: A table of up to this many narrow rows may be broadcast.
-BROADCAST_ROWS = 1_000_000
+def frees_tables(make: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A function whose result is written, and whose own tables are removed then."""
+
+    @wraps(make)
+    def run(*args, **named):
+        if not hasattr(_scopes, "open"):
+            _scopes.open = []
+        _scopes.open.append(own := [])
+        try:
+            out = make(*args, **named)
+            _scopes.open.pop()
+            kept = written(out)
+        except BaseException:
+            if any(own is x for x in _scopes.open):
+                _scopes.open.pop()
+            raise
+        for path in own:
+            _remove(out.sparkSession, path)
+        return kept
+
+    return run
+
 
+#: A table of up to this many bytes may be broadcast.
+BROADCAST_BYTES = 48 << 20
+_FIXED = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4, "date": 4}
 
-def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint when it is checked to be small; beyond
-    that Spark joins it by a shuffle."""
-    return F.broadcast(df) if df.count() <= most else df
+
+def _bytes_of(name: str, kind: str) -> Column:
+    value = F.col(name)
+    if kind in ("string", "binary"):
+        size = F.octet_length(value) + 8
+    elif kind.startswith("array<"):
+        size = F.size(value) * 8 + 16
+    else:
+        size = F.lit(_FIXED.get(kind, 8 if "<" not in kind else 64))
+    return F.coalesce(size, F.lit(8)).cast("long")
+
+
+def small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint when its bytes are checked to be few; beyond
+    that Spark joins it by a shuffle. For narrow rows of plain columns."""
+    row = reduce(lambda a, b: a + b, [_bytes_of(c, kind) for c, kind in df.dtypes]) + 16
+    size = df.agg(F.sum(row)).first()[0] or 0
+    return F.broadcast(df) if size <= most else df
 
 
 def mark(text: Column) -> Column:
@@ -89,6 +139,17 @@ def mark(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Each name, or one made from it, that no column of ``df`` has, in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def one_of_equal(rows: DataFrame, many: DataFrame, same: Column, keys: list[str]) -> DataFrame:
     """``rows`` with one row of each group of ``keys`` that ``many`` names; the
     others, nearly all as a rule, are not shuffled."""
@@ -96,3 +157,20 @@ def one_of_equal(rows: DataFrame, many: DataFrame, same: Column, keys: list[str]
         return rows
     few = small(many)
     return rows.join(few, same, "left_anti").unionByName(rows.join(few, same, "left_semi").dropDuplicates(keys))
+
+
+def keep_named(docs: DataFrame, judged: DataFrame, key: str, text: str) -> DataFrame:
+    """``docs`` with one row of every component: that of the least key, of several
+    texts under it the one with the least mark, of equal rows one; ``judged`` has
+    (key, mark, size, label, name) of every row. Rows of size 0 all stay."""
+    k, m, own = unused(docs, "_key", "_mark", "_own")
+    rows = written(judged.where("size > 0"))
+    best = rows.where(F.col("key").eqNullSafe(F.col("name"))).groupBy("label").agg(F.min("mark").alias("best"))
+    decided = written(rows.join(small(written(best)), "label").select(
+        F.col("key").alias(k), F.col("mark").alias(m),
+        (F.col("key").eqNullSafe(F.col("name")) & (F.col("mark") == F.col("best"))).alias("stays")))
+    marked = docs.withColumn(own, mark(F.col(text)))
+    same = F.col(key).eqNullSafe(F.col(k)) & (F.col(own) == F.col(m))
+    kept = marked.join(small(written(decided.where("not stays").drop("stays").distinct())), same, "left_anti")
+    many = decided.where("stays").groupBy(k, m).agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    return one_of_equal(kept, written(many), same, [key, own]).select(*docs.columns)

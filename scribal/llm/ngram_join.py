@@ -6,12 +6,14 @@ comparing all pairs.
 
 Tiles. Sets that link differ in few shingles: with similarity t and a smaller
 set of s shingles, in at most (1-t)/t*s. Sizes are cut into bands; in a band
-whose sets have at most U shingles, the hash space is cut into more parts than
-the sets can differ in, so linked sets have some part exactly equal. A tile
-holds the sets with the same band, part and part content (a set also enters the
-band below when it may be the larger partner there). Equal parts that are empty
-say little; sets with few empty parts have a full equal part too, so only sets
-with many of them enter tiles of empty parts.
+whose sets have at most U shingles, the hash space is cut into so many parts that
+linked sets have more parts equal than a set leaves empty: some part is equal and
+full. A tile holds the sets with the same band, part and part content (a set also
+enters the band below when it may be the larger partner there). Empty parts make
+no tile. A set that leaves too many parts empty (a matter of chance, for small sets)
+also enters a tile for each of its first s - ceil(t*s) + 1 hashes, one of which any
+two linked sets share; its linked partners without an equal full part do so too.
+Below ``PARTS_FROM`` percent these prefix tiles are the only ones.
 
 Checks. A pair of a tile is first held against its bitmaps (hashed, their length
 grows with the set): a bit of one that the other lacks is a shingle that it
@@ -21,25 +23,29 @@ exact intersection of the sorted hash arrays.
 Plan. (1) One pass over the texts writes size, digest, bitmap and tile keys per
 document; equal sets share a digest and are one node from here on. (2) In the
 tiles of the first few parts every set is checked against one pivot of the tile
-(as many checks as rows) and the links' components are found. (3) For all tiles
-the least and the largest component are aggregated; tiles within one component
-are done. As linked sets share as many tiles as there are spare parts, and one
-more, sets with fewer open tiles leave them. (4) What is left is checked against
-one more pivot per tile. (5) In tiles that are open still, all pairs of different
-components are held against their bitmaps, the tile cut into blocks of bounded
-size, and a pair goes on to the exact test from the first tile that it shares.
-Copies and near copies in any number thus cost as many checks as rows, and hot
-tiles are aggregated before they meet.
+(as many checks as rows), the likeliest of its pivots, and the links' components are
+found. (3) For all tiles the least and the largest component are aggregated; tiles
+within one component are done. Linked sets share at least ``share`` tiles of a band
+(as many equal parts as a set cannot leave empty), so sets with fewer open tiles
+leave them, and the others need only the first of theirs: of n open tiles all but
+share - 1. (4) What is left is checked against one more pivot per tile. (5) In tiles
+that are open still, pairs of different components are listed block by block, in
+blocks of bounded size, held against their bitmaps and decided. Tiles carry narrow
+rows only; bitmaps are brought to pairs. Copies and near copies in any number thus
+cost as many checks as rows, and hot tiles are aggregated before they meet.
 
 Hashes have 64 bits. Defined results: null, empty or blank texts have the empty
 set, link with nothing and are their own component; repeated rows and equal
 texts are linked, whatever their keys: rows with a null key are linked and link
 others like any, only as a component's name null comes last. Texts of one key are
-told apart by their marks. Only the key and text columns are used.
+told apart by their marks. Only the key and text columns are used; ``keep_one``
+gives all columns back as they are, whatever their names.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+from math import exp
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +53,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scribal.llm.common import mark, need, one_of_equal, small, written
+from scribal.llm.common import frees_tables, keep_named, mark, need, one_of_equal, small, written
 from scribal.llm.labelled import groups
+from scribal.llm.links import components, exact_links, is_text, labelled, named, repeated_rows
 from scribal.llm.shingles import Shingler, digests, mix, pair_hash, segment_sums
 
 WIDTH = 4
@@ -56,71 +63,67 @@ WIDTH = 4
 PERCENT = 85
 #: Upper sizes of the bands grow by this factor.
 GROWTH = 1.5
+#: Least percent for tiles of parts; sets of lower similarities differ in too much.
+PARTS_FROM = 67
 #: Bits of the shortest bitmap.
 LEAST_BITS = 256
 #: Parts whose tiles give the first links.
 PROBES = 4
-#: Rounds in which the sets of open tiles are checked against pivots.
-PIVOT_ROUNDS = 1
-#: Sets whose bitmaps and tile lists (some hundred bytes each) may be broadcast.
-WIDE_ROWS = 100_000
 #: Sets of a tile that one task compares with each other at a time.
 BLOCK = 512
+#: Pairs that are compared at a time.
+CHUNK = 1 << 20
+_PREFIX = np.uint64(0xFEED0123456789AB)
 
 
+@lru_cache(maxsize=64)
 def bands(percent: int = PERCENT, largest: int = 1 << 40) -> list[tuple[int, int, int]]:
-    """(largest size, parts, spare parts) of every band, ascending."""
+    """(largest size, parts, parts in which linked sets may differ) of every band,
+    ascending. Of the parts, those that a set fills as a rule outnumber those in
+    which it may differ by a margin."""
     out, upper = [], 4
     while not out or out[-1][0] < largest:
         differ = (100 - percent) * upper // percent
-        spare = 0 if not differ else 2 if differ < 8 else 4
-        out.append((upper, differ + 1 + spare if differ else 0, spare))
+        parts, margin = 0, 1 + max(2.0, 0.03 * upper)
+        if differ and percent >= PARTS_FROM:
+            parts = differ + 1
+            while parts * (1 - exp(-upper / parts)) < differ + margin and parts < 4 * upper:
+                parts += max(1, parts // 64)
+        out.append((upper, parts, differ))
         upper = int(upper * GROWTH) + 1
     return out
 
 
-def _band_of(sizes: np.ndarray, uppers: np.ndarray) -> np.ndarray:
-    return np.searchsorted(uppers, sizes, side="left")
-
-
 def tile_keys(values: np.ndarray, counts: np.ndarray, percent: int) -> list[tuple[np.ndarray, ...]]:
-    """For the own band and the one below: (owner, part, key) of every tile
-    that each set enters, and how many tiles each set shares with every set
-    that it is linked with."""
+    """For the own band, the one below and the prefix: (owner, part, key) of every
+    tile that each set enters, and how many tiles each set shares at least with
+    every set that it is linked with."""
     table = bands(percent, int(counts.max()) if len(counts) else 1)
-    uppers, parts, spare = (np.array(x, dtype=np.int64) for x in zip(*table))
-    own = _band_of(counts, uppers)
-    out = []
+    uppers, parts, differ = (np.array(x, dtype=np.int64) for x in zip(*table))
+    own = np.searchsorted(uppers, counts, side="left")
+    owner = np.repeat(np.arange(len(counts)), counts)
     spread = mix(values + np.uint64(1))
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+    out, lacking = [], np.zeros(len(counts), dtype=bool)
     for below in (0, 1):
-        band = own - below
-        enters = (counts > 0) & (band >= 0)
+        band = np.maximum(own - below, 0)
+        enters = (counts > 0) & (own >= below)
         if below:  # some smaller set of the band below may reach this size
-            enters &= (percent * counts + 99) // 100 <= uppers[np.maximum(band, 0)]
-        n_parts = np.where(enters, parts[np.maximum(band, 0)], 0)
-        owner = np.repeat(np.arange(len(counts)), counts)
+            enters &= (percent * counts + 99) // 100 <= uppers[band]
+        n_parts = np.where(enters, parts[band], 0)
         use = n_parts[owner] > 0
-        owner, sums = owner[use], spread[use]
-        part = (((values[use] >> np.uint64(32)) * n_parts[owner].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
-        starts = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (part[1:] != part[:-1])]) if len(owner) else owner
-        owner_at, part_at = owner[starts], part[starts]
-        place = (band[owner_at].astype(np.uint64) << np.uint64(40)) | part_at.astype(np.uint64)
-        key = pair_hash(segment_sums(sums, starts), place)
-        full = np.bincount(owner_at, minlength=len(counts))
-        empty = n_parts - full
-        free = spare[np.maximum(band, 0)] - empty
-        shared = np.where((n_parts > 0) & (free >= 0), 1 + free, 1)
-        extra_owner, extra_part = [], []
-        for i in np.flatnonzero((n_parts > 0) & (empty > spare[np.maximum(band, 0)])):
-            missing = np.setdiff1d(np.arange(n_parts[i]), part_at[owner_at == i])
-            extra_owner.append(np.full(len(missing), i))
-            extra_part.append(missing)
-        if extra_owner:
-            more, none = np.concatenate(extra_owner), np.concatenate(extra_part)
-            place = (band[more].astype(np.uint64) << np.uint64(40)) | none.astype(np.uint64)
-            owner_at, part_at = np.r_[owner_at, more], np.r_[part_at, none]
-            key = np.concatenate([key, pair_hash(np.zeros(len(more), dtype=np.uint64), place)])
-        out.append((owner_at, part_at, key.view(np.int64), shared))
+        of = owner[use]
+        part = (((values[use] >> np.uint64(32)) * n_parts[of].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+        starts = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (part[1:] != part[:-1])]) if len(of) else of
+        owner_at, part_at = of[starts], part[starts]
+        at = (band[owner_at].astype(np.uint64) << np.uint64(40)) | part_at.astype(np.uint64)
+        key = pair_hash(segment_sums(spread[use], starts), at)
+        share = np.bincount(owner_at, minlength=len(counts)) - differ[band]
+        lacking |= enters & (differ[band] > 0) & (share < 1)
+        out.append((owner_at, part_at, key.view(np.int64), np.maximum(share, 1)))
+    length = counts - (percent * counts + 99) // 100 + 1
+    use = lacking[owner] & (place < length[owner])
+    out.append((owner[use], place[use], pair_hash(values[use], _PREFIX).view(np.int64), np.ones(len(counts), dtype=np.int64)))
     return out
 
 
@@ -137,44 +140,47 @@ def bitmap(values: np.ndarray) -> bytes:
     return np.packbits(out).tobytes()
 
 
-def _unpacked(raw: bytes, bits: int) -> np.ndarray:
-    """The bitmap as booleans, folded to ``bits``."""
-    whole = np.unpackbits(np.frombuffer(raw, dtype=np.uint8)).astype(bool)
-    return whole if len(whole) == bits else whole.reshape(bits, -1).any(axis=1)
-
-
-def may_link(size_a: int, bits_a: bytes, size_b: int, bits_b: bytes, percent: int = PERCENT) -> bool:
-    """False when sizes or bitmaps show that the sets cannot be linked."""
-    if percent * max(size_a, size_b) > 100 * min(size_a, size_b):
-        return False
-    length = 8 * min(len(bits_a), len(bits_b))
-    a, b = _unpacked(bits_a, length), _unpacked(bits_b, length)
-    most = min(size_a - int((a & ~b).sum()), size_b - int((b & ~a).sum()))
-    return 100 * most >= percent * (size_a + size_b - most)
+def _packed(bits: list[bytes]) -> np.ndarray:
+    """Bitmaps as rows of 64-bit words, folded to the shortest."""
+    length = 8 * min(map(len, bits))
+    out = np.empty((len(bits), length // 8), dtype=np.uint8)
+    for size in {len(b) for b in bits}:
+        at = [i for i, b in enumerate(bits) if len(b) == size]
+        raw = np.frombuffer(b"".join(bits[i] for i in at), dtype=np.uint8).reshape(len(at), size)
+        if size * 8 != length:
+            raw = np.packbits(np.unpackbits(raw, axis=1).reshape(len(at), length, -1).any(axis=2), axis=1)
+        out[at] = raw
+    return out.view(np.uint64)
 
 
-def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
-    """The exact test on two sorted arrays of distinct hashes."""
-    if not len(a) or not len(b):
-        return False
-    if len(a) > len(b):
-        a, b = b, a
-    at = np.searchsorted(b, a)
-    common = int((b[np.minimum(at, len(b) - 1)] == a).sum())
-    return 100 * common >= percent * (len(a) + len(b) - common)
+def most_common(size_a: list[int], bits_a: list[bytes], size_b: list[int], bits_b: list[bytes]) -> np.ndarray:
+    """The most shingles that the sets of each pair can share, by their bitmaps;
+    pairs with equal lengths are held against each other at once."""
+    out = np.zeros(len(size_a), dtype=np.int64)
+    lengths: dict[tuple[int, int], list[int]] = {}
+    for i, (x, y) in enumerate(zip(bits_a, bits_b)):
+        lengths.setdefault((len(x), len(y)), []).append(i)
+    for at in lengths.values():
+        words = _packed([bits_a[i] for i in at] + [bits_b[i] for i in at])
+        a, b = words[: len(at)], words[len(at):]
+        x, y = (np.array([v[i] for i in at], dtype=np.int64) for v in (size_a, size_b))
+        out[at] = np.minimum(x - np.bitwise_count(a & ~b).sum(axis=1, dtype=np.int64),
+                             y - np.bitwise_count(b & ~a).sum(axis=1, dtype=np.int64))
+    return out
 
 
 def describe(docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
-    """One row per document: key, size, digest, bitmap, probe and tile keys;
-    the first ``own`` tiles are of the own band, the others of the one below,
-    ``share_0`` and ``share_1`` say how many of each linked sets share."""
+    """One row per document: key, size, digest, bitmap, probe and tile keys; the
+    first ``own`` tiles are of the own band, the next ``below`` of the one below,
+    the rest of the prefix; ``share_0`` and ``share_1`` say how many of each of the
+    bands' tiles linked sets share."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), mark(F.col(text)).alias("mark"))
     numbers = T.ArrayType(T.LongType(), False)
     schema = T.StructType([
         rows.schema["key"], rows.schema["mark"], T.StructField("size", T.LongType(), False),
         T.StructField("sid", T.LongType(), False), T.StructField("bits", T.BinaryType(), False),
         T.StructField("probes", numbers, False), T.StructField("tiles", numbers, False),
-        *(T.StructField(c, T.IntegerType(), False) for c in ("own", "share_0", "share_1"))])
+        *(T.StructField(c, T.IntegerType(), False) for c in ("own", "below", "share_0", "share_1"))])
 
     def lists(owner: np.ndarray, keys: np.ndarray, n: int) -> pa.ListArray:
         order = np.argsort(owner, kind="stable")
@@ -198,41 +204,19 @@ def describe(docs: DataFrame, key: str, text: str, width: int, percent: int) ->
                         pa.array(digests(values, counts)),
                         pa.array([bitmap(values[e - c:e]) for e, c in zip(ends, counts)], pa.binary()),
                         lists(owner[probe], keys[probe], b - a), lists(owner, keys, b - a),
-                        pa.array(np.bincount(tiles[0][0], minlength=b - a).astype(np.int32)),
-                        *(pa.array(x[3].astype(np.int32)) for x in tiles)], names=schema.names)
+                        *(pa.array(np.bincount(x[0], minlength=b - a).astype(np.int32)) for x in tiles[:2]),
+                        *(pa.array(x[3].astype(np.int32)) for x in tiles[:2])], names=schema.names)
 
     return rows.mapInArrow(batches, schema)
 
 
-def bitmaps_of(described: DataFrame, sids: DataFrame) -> DataFrame:
-    """``(sid, size, bits)`` of the sets named by ``sids``."""
-    return described.select("sid", "size", "bits").join(small(sids), "sid").dropDuplicates(["sid"])
-
-
-def _may_link_all(size_a: list[int], bits_a: list[bytes], size_b: list[int], bits_b: list[bytes], percent: int) -> np.ndarray:
-    """``may_link`` for many pairs; those with equal lengths at once."""
-    out = np.zeros(len(size_a), dtype=bool)
-    lengths: dict[tuple[int, int], list[int]] = {}
-    for i, (x, y) in enumerate(zip(bits_a, bits_b)):
-        lengths.setdefault((len(x), len(y)), []).append(i)
-    for at in lengths.values():
-        words = _packed([bits_a[i] for i in at] + [bits_b[i] for i in at])
-        a, b = (np.array([v[i] for i in at], dtype=np.int64) for v in (size_a, size_b))
-        out[at] = _bounded(a, words[: len(at)], b, words[len(at):], percent)
-    return out
-
-
-def _bounded(size_a: np.ndarray, a: np.ndarray, size_b: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-    most = np.minimum(size_a - np.bitwise_count(a & ~b).sum(axis=1, dtype=np.int64),
-                      size_b - np.bitwise_count(b & ~a).sum(axis=1, dtype=np.int64))
-    fits = percent * np.maximum(size_a, size_b) <= 100 * np.minimum(size_a, size_b)
-    return fits & (100 * most >= percent * (size_a + size_b - most))
-
-
-def pass_bitmaps(pairs: DataFrame, described: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that sizes and bitmaps let through."""
-    sids = written(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct())
-    known = written(bitmaps_of(described, sids))
+def pass_bitmaps(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and bitmaps let through, with the ``bound`` of
+    their similarity. ``sets`` is (sid, size, bits), once per set."""
+    if pairs.isEmpty():
+        return pairs.select("a", "b", F.lit(0.0).alias("bound"))
+    asked = written(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct())
+    known = written(sets.join(small(asked), "sid"))
     side = {s: known.select(F.col("sid").alias(s), F.col("size").alias(f"size_{s}"), F.col("bits").alias(f"bits_{s}"))
             for s in ("a", "b")}
     fits = percent * F.greatest("size_a", "size_b") <= 100 * F.least("size_a", "size_b")
@@ -244,304 +228,138 @@ def pass_bitmaps(pairs: DataFrame, described: DataFrame, percent: int) -> DataFr
             for at in range(0, len(whole), 2000):
                 batch = whole.slice(at, 2000)
                 d = batch.select(["size_a", "bits_a", "size_b", "bits_b"]).to_pydict()
-                keep = _may_link_all(d["size_a"], d["bits_a"], d["size_b"], d["bits_b"], percent)
-                yield batch.select(["a", "b"]).filter(pa.array(keep))
+                most = most_common(*d.values())
+                union = np.array(d["size_a"], dtype=np.int64) + np.array(d["size_b"], dtype=np.int64) - most
+                out = pa.RecordBatch.from_arrays([*batch.select(["a", "b"]).columns, pa.array(most / np.maximum(union, 1))], names=["a", "b", "bound"])
+                yield out.filter(pa.array(100 * most >= percent * union))
 
-    return both.select("a", "b", "size_a", "bits_a", "size_b", "bits_b").mapInArrow(batches, "a long, b long")
+    return both.select("a", "b", "size_a", "bits_a", "size_b", "bits_b").mapInArrow(batches, "a long, b long, bound double")
 
 
-def exact_links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are linked. Pairs are dealt by b and, when b
-    has many partners, a block of them, so tasks hold one set of b at a time."""
-    counts = pairs.groupBy("b").agg(F.count("*").alias("n"))
-    blocks = F.ceil(F.col("n") / BLOCK).cast("long")
-    members = pairs.join(counts, "b").select(
-        F.col("b").alias("hub"), F.pmod(F.xxhash64("a"), blocks).alias("block"), F.lit(1).alias("role"), F.col("a").alias("sid"))
-    hubs = members.select("hub", "block").distinct().select("hub", "block", F.lit(0).alias("role"), F.col("hub").alias("sid"))
-    asked = members.unionByName(hubs).join(nodes.select("sid", F.col("key").alias("_key"), F.col("mark").alias("_mark")), "sid")
-    texts = docs.join(small(written(asked)), F.col("key").eqNullSafe(F.col("_key")) & (F.col("mark") == F.col("_mark")))
-    dealt = (texts.select("hub", "block", "role", "sid", "text").repartition(F.col("hub"), F.col("block"))
-             .sortWithinPartitions("hub", "block", "role", "sid"))
-
-    def batches(it):
-        shingler, hub, of = Shingler(width), None, None
-        for batch in (whole.slice(at, 1000) for whole in it for at in range(0, len(whole), 1000)):
-            d = batch.to_pydict()
-            texts = [(t or "").encode("utf-8") for t in d["text"]]
-            out: tuple[list[int], list[int]] = ([], [])
-            for a, b in groups(texts, 1_000_000):
-                values, sizes = shingler.sets(texts[a:b])
-                ends, marks = np.cumsum(sizes), digests(values, sizes)
-                for i in range(b - a):
-                    j = a + i
-                    if marks[i] != d["sid"][j]:
-                        continue  # another text with the same mark
-                    mine = values[ends[i] - sizes[i]:ends[i]]
-                    if d["role"][j] == 0:
-                        hub, of = mine.copy(), d["hub"][j]
-                    elif of == d["hub"][j] and linked(mine, hub, percent):
-                        out[0].append(d["sid"][j])
-                        out[1].append(of)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["a", "b"])
-
-    return dealt.mapInArrow(batches, "a long, b long").distinct()
-
-
-def components(links: DataFrame) -> DataFrame:
-    """``(sid, label)`` for every node of the links: the least node that it is
-    connected with. Labels spread over links and along labels until they stay."""
-    both = written(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = written(both.groupBy(F.col("a").alias("sid")).agg(F.min("b").alias("near"))
-                     .select("sid", F.least("sid", "near").alias("label")))
-    while True:
-        far = both.join(labels, both.b == labels.sid).groupBy("a").agg(F.min("label").alias("far"))
-        spread = labels.join(far, labels.sid == far.a).select("sid", "label", F.least("label", "far").alias("next"))
-        jump = spread.select(F.col("sid").alias("_sid"), F.col("next").alias("_next"))
-        step = written(spread.join(jump, F.col("next") == F.col("_sid")).select(
-            "sid", F.least("next", "_next").alias("label"), (F.least("next", "_next") < F.col("label")).alias("moved")))
-        labels = step.select("sid", "label")
-        if step.where("moved").isEmpty():
-            return labels
-
-
-def _block_pairs(sid: Column, n: Column) -> Column:
-    """The pairs of blocks of its tile that a member takes part in."""
-    blocks = F.greatest(F.ceil(n / BLOCK).cast("long"), F.lit(1).cast("long"))
-    own = F.pmod(F.xxhash64(sid), blocks)
-    return F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1),
-                       lambda other: F.struct(F.least(own, other).alias("i"), F.greatest(own, other).alias("j"), own.alias("own")))
+def against_one(members: DataFrame, pick: Column, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each member (sid, tile, label) and the pivot that its tile picks, of
+    another component; of several each member keeps the likeliest."""
+    pivots = members.groupBy("tile").agg(F.min_by(F.struct("sid", "label"), pick).alias("one"))
+    met = members.join(pivots, "tile").where("label <> one.label")
+    pairs = written(met.select(F.greatest("sid", "one.sid").alias("a"), F.least("sid", "one.sid").alias("b"), F.col("sid").alias("of"))
+                    .groupBy("a", "b").agg(F.max("of").alias("of")))
+    likely = pass_bitmaps(pairs.select("a", "b"), sets, percent).join(pairs, ["a", "b"])
+    best = likely.groupBy("of").agg(F.max_by(F.struct("a", "b"), F.struct("bound", "a", "b")).alias("p"))
+    return best.select("p.a", "p.b").distinct()
 
 
-def _packed(bits: list[bytes]) -> np.ndarray:
-    """Bitmaps of one tile as rows of 64-bit words, folded to the shortest."""
-    length = 8 * min(map(len, bits))
-    out = np.empty((len(bits), length // 8), dtype=np.uint8)
-    for size in {len(b) for b in bits}:
-        at = [i for i, b in enumerate(bits) if len(b) == size]
-        raw = np.frombuffer(b"".join(bits[i] for i in at), dtype=np.uint8).reshape(len(at), size)
-        if size * 8 != length:
-            raw = np.packbits(np.unpackbits(raw, axis=1).reshape(len(at), length, -1).any(axis=2), axis=1)
-        out[at] = raw
-    return out.view(np.uint64)
-
-
-class _Group:
-    """The rows of one block pair of a tile, as stretches of Arrow batches;
-    bitmaps and tile lists are taken out for the rows that need them."""
-
-    def __init__(self, place: tuple[int, int, int]):
-        self.place, self.parts = place, []
-
-    def numbers(self, *names: str) -> list[np.ndarray]:
-        return [np.concatenate([n[name][a:b] for _, n, a, b in self.parts]) for name in names]
-
-    def __len__(self) -> int:
-        return sum(b - a for _, _, a, b in self.parts)
-
-    def take(self, name: str, rows: np.ndarray) -> list:
-        out, begin = [], 0
-        for batch, _, a, b in self.parts:
-            mine = rows[(rows >= begin) & (rows < begin + b - a)] - begin + a
-            out += batch.column(name).take(pa.array(mine)).to_pylist()
-            begin += b - a
-        return out
-
-
-def _groups_of(it, names: tuple[str, ...]) -> Iterator[_Group]:
-    """The groups of a partition's rows, which come in the order of their places."""
-    held = None
-    for whole in it:
-        for at in range(0, len(whole), 1000):
-            batch = whole.slice(at, 1000)
-            numbers = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ("tile", "i", "j", *names)}
-            tile, i, j = (numbers[n] for n in ("tile", "i", "j"))
-            new = np.r_[True, (tile[1:] != tile[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]
-            starts = np.flatnonzero(new).tolist()
-            for a, b in zip(starts, [*starts[1:], len(tile)]):
-                place = (int(tile[a]), int(i[a]), int(j[a]))
-                if held is None or held.place != place:
-                    if held is not None:
-                        yield held
-                    held = _Group(place)
-                held.parts.append((batch, numbers, a, b))
-    if held is not None:
-        yield held
-
-
-def _compare(group: _Group, percent: int) -> list[tuple[int, int]]:
-    """Pairs of two blocks of a tile (or of one) that may be linked, by bitmaps
-    and by the tiles they share; this tile must be the first of these."""
-    tile, same = group.place[0], group.place[1] == group.place[2]
-    own, sid, label, share, size = group.numbers("own", "sid", "label", "share", "size")
-    first = np.flatnonzero(own == own.min())
-    second = first if same else np.flatnonzero(own == own.max())
-    if same and len(first) < 2 or not same and own.min() == own.max():
-        return []
-    big, low = np.maximum.outer(size[first], size[second]), np.minimum.outer(size[first], size[second])
-    fits = (percent * big <= 100 * low) & (label[first][:, None] != label[second][None, :])
-    if same:
-        fits &= np.arange(len(first))[:, None] < np.arange(len(first))[None, :]
-    x, y = np.nonzero(fits)
-    if not len(x):
-        return []
-    x, y = first[x], second[y]
-    rows = np.unique(np.concatenate([x, y]))
-    words = _packed(group.take("bits", rows))
-    step = max(1, 4_000_000 // words.shape[1])
-    u, v = np.searchsorted(rows, x), np.searchsorted(rows, y)
-    keep = np.concatenate([
-        _bounded(size[x[at:at + step]], words[u[at:at + step]], size[y[at:at + step]], words[v[at:at + step]], percent)
-        for at in range(0, len(x), step)])
-    x, y = x[keep], y[keep]
-    if not len(x):
-        return []
-    rows = np.unique(np.concatenate([x, y]))
-    sets = dict(zip(rows.tolist(), map(set, group.take("tiles", rows))))
-    out = []
-    for i, j in zip(x.tolist(), y.tolist()):
-        common = sets[i] & sets[j]
-        if min(common) == tile and len(common) >= max(share[i], share[j]):
-            out.append((max(int(sid[i]), int(sid[j])), min(int(sid[i]), int(sid[j]))))
-    return out
-
-
-def _against_one(group: _Group, turn: int, percent: int) -> list[tuple[int, int, float]]:
-    """(set, pivot, bound of their similarity) for the sets of one block that
-    may be linked with its pivot, a set that the tile picks, of another
-    component."""
-    sid, label, size = group.numbers("sid", "label", "size")
-    turned = np.uint64((group.place[0] ^ turn) & ((1 << 64) - 1))
-    pivot = int(np.argmin(mix(sid.astype(np.uint64) ^ turned)))
-    at = np.flatnonzero((label != label[pivot]) & (percent * np.maximum(size, size[pivot]) <= 100 * np.minimum(size, size[pivot])))
-    if not len(at):
-        return []
-    words = _packed(group.take("bits", at) + group.take("bits", np.array([pivot])))
-    others, one = words[:-1], words[-1]
-    most = np.minimum(size[at] - np.bitwise_count(others & ~one).sum(axis=1, dtype=np.int64),
-                      size[pivot] - np.bitwise_count(one & ~others).sum(axis=1, dtype=np.int64))
-    union = size[at] + size[pivot] - most
-    keep = 100 * most >= percent * union
-    return [(int(x), int(sid[pivot]), float(b)) for x, b in zip(sid[at[keep]], (most / union)[keep])]
-
-
-def open_pairs(members: DataFrame, described: DataFrame, percent: int, pivots: int | None = None) -> DataFrame:
-    """Pairs (a, b) of sets of one tile but different components that sizes,
-    shared tiles and bitmaps let through. Tiles are compared block by block: a task reads
-    its blocks in order and holds two of them at a time.
-
-    With ``pivots`` (a number that varies them) each block is compared with one
-    of its sets only, and each set keeps the likeliest of its pivots."""
+def open_members(once: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(sid, label, tile)`` of the tiles that hold several components: for the sets
+    that are in as many as they would share with a linked one, the first of these."""
+    tagged = labelled(once, labels)
+    crossing = written(tagged.select("label", F.explode("tiles").alias("tile")).groupBy("tile").agg(
+        F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("tile"))
+    entered = tagged.select("sid", "own", "below", "share_0", "share_1", "label", F.posexplode("tiles").alias("at", "tile"))
+    kind = F.when(F.col("at") < F.col("own"), 0).when(F.col("at") < F.col("own") + F.col("below"), 1).otherwise(2)
+    share = F.when(kind == 0, F.col("share_0")).when(kind == 1, F.col("share_1")).otherwise(1)
+    members = written(entered.join(small(crossing), "tile").select("tile", "sid", "label", kind.alias("kind"), share.alias("share")))
+    for _ in range(0 if members.isEmpty() else 2):  # whoever leaves may close tiles for others
+        often = members.groupBy("sid", "kind").agg(F.count("*").alias("n"))
+        kept = members.join(often, ["sid", "kind"]).where("n >= share")
+        tiles = kept.groupBy("tile").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("tile")
+        members = written(kept.join(small(written(tiles)), "tile").select("tile", "sid", "label", "kind", "share"))
+    listed = members.groupBy("sid", "label", "kind", "share").agg(F.sort_array(F.collect_list("tile")).alias("tiles"))
+    first = F.expr("slice(tiles, 1, greatest(0, size(tiles) - share + 1))")  # a set's own tiles only
+    return written(listed.select("sid", "label", F.explode(first).alias("tile")).distinct())
+
+
+def _pairs_within(begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of places (x < y) within stretches."""
+    owner = np.repeat(np.arange(len(size)), size)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
+    after = size[owner] - 1 - place
+    x = np.repeat(begin[owner] + place, after)
+    return x, x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(after) - after, after)
+
+
+def _listed(table: pa.Table, percent: int) -> pa.RecordBatch:
+    """Pairs of different components that stand at one place of a tile's blocks."""
+    n = {c: table.column(c).to_numpy() for c in ("tile", "i", "j", "own", "sid", "label", "size")}
+    new = np.r_[True, (n["tile"][1:] != n["tile"][:-1]) | (n["i"][1:] != n["i"][:-1]) | (n["j"][1:] != n["j"][:-1])]
+    begin = np.flatnonzero(new)
+    sizes = np.diff(np.r_[begin, len(table)])
+    work = np.cumsum(sizes * (sizes - 1) // 2)
+    found, a = [np.empty((0, 2), dtype=np.int64)], 0
+    while a < len(begin):
+        b = max(a + 1, int(np.searchsorted(work, (work[a - 1] if a else 0) + CHUNK, side="right")))
+        x, y = _pairs_within(begin[a:b], sizes[a:b])
+        keep = (n["label"][x] != n["label"][y]) & ((n["i"][x] == n["j"][x]) | (n["own"][x] != n["own"][y]))
+        x, y = x[keep], y[keep]
+        fits = percent * np.maximum(n["size"][x], n["size"][y]) <= 100 * np.minimum(n["size"][x], n["size"][y])
+        p, q = n["sid"][x[fits]], n["sid"][y[fits]]
+        found.append(np.unique(np.stack([np.maximum(p, q), np.minimum(p, q)], axis=1), axis=0))
+        a = b
+    both = np.unique(np.concatenate(found), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+
+
+def open_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of sets of one tile but different components whose sizes fit.
+    A tile is cut into blocks; a task reads two of them at a time."""
+    sized = members.join(sets.select("sid", "size"), "sid")
     counts = members.groupBy("tile").agg(F.count("*").alias("n"))
-    known = bitmaps_of(described, written(members.select("sid").distinct()))
-    tiles = members.groupBy("sid", "below").agg(F.collect_list("tile").alias("tiles"))
-    if pivots is not None:  # only pairs need the lists
-        tiles = tiles.withColumn("tiles", F.array().cast("array<long>"))
-    brought = written(tiles.join(known, "sid"))
-    spread = members.join(counts, "tile").withColumn("at", F.explode(_block_pairs(F.col("sid"), F.col("n"))))
-    narrow = spread.select("tile", "at.i", "at.j", "at.own", "sid", "below", "label", "share")
-    at = [F.col("tile"), F.col("i"), F.col("j")]
-    if pivots is not None:
-        narrow = narrow.where("i = j")
-    tasks = 4 * int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # of few bytes but much work
-    if brought.count() <= WIDE_ROWS:  # what sets bring along need not be shuffled with every tile
-        rows = narrow.repartition(tasks, *at).join(F.broadcast(brought), ["sid", "below"])
-    else:
-        rows = narrow.join(brought, ["sid", "below"]).repartition(tasks, *at)
-    rows = rows.select("tile", "i", "j", "own", "sid", "label", "share", "size", "bits", "tiles").sortWithinPartitions("tile", "i", "j")
-
-    kinds = [pa.int64(), pa.int64()] + ([] if pivots is None else [pa.float64()])
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK).cast("long"), F.lit(1).cast("long"))
+    own = F.pmod(F.xxhash64("sid"), blocks)
+    places = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda o: F.struct(F.least(own, o).alias("i"), F.greatest(own, o).alias("j")))
+    spread = sized.join(counts, "tile").select("tile", "sid", "label", "size", own.alias("own"), F.explode(places).alias("at"))
+    rows = (spread.select("tile", "at.i", "at.j", "own", "sid", "label", "size")
+            .repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j"))
 
     def batches(it):
-        found = []
-        for group in _groups_of(it, ("own", "sid", "label", "share", "size")):
-            if len(group) > 1:
-                found += _compare(group, percent) if pivots is None else _against_one(group, pivots, percent)
-            if len(found) > 10_000:
-                yield batch_of(found)
-                found = []
-        yield batch_of(found)
-
-    def batch_of(found):
-        columns = [pa.array([f[k] for f in found], t) for k, t in enumerate(kinds)]
-        return pa.RecordBatch.from_arrays(columns, names=["a", "b", "bound"][: len(kinds)])
-
-    if pivots is None:
-        return rows.mapInArrow(batches, "a long, b long").distinct()
-    best = rows.mapInArrow(batches, "a long, b long, bound double").groupBy("a").agg(F.max_by("b", "bound").alias("b"))
-    return best.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-
-
-def _least_members(rows: DataFrame) -> DataFrame:
-    """``(tile, b)``: the least set of every tile."""
-    return rows.groupBy("tile").agg(F.min("sid").alias("b"))
-
-
-def _against(rows: DataFrame, pivots: DataFrame) -> DataFrame:
-    """Pairs (a, b) of each set and the pivot of its tiles."""
-    met = rows.join(pivots, "tile").where("sid <> b")
-    return met.select(F.greatest("sid", "b").alias("a"), F.least("sid", "b").alias("b")).distinct()
-
-
-def _still_open(members: DataFrame) -> DataFrame:
-    """Members of tiles with two components or more that are in as many such
-    tiles as they would share with a linked set."""
-    tiles = members.groupBy("tile").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    kept = members.join(tiles.select("tile"), "tile")
-    often = kept.groupBy("sid", "below").agg(F.count("*").alias("n"))
-    return written(kept.join(often, ["sid", "below"]).where("n >= share").drop("n"))
-
-
+        held: list[pa.RecordBatch] = []
+        for batch in it:
+            held.append(batch)
+            if sum(map(len, held)) < 4 * BLOCK:
+                continue
+            table = pa.Table.from_batches(held)
+            tail = np.ones(len(table), dtype=bool)
+            for c in ("tile", "i", "j"):
+                numbers = table.column(c).to_numpy()
+                tail &= numbers == numbers[-1]
+            cut = int(np.argmax(tail))  # the last place may go on in the next batch
+            if cut:
+                yield _listed(table.slice(0, cut), percent)
+            held = table.slice(cut).to_batches()
+        if sum(map(len, held)):
+            yield _listed(pa.Table.from_batches(held), percent)
+
+    return rows.mapInArrow(batches, "a long, b long").distinct()
+
+
+@frees_tables
 def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
     """``(key, mark, size, label, name)`` of every document: mark tells texts of
     one key apart, label is the component, name its least key."""
     need(docs, [key, text])
+    if not 1 <= percent <= 100:
+        raise ValueError("percent is a number from 1 to 100")
     plain = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), mark(F.col(text)).alias("mark"))
     described = written(describe(docs, key, text, width, percent))
     # one node per distinct set, standing for its least document, those without a key last
     least = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "mark")).alias("least")
     nodes = written(described.where("size > 0").groupBy("sid").agg(least).select("sid", "least.key", "least.mark"))
-    # of equal rows that stand for a node one is enough
-    stands = F.col("key").eqNullSafe(F.col("_key")) & (F.col("mark") == F.col("_mark"))
+    many = repeated_rows(described, nodes)
+    texts = one_of_equal(plain, many, is_text(), ["key", "mark"])
     standing = small(nodes.select(F.col("sid").alias("_sid"), F.col("key").alias("_key"), F.col("mark").alias("_mark")))
-    of_node = (F.col("sid") == F.col("_sid")) & stands
-    many = written(described.select("sid", "key", "mark").join(standing, of_node).groupBy("_sid").agg(
-        F.count("*").alias("n"), F.first("_key").alias("_key"), F.first("_mark").alias("_mark")).where("n > 1").select("_key", "_mark"))
-    if not many.isEmpty():
-        plain = plain.join(small(many), stands, "left_anti").unionByName(
-            written(plain.join(small(many), stands, "left_semi").dropDuplicates(["key", "mark"])))
-
-    def links_among(pairs: DataFrame) -> DataFrame:
-        return written(exact_links(written(pass_bitmaps(pairs, described, percent)), nodes, plain, width, percent))
-
-    def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
-        return rows.join(small(labels), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-
-    probes = described.select(F.explode("probes").alias("tile"), "sid")
-    links = links_among(written(_against(probes, _least_members(probes))))
-    labels = components(links)
-    # tiles that still hold more than one component
-    once = described.where("size > 0").join(standing, of_node).select("sid", "tiles", "own", "share_0", "share_1")
-    tagged = labelled(once, labels)
-    crossing = written(tagged.select("label", F.explode("tiles").alias("tile")).groupBy("tile").agg(
-        F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("tile"))
-    entered = tagged.select("sid", "own", "share_0", "share_1", "label", F.posexplode("tiles").alias("at", "tile"))
-    below = F.col("at") >= F.col("own")
-    members = _still_open(written(entered.join(small(crossing), "tile").select(
-        "tile", "sid", "label", below.alias("below"), F.when(below, F.col("share_1")).otherwise(F.col("share_0")).alias("share"))
-        .distinct()))
-    for turn in range(PIVOT_ROUNDS):
-        likely = written(open_pairs(members, described, percent, pivots=turn))
-        links = written(links.unionByName(exact_links(likely, nodes, plain, width, percent)))
-        members = _still_open(labelled(members.drop("label"), components(links)))
-    links = links.unionByName(exact_links(written(open_pairs(members, described, percent)), nodes, plain, width, percent))
-    final = components(links)
-    # the least document of every component names it
-    sets = described.select("key", "mark", "size", "sid").join(final, "sid", "left").select(
-        "key", "mark", "size", F.coalesce("label", "sid").alias("label"))
-    names = sets.where("size > 0").groupBy("label").agg(F.min("key").alias("name"))
-    named = sets.where("size > 0").join(names, "label").select("key", "mark", "size", "label", "name")
-    alone = sets.where("size = 0").select("key", "mark", "size", "label", F.col("key").alias("name"))
-    return named.unionByName(alone)
+    once = one_of_equal(described.where("size > 0").join(standing, (F.col("sid") == F.col("_sid")) & is_text(), "left_semi"),
+                        many, is_text(), ["key", "mark"]).drop("key", "mark")
+    sets = once.select("sid", "size", "bits")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return written(exact_links(written(pairs), nodes, texts, width, percent))
+
+    probes = once.select("sid", F.explode("probes").alias("tile"), F.col("sid").alias("label"))
+    links = verified(against_one(probes, F.col("sid"), sets, percent))
+    members = open_members(once, components(links))
+    links = links.unionByName(verified(against_one(members, F.xxhash64("sid", "tile"), sets, percent)))
+    members = open_members(once, components(links))
+    rest = pass_bitmaps(written(open_pairs(members, sets, percent)), sets, percent).select("a", "b")
+    return named(described, nodes, components(links.unionByName(verified(rest))))
 
 
 def join_ngrams(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH,
@@ -556,13 +374,4 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
     """``docs`` with one document of every component: that of the least key, of
     several texts under it the one with the least hash, of equal rows one.
     Documents without words are linked with nothing and all stay."""
-    rows = written(component_rows(docs, key, text, width, percent).where("size > 0"))
-    best = rows.where(F.col("key").eqNullSafe(F.col("name"))).groupBy("label").agg(F.min("mark").alias("best"))
-    judged = written(rows.join(best, "label").select(
-        F.col("key").alias("_key"), F.col("mark").alias("_mark"),
-        (F.col("key").eqNullSafe(F.col("name")) & (F.col("mark") == F.col("best"))).alias("stays")))
-    marked = docs.withColumn("_text_mark", mark(F.col(text)))
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_text_mark") == F.col("_mark"))
-    kept = marked.join(small(judged.where("not stays").drop("stays").distinct()), same, "left_anti")
-    many = judged.where("stays").groupBy("_key", "_mark").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    return one_of_equal(kept, written(many), same, [key, "_text_mark"]).select(*docs.columns)
+    return keep_named(docs, component_rows(docs, key, text, width, percent), key, text)

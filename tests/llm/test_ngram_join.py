@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from scribal.llm import ngram_join as J
+from scribal.llm.links import linked
 from scribal.llm.shingles import Shingler
 
 
@@ -55,16 +56,15 @@ def corpus(rng, n):
     return texts
 
 
-@pytest.mark.parametrize("probes", [8, 0])
-def test_equals_all_pairs(frame, monkeypatch, probes):
+@pytest.mark.parametrize("probes, percent", [(8, 85), (0, 60), (4, 67), (0, 80)])
+def test_equals_all_pairs(frame, monkeypatch, probes, percent):
     monkeypatch.setattr(J, "PROBES", probes)  # without probes every link comes from the open tiles
     monkeypatch.setattr(J, "BLOCK", 16)
-    monkeypatch.setattr(J, "WIDE_ROWS", probes * 1000)  # both ways to bring bitmaps to the tiles
-    texts = [*corpus(random.Random(probes), 500), None, "", " \n", "A b", "a B", "É x", "é x", "a\x1cb c", "x " * 3000, "x " * 2999]
+    texts = [*corpus(random.Random(probes + percent), 400), None, "", " \n", "A b", "a B", "É x", "é x", "a\x1cb c", "x " * 3000, "x " * 2999]
     keys = list(range(100, 100 + len(texts)))
     docs = frame([(k, t, 9) for k, t in zip(keys, texts)], "doc_id long, text string, size long")
-    out = J.join_ngrams(docs).collect()
-    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in out) == brute(keys, texts)
+    out = J.join_ngrams(docs, percent=percent).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in out) == brute(keys, texts, percent)
 
 
 def test_hot_group_and_repeated_rows(frame, monkeypatch):
@@ -84,38 +84,74 @@ def test_hot_group_and_repeated_rows(frame, monkeypatch):
     assert J.join_ngrams(frame([])).count() == 0
 
 
-def test_linked_sets_share_a_tile():
-    """Sets that link by a hair have an equal part, whatever their sizes."""
-    rng = np.random.default_rng(5)
-    for _ in range(600):
-        size = int(rng.integers(1, 400))
-        a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2))
-        lost = int(rng.integers(0, max(1, 15 * len(a) // 85) + 1))
+def tiles_of(sets, percent):
+    """Per kind and set its tiles, and how many it shares with each linked set."""
+    found = J.tile_keys(np.concatenate(sets), np.array([len(s) for s in sets]), percent)
+    return [([set(keys[owner == i].tolist()) for i in range(len(sets))], share) for owner, _, keys, share in found]
+
+
+def random_set(rng, size):
+    return np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2))
+
+
+@pytest.mark.parametrize("percent", [40, 50, 60, 67, 75, 80, 85, 95])
+def test_linked_sets_share_tiles(percent):
+    """Sets that link by a hair share as many tiles as said, whatever their sizes."""
+    rng = np.random.default_rng(percent)
+    for _ in range(300):
+        a = random_set(rng, int(rng.integers(1, rng.choice([8, 40, 400]))))
+        lost = int(rng.integers(0, max(1, (100 - percent) * len(a) // percent) + 1))
         drop = int(rng.integers(0, lost + 1)) if len(a) > lost else 0
         b = np.unique(np.r_[rng.permutation(a)[drop:], rng.integers(0, 1 << 63, lost - drop, dtype=np.uint64)])
-        both = [np.concatenate([x, y]) for x, y in [(a, b)]][0]
-        tiles = J.tile_keys(both, np.array([len(a), len(b)]), 85)
-        keys = [{int(k) for o, _, ks, _ in tiles for k in ks[o == i]} for i in (0, 1)]
-        maps = ([len(a)], [J.bitmap(a)], [len(b)], [J.bitmap(b)])
-        assert J._may_link_all(*maps, 85)[0] == J.may_link(*(m[0] for m in maps))
-        if J.linked(a, b):
-            assert J.may_link(len(a), J.bitmap(a), len(b), J.bitmap(b))
-            if not np.array_equal(a, b):  # in the band of the smaller one they share as many tiles as said
-                smaller = 0 if len(a) <= len(b) else 1
-                for below in (0, 1):
-                    mine, other = tiles[0], tiles[below]
-                    common = {int(k) for k in mine[2][mine[0] == smaller]} & {int(k) for k in other[2][other[0] == 1 - smaller]}
-                    if common:
-                        assert len(common) >= max(mine[3][smaller], other[3][1 - smaller])
-                        break
-                else:
-                    raise AssertionError((len(a), len(b)))
-                assert keys[0] & keys[1]
+        if not linked(a, b, percent) or np.array_equal(a, b):
+            continue
+        most = J.most_common([len(a)], [J.bitmap(a)], [len(b)], [J.bitmap(b)])[0]
+        assert most >= len(np.intersect1d(a, b))
+        small, big = sorted([a, b], key=len)
+        own, below, prefix = tiles_of([small, big], percent)
+        enough = False
+        for kind in (own, below):  # in the band of the smaller one
+            common = own[0][0] & kind[0][1]
+            enough |= bool(common) and len(common) >= max(own[1][0], kind[1][1])
+        assert enough or prefix[0][0] & prefix[0][1]
+
+
+def test_unrelated_sets_do_not_meet():
+    rng = np.random.default_rng(2)
+    for size, percent in ((300, 80), (2000, 80), (2000, 85), (6000, 80), (30, 80)):
+        sets = [random_set(rng, size - int(rng.integers(0, size // 10))) for _ in range(400 if size <= 2000 else 60)]
+        met = 0
+        for tiles, _ in tiles_of(sets, percent):
+            holders = {}
+            for i, keys in enumerate(tiles):
+                for k in keys:
+                    holders.setdefault(k, []).append(i)
+            met += sum(len(h) * (len(h) - 1) // 2 for h in holders.values())
+        assert met == 0
+
+
+def test_few_sets_need_prefix_tiles():
+    rng = np.random.default_rng(3)
+    sets = [random_set(rng, int(rng.integers(5, 500))) for _ in range(500)]
+    own, below, prefix = tiles_of(sets, 80)
+    assert sum(bool(p) for p in prefix[0]) < 25 and sum(map(len, own[0])) < sum(map(len, sets)) / 2
+
+
+def test_odd_percent_is_refused(frame):
+    for percent in (0, 101):
+        with pytest.raises(ValueError):
+            J.join_ngrams(frame([]), percent=percent)
+
+
+def test_other_columns_come_back(frame):
+    schema = "doc_id long, text string, _text_mark string, _mark long, _KEY string, _own int, label string, name string"
+    rows = [(1, "a b c d e", "x", 5, "k", 1, "l", "n"), (2, "a b c d e", "y", 6, "m", 2, None, "o"), (3, None, None, None, None, None, None, None)]
+    assert sorted(map(tuple, J.keep_one(frame(rows, schema)).collect())) == [rows[0], rows[2]]
 
 
 def test_exact_threshold_and_shingles():
     a = np.arange(100, dtype=np.uint64)
-    assert J.linked(a[:85], a) and not J.linked(a[:84], a) and not J.linked(a[:0], a[:0])
+    assert linked(a[:85], a, 85) and not linked(a[:84], a, 85) and not linked(a[:0], a[:0], 85)
     values, counts = Shingler(4).sets([b"a b c d a b c d", b"", b"A b", b"a b", b"a b c d"])
     assert counts.tolist() == [4, 0, 1, 1, 1] and values[4] == values[5]
 
