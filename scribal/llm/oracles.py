@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scribal.llm import lexical_search, mixing, ngram_join, quality_rules
+from scribal.llm import lexical_search, minhash, mixing, ngram_join, quality_rules
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -105,6 +105,24 @@ SELECT r.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(
 FROM r LEFT JOIN n ON r.doc_id = n.doc_id GROUP BY r.doc_id
 """
 
+#: As above, and only pairs whose sizes fit are counted.
+MINHASH_SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < {minhash.WIDTH} THEN list_filter([array_to_string(w, ' ')], lambda x: x <> '')
+    ELSE list_transform(range(1, len(w) - {minhash.WIDTH - 2}), lambda i: array_to_string(w[i:i+{minhash.WIDTH - 1}], ' ')) END) AS k FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+z AS (SELECT s.doc_id, k, n FROM s JOIN n USING (doc_id)),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS x, b.n AS y, count(*) AS c FROM z a JOIN z b ON a.k = b.k AND a.doc_id <> b.doc_id
+  AND 100 * least(a.n, b.n) >= {minhash.PERCENT} * greatest(a.n, b.n) GROUP BY 1, 2, 3, 4),
+l AS (SELECT a, b FROM p WHERE 100 * c >= {minhash.PERCENT} * (x + y - c)),
+r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.c = l.a)
+SELECT r.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(r.c) AS component_id, r.doc_id = min(r.c) AS kept
+FROM r LEFT JOIN n ON r.doc_id = n.doc_id GROUP BY r.doc_id
+"""
+
 _TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 #: Every document is scored for every item.
 LEXICAL_SEARCH_SQL = rf"""

@@ -11,10 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scribal.llm import bpe, html_text, lexical_search, mixing, ngram_join, quality_classifier, quality_rules, runs, secrets, simhash, span_dedup, toxicity
+from scribal.llm import bpe, html_text, lexical_search, minhash, mixing, ngram_join, quality_classifier, quality_rules, runs, secrets, simhash, span_dedup, toxicity
 from scribal.llm.common import bind, importable, table, words, written
 from scribal.llm.labelled import held_out
-from scribal.llm.oracles import LEXICAL_SEARCH_SQL, MIXING_SQL, NGRAM_JOIN_SQL, QUALITY_RULES_SQL
+from scribal.llm.oracles import LEXICAL_SEARCH_SQL, MINHASH_SQL, MIXING_SQL, NGRAM_JOIN_SQL, QUALITY_RULES_SQL
 
 #: The file of a public tokenizer is found by this name; its path is a parameter of the operator.
 BPE_FILE = "word_bpe_49k.json"
@@ -158,6 +158,11 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+@_query("op12_minhash", MINHASH_SQL)
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @_query("op13_lexical_search", LEXICAL_SEARCH_SQL)
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
