@@ -12,20 +12,21 @@ to with probability (1 - p)^C + C p (1 - p)^(C - 1), p = s^ROWS: at s = 0.8 one
 pair in a million, at 0.85 one in a hundred million, and unrelated sets of similarity
 0.05 meet four times in a million.
 
-Plan. (1) One pass over the texts writes size, digest and signature; equal sets are
-one node from here on. (2) A collection's key that only one node has can make no
-meeting: nodes keep the collections they share with another, so unrelated documents,
-most as a rule, enter no table at all. (3) In the tables of the first few collections
-each node is held against its bucket's least node (as many checks as nodes), pairs
-are verified on the full sets, and the links' components are found. (4) For all
-tables the least and the largest component of each bucket are aggregated; buckets
-within one component are done. (5) What is left is held against one more node per
-bucket, and then (6) nodes of different components are compared in blocks of bounded
-size; a pair goes on from the first table that it shares, and only if sizes and the
-agreement of whole signatures allow the similarity (by more than five standard
-deviations). Every link that counts passes the exact test on the full sets.
-Copies and near copies in any number thus cost as many checks as rows, and nothing
-is capped.
+Plan. (1) One pass over the texts writes size, digest, collection keys and a hashed
+bitmap per document; equal sets are one node from here on. (2) A collection's key that
+only one node has can make no meeting: nodes keep the collections they share with
+another, so unrelated documents, most as a rule, enter no table at all. (3) In the
+tables of the first few collections each node is held against its bucket's pivot (as
+many checks as nodes), pairs are verified on the full sets, and the links' components
+are found. The pivot is the node whose collection keys most nodes share: as a copy's
+minhashes are mostly those of the text it was made from, that is this text. (4) For
+all tables the least and the largest component of each bucket are aggregated; buckets
+within one component are done. (5) What is left is held against pivots again, twice,
+and then (6) nodes of different components are compared in blocks of bounded size,
+each pair in the first table that it shares: bit counts of the bitmaps bound what two
+sets can share, and only pairs that may be similar enough leave the task. Every link
+that counts passes the exact test on the full sets. Copies and near copies in any
+number thus cost as many checks as rows, and nothing is capped.
 
 Defined results: null, empty or blank texts have the empty set, are linked with
 nothing, are their own component and stay. Texts of fewer words than a shingle are
@@ -42,14 +43,15 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scribal.llm.bitmaps import against_one, bitmap, likeliest, open_pairs, pass_bitmaps
 from scribal.llm.common import frees_tables, keep_named, mark, need, one_of_equal, small, written
 from scribal.llm.labelled import groups
 from scribal.llm.links import components, exact_links, is_text, labelled, named, repeated_rows
-from scribal.llm.shingles import Shingler, digests
+from scribal.llm.shingles import Shingler, digests, pair_hash
 
 WIDTH = 2
 #: Linked when 100 * intersection >= PERCENT * union.
@@ -57,6 +59,8 @@ PERCENT = 80
 COLLECTIONS, ROWS = 24, 3
 #: Collections whose tables give the first links.
 PROBES = 5
+#: Rounds in which the nodes of open buckets are held against pivots.
+PIVOT_ROUNDS = 2
 #: Nodes of a bucket that one task compares with each other at a time.
 BLOCK = 512
 #: Pairs that are compared at a time.
@@ -79,17 +83,20 @@ def signatures(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def least_agreement(percent: int) -> int:
-    """Minhashes that two linked sets share, but for one pair in millions."""
-    n, s = COLLECTIONS * ROWS, percent / 100
-    return max(0, int(n * s - 5.2 * (n * s * (1 - s)) ** 0.5))
+def collection_keys(sig: np.ndarray) -> np.ndarray:
+    """One number per collection of a set, from its minhashes."""
+    parts = sig.reshape(len(sig), COLLECTIONS, ROWS).astype(np.uint64)
+    key = np.broadcast_to(np.arange(COLLECTIONS, dtype=np.uint64), parts.shape[:2]).copy()
+    for r in range(ROWS):
+        key = pair_hash(key, parts[:, :, r])
+    return key.view(np.int64)
 
 
 def describe(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """``(key, mark, size, sid, sig)`` of every document."""
+    """``(key, mark, size, sid, halves, bits)`` of every document."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), mark(F.col(text)).alias("mark"))
-    schema = T.StructType([rows.schema["key"], rows.schema["mark"], T.StructField("size", T.LongType(), False),
-                           T.StructField("sid", T.LongType(), False), T.StructField("sig", T.BinaryType(), False)])
+    schema = T.StructType([rows.schema["key"], rows.schema["mark"], T.StructField("size", T.LongType(), False), T.StructField("sid", T.LongType(), False),
+                           T.StructField("halves", T.ArrayType(T.LongType(), False), False), T.StructField("bits", T.BinaryType(), False)])
 
     def batches(it):
         shingler = Shingler(width)
@@ -97,156 +104,62 @@ def describe(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
             texts = [(t or "").encode("utf-8") for t in batch.column(1).to_pylist()]
             for a, b in groups(texts, 1_000_000):
                 values, counts = shingler.sets(texts[a:b])
-                sig = signatures(values, counts)
+                ends = np.cumsum(counts)
+                halves = pa.ListArray.from_arrays(pa.array((np.arange(b - a + 1) * COLLECTIONS).astype(np.int32)),
+                                                  pa.array(collection_keys(signatures(values, counts)).ravel()))
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(counts.astype(np.int64)),
-                    pa.array(digests(values, counts)), pa.array([r.tobytes() for r in sig], pa.binary())], names=schema.names)
+                    pa.array(digests(values, counts)), halves,
+                    pa.array([bitmap(values[e - c:e]) for e, c in zip(ends, counts)], pa.binary())], names=schema.names)
 
     return rows.mapInArrow(batches, schema)
 
 
 def shared_collections(nodes: DataFrame) -> DataFrame:
-    """``(sid, shared)``: per node the collections ``(c, half)`` whose key another
-    node has too, for nodes with two of them or more."""
-    size = 4 * ROWS
-    halves = nodes.select("sid", F.posexplode(F.array(*[
-        F.xxhash64(F.lit(c), F.substring("sig", size * c + 1, size)) for c in range(COLLECTIONS)])).alias("c", "half"))
-    common = halves.groupBy("half").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low < high").select("half")
+    """``(sid, known, shared)``: per node the collections ``(c, half)`` whose key
+    another node has too, for nodes with two of them or more, and how many nodes
+    these keys are shared with in all."""
+    halves = nodes.select("sid", F.posexplode("halves").alias("c", "half"))
+    common = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1")
     met = halves.join(small(written(common)), "half")
-    return met.groupBy("sid").agg(F.sort_array(F.collect_list(F.struct("c", "half"))).alias("shared")).where(F.size("shared") > 1)
+    listed = met.groupBy("sid").agg(F.sum("n").alias("known"), F.sort_array(F.collect_list(F.struct("c", "half"))).alias("shared"))
+    return listed.where(F.size("shared") > 1)
 
 
 def in_tables(shared: DataFrame, first: int = COLLECTIONS) -> DataFrame:
     """One row per table that a node is in: its other columns, ``t`` (the two
-    collections) and ``bucket``. Of the tables on the first collections only, if asked."""
+    collections) and ``place``, the bucket. Of the tables on the first collections
+    only, if asked."""
     kept = F.filter("shared", lambda x: x["c"] < first)
     pairs = F.flatten(F.transform(kept, lambda x: F.transform(
         F.filter(kept, lambda y: y["c"] > x["c"]),
-        lambda y: F.struct((x["c"] * COLLECTIONS + y["c"]).alias("t"), F.xxhash64(x["half"], y["half"], x["c"], y["c"]).alias("bucket")))))
+        lambda y: F.struct((x["c"] * COLLECTIONS + y["c"]).alias("t"), F.xxhash64(x["half"], y["half"], x["c"], y["c"]).alias("place")))))
     rest = [c for c in shared.columns if c != "shared"]
-    return shared.select(*rest, F.explode(pairs).alias("_at")).select(*rest, "_at.t", "_at.bucket")
-
-
-def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a == b).sum(axis=1)
-
-
-def may_link(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b), with how many minhashes they share, whose sizes and
-    signatures allow the similarity."""
-    if pairs.isEmpty():
-        return pairs.select("a", "b", F.lit(0).alias("same"))
-    asked = written(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct())
-    known = written(nodes.select("sid", "size", "sig").join(small(asked), "sid"))
-    side = {s: known.select(F.col("sid").alias(s), F.col("size").alias(f"size_{s}"), F.col("sig").alias(f"sig_{s}")) for s in ("a", "b")}
-    fits = percent * F.greatest("size_a", "size_b") <= 100 * F.least("size_a", "size_b")
-    both = pairs.join(side["a"], "a").join(side["b"], "b").where(fits)
-    least = least_agreement(percent)
-
-    def batches(it):
-        for batch in it:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint32).reshape(-1, COLLECTIONS * ROWS) for c in (2, 3))
-            same = agreement(x, y)
-            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same.astype(np.int32))], names=["a", "b", "same"])
-            yield out.filter(pa.array(same >= least))
-
-    return both.select("a", "b", "sig_a", "sig_b").mapInArrow(batches, "a long, b long, same int")
-
-
-def against_one(members: DataFrame, pick: Column, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of each member (sid, bucket, label) and the node that its bucket
-    picks, of another component; of several each member keeps the likeliest."""
-    picked = members.groupBy("bucket").agg(F.min_by(F.struct("sid", "label"), pick).alias("one"))
-    met = members.join(picked, "bucket").where("label <> one.label")
-    pairs = written(met.select(F.greatest("sid", "one.sid").alias("a"), F.least("sid", "one.sid").alias("b"), F.col("sid").alias("of"))
-                    .groupBy("a", "b").agg(F.max("of").alias("of")))
-    likely = may_link(pairs.select("a", "b"), nodes, percent).join(pairs, ["a", "b"])
-    best = likely.groupBy("of").agg(F.max_by(F.struct("a", "b"), F.struct("same", "a", "b")).alias("p"))
-    return best.select("p.a", "p.b").distinct()
+    return shared.select(*rest, F.explode(pairs).alias("_at")).select(*rest, "_at.t", "_at.place")
 
 
 def open_members(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of the buckets that hold several components."""
+    """Members (place, t, sid, label, known) of the buckets that hold several
+    components."""
     tagged = labelled(shared, labels)
-    crossing = (in_tables(tagged.select("label", "shared")).groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-                .where("low < high").select("bucket"))
-    return written(in_tables(tagged).join(small(written(crossing)), "bucket"))
-
-
-def _pairs_within(begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of places (i < j) within stretches."""
-    owner = np.repeat(np.arange(len(size)), size)
-    place = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
-    after = size[owner] - 1 - place
-    i = np.repeat(begin[owner] + place, after)
-    step = np.arange(len(i)) - np.repeat(np.cumsum(after) - after, after)
-    return i, i + 1 + step
-
-
-def first_shared_table(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The first table in which nodes with these collection keys meet."""
-    same = a == b
-    one = same.argmax(axis=1)
-    same[np.arange(len(same)), one] = False
-    return one * COLLECTIONS + same.argmax(axis=1)
-
-
-def open_pairs(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of one bucket and different components whose sizes fit, each
-    from the first table that it shares. Buckets are compared block by block."""
-    size = 4 * ROWS
-    # 32 bits of each collection's key tell which tables two nodes share
-    code = F.concat(*[F.substring(F.unhex(F.lpad(F.hex(F.xxhash64(F.lit(c), F.substring("sig", size * c + 1, size))), 16, "0")), 1, 4)
-                      for c in range(COLLECTIONS)])
-    known = written(members.select("sid").distinct().join(nodes, "sid").select("sid", "size", code.alias("code")))
-    counts = members.groupBy("bucket").agg(F.count("*").alias("n"))
-    blocks = F.greatest(F.ceil(F.col("n") / BLOCK).cast("long"), F.lit(1).cast("long"))
-    own = F.pmod(F.xxhash64("sid"), blocks)
-    places = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda o: F.struct(F.least(own, o).alias("i"), F.greatest(own, o).alias("j")))
-    spread = members.join(counts, "bucket").select("bucket", "t", "sid", "label", own.alias("own"), F.explode(places).alias("at"))
-    rows = (spread.join(known, "sid").select("bucket", "at.i", "at.j", "own", "t", "sid", "label", "size", "code")
-            .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j"))
-
-    def compared(table: pa.Table) -> pa.RecordBatch:
-        n = {c: table.column(c).to_numpy() for c in ("bucket", "i", "j", "own", "t", "sid", "label", "size")}
-        codes = np.frombuffer(b"".join(table.column("code").to_pylist()), dtype=np.uint32).reshape(-1, COLLECTIONS)
-        new = np.r_[True, (n["bucket"][1:] != n["bucket"][:-1]) | (n["i"][1:] != n["i"][:-1]) | (n["j"][1:] != n["j"][:-1])]
-        begin = np.flatnonzero(new)
-        sizes = np.diff(np.r_[begin, len(table)])
-        work = np.cumsum(sizes * (sizes - 1) // 2)
-        found, a = [], 0
-        while a < len(begin):
-            b = max(a + 1, int(np.searchsorted(work, (work[a - 1] if a else 0) + CHUNK, side="right")))
-            x, y = _pairs_within(begin[a:b], sizes[a:b])
-            low, big = np.minimum(n["size"][x], n["size"][y]), np.maximum(n["size"][x], n["size"][y])
-            keep = (n["label"][x] != n["label"][y]) & (percent * big <= 100 * low)
-            keep &= (n["i"][x] == n["j"][x]) | (n["own"][x] != n["own"][y])  # pairs within a block have a place of their own
-            x, y = x[keep], y[keep]
-            keep = first_shared_table(codes[x], codes[y]) == n["t"][x] if len(x) else keep[:0]
-            found.append(np.stack([np.maximum(n["sid"][x], n["sid"][y])[keep], np.minimum(n["sid"][x], n["sid"][y])[keep]]))
-            a = b
-        both = np.concatenate(found, axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
-
-    def batches(it):
-        held: list[pa.RecordBatch] = []
-        for batch in it:
-            held.append(batch)
-            if sum(map(len, held)) < 4 * BLOCK:
-                continue
-            table = pa.Table.from_batches(held)
-            last = [table.column(c)[-1].as_py() for c in ("bucket", "i", "j")]
-            tail = np.ones(len(table), dtype=bool)
-            for c, v in zip(("bucket", "i", "j"), last):
-                tail &= table.column(c).to_numpy() == v
-            cut = int(np.argmax(tail))  # the last stretch may go on in the next batch
-            if cut:
-                yield compared(table.slice(0, cut))
-            held = table.slice(cut).to_batches()
-        if sum(map(len, held)):
-            yield compared(pa.Table.from_batches(held))
-
-    return rows.mapInArrow(batches, "a long, b long").distinct()
+    crossing = (in_tables(tagged.select("label", "shared")).groupBy("place").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+                .where("low < high").select("place"))
+    return written(in_tables(tagged).join(small(written(crossing)), "place"))
+
+
+def first_shared_table(columns: dict, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which pairs meet in this table first: the least two collections that they
+    share are the table's own."""
+    code = np.array(columns["halves"], dtype=np.int64).reshape(-1, COLLECTIONS)
+    table = np.array(columns["t"], dtype=np.int64)
+    out = np.zeros(len(x), dtype=bool)
+    for at in range(0, len(x), CHUNK // 8):
+        p, q = x[at:at + CHUNK // 8], y[at:at + CHUNK // 8]
+        same = code[p] == code[q]
+        one = same.argmax(axis=1)
+        same[np.arange(len(same)), one] = False
+        out[at:at + len(p)] = one * COLLECTIONS + same.argmax(axis=1) == table[p]
+    return out
 
 
 @frees_tables
@@ -257,21 +170,29 @@ def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: in
     plain = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), mark(F.col(text)).alias("mark"))
     described = written(describe(docs, key, text, width))
     least = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "mark")).alias("least")
-    nodes = written(described.where("size > 0").groupBy("sid").agg(least, F.first("size").alias("size"), F.first("sig").alias("sig"))
-                    .select("sid", "least.key", "least.mark", "size", "sig"))
+    nodes = written(described.where("size > 0").groupBy("sid").agg(
+        least, *[F.first(c).alias(c) for c in ("size", "halves", "bits")]).select("sid", "least.key", "least.mark", "size", "halves", "bits"))
     texts = one_of_equal(plain, repeated_rows(described, nodes), is_text(), ["key", "mark"])
     shared = written(shared_collections(nodes))
 
     def verified(pairs: DataFrame) -> DataFrame:
         return written(exact_links(written(pairs), nodes, texts, width, percent))
 
-    start = in_tables(shared, PROBES).withColumn("label", F.col("sid"))
-    links = verified(against_one(start, F.col("sid"), nodes, percent))
-    members = open_members(shared, components(links))
-    links = links.unionByName(verified(against_one(members, F.xxhash64("sid", "bucket"), nodes, percent)))
-    members = open_members(shared, components(links))
-    rest = may_link(written(open_pairs(members, nodes, percent)), nodes, percent).select("a", "b")
-    return named(described, nodes, components(links.unionByName(verified(rest))))
+    members = written(in_tables(shared, PROBES).withColumn("label", F.col("sid")))
+    links = verified(against_one(members, likeliest(), nodes, percent))
+    labels = components(links)
+    for turn in range(PIVOT_ROUNDS + 1):
+        members = open_members(shared, labels)
+        if members.isEmpty():
+            break
+        if turn < PIVOT_ROUNDS:
+            pairs = against_one(members, likeliest(), nodes, percent)
+        else:
+            members = members.drop("known").join(nodes.select("sid", "halves"), "sid")
+            pairs = pass_bitmaps(written(open_pairs(members, nodes, percent, BLOCK, CHUNK, first_shared_table)), nodes, percent).select("a", "b")
+        links = written(links.unionByName(verified(pairs)))
+        labels = components(links)
+    return named(described, nodes, labels)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:

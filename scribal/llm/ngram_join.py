@@ -24,14 +24,15 @@ Plan. (1) One pass over the texts writes size, digest, bitmap and tile keys per
 document; equal sets share a digest and are one node from here on. (2) In the
 tiles of the first few parts every set is checked against one pivot of the tile
 (as many checks as rows), the likeliest of its pivots, and the links' components are
-found. (3) For all tiles the least and the largest component are aggregated; tiles
+found. A tile's pivot is the set whose tiles hold most sets, as those of a text do
+that others were copied from. (3) For all tiles the least and the largest component are aggregated; tiles
 within one component are done. Linked sets share at least ``share`` tiles of a band
 (as many equal parts as a set cannot leave empty), so sets with fewer open tiles
 leave them, and the others need only the first of theirs: of n open tiles all but
-share - 1. (4) What is left is checked against one more pivot per tile. (5) In tiles
-that are open still, pairs of different components are listed block by block, in
-blocks of bounded size, held against their bitmaps and decided. Tiles carry narrow
-rows only; bitmaps are brought to pairs. Copies and near copies in any number thus
+share - 1. (4) What is left is checked against pivots again, twice. (5) In tiles
+that are open still, pairs of different components are held against their bitmaps
+block by block, in blocks of bounded size and with bitmaps of bounded length, and
+those that pass are decided. Tiles carry narrow rows until then. Copies and near copies in any number thus
 cost as many checks as rows, and hot tiles are aggregated before they meet.
 
 Hashes have 64 bits. Defined results: null, empty or blank texts have the empty
@@ -49,10 +50,11 @@ from math import exp
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scribal.llm.bitmaps import against_one, bitmap, likeliest, open_pairs, pass_bitmaps
 from scribal.llm.common import frees_tables, keep_named, mark, need, one_of_equal, small, written
 from scribal.llm.labelled import groups
 from scribal.llm.links import components, exact_links, is_text, labelled, named, repeated_rows
@@ -65,10 +67,10 @@ PERCENT = 85
 GROWTH = 1.5
 #: Least percent for tiles of parts; sets of lower similarities differ in too much.
 PARTS_FROM = 67
-#: Bits of the shortest bitmap.
-LEAST_BITS = 256
 #: Parts whose tiles give the first links.
 PROBES = 4
+#: Rounds in which the sets of open tiles are checked against pivots.
+PIVOT_ROUNDS = 2
 #: Sets of a tile that one task compares with each other at a time.
 BLOCK = 512
 #: Pairs that are compared at a time.
@@ -127,48 +129,6 @@ def tile_keys(values: np.ndarray, counts: np.ndarray, percent: int) -> list[tupl
     return out
 
 
-def bitmap_bits(size: int) -> int:
-    """Length of a set's bitmap: a power of two, four times its size or more."""
-    return max(LEAST_BITS, 1 << max(0, 4 * size - 1).bit_length())
-
-
-def bitmap(values: np.ndarray) -> bytes:
-    """The set's bitmap by the leading bits of its hashes."""
-    bits = bitmap_bits(len(values))
-    out = np.zeros(bits, dtype=bool)
-    out[(values >> np.uint64(64 - bits.bit_length() + 1)).astype(np.int64)] = True
-    return np.packbits(out).tobytes()
-
-
-def _packed(bits: list[bytes]) -> np.ndarray:
-    """Bitmaps as rows of 64-bit words, folded to the shortest."""
-    length = 8 * min(map(len, bits))
-    out = np.empty((len(bits), length // 8), dtype=np.uint8)
-    for size in {len(b) for b in bits}:
-        at = [i for i, b in enumerate(bits) if len(b) == size]
-        raw = np.frombuffer(b"".join(bits[i] for i in at), dtype=np.uint8).reshape(len(at), size)
-        if size * 8 != length:
-            raw = np.packbits(np.unpackbits(raw, axis=1).reshape(len(at), length, -1).any(axis=2), axis=1)
-        out[at] = raw
-    return out.view(np.uint64)
-
-
-def most_common(size_a: list[int], bits_a: list[bytes], size_b: list[int], bits_b: list[bytes]) -> np.ndarray:
-    """The most shingles that the sets of each pair can share, by their bitmaps;
-    pairs with equal lengths are held against each other at once."""
-    out = np.zeros(len(size_a), dtype=np.int64)
-    lengths: dict[tuple[int, int], list[int]] = {}
-    for i, (x, y) in enumerate(zip(bits_a, bits_b)):
-        lengths.setdefault((len(x), len(y)), []).append(i)
-    for at in lengths.values():
-        words = _packed([bits_a[i] for i in at] + [bits_b[i] for i in at])
-        a, b = words[: len(at)], words[len(at):]
-        x, y = (np.array([v[i] for i in at], dtype=np.int64) for v in (size_a, size_b))
-        out[at] = np.minimum(x - np.bitwise_count(a & ~b).sum(axis=1, dtype=np.int64),
-                             y - np.bitwise_count(b & ~a).sum(axis=1, dtype=np.int64))
-    return out
-
-
 def describe(docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
     """One row per document: key, size, digest, bitmap, probe and tile keys; the
     first ``own`` tiles are of the own band, the next ``below`` of the one below,
@@ -210,125 +170,32 @@ def describe(docs: DataFrame, key: str, text: str, width: int, percent: int) ->
     return rows.mapInArrow(batches, schema)
 
 
-def pass_bitmaps(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that sizes and bitmaps let through, with the ``bound`` of
-    their similarity. ``sets`` is (sid, size, bits), once per set."""
-    if pairs.isEmpty():
-        return pairs.select("a", "b", F.lit(0.0).alias("bound"))
-    asked = written(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct())
-    known = written(sets.join(small(asked), "sid"))
-    side = {s: known.select(F.col("sid").alias(s), F.col("size").alias(f"size_{s}"), F.col("bits").alias(f"bits_{s}"))
-            for s in ("a", "b")}
-    fits = percent * F.greatest("size_a", "size_b") <= 100 * F.least("size_a", "size_b")
-    sized = pairs.join(side["a"].drop("bits_a"), "a").join(side["b"].drop("bits_b"), "b").where(fits).select("a", "b")
-    both = sized.join(side["a"], "a").join(side["b"], "b")
-
-    def batches(it):
-        for whole in it:
-            for at in range(0, len(whole), 2000):
-                batch = whole.slice(at, 2000)
-                d = batch.select(["size_a", "bits_a", "size_b", "bits_b"]).to_pydict()
-                most = most_common(*d.values())
-                union = np.array(d["size_a"], dtype=np.int64) + np.array(d["size_b"], dtype=np.int64) - most
-                out = pa.RecordBatch.from_arrays([*batch.select(["a", "b"]).columns, pa.array(most / np.maximum(union, 1))], names=["a", "b", "bound"])
-                yield out.filter(pa.array(100 * most >= percent * union))
-
-    return both.select("a", "b", "size_a", "bits_a", "size_b", "bits_b").mapInArrow(batches, "a long, b long, bound double")
-
-
-def against_one(members: DataFrame, pick: Column, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of each member (sid, tile, label) and the pivot that its tile picks, of
-    another component; of several each member keeps the likeliest."""
-    pivots = members.groupBy("tile").agg(F.min_by(F.struct("sid", "label"), pick).alias("one"))
-    met = members.join(pivots, "tile").where("label <> one.label")
-    pairs = written(met.select(F.greatest("sid", "one.sid").alias("a"), F.least("sid", "one.sid").alias("b"), F.col("sid").alias("of"))
-                    .groupBy("a", "b").agg(F.max("of").alias("of")))
-    likely = pass_bitmaps(pairs.select("a", "b"), sets, percent).join(pairs, ["a", "b"])
-    best = likely.groupBy("of").agg(F.max_by(F.struct("a", "b"), F.struct("bound", "a", "b")).alias("p"))
-    return best.select("p.a", "p.b").distinct()
-
-
 def open_members(once: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(sid, label, tile)`` of the tiles that hold several components: for the sets
-    that are in as many as they would share with a linked one, the first of these."""
+    """``(sid, label, place, known)`` of the tiles that hold several components: for
+    the sets that are in as many as they would share with a linked one, the first
+    of these. ``known``: how many sets the set's open tiles hold in all."""
     tagged = labelled(once, labels)
-    crossing = written(tagged.select("label", F.explode("tiles").alias("tile")).groupBy("tile").agg(
-        F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("tile"))
-    entered = tagged.select("sid", "own", "below", "share_0", "share_1", "label", F.posexplode("tiles").alias("at", "tile"))
+    crossing = written(tagged.select("label", F.explode("tiles").alias("place")).groupBy("place").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")).where("low < high").select("place", "n"))
+    entered = tagged.select("sid", "own", "below", "share_0", "share_1", "label", F.posexplode("tiles").alias("at", "place"))
     kind = F.when(F.col("at") < F.col("own"), 0).when(F.col("at") < F.col("own") + F.col("below"), 1).otherwise(2)
     share = F.when(kind == 0, F.col("share_0")).when(kind == 1, F.col("share_1")).otherwise(1)
-    members = written(entered.join(small(crossing), "tile").select("tile", "sid", "label", kind.alias("kind"), share.alias("share")))
+    members = written(entered.join(small(crossing), "place").select("place", "sid", "label", kind.alias("kind"), share.alias("share"), "n"))
     for _ in range(0 if members.isEmpty() else 2):  # whoever leaves may close tiles for others
-        often = members.groupBy("sid", "kind").agg(F.count("*").alias("n"))
-        kept = members.join(often, ["sid", "kind"]).where("n >= share")
-        tiles = kept.groupBy("tile").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("tile")
-        members = written(kept.join(small(written(tiles)), "tile").select("tile", "sid", "label", "kind", "share"))
-    listed = members.groupBy("sid", "label", "kind", "share").agg(F.sort_array(F.collect_list("tile")).alias("tiles"))
+        often = members.groupBy("sid", "kind").agg(F.count("*").alias("n_open"))
+        kept = members.join(often, ["sid", "kind"]).where("n_open >= share")
+        tiles = kept.groupBy("place").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("place")
+        members = written(kept.join(small(written(tiles)), "place").select("place", "sid", "label", "kind", "share", "n"))
+    listed = members.groupBy("sid", "label", "kind", "share").agg(F.sort_array(F.collect_list("place")).alias("tiles"), F.sum("n").alias("known"))
     first = F.expr("slice(tiles, 1, greatest(0, size(tiles) - share + 1))")  # a set's own tiles only
-    return written(listed.select("sid", "label", F.explode(first).alias("tile")).distinct())
-
+    return written(listed.select("sid", "label", "known", F.explode(first).alias("place")).groupBy("sid", "label", "place").agg(F.max("known").alias("known")))
 
-def _pairs_within(begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of places (x < y) within stretches."""
-    owner = np.repeat(np.arange(len(size)), size)
-    place = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
-    after = size[owner] - 1 - place
-    x = np.repeat(begin[owner] + place, after)
-    return x, x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(after) - after, after)
-
-
-def _listed(table: pa.Table, percent: int) -> pa.RecordBatch:
-    """Pairs of different components that stand at one place of a tile's blocks."""
-    n = {c: table.column(c).to_numpy() for c in ("tile", "i", "j", "own", "sid", "label", "size")}
-    new = np.r_[True, (n["tile"][1:] != n["tile"][:-1]) | (n["i"][1:] != n["i"][:-1]) | (n["j"][1:] != n["j"][:-1])]
-    begin = np.flatnonzero(new)
-    sizes = np.diff(np.r_[begin, len(table)])
-    work = np.cumsum(sizes * (sizes - 1) // 2)
-    found, a = [np.empty((0, 2), dtype=np.int64)], 0
-    while a < len(begin):
-        b = max(a + 1, int(np.searchsorted(work, (work[a - 1] if a else 0) + CHUNK, side="right")))
-        x, y = _pairs_within(begin[a:b], sizes[a:b])
-        keep = (n["label"][x] != n["label"][y]) & ((n["i"][x] == n["j"][x]) | (n["own"][x] != n["own"][y]))
-        x, y = x[keep], y[keep]
-        fits = percent * np.maximum(n["size"][x], n["size"][y]) <= 100 * np.minimum(n["size"][x], n["size"][y])
-        p, q = n["sid"][x[fits]], n["sid"][y[fits]]
-        found.append(np.unique(np.stack([np.maximum(p, q), np.minimum(p, q)], axis=1), axis=0))
-        a = b
-    both = np.unique(np.concatenate(found), axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
-
-
-def open_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of sets of one tile but different components whose sizes fit.
-    A tile is cut into blocks; a task reads two of them at a time."""
-    sized = members.join(sets.select("sid", "size"), "sid")
-    counts = members.groupBy("tile").agg(F.count("*").alias("n"))
-    blocks = F.greatest(F.ceil(F.col("n") / BLOCK).cast("long"), F.lit(1).cast("long"))
-    own = F.pmod(F.xxhash64("sid"), blocks)
-    places = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda o: F.struct(F.least(own, o).alias("i"), F.greatest(own, o).alias("j")))
-    spread = sized.join(counts, "tile").select("tile", "sid", "label", "size", own.alias("own"), F.explode(places).alias("at"))
-    rows = (spread.select("tile", "at.i", "at.j", "own", "sid", "label", "size")
-            .repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j"))
-
-    def batches(it):
-        held: list[pa.RecordBatch] = []
-        for batch in it:
-            held.append(batch)
-            if sum(map(len, held)) < 4 * BLOCK:
-                continue
-            table = pa.Table.from_batches(held)
-            tail = np.ones(len(table), dtype=bool)
-            for c in ("tile", "i", "j"):
-                numbers = table.column(c).to_numpy()
-                tail &= numbers == numbers[-1]
-            cut = int(np.argmax(tail))  # the last place may go on in the next batch
-            if cut:
-                yield _listed(table.slice(0, cut), percent)
-            held = table.slice(cut).to_batches()
-        if sum(map(len, held)):
-            yield _listed(pa.Table.from_batches(held), percent)
 
-    return rows.mapInArrow(batches, "a long, b long").distinct()
+def _popular(members: DataFrame) -> DataFrame:
+    """``members`` with ``known``: how many sets the tiles of each set hold in all."""
+    counts = members.groupBy("place").agg(F.count("*").alias("n"))
+    known = members.join(small(written(counts.where("n > 1"))), "place").groupBy("sid").agg(F.sum("n").alias("known"))
+    return written(members.join(known, "sid"))
 
 
 @frees_tables
@@ -353,13 +220,20 @@ def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: in
     def verified(pairs: DataFrame) -> DataFrame:
         return written(exact_links(written(pairs), nodes, texts, width, percent))
 
-    probes = once.select("sid", F.explode("probes").alias("tile"), F.col("sid").alias("label"))
-    links = verified(against_one(probes, F.col("sid"), sets, percent))
-    members = open_members(once, components(links))
-    links = links.unionByName(verified(against_one(members, F.xxhash64("sid", "tile"), sets, percent)))
-    members = open_members(once, components(links))
-    rest = pass_bitmaps(written(open_pairs(members, sets, percent)), sets, percent).select("a", "b")
-    return named(described, nodes, components(links.unionByName(verified(rest))))
+    probes = written(once.select("sid", F.explode("probes").alias("place"), F.col("sid").alias("label")))
+    links = verified(against_one(_popular(probes), likeliest(), sets, percent))
+    labels = components(links)
+    for turn in range(PIVOT_ROUNDS + 1):
+        members = open_members(once, labels)
+        if members.isEmpty():
+            break
+        if turn < PIVOT_ROUNDS:
+            pairs = against_one(members, likeliest(), sets, percent)
+        else:
+            pairs = pass_bitmaps(written(open_pairs(members.drop("known"), sets, percent, BLOCK, CHUNK)), sets, percent).select("a", "b")
+        links = written(links.unionByName(verified(pairs)))
+        labels = components(links)
+    return named(described, nodes, labels)
 
 
 def join_ngrams(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH,

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from scribal.llm import ngram_join as J
+from scribal.llm.bitmaps import Bitmaps, bitmap
 from scribal.llm.links import linked
 from scribal.llm.shingles import Shingler
 
@@ -105,7 +106,7 @@ def test_linked_sets_share_tiles(percent):
         b = np.unique(np.r_[rng.permutation(a)[drop:], rng.integers(0, 1 << 63, lost - drop, dtype=np.uint64)])
         if not linked(a, b, percent) or np.array_equal(a, b):
             continue
-        most = J.most_common([len(a)], [J.bitmap(a)], [len(b)], [J.bitmap(b)])[0]
+        most = Bitmaps([bitmap(a), bitmap(b)]).most_common(np.array([0]), np.array([1]), np.array([len(a), len(b)]))[0]
         assert most >= len(np.intersect1d(a, b))
         small, big = sorted([a, b], key=len)
         own, below, prefix = tiles_of([small, big], percent)
@@ -137,6 +138,18 @@ def test_few_sets_need_prefix_tiles():
     assert sum(bool(p) for p in prefix[0]) < 25 and sum(map(len, own[0])) < sum(map(len, sets)) / 2
 
 
+def test_bitmaps_of_any_lengths_bound_from_above():
+    rng = np.random.default_rng(9)
+    sets = [random_set(rng, int(rng.integers(1, 3000))) for _ in range(40)]
+    sets += [np.unique(np.r_[rng.choice(s, len(s) // 2), random_set(rng, 50)]) for s in sets]
+    sizes = np.array([len(s) for s in sets])
+    x, y = (v.ravel() for v in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    most = Bitmaps([bitmap(s) for s in sets]).most_common(x, y, sizes)
+    shared = np.array([len(np.intersect1d(sets[i], sets[j])) for i, j in zip(x, y)])
+    assert (most >= shared).all() and (most <= np.minimum(sizes[x], sizes[y])).all()
+    assert (most[x == y] == sizes[x[x == y]]).all()
+
+
 def test_odd_percent_is_refused(frame):
     for percent in (0, 101):
         with pytest.raises(ValueError):
