@@ -63,6 +63,28 @@ def _cuts(rows: DataFrame, test: tuple[int, int], validation: tuple[int, int]) -
         *boundary("end_test"), *boundary("end_validation")).withColumnRenamed("stratum", "_s")
 
 
+def _seeded_hash(key: str, seed: int) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+
+
+def numbered_splits(split: DataFrame, key: str, seed: int = 42) -> DataFrame:
+    """P5: add ``row_no``, each row's place (from 1) in its split's permutation: the
+    order of one seeded hash of the key, then of the key.
+
+    Rows are dealt by hash prefix and numbered inside it; a histogram of the
+    prefixes, one row per split and prefix, gives the number that each starts with.
+    So the numbers are dense and the same on any cluster, and no task sorts a split,
+    however large. Sort by ``row_no`` inside files written per split to store it.
+    """
+    rows = materialize(split.select("*", _seeded_hash(key, seed).alias("_h")).withColumn("_b", F.substring("_h", 1, _PREFIX)))
+    hist = rows.groupBy("split", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("split").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # 65,536 rows a split at most
+    starts = hist.select("split", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("split", "_b").orderBy("_h", F.col(key).asc_nulls_first()))
+    return rows.withColumn("_place", place).join(starts, ["split", "_b"]).select(
+        *split.columns, (F.col("_start") + F.col("_place")).alias("row_no"))
+
+
 def split_stratified(
     df: DataFrame,
     strata: str,
@@ -80,7 +102,7 @@ def split_stratified(
     order carries no meaning; sort by a seeded hash if an order is wanted).
     """
     routed = F.coalesce(route_to_train, F.lit(False)) if route_to_train is not None else F.lit(False)
-    h = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    h = _seeded_hash(key, seed)
     rows = df.withColumn("_routed", routed).withColumn("_h", h).withColumn("_b", F.substring("_h", 1, _PREFIX))
     cuts = materialize(_cuts(rows.filter(~F.col("_routed")).select(F.col(strata).alias("stratum"), "_b"), test, validation))
     rows = rows.join(cuts, F.col(strata).eqNullSafe(F.col("_s")) & ~F.col("_routed"), "left")

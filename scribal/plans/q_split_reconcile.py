@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scribal.operators.reconcile import cell_diff, key_diff, key_table, reconcile, union_splits
-from scribal.operators.split import split_stratified
+from scribal.operators.reconcile import cell_diff, key_diff_of, reconcile, union_splits
+from scribal.operators.split import numbered_splits, split_stratified
 from scribal.plans.fixtures import table
 from scribal.plans.registry import register
 
@@ -50,11 +50,24 @@ def split_stratified_q(spark, sf_dir):
     return out.select("doc_id", "lang", "split")
 
 
+@register(
+    "split_ordered",
+    f"""SELECT doc_id, split, row_number() OVER (PARTITION BY split ORDER BY md5('42|' || CAST(doc_id AS VARCHAR)), doc_id) AS row_no
+FROM ({_SPLIT_SQL})""",
+    "P5",
+)
+def split_ordered(spark, sf_dir):
+    """Every split in its seeded order."""
+    docs = _labelled_docs(spark, sf_dir)
+    out = split_stratified(docs, "lang", "doc_id", route_to_train=F.col("quality") == 0, seed=42)
+    return numbered_splits(out.select("doc_id", "split"), "doc_id", seed=42)
+
+
 # an altered copy of documents: rows of one source dropped, German texts
 # edited, one source's language changed, and some rows added
-def _versions(spark, sf_dir):
+def _versions(spark, sf_dir, files=1):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    docs = union_splits([docs.filter(F.col("doc_id") % 3 == k) for k in range(3)])  # V7: three split files
+    whole = union_splits([docs.filter(F.col("doc_id") % files == k) for k in range(files)])  # V7: split files
     bench = table(spark, sf_dir, "benchmark")
     altered = docs.filter(F.col("source") != "src3").select(
         "doc_id",
@@ -64,7 +77,7 @@ def _versions(spark, sf_dir):
     )
     extra = bench.select((F.col("item_id") + 1_000_000).alias("doc_id"), "text", F.lit("en").alias("lang"),
                          F.lit("bench").alias("source"))
-    return docs, altered.unionByName(extra)
+    return whole, altered.unionByName(extra)
 
 
 _VERSIONS_SQL = """
@@ -93,7 +106,7 @@ SELECT 'only_right', (SELECT count(*) FROM orr), {_sample_sql('orr', 10)}""",
 )
 def reconcile_keys(spark, sf_dir):
     left, right = _versions(spark, sf_dir)
-    return key_diff(key_table(left, right, "doc_id"))
+    return key_diff_of(left, right, "doc_id")
 
 
 _CELL_COLS = ["text", "lang", "source"]
@@ -153,5 +166,5 @@ UNION ALL SELECT 'fingerprint_equal', NULL, CASE WHEN fl.n = fr.n AND fl.f = fr.
 
 @register("reconcile_report", _REPORT_SQL, "V1 V2 V3 V4 V5 V6 V7")
 def reconcile_report(spark, sf_dir):
-    left, right = _versions(spark, sf_dir)
+    left, right = _versions(spark, sf_dir, files=3)
     return reconcile(left, right.withColumn("note", F.lit("v2")), "doc_id")
