@@ -77,6 +77,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hadoop_path))
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` in full, as Spark's file sources name the files below it."""
+    fs, hadoop_path = _store(spark, path)
+    return fs.makeQualified(hadoop_path).toString()
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a table of this library's own, if it exists."""
     fs, hadoop_path = _store(spark, path)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scribal.operators.collate import order_number
+from scribal.session import path_exists
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES: corpora in union order (= keep-first precedence), with the
@@ -111,11 +112,22 @@ def catalogue_from_text(raw: DataFrame, value_col: str = "value") -> DataFrame:
     )
 
 
+def catalogue_folder(spark: SparkSession, landing: str, corpus: str) -> str | None:
+    """The folder of the corpus's catalogue: of several the least deep one, then the
+    first by name. Its texts are read from there, not from other folders."""
+    found = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "catalogue.json").load(f"{landing.rstrip('/')}/{corpus}"))  # paths only
+    first = found.select("path").orderBy(F.size(F.split("path", "/")), "path").limit(1).collect()
+    return first[0]["path"].rpartition("/")[0] if first else None
+
+
 def read_catalogue(spark: SparkSession, landing: str, corpus: str) -> DataFrame:
-    """One row per catalogue member of ``corpus``, in member order."""
-    raw = (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-           .option("pathGlobFilter", "catalogue.json").text(f"{landing.rstrip('/')}/{corpus}"))
-    return catalogue_from_text(raw)
+    """One row per catalogue member of ``corpus``, in member order; none if no
+    catalogue has landed."""
+    folder = catalogue_folder(spark, landing, corpus)
+    if folder is None:
+        return catalogue_from_text(spark.createDataFrame([], "value string"))
+    return catalogue_from_text(spark.read.option("wholetext", True).text(f"{folder}/catalogue.json"))
 
 
 def conform_catalogue(cat: DataFrame, corpus: str, kind: str, corpus_rank: int) -> tuple[DataFrame, DataFrame]:
@@ -156,14 +168,13 @@ def conform_catalogue(cat: DataFrame, corpus: str, kind: str, corpus_rank: int)
 
 
 def read_texts(spark: SparkSession, landing: str, corpus: str) -> DataFrame:
-    """S3: ``(file_id, json)`` for every text file of ``corpus``."""
-    raw = (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-           .option("pathGlobFilter", "*.json").text(f"{landing.rstrip('/')}/{corpus}"))
+    """S3: ``(file_id, json)`` for every text file beside the corpus's catalogue."""
+    folder = catalogue_folder(spark, landing, corpus)
+    if folder is None or not path_exists(spark, f"{folder}/corpusjson"):
+        return spark.createDataFrame([], "file_id string, json string")
+    raw = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(f"{folder}/corpusjson")
     name = F.col("_metadata.file_name")
-    path = F.col("_metadata.file_path")
-    return raw.filter(path.contains("/corpusjson/")).select(
-        F.regexp_replace(name, r"\.json$", "").alias("file_id"), F.col("value").alias("json")
-    )
+    return raw.select(F.regexp_replace(name, r"\.json$", "").alias("file_id"), F.col("value").alias("json"))
 
 
 def attach_texts(good: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
