@@ -9,12 +9,14 @@ smallest ``ord``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scribal.functions import rule_values as V
+from scribal.session import materialize
 
 ORD = "ord"
 
@@ -32,9 +34,24 @@ def order_parts(order: Column) -> tuple[Column, Column]:
     return F.shiftright(order, POS_BITS).cast("int"), order.bitwiseAND(F.lit((1 << POS_BITS) - 1))
 
 
-def with_ord(df: DataFrame, corpus_rank: int, pos: Column | str) -> DataFrame:
-    """Attach ``ord``. The position must be given: Spark reads larger splits
-    first, so no generated id follows the order of files."""
+def file_positions(df: DataFrame) -> DataFrame:
+    """``df``, read from Parquet files, with ``pos``: its rows numbered from 0 in the
+    order of the files' paths and of the rows in each file, whatever Spark reads
+    first. One pass over the files' row numbers gives each file's first position."""
+    path, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    sizes = df.select(path.alias("_file"), row.alias("_row")).groupBy("_file").agg((F.max("_row") + 1).alias("_rows"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    starts = sizes.select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    placed = df.select("*", path.alias("_file"), row.alias("_row")).join(starts, "_file")
+    return placed.select(*df.columns, (F.col("_start") + F.col("_row")).alias("pos"))
+
+
+def with_ord(df: DataFrame, corpus_rank: int, pos: Column | str | None = None) -> DataFrame:
+    """Attach ``ord``. Spark reads larger splits first, so no generated id follows
+    the order of files: the position is given, or (None) taken from the Parquet files
+    that ``df`` is read from."""
+    if pos is None:
+        return file_positions(df).withColumn(ORD, order_number(corpus_rank, F.col("pos"))).drop("pos")
     return df.withColumn(ORD, order_number(corpus_rank, F.col(pos) if isinstance(pos, str) else pos))
 
 
@@ -67,24 +84,51 @@ def apply_filters(df: DataFrame, predicates: Sequence[Column]) -> DataFrame:
     return reduce(lambda d, p: d.filter(p), predicates, df)
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order_col: str = ORD) -> DataFrame:
-    """For each key keep the row with the smallest ``order_col``.
+def key_hash(df: DataFrame, keys: Sequence[str]) -> Column:
+    """The key as one value of fixed size: a number as it is, else a sha-256; a
+    null single key stays null."""
+    kinds = dict(df.dtypes)
+    if len(keys) > 1:
+        return F.sha2(F.to_json(F.struct(*keys)), 256)  # a null field is left out, an empty one is not
+    kind = kinds[keys[0]]
+    if kind == "string":
+        return F.sha2(F.col(keys[0]), 256)
+    return F.col(keys[0]) if "<" not in kind else F.sha2(F.to_json(F.struct(*keys)), 256)
+
+
+_TIE_BITS = 63
+
 
-    The least order number per key (string keys by their sha-256) is a hash
-    aggregate of fixed-size values, combined map-side before the shuffle, so a
-    key holding a third of all rows still sends one row per input partition.
-    Rows are then kept by key and order number, which must be unique among the
-    rows of a key; null keys are one key.
+def keep_first_in_turn(df: DataFrame, turns: Sequence[Sequence[str]], order_col: str = ORD) -> DataFrame:
+    """Several keep-firsts, each among the rows that the one before has kept.
+
+    The input is evaluated once: it is written with the hashes of its keys. From
+    there only narrow columns are read: the least order number per key is a hash
+    aggregate of fixed-size values, combined map-side before the shuffle, so a key
+    holding a third of all rows still sends one row per input partition. Rows that
+    tie in the order number are told apart by where they stand in the written
+    table, so exactly one row per key stays, equal rows included. Null keys are one
+    key. What does not stay, as a rule little, is taken out by one anti join.
     """
-    kinds = dict(df.dtypes)
-    hashed = [F.sha2(F.col(k), 256) if kinds[k] == "string" else F.col(k) for k in keys]
-    named = [h.alias(f"_k{i}") for i, h in enumerate(hashed)]
-    first = df.select(*named, F.col(order_col).alias("_ord")).groupBy(*[f"_k{i}" for i in range(len(keys))]).agg(
-        F.min("_ord").alias("_first"))
-    same = F.col(order_col) == F.col("_first")
-    for i, h in enumerate(hashed):
-        same = same & h.eqNullSafe(F.col(f"_k{i}"))
-    return df.join(first, same, "left_semi")
+    names = [f"_k{i}" for i in range(len(turns))]
+    while set(names) & set(df.columns):
+        names = [f"_{n}" for n in names]
+    table = materialize(df.select("*", *[key_hash(df, keys).alias(n) for n, keys in zip(names, turns)]))
+    place = F.xxhash64("_metadata.file_name", "_metadata.row_index").bitwiseAND(F.lit((1 << _TIE_BITS) - 1))
+    at = F.col(order_col).cast("decimal(19,0)") * F.lit(Decimal(1 << _TIE_BITS)) + place.cast("decimal(19,0)")
+    rows = table.select("*", at.cast("decimal(38,0)").alias("_at"))
+    narrow, left = rows.select("_at", *names), None
+    for n in names:
+        among = narrow if left is None else narrow.join(left, "_at", "left_semi")
+        left = materialize(among.groupBy(n).agg(F.min("_at").alias("_at")).select("_at"))
+    gone = materialize(narrow.select("_at").join(left, "_at", "left_anti"))
+    return rows.join(gone, "_at", "left_anti").select(*df.columns)
+
+
+def keep_first(df: DataFrame, keys: Sequence[str], order_col: str = ORD) -> DataFrame:
+    """For each key keep one row, that with the smallest ``order_col``
+    (of several with the same number, one)."""
+    return keep_first_in_turn(df, [list(keys)], order_col)
 
 
 def collapse_values(col: Column, values: Sequence[str], to: str) -> Column:

@@ -14,8 +14,10 @@ from scribal.operators.collate import (
     union_common,
     with_ord,
 )
+from scribal.operators.key_index import KeepFirstStore
 from scribal.plans.fixtures import table
 from scribal.plans.registry import register
+from scribal.session import scratch_path
 
 # documents split into three "corpora" with differing column sets
 _PART = "CAST(substr(source, 4) AS INT) % 3"
@@ -85,6 +87,23 @@ def collate_keep_first(spark, sf_dir):
     return first.select("id", F.md5("transliteration").alias("text_md5"), "language", "source", "corpus_rank", "pos")
 
 
+_KEEP_FIRST_SQL = _UNION_SQL + """SELECT id, md5(transliteration) AS text_md5, language, source, corpus_rank, pos FROM (
+  SELECT *, row_number() OVER (PARTITION BY transliteration ORDER BY corpus_rank, pos) AS rn FROM f
+) WHERE rn = 1"""
+
+
+@register("collate_landings", _KEEP_FIRST_SQL, "C6")
+def collate_landings(spark, sf_dir):
+    """The corpora land one by one, the last in union order first; the rows that
+    stay are those of one keep-first."""
+    store = KeepFirstStore(spark, scratch_path(spark), ["transliteration"])
+    common = union_common(_corpora(spark, sf_dir)).columns
+    for rank, corpus in reversed(list(enumerate(_corpora(spark, sf_dir)))):
+        store.land(apply_filters(corpus.select(*common), _filters()), f"corpus-{rank}")
+    first = _flat(store.rows())
+    return first.select("id", F.md5("transliteration").alias("text_md5"), "language", "source", "corpus_rank", "pos")
+
+
 # ordered raw -> canonical pairs; 'en' reaches 'Anglais' through 'English'
 LANG_RULES = [("en", "English"), ("fr", "French"), ("English", "Anglais"), ("de", "German"), ("", "Unknown")]
 

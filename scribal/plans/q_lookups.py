@@ -68,7 +68,7 @@ def build_lookups(spark, sf_dir):
     from scribal.session import materialize
 
     vocab = materialize(vocabulary(spark, sf_dir))  # read by signs and overrides
-    signs = sign_rows(vocab)
+    signs = materialize(sign_rows(vocab))  # read for readings and for glyphs
     readings = reading_index(reading_pairs(signs), override_rows(vocab))
     glyphs = glyph_index(glyph_pairs(signs))
     return readings, glyphs
@@ -126,7 +126,7 @@ def _sql_names_out(key: str, arr: str, src: str) -> str:
 SELECT glyph_name, coalesce(min(glyph) FILTER (WHERE glyph <> ''), '') AS glyph,
        CAST(count(DISTINCT glyph) FILTER (WHERE glyph <> '') AS INT) AS n_candidates
 FROM gpairs GROUP BY glyph_name""",
-    "L1 L2 L3 L5 L7 S9",
+    "L1 L2 L3 L5 L7",
 )
 def lookup_glyph_index(spark, sf_dir):
     return glyph_index(glyph_pairs(sign_rows(vocabulary(spark, sf_dir))))
