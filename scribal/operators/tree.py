@@ -2,19 +2,16 @@
 
 A text is a JSON document ``{"cdl": [node, ...]}``; chunk nodes (``c``)
 hold child lists, so the tree is recursive and has no fixed schema.
-``flatten_tree`` walks it level by level: each level is one distributed
-explode of the chunks met so far, and the loop ends when no chunk is left.
-Leaves are taken out where they are first seen; only chunks with children are
-carried to the next level, whose table is written to the shared folder so
-lineage never grows with depth and no level is computed twice.
+``flatten_tree`` is one recursive query: the anchor takes each text's top nodes, a
+step the children of the chunks that the step before has found, until none is
+left. Nodes are VARIANT values, parsed once per text; no level is written, and
+the result is written once, as each of its readers would run the recursion again.
 ``path`` (array of child positions) orders nodes in pre-order because arrays
 compare lexicographically.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +20,6 @@ from scribal.functions.rule_values import BLANK_SPACE, COLUMN, MISSING, RULING,
 from scribal.functions.text import let, strip_ws
 from scribal.session import materialize
 
-_CHILDREN = T.StructType([T.StructField("cdl", T.ArrayType(T.StringType()))])
 # VARIANT keeps the JSON type: a string "0" marks a break, a number 0 does not
 _BRK = T.StructType([T.StructField("breakStart", T.VariantType()), T.StructField("breakEnd", T.VariantType())])
 _GDL = T.StructType(_BRK.fields + [T.StructField("seq", T.ArrayType(_BRK)), T.StructField("group", T.ArrayType(_BRK))])
@@ -72,33 +68,64 @@ PARA_CLASSES = ["syntax", "boundary", "pointer"]
 PARA_TYPES = ["and", "brack_o", "brack_c", "sentence", "no sentence", "no_sentence", "label", "pointer_ref"]
 
 
-def _children(of: DataFrame, json_col: str, path: Column) -> DataFrame:
-    """``(id, path, node, is_chunk)``: the members of each row's child list."""
-    child = of.select("id", path.alias("_p"), F.posexplode(F.from_json(json_col, _CHILDREN)["cdl"]).alias("pos", "node"))
-    child = child.filter(F.col("node").isNotNull())
-    return child.select("id", F.concat("_p", F.array("pos")).alias("path"), "node",
-                        (F.get_json_object("node", "$.node") == "c").alias("is_chunk"))
+#: Levels after which a text counts as endless; the query fails then, by name.
+MAX_DEPTH = 500
+#: JSON of more bytes is walked as text: a VARIANT value holds 16 MiB at most.
+VARIANT_BYTES = 15 << 20
+
+# LIMIT ALL lifts the limit of rows that recursive queries have by default
+_WALK = """
+WITH RECURSIVE walk(id, path, node) MAX RECURSION LEVEL {depth} AS (
+  SELECT t.id, array(e.pos), e.value
+  FROM {{texts}} t, LATERAL variant_explode(try_variant_get(try_parse_json(t.json), '$.cdl', 'variant')) e
+  UNION ALL
+  SELECT w.id, array_append(w.path, e.pos), e.value
+  FROM walk w, LATERAL variant_explode(try_variant_get(w.node, '$.cdl', 'variant')) e
+  WHERE try_variant_get(w.node, '$.node', 'string') = 'c'
+)
+SELECT id, path, node FROM walk LIMIT ALL
+"""
+_WALK_TEXT = """
+WITH RECURSIVE walk(id, path, node) MAX RECURSION LEVEL {depth} AS (
+  SELECT t.id, array(e.pos), e.node
+  FROM {{texts}} t, LATERAL posexplode(from_json(t.json, 'cdl array<string>').cdl) e(pos, node)
+  UNION ALL
+  SELECT w.id, array_append(w.path, e.pos), e.node
+  FROM walk w, LATERAL posexplode(from_json(w.node, 'cdl array<string>').cdl) e(pos, node)
+  WHERE get_json_object(w.node, '$.node') = 'c'
+)
+SELECT id, path, node FROM walk WHERE node IS NOT NULL LIMIT ALL
+"""
+
+
+def _bare(fields: Column, node: Column) -> Column:
+    """A node as JSON text; a chunk's child list has been walked: an empty one stands for it."""
+    emptied = F.transform_values(fields, lambda k, v: F.when(
+        (k == "cdl") & F.schema_of_variant(v).startswith("ARRAY"), F.parse_json(F.lit("[]"))).otherwise(v))
+    return F.when(F.try_variant_get(fields["node"], "$", "string") == "c", F.to_json(emptied)).otherwise(node)
 
 
-def flatten_tree(texts: DataFrame, id_col: str = "id", json_col: str = "json") -> DataFrame:
-    """``(id, path array<int>, node string)`` for every node, pre-order.
+def flatten_tree(texts: DataFrame, id_col: str = "id", json_col: str = "json", max_depth: int = MAX_DEPTH) -> DataFrame:
+    """``(id, path array<int>, node string)`` for every node, written to the
+    shared folder; sort by ``path`` for pre-order.
 
     Only chunks are crawled; ``ll`` choices and linkbase contents are not. A
-    chunk's own row holds its fields with an empty child list.
+    chunk's own row holds its fields with an empty child list. Text that is no JSON
+    or holds no node list has no nodes.
     """
-    top = texts.select(F.col(id_col).alias("id"), F.col(json_col).alias("_json"))
-    level = materialize(_children(top, "_json", F.array().cast("array<int>")))
-    levels = [level]
-    while True:
-        nxt = materialize(_children(level.filter("is_chunk"), "node", F.col("path")))
-        if nxt.isEmpty():
-            break
-        levels.append(nxt)
-        level = nxt
-    # child lists have been walked: an empty one stands for them
-    bare = F.when(F.col("is_chunk"), F.to_json(F.transform_values(F.from_json("node", _FIELDS), lambda k, v: F.when(
-        (k == "cdl") & F.schema_of_variant(v).startswith("ARRAY"), F.parse_json(F.lit("[]"))).otherwise(v)))).otherwise(F.col("node"))
-    return reduce(DataFrame.unionByName, levels).select("id", "path", bare.alias("node"))
+    spark = texts.sparkSession
+    given = texts.select(F.col(id_col).alias("id"), F.col(json_col).alias("json"))
+    large = F.octet_length("json") > VARIANT_BYTES
+    walked = spark.sql(_WALK.format(depth=max_depth), texts=given.filter(~large))
+    is_object = F.schema_of_variant("node").startswith("OBJECT")
+    fields = F.from_json(F.to_json("node"), _FIELDS)
+    text = F.to_json("node")
+    chunk = is_object & (F.try_variant_get("node", "$.node", "string") == "c")
+    out = walked.select("id", "path", F.when(chunk, _bare(fields, text)).otherwise(text).alias("node"))
+    if not given.filter(large).limit(1).isEmpty():
+        long = spark.sql(_WALK_TEXT.format(depth=max_depth), texts=given.filter(large))
+        out = out.unionByName(long.select("id", "path", _bare(F.from_json("node", _FIELDS), F.col("node")).alias("node")))
+    return materialize(out)
 
 
 def node_kind(n: Column) -> Column:

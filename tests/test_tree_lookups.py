@@ -1,7 +1,9 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
+from scribal.operators import tree as tree_ops
 from scribal.operators.lookups import glyph_index, glyph_pairs, invert, reading_index, reading_pairs
 from scribal.operators.tree import assemble_text, flatten_tree, node_tokens, repair_brackets
 from scribal.sources.signs import read_reading_index, read_sign_list
@@ -36,6 +38,46 @@ def test_tree_to_text(spark, tmp_path):
     assert out.langs == "akk, sux"
 
 
+def _plain_nodes(tree):
+    """Every node with its path, by a plain walk; a chunk with an empty child list."""
+    out, todo = [], [((), tree["cdl"])]
+    while todo:
+        path, children = todo.pop()
+        for k, child in enumerate(children):
+            at = (*path, k)
+            chunk = child.get("node") == "c"
+            out.append((at, {**child, "cdl": []} if chunk and isinstance(child.get("cdl"), list) else child))
+            if chunk and isinstance(child.get("cdl"), list):
+                todo.append((at, child["cdl"]))
+    return sorted(out, key=lambda x: x[0])
+
+
+@pytest.mark.parametrize("as_text", [False, True])
+def test_deep_trees_in_one_query(spark, monkeypatch, as_text):
+    """Fifty levels, mixed siblings, odd children; as VARIANT and, beyond its size, as text."""
+    if as_text:
+        monkeypatch.setattr(tree_ops, "VARIANT_BYTES", 10)
+    deep = [_lemma("end")]
+    for k in range(50):
+        deep = [_lemma(f"a{k}"), {"node": "c", "type": "sentence", "id": str(k), "cdl": deep}, {"linkbase": [{"node": "c", "cdl": [{}]}]}]
+    trees = {"deep": {"cdl": deep}, "flat": {"cdl": [_lemma("x"), {"node": "c", "id": "no list"}, {"node": "c", "cdl": []}]},
+             "empty": {"cdl": []}, "none": {"other": 1}}
+    rows = [(k, json.dumps(t)) for k, t in trees.items()] + [("bad", "{"), ("null", None), ("list", "[1]")]
+    out = flatten_tree(spark.createDataFrame(rows, "id string, json string")).collect()
+    got = {k: sorted(((tuple(r.path), json.loads(r.node)) for r in out if r.id == k), key=lambda x: x[0]) for k, _ in rows}
+    assert got == {k: _plain_nodes(trees[k]) if "cdl" in trees.get(k, {}) else [] for k, _ in rows}
+    assert max(len(r.path) for r in out) == 51
+
+
+def test_endless_trees_are_refused(spark):
+    deep = []
+    for k in range(12):
+        deep = [{"node": "c", "id": str(k), "cdl": deep}]
+    df = spark.createDataFrame([("a", json.dumps({"cdl": deep}))], "id string, json string")
+    with pytest.raises(Exception, match="RECURSION"):
+        flatten_tree(df, max_depth=5)
+
+
 def test_sign_list_reader_and_indexes(spark, tmp_path):
     sl = {"sl:signlist": {"j:letters": [{"sl:letter": {"j:signs": [
         {"sl:sign": {"n": "A&amp;B", "sl:ucun": "𒀀", "j:aka": [{"sl:aka": {"n": "AB"}}],
