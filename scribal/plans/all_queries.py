@@ -8,3 +8,4 @@ from scribal.plans import q_split_reconcile  # noqa: F401
 from scribal.plans import q_tree  # noqa: F401
 from scribal.plans import q_ingest  # noqa: F401
 from scribal.plans import q_roundtrip  # noqa: F401
+from scribal.plans import q_stages  # noqa: F401

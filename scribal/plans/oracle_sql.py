@@ -91,13 +91,15 @@ def chain_sql(
         elif step.kind == "patch":
             if id_col is None:
                 continue
+            per_text: dict[str, list[tuple[str, str]]] = {}
             for text_id, where, old, new in patches:
                 if where == step.name:
-                    expr = (
-                        f"CASE WHEN CAST({id_col} AS VARCHAR) = {q(text_id)} "
-                        f"THEN replace({expr}, {q(old)}, {q(new)}) ELSE {expr} END"
-                    )
-                    pending = True
+                    per_text.setdefault(text_id, []).append((old, new))
+            if per_text:
+                flush()
+                whens = " ".join(f"WHEN {q(i)} THEN {fold_sql(text_col, pairs)}" for i, pairs in per_text.items())
+                expr, pending = f"CASE CAST({id_col} AS VARCHAR) {whens} ELSE {text_col} END", True
+                flush()
         elif step.kind == "find":
             flush()
             expr, pending = _find_sql(text_col, step), True

@@ -127,8 +127,13 @@ _BITS = [f" qa {old}ku " for _, _, old, _ in V.TEXT_PATCHES]
 _N = len(_IDS)
 
 
-# no SQL: DuckDB takes many minutes for it; tests hold it against plain Python
-@register("clean_text_patches", None, "K5 K18 K25 K28")
+_list = lambda values: "[" + ", ".join(q(v) for v in values) + "]"
+_pctes, _plast = chain_sql(
+    f"SELECT doc_id, {_list(_IDS)}[doc_id % {_N} + 1] AS id, text || {_list(_BITS)}[(doc_id // {_N}) % {_N} + 1] AS t FROM documents",
+    C.CHAIN, "t", "id", V.TEXT_PATCHES, prefix="p")
+
+
+@register("clean_text_patches", with_query(_pctes, f"SELECT doc_id, id, t AS text FROM {_plast}"), "K5 K18 K23 K25 K28")
 def clean_text_patches(spark, sf_dir):
     def pick(values, at):
         return F.element_at(F.array(*[F.lit(v) for v in values]), (at % _N + 1).cast("int"))

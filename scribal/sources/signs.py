@@ -72,13 +72,15 @@ def _conform(body):
     )
 
 
-def read_sign_list(spark: SparkSession, path: str) -> DataFrame:
+def read_sign_list(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """One row per sign (``sign`` column of :data:`SIGN_SCHEMA`).
 
-    The dictionary is a single JSON document of bounded size (a few tens
-    of MB); it is parsed once and its signs exploded into parallel rows.
+    A dictionary file is a single JSON document of bounded size (a few tens
+    of MB); it is parsed once and its signs exploded into parallel rows. With
+    ``lines`` each line of the files is a document of its own, and large files
+    are read in many tasks.
     """
-    raw = spark.read.text(path, wholetext=True)
+    raw = spark.read.text(path, wholetext=not lines)
     doc = raw.select(F.from_json("value", SIGN_LIST_SCHEMA).alias("d"))
     letters = doc.select(F.explode("d.`sl:signlist`.`j:letters`").alias("l"))
     signs = letters.select(F.explode("l.`sl:letter`.`j:signs`").alias("s")).select(F.col("s.`sl:sign`").alias("b"))
@@ -88,11 +90,12 @@ def read_sign_list(spark: SparkSession, path: str) -> DataFrame:
     return signs.select(sign.cast(SIGN_SCHEMA).alias("sign"))
 
 
-def read_reading_index(spark: SparkSession, path: str, key: str = "index") -> DataFrame:
-    """``(reading, glyph_name)`` from a JSON object ``{key: {reading: name}}``.
+def read_reading_index(spark: SparkSession, path: str, key: str = "index", lines: bool = False) -> DataFrame:
+    """``(reading, glyph_name)`` from a JSON object ``{key: {reading: name}}``, or
+    with ``lines`` from one such object per line.
 
     A MAP keeps JSON member order and, like Python, the last duplicate wins.
     """
-    raw = spark.read.text(path, wholetext=True)
+    raw = spark.read.text(path, wholetext=not lines)
     m = F.from_json("value", T.StructType([T.StructField(key, T.MapType(T.StringType(), T.StringType()))]))
     return raw.select(F.explode(m[key]).alias("reading", "glyph_name"))
