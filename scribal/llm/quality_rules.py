@@ -1,10 +1,11 @@
 """Quality rules: a threshold table compiled into one Spark projection.
 
 Every figure is an expression over one row (no user function, no shuffle), so
-the operator is one narrow pass over the texts whatever their number. Repeated
-windows are found inside the row: the hashes of all windows of eight words are
-compared through a hash set, and only texts that do repeat something pay for
-sorting (hash, position) pairs.
+the operator is one narrow pass over the texts whatever their number. Words are
+counted by patterns over the whole text. Repeated windows are found inside the row:
+each word is hashed once, runs of two, four and eight words by combining two halves;
+only texts that repeat a run of four go on to runs of eight, and only those that
+repeat one of these pay for sorting (hash, position) pairs.
 
 Defined results: a null text is an empty one; an empty text has no words, all
 counts 0 and every ratio 0, so it fails the base rule. Repeated rows get equal
@@ -73,21 +74,41 @@ def repeated_words(tokens: Column, window: int = WINDOW) -> Column:
 
         return bind(bind(pairs, positions), total)
 
-    def over(ws: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size(ws) - (window - 1))
-        hashes = F.transform(starts, lambda i: F.xxhash64(F.slice(ws, i, window)))
-        return F.when(F.size(ws) < window + 1, F.lit(0).cast("long")).otherwise(
-            bind(hashes, lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), covered(h))
-                 .otherwise(F.lit(0).cast("long"))))
+    def doubled(hashes: Column, step: int) -> Column:
+        """Hashes of runs twice as long: of each run and the one that follows it."""
+        n = F.size(hashes) - step
+        return F.zip_with(F.slice(hashes, 1, n), F.slice(hashes, step + 1, n), lambda a, b: F.xxhash64(a, b))
+
+    def twice_as_long(hashes: Column, step: int) -> Column:
+        return bind(hashes, lambda h: doubled(h, step))
+
+    def if_repeated(hashes: Column, then) -> Column:
+        return bind(hashes, lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), then(h)).otherwise(F.lit(0).cast("long")))
 
+    def over(ws: Column) -> Column:
+        half = window // 2
+        runs, step = F.transform(ws, lambda w: F.xxhash64(w)), 1
+        while step < half:
+            runs, step = twice_as_long(runs, step), 2 * step
+        found = if_repeated(runs, lambda h: if_repeated(doubled(h, half), covered))
+        return F.when(F.size(ws) < window + 1, F.lit(0).cast("long")).otherwise(found)
+
+    if window < 2 or window & (window - 1):
+        raise ValueError("the window is a power of two")
     return bind(tokens, over)
 
 
+_S = r"\x20\x09-\x0D"
+#: Words that end in symbols, a bar or doubled marks; words in capitals only.
+_MARKED = rf"(?:[#*$%&|<>]|[!?]{{2,}})(?=[{_S}]|\z)"
+_CAPITAL = rf"(?<![^{_S}])[^\p{{Lu}}\p{{Ll}}{_S}]*+\p{{Lu}}[^\p{{Ll}}{_S}]*+(?=[{_S}]|\z)"
+
+
 def figures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The key and all figures that rules may name, one row per document."""
     need(docs, [key, text])
     body = F.coalesce(F.col(text), F.lit(""))
-    stops = F.array(*[F.lit(w) for w in dict.fromkeys(STOP_WORDS)])
+    stops = list(dict.fromkeys(STOP_WORDS))
     base = docs.select(F.col(key), body.alias("_t"), words(F.col(text)).alias("_w"))
     lines = F.filter(F.split(F.col("_t"), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     counted = base.select(
@@ -100,12 +121,9 @@ def figures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
             F.size(F.filter(x, lambda s: s.rlike(r"^\s*[-*•]"))).alias("bullets"),
             F.size(F.filter(x, lambda s: s.rlike(r"(\.\.\.|…)\s*$"))).alias("ellipses"))).alias("_l"),
         repeated_words(F.col("_w")).alias("n_repeat_words"),
-        bind(F.col("_w"), lambda w: F.struct(
-            # a word counts as marked when it ends in symbols, a bar or doubled marks
-            F.size(F.filter(w, lambda x: x.rlike(r"([#*$%&|<>]|[!?]{2,})$"))).alias("marked"),
-            F.size(F.filter(w, lambda x: x.rlike(r"\p{Lu}") & ~x.rlike(r"\p{Ll}"))).alias("capital"),
-            F.size(F.filter(w, lambda x: F.array_contains(stops, F.lower(x)))).alias("stop"),
-        )).alias("_k"),
+        F.struct(
+            F.regexp_count("_t", F.lit(_MARKED)).alias("marked"), F.regexp_count("_t", F.lit(_CAPITAL)).alias("capital"),
+            F.size(F.filter("_w", lambda x: F.lower(x).isin(stops))).alias("stop")).alias("_k"),
     )
     n = F.col("n_words")
 

@@ -2,6 +2,7 @@
 
 import random
 import re
+import unicodedata
 from collections import defaultdict
 
 from scribal.llm import quality_rules as Q
@@ -25,6 +26,7 @@ def test_figures(frame):
     for _ in range(150):
         vocabulary = [f"w{k}" for k in range(rng.choice([2, 3, 50]))] + ["#", "|$", "über"]
         texts.append("".join(rng.choice(vocabulary) + rng.choice([" ", " ", "\n", "  "]) for _ in range(rng.randint(0, 120))))
+    texts += ["OK! really?? NO!! İ É é 9A A9 9 # x#y a| A&B !? ?! x!!y éÉ É", "A\u2028 B!!\u0085 ß ẞ Σσ", "word" * 3000 + "!! X"]
     docs = frame([(i, t, 1.0) for i, t in enumerate(texts)], "doc_id long, text string, n_words double")
     out = {r.doc_id: r for r in Q.quality_rules(docs).collect()}
     for i, t in enumerate(texts):
@@ -33,6 +35,11 @@ def test_figures(frame):
         assert got == brute(t), t
         assert r.base_failed == (got[0] < 20 or 100 * got[4] > 30 * got[0])
         assert not (r.kept and (r.base_failed or r.failed_rules))
+        words = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        marked = sum(bool(re.search(r"([#*$%&|<>]|[!?]{2,})\Z", w)) for w in words)
+        capital = sum(any(unicodedata.category(c) == "Lu" for c in w) and not any(unicodedata.category(c) == "Ll" for c in w) for w in words)
+        n = max(1, len(words))
+        assert (r.marked_word_ratio, r.capital_word_ratio) == (marked / n, capital / n), t
 
 
 def test_verdicts(frame):
