@@ -6,8 +6,9 @@ entropy scan looks at candidate strings, longest runs of the characters that
 keys are written in: a window of fixed length slides over each candidate, the
 counts of its characters are kept up to date one character in and one out, and
 a window is a hit when its Shannon entropy reaches the threshold of its
-character class. Touching hits merge to one span. Candidates on the allow-list
-and spans inside base findings are left out.
+character class. Touching hits merge to one span. Candidates on the allow-list, the
+parts of candidates that hold an allowed word, and spans inside base findings are
+left out.
 
 Runs are found on whole Arrow buffers at once (a table of byte classes and the
 edges of its runs), so texts without candidates cost a few array passes.
@@ -50,11 +51,15 @@ THRESHOLDS = {"hex": 3.0, "letters_digits": 3.6, "mixed_case": 4.0, "base64": 3.
 #: Candidates that match one of these are known to be harmless.
 ALLOW = (
     r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}",  # identifiers in the UUID form
-    r"(?i:.*(example|placeholder|changeme|dummy|your[-_]?(api|secret|token|key)).*)",
     r"(?i:(?:[-_=/+]|abcdefghijklmnopqrstuvwxyz|0123456789)*)",  # marks and alphabets written out; no nested repeats
     r"[A-Za-z]+([-_/][A-Za-z]+)+",  # words joined by dashes, underscores or slashes
 )
 
+#: Words that tell a made-up value. They speak for the part of a candidate that
+#: holds them, between slashes and equals signs; the other parts stand alone.
+ALLOW_WORDS = r"(?i:example|placeholder|changeme|dummy|your[-_]?(?:api|secret|token|key))"
+_PART = re.compile(r"[^/=]+")
+
 _IS_CANDIDATE = np.zeros(256, dtype=bool)
 _IS_CANDIDATE[list(CANDIDATE)] = True
 # bits of the classes: digit, a-f, g-z, A-F, G-Z, other
@@ -141,9 +146,24 @@ def candidate_runs(data: np.ndarray, offsets: np.ndarray, least: int = WINDOW) -
 class Scanner:
     """The scan with its parameters; ``scan`` gives (kind, start, end)."""
 
-    def __init__(self, window: int = WINDOW, thresholds: dict[str, float] | None = None, allow: Iterable[str] = ALLOW):
+    def __init__(self, window: int = WINDOW, thresholds: dict[str, float] | None = None, allow: Iterable[str] = ALLOW,
+                 allow_words: str = ALLOW_WORDS):
         self.window, self.thresholds = window, thresholds
-        self.allow = [re.compile(p) for p in allow]
+        self.allow, self.allow_words = [re.compile(p) for p in allow], re.compile(allow_words)
+        #: Shortest run of candidate characters that some finding may lie in.
+        self.least = min(window, ACCESS_LEAST, HEX_LEAST)
+
+    def _entropy(self, word: str) -> list[tuple[int, int]]:
+        """Spans of one candidate that look random and are not allowed."""
+        if any(p.fullmatch(word) for p in self.allow):
+            return []
+        if not self.allow_words.search(word):
+            return entropy_spans(word.encode("ascii"), self.window, self.thresholds)
+        out = []
+        for part in _PART.finditer(word):
+            if not self.allow_words.search(part[0]) and not any(p.fullmatch(part[0]) for p in self.allow):
+                out += [(part.start() + a, part.start() + b) for a, b in entropy_spans(part[0].encode("ascii"), self.window, self.thresholds)]
+        return out
 
     def scan(self, text: str, raw: bytes, runs: list[tuple[int, int]]) -> list[tuple[str, int, int]]:
         """``runs``: byte spans of the candidates in ``raw``, the text's UTF-8."""
@@ -161,8 +181,7 @@ class Scanner:
             found += [("access", at + m.start(), at + m.end()) for m in ACCESS.finditer(word)
                       if m.end() - m.start() >= ACCESS_LEAST]
             found += [("hex", at + m.start(), at + m.end()) for m in HEX.finditer(word) if m.end() - m.start() >= HEX_LEAST]
-            if not any(p.fullmatch(word) for p in self.allow):
-                more += [(at + a, at + b) for a, b in entropy_spans(run, self.window, self.thresholds)]
+            more += [(at + a, at + b) for a, b in self._entropy(word)]
         base = sorted((s, e) for _, s, e in found)
         found += [("entropy", s, e) for s, e in more if not any(a <= s and e <= b for a, b in base)]
         return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
@@ -187,7 +206,7 @@ def _text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def scan_batch(column: pa.Array, scanner: Scanner) -> list[list[tuple[str, int, int]]]:
     data, offsets = _text_buffers(column)
-    runs = candidate_runs(data, offsets, scanner.window) if len(column) else []
+    runs = candidate_runs(data, offsets, scanner.least) if len(column) else []
     out = []
     for i in range(len(column)):
         raw = data[offsets[i]:offsets[i + 1]].tobytes()
@@ -196,12 +215,14 @@ def scan_batch(column: pa.Array, scanner: Scanner) -> list[list[tuple[str, int,
 
 
 def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW,
-                 thresholds: dict[str, float] | None = None, allow: Iterable[str] = ALLOW) -> DataFrame:
-    """``(key, spans)``: all findings of every text, by start, then kind."""
+                 thresholds: dict[str, float] | None = None, allow: Iterable[str] = ALLOW,
+                 allow_words: str = ALLOW_WORDS) -> DataFrame:
+    """``(key, spans)``: all findings of every text, by start, then kind. The base
+    findings are the same whatever the entropy scan's settings."""
     need(docs, [key, text])
     rows = docs.select(key, text)
     schema = T.StructType([rows.schema[key], T.StructField("spans", T.ArrayType(_SPAN, False), False)])
-    settings = (window, dict(thresholds) if thresholds else None, tuple(allow))
+    settings = (window, dict(thresholds) if thresholds else None, tuple(allow), allow_words)
     arrow = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def batches(it):
