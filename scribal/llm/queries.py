@@ -107,10 +107,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op8_simhash")
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents; for those whose id is divisible by 20
-    also how many other fingerprints lie within the radius."""
+    also how many other documents' fingerprints lie within the radius."""
     marked = written(simhash.fingerprint_documents(table(spark, sf_dir, "documents")))
     near = simhash.within_radius(marked.where("doc_id % 20 = 0").select("hi", "lo"), marked.select("hi", "lo"))
-    counts = near.groupBy("q_hi", "q_lo").agg(F.sum(F.size("near")).alias("_n"))
+    held = F.aggregate("near", F.lit(0).cast("long"), lambda a, x: a + x["n"])
+    counts = near.groupBy("q_hi", "q_lo").agg((F.sum(held) - 1).alias("_n"))  # without the document itself
     joined = marked.join(counts, (marked.hi == counts.q_hi) & (marked.lo == counts.q_lo), "left")
     return joined.select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",

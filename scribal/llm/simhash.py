@@ -109,10 +109,11 @@ def _first_two_equal(hi: Column, lo: Column) -> Column:
 
 def within_radius(queries: DataFrame, stored: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``(q_hi, q_lo, near)``: the stored fingerprints within ``radius`` bits of
-    each query fingerprint, in lists of at most ``TILE``; itself is left out.
+    each query fingerprint, an equal one included, in lists of at most ``TILE`` with
+    the number ``n`` of stored rows that each stands for.
 
-    Both inputs are columns ``hi``, ``lo``; they are taken as sets. With
-    ``BLOCKS`` blocks the radius may be ``BLOCKS - 2`` at most.
+    Both inputs are columns ``hi``, ``lo``. With ``BLOCKS`` blocks the radius may be
+    ``BLOCKS - 2`` at most.
     """
     if radius > BLOCKS - 2:
         raise ValueError(f"with {BLOCKS} blocks the radius is {BLOCKS - 2} at most")
@@ -120,18 +121,19 @@ def within_radius(queries: DataFrame, stored: DataFrame, radius: int = RADIUS) -
     asked = written(asked.select("q_hi", "q_lo", F.explode(_tables(F.col("q_hi"), F.col("q_lo"))).alias("at"))
                     .select("at.mask", "at.bits", "q_hi", "q_lo"))
     wanted = asked.select("mask", "bits").distinct()
-    kept = stored.select("hi", "lo").distinct()
-    kept = kept.select("hi", "lo", F.explode(_tables(F.col("hi"), F.col("lo"))).alias("at")).select("at.mask", "at.bits", "hi", "lo")
+    kept = stored.groupBy("hi", "lo").agg(F.count("*").alias("n_rows"))
+    kept = kept.select("hi", "lo", "n_rows", F.explode(_tables(F.col("hi"), F.col("lo"))).alias("at")).select(
+        "at.mask", "at.bits", "hi", "lo", "n_rows")
     hits = written(kept.join(small(wanted), ["mask", "bits"], "left_semi"))
     sizes = hits.groupBy("mask", "bits").agg(F.count("*").alias("n"))
     tile = F.pmod(F.xxhash64("hi", "lo"), F.ceil(2 * F.col("n") / TILE).cast("long"))
     tiles = (hits.join(sizes, ["mask", "bits"]).withColumn("tile", tile)
-             .groupBy("mask", "bits", "tile").agg(F.collect_list(F.struct("hi", "lo")).alias("members")))
+             .groupBy("mask", "bits", "tile").agg(F.collect_list(F.struct("hi", "lo", F.col("n_rows").alias("n"))).alias("members")))
 
     def near(x: Column) -> Column:
         hi, lo = x["hi"].bitwiseXOR(F.col("q_hi")), x["lo"].bitwiseXOR(F.col("q_lo"))
         distance = F.bit_count(hi) + F.bit_count(lo)
-        return distance.between(1, radius) & (_first_two_equal(hi, lo) == F.col("mask"))
+        return (distance <= radius) & (_first_two_equal(hi, lo) == F.col("mask"))
 
     found = asked.join(tiles, ["mask", "bits"]).select("q_hi", "q_lo", F.filter("members", near).alias("near"))
     return found.where(F.size("near") > 0)

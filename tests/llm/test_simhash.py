@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import struct
+from collections import Counter
 
 import xxhash
 
@@ -69,13 +70,15 @@ def test_search_equals_all_pairs(frame, monkeypatch):
                 w ^= 1 << rng.randrange(128)
             values.append(w)
     pairs = [(signed(v >> 64), signed(v & (2**64 - 1))) for v in values]
+    pairs += pairs[:5] * 3  # copies
     stored = frame(pairs, "hi long, lo long")
     found = S.within_radius(frame(pairs[::3], "hi long, lo long"), stored).collect()
     got = {}
     for r in found:
         assert len(r.near) <= 8
-        got.setdefault((r.q_hi, r.q_lo), []).extend((x.hi, x.lo) for x in r.near)
+        got.setdefault((r.q_hi, r.q_lo), []).extend((x.hi, x.lo, x.n) for x in r.near)
+    copies = Counter(pairs)
     distinct = {(signed(v >> 64), signed(v & (2**64 - 1))): v for v in values}
     for q in set(pairs[::3]):
-        expected = sorted(p for p, v in distinct.items() if 1 <= (v ^ distinct[q]).bit_count() <= S.RADIUS)
+        expected = sorted((*p, copies[p]) for p, v in distinct.items() if (v ^ distinct[q]).bit_count() <= S.RADIUS)
         assert sorted(got.get(q, [])) == expected  # each neighbour once
