@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scribal.llm.common import mark, need, small, written
+from scribal.llm.common import mark, need, small, unused, written
 from scribal.llm.shingles import mix
 
 LEAST_SENTENCES = 2
@@ -48,7 +48,6 @@ _MARKED = re.compile(r"[.!?;:,][\"'»”)\]]*$")
 _WORD = re.compile(r"\S+\s*")
 _SEED = 1
 _BASE = 0x9E3779B97F4A7C15
-_SPANS = "doc long, mark long, hash long, first int, after int, again boolean"
 
 
 def _picked(words: list[str]) -> list[int]:
@@ -123,7 +122,9 @@ def spans(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def all_spans(docs: DataFrame, key: str, text: str) -> DataFrame:
     """One row per span; ``again``: the text has had the same span before."""
-    rows = docs.select(F.col(key).cast("long").alias("doc"), mark(F.col(text)).alias("mark"), F.col(text).alias("text"))
+    rows = docs.select(F.col(key).alias("doc"), mark(F.col(text)).alias("mark"), F.col(text).alias("text"))
+    kinds = {"mark": T.LongType(), "hash": T.LongType(), "first": T.IntegerType(), "after": T.IntegerType(), "again": T.BooleanType()}
+    schema = T.StructType([rows.schema["doc"], *(T.StructField(c, kind) for c, kind in kinds.items())])
 
     def batches(it):
         for batch in it:
@@ -144,7 +145,7 @@ def all_spans(docs: DataFrame, key: str, text: str) -> DataFrame:
                     pa.array(np.concatenate([e for _, _, e in found]).astype(np.int32)),
                     pa.array(np.concatenate(again))], names=["doc", "mark", "hash", "first", "after", "again"])
 
-    return rows.mapInArrow(batches, _SPANS)
+    return rows.mapInArrow(batches, schema)
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -153,8 +154,10 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     need(docs, [key, text])
     found = written(all_spans(docs, key, text))
     row = F.xxhash64("doc", "mark")
-    owners = found.groupBy("hash").agg(F.min("doc").alias("kept_by"), F.min(row).alias("low"), F.max(row).alias("high")).where("low < high")
-    once = written(found.where("not again").join(owners, "hash").select("doc", "mark", "hash", "first", "after", "kept_by"))
+    # written apart, so that a hash with many spans is split where they meet
+    owners = written(found.groupBy("hash").agg(F.min("doc").alias("kept_by"), F.min(row).alias("low"), F.max(row).alias("high"))
+                     .where("low < high").select("hash", "kept_by"))
+    once = written(found.where("not again").join(small(owners), "hash").select("doc", "mark", "hash", "first", "after", "kept_by"))
     # of several texts under the first key the one with the least mark keeps the span
     first_key = F.col("doc").eqNullSafe(F.col("kept_by"))
     several = written(once.where(first_key).groupBy("hash").agg(F.min("mark").alias("keeper"), F.max("mark").alias("_last"))
@@ -180,22 +183,26 @@ def _cut(text: str, first: list[int], after: list[int]) -> tuple[str, int, int]:
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with their texts cut, and ``n_sentences``, ``n_removed`` and
-    ``kept_by`` (keys of the documents that keep what was removed)."""
-    added = ["n_sentences", "n_removed", "kept_by"]
-    if set(added) & set(docs.columns):
-        raise ValueError(f"the columns {added} are added; rename the documents' own")
+    ``kept_by`` (keys of the documents that keep what was removed) as last columns;
+    where the documents have columns of these names, under the next unused ones.
+    Rows that lose nothing, most as a rule, are not shuffled."""
+    n_sentences, n_removed, kept_by = unused(docs, "n_sentences", "n_removed", "kept_by")
+    of, of_mark, spans_of, keepers, own = unused(docs, "_of", "_of_mark", "_spans", "_kept_by", "_own")
     owner = F.struct(F.col("kept_by").isNull().alias("none"), "kept_by")
-    removal = repeated_spans(docs, key, text).groupBy(F.col("doc").alias("_of"), F.col("mark").alias("_of_mark")).agg(
-        F.collect_set(F.struct("first", "after")).alias("_spans"),  # equal rows have equal spans
-        F.transform(F.sort_array(F.collect_set(owner)), lambda x: x["kept_by"]).alias("_kept_by"))
+    removal = written(repeated_spans(docs, key, text).groupBy(F.col("doc").alias(of), F.col("mark").alias(of_mark)).agg(
+        F.collect_set(F.struct("first", "after")).alias(spans_of),  # equal rows have equal spans
+        F.transform(F.sort_array(F.collect_set(owner)), lambda x: x["kept_by"]).alias(keepers)))
     columns = docs.columns
-    joined = docs.withColumn("_doc", F.col(key).cast("long")).withColumn("_mark", mark(F.col(text))).join(
-        removal, F.col("_doc").eqNullSafe(F.col("_of")) & (F.col("_mark") == F.col("_of_mark")), "left")
-    kept_by = F.coalesce("_kept_by", F.array().cast("array<long>"))
-    shaped = joined.select(*columns, "_spans", kept_by.alias("kept_by"))
-    schema = T.StructType([*docs.schema.fields, T.StructField("n_sentences", T.LongType(), False),
-                           T.StructField("n_removed", T.LongType(), False),
-                           T.StructField("kept_by", T.ArrayType(T.LongType()), False)])
+    marked = docs.withColumn(own, mark(F.col(text)))
+    same = F.col(key).eqNullSafe(F.col(of)) & (F.col(own) == F.col(of_mark))
+    losing = small(removal.select(of, of_mark))
+    keys = T.ArrayType(docs.schema[key].dataType)
+    changed = marked.join(losing, same, "left_semi").join(removal, same).select(*columns, spans_of, keepers)
+    whole = marked.join(losing, same, "left_anti").select(
+        *columns, F.lit(None).cast(removal.schema[spans_of].dataType).alias(spans_of), F.array().cast(keys).alias(keepers))
+    shaped = changed.unionByName(whole)
+    schema = T.StructType([*docs.schema.fields, T.StructField(n_sentences, T.LongType(), False),
+                           T.StructField(n_removed, T.LongType(), False), T.StructField(kept_by, keys, False)])
     at = columns.index(text)
 
     def batches(it):

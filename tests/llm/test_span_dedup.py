@@ -132,3 +132,13 @@ def test_texts_of_one_key_or_none_are_documents_of_their_own(frame):
         assert (whole, cut) in [({a + " " + b}, {c}), ({c + " " + b}, {a})]
         assert all(r.kept_by == [key] for r in out if r.doc_id == key and 0 < r.n_removed < r.n_sentences)
         assert not any(x in t for t in cut for x in b.split())
+
+
+def test_string_keys_and_clashing_columns(frame):
+    passage = " ".join(f"Sentence {k} of the passage that is shared by two." for k in range(12))
+    schema = "id string, text string, _mark string, _doc string, n_removed string, _spans int"
+    rows = [("a", "First text. " + passage, "m", "d", "n", 1), ("b", "Second one. " + passage, "m", "d", "n", 2), ("c", "Short.", None, None, None, None)]
+    out = {r["id"]: r for r in S.remove_repeats(frame(rows, schema), "id").collect()}
+    assert [out["a"][c] for c in ("_mark", "_doc", "n_removed", "_spans")] == ["m", "d", "n", 1]
+    assert out["a"].text == rows[0][1] and passage not in out["b"].text and out["b"]["n_removed_"] > 0 and out["b"].kept_by == ["a"]
+    assert out["c"].text == "Short." and out["c"]["n_removed_"] == 0
