@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from scribal.llm import crf
-from scribal.llm.common import need
+from scribal.llm.common import need, unused
 
 #: Labelled pages composed for training, and the seed they are drawn with.
 TRAINING_PAGES = 600
@@ -47,14 +47,19 @@ _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 # ---------------------------------------------------------------------------
 # FIXED VALUES: kinds of HTML elements.
 # ---------------------------------------------------------------------------
-RAW_TEXT = {"script", "style", "noscript", "template", "iframe", "textarea", "title", "svg", "math", "select", "object",
+RAW_TEXT = {"script", "style", "noscript", "template", "iframe", "textarea", "title", "select",
             "canvas", "audio", "video", "noembed", "noframes", "xmp"}
 #: Of these, those that take the rest of the page when they are never closed.
 TO_THE_END = {"script", "style", "title", "textarea", "xmp"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins",
           "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u",
-          "var", "wbr", "img", "ruby", "rb", "rt", "rp", "picture", "source", "nobr"}
+          "var", "wbr", "img", "ruby", "rb", "rt", "rp", "picture", "source", "nobr",
+          # formulas, drawings and embedded objects stand in the line; what they say is text
+          "math", "mi", "mo", "mn", "ms", "mtext", "mrow", "msup", "msub", "msubsup", "mfrac", "msqrt", "mroot", "mover",
+          "munder", "munderover", "mfenced", "mspace", "mstyle", "mtable", "mtr", "mtd", "semantics", "annotation",
+          "svg", "g", "path", "rect", "circle", "ellipse", "line", "polyline", "polygon", "text", "tspan", "textpath", "defs",
+          "use", "desc", "lineargradient", "stop", "object", "param"}
 #: An opening tag closes these open elements when they are the innermost block.
 IMPLIED_END = {"li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"},
                "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
@@ -119,6 +124,12 @@ def _families(attributes: str) -> tuple[str, ...]:
     return tuple(sorted(found))
 
 
+@lru_cache(maxsize=None)
+def _raw_end(tag: str) -> re.Pattern:
+    """The end of a raw element; one pattern for each of ``RAW_TEXT``."""
+    return re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I)
+
+
 class Block:
     """A leaf block: its text, ancestors as (tag, families), linked characters."""
 
@@ -134,6 +145,7 @@ def leaf_blocks(page: str) -> list[Block]:
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     linked, links = 0, 0
+    unclosed: set[str] = set()  # raw elements that are not closed any more
 
     def flush() -> None:
         nonlocal linked
@@ -180,7 +192,9 @@ def leaf_blocks(page: str) -> list[Block]:
         tag, attributes = tag.lower(), (m[3] if m[2] else m[5]) or ""
         if tag in RAW_TEXT:
             if not attributes.rstrip().endswith("/"):
-                end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+                end = None if tag in unclosed else _raw_end(tag).search(page, at)
+                if end is None:
+                    unclosed.add(tag)
                 at = end.end() if end else n if tag in TO_THE_END else at
             continue
         if tag == "a":
@@ -433,12 +447,12 @@ def default_model() -> PageModel:
 
 
 def extract(pages: DataFrame, html_column: str = "html", out: str = "text", model: PageModel | None = None) -> DataFrame:
-    """``pages`` without the html column but with its main text."""
+    """``pages`` without the html column but with its main text as a last column,
+    ``out`` or, if there is one of that name, the next one unused."""
     need(pages, [html_column])
     model = model or default_model()
     kept = [c for c in pages.columns if c != html_column]
-    if out in kept:
-        raise ValueError(f"the pages already have a column {out}; name another one")
+    [out] = unused(pages.select(*kept), out)
     rows = pages.select(*kept, html_column)
     schema = T.StructType([*(rows.schema[c] for c in kept), T.StructField(out, T.StringType(), False)])
 

@@ -65,3 +65,17 @@ def test_other_layouts():
     short = ("<body><div role='alert'>This site uses cookies to improve things.</div><article><p>Just one paragraph.</p></article>"
              "<form><p>Leave your name and address for us here, please do so now.</p><input></form></body>")
     assert text(short) == "Just one paragraph."
+
+
+def test_formulas_drawings_and_objects_are_text():
+    page = ("<p>Energy is <math><mi>E</mi><mo>=</mo><mn>1</mn></math> as shown</p><p>see <svg><text>label</text></svg> here</p>"
+            "<p>a <object data='x'>fallback <b>bold</b></object> b</p><p>z<script>var a</script><style>p{}</style> y</p>")
+    assert [b.text for b in H.leaf_blocks(page)] == ["Energy is E=1 as shown", "see label here", "a fallback bold b", "z y"]
+
+
+def test_many_unclosed_raw_elements_take_linear_time():
+    import time
+
+    begin = time.perf_counter()
+    H.leaf_blocks("<iframe>x " * 20_000)
+    assert time.perf_counter() - begin < 5
