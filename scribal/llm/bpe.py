@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from scribal.llm.common import need
+from scribal.llm.common import need, unused
 
 #: White space as the vocabulary's patterns understand it (Unicode White_Space).
 _CHUNK = re.compile("[^\t-\r \x85\xa0  -     　]+")
@@ -233,7 +233,9 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """``encoded`` with the text of its ids; special tokens are kept."""
+    """``encoded`` with the text of its ids as a last column, ``out`` or, if there is
+    one of that name, the next one unused; special tokens are kept."""
+    [out] = unused(encoded, out)
     schema = T.StructType([*encoded.schema.fields, T.StructField(out, T.StringType(), False)])
     at = encoded.columns.index(ids)
 

@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scribal.llm.common import mark, need, one_of_equal, small, words, written
+from scribal.llm.common import mark, need, one_of_equal, small, unused, words, written
 
 UNIT_BITS = 24
 UNIT = 1 << UNIT_BITS
@@ -130,13 +130,13 @@ def mix(
 def emit(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **settings) -> DataFrame:
     """``docs`` with every row as often as the mix takes it. Equal rows (key,
     text and source) come as often as all of them together."""
-    drawn = mix(docs, key, text, source, **settings)
-    taken = written(drawn.groupBy(F.col(key).alias("_key"), F.col("mark").alias("_mark"), F.col("source").alias("_source")).agg(
-        F.sum("copies").cast("int").alias("_copies"), F.count("*").alias("_rows")).where("_copies > 0"))
-    marked = docs.withColumn("_text_mark", mark(F.col(text)))
-    same = (F.col(key).eqNullSafe(F.col("_key")) & (F.col("_text_mark") == F.col("_mark"))
-            & F.col(source).eqNullSafe(F.col("_source")))
-    many = taken.where("_rows > 1").select("_key", "_mark", "_source")
-    single = one_of_equal(marked, many, same, [key, "_text_mark", source])
-    joined = single.join(small(taken.drop("_rows")), same)
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    k, m, of, n, own, copy = unused(docs, "_key", "_mark", "_source", "_copies", "_own", "_copy")
+    drawn = mix(docs.select(*dict.fromkeys([key, text, source])), key, text, source, **settings)
+    taken = written(drawn.groupBy(F.col(key).alias(k), F.col("mark").alias(m), F.col("source").alias(of)).agg(
+        F.sum("copies").cast("int").alias(n), F.count("*").alias("rows")).where(F.col(n) > 0))
+    marked = docs.withColumn(own, mark(F.col(text)))
+    same = F.col(key).eqNullSafe(F.col(k)) & (F.col(own) == F.col(m)) & F.col(source).eqNullSafe(F.col(of))
+    many = taken.where("rows > 1").select(k, m, of)
+    single = one_of_equal(marked, many, same, [key, own, source])
+    joined = single.join(small(taken.drop("rows")), same)
+    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*docs.columns)

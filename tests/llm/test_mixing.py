@@ -60,3 +60,10 @@ def test_empty_and_blank(frame):
     assert M.mix(frame([], schema)).count() == 0
     out = M.mix(frame([(1, None, None), (2, "", "x")], schema)).collect()
     assert {(r.size, r.target, r.copies) for r in out} == {(0, 0.0, 0)}
+
+
+def test_other_columns_come_back(frame):
+    schema = "doc_id long, text string, source string, _text_mark string, _key string, _MARK long, _source string, _copies int, _copy int, size int"
+    rows = [(k, " ".join(["w"] * 30), "a", "m", "k", k, "s", 9, 8, 7) for k in range(20)]
+    out = M.emit(frame(rows, schema))
+    assert out.columns == [c.split()[0] for c in schema.split(", ")] and {tuple(r) for r in out.collect()} <= set(rows)
