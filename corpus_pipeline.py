@@ -18,15 +18,12 @@ told apart by their texts; equal rows of one component are one document.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scribal.llm import bpe, mixing, ngram_join, secrets, toxicity
-from scribal.llm.common import importable, table
+from scribal.llm.common import importable, table, written
 from scribal.llm.queries import bpe_path
-from scribal.session import ensure_checkpoint_dir
 
 
 #: Words of a run and percent of similarity from which near_duplicates links texts.
@@ -74,11 +71,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written to the shared folder."""
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    """All stages over documents, each written to the shared folder; what is
+    written there goes when the driver's session ends."""
     docs = table(spark, sf_dir, "documents")
-    for number, (name, stage) in enumerate(STAGES, 1):
-        path = f"{base}/{number}_{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    for _, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir))
     return docs
