@@ -62,7 +62,7 @@ def test_stages(spark, folder, tmp_path):
     assert not clean - given and sum(n for r, n in clean.items() if r in bad) <= 2
     assert sum(n for r, n in (given - clean).items() if r not in bad) <= 2
     # near duplicates: one row of each component, wordless rows stay
-    joined = ngram_join.join_ngrams(spark.read.parquet(f"{tmp_path}/0")).collect()
+    joined = ngram_join.join_ngrams(spark.read.parquet(f"{tmp_path}/0"), width=5, percent=80).collect()
     assert not unique - clean and set(unique.values()) == {1}
     names = {r.component_id for r in joined if r.n_shingles}
     assert sorted(map(str, (r[0] for r in unique))) == sorted(map(str, names | {r.doc_id for r in joined if not r.n_shingles}))
