@@ -85,26 +85,26 @@ ELLIPSIS = [("...", "#MISSING#")]
 EMPTY_ENCLOSURES = [("{}", ""), ("()", "")]
 
 # x / o / n handling: characters in this order, and per character these
-# sixteen (search, replacement) templates in this order; "c" is the
-# character and "M" the missing token. "$" is a literal dollar sign.
+# sixteen (search, replacement) templates in this order. "$" is a literal
+# dollar sign.
 XON_CHARS = ["x", "o", "n", "X", "O", "N"]
 XON_TEMPLATES = [
-    ("(c)", "M"),
-    ("[c]", "M"),
-    ("(c)", "M"),
-    ("[c]", "M"),
-    ("-c-", " M "),
-    (" c-", " M "),
-    ("-c ", " M "),
-    (" c ", " M "),
-    ("\nc ", "\nM "),
-    (" c\n", " M\n"),
-    (" c$", "M"),
-    ("-c$", "M"),
-    ("Mc ", "M"),
-    ("Mc-", "M"),
-    (" cM", "M"),
-    ("-cM", "M"),
+    ("({char})", "{missing}"),
+    ("[{char}]", "{missing}"),
+    ("({char})", "{missing}"),
+    ("[{char}]", "{missing}"),
+    ("-{char}-", " {missing} "),
+    (" {char}-", " {missing} "),
+    ("-{char} ", " {missing} "),
+    (" {char} ", " {missing} "),
+    ("\n{char} ", "\n{missing} "),
+    (" {char}\n", " {missing}\n"),
+    (" {char}$", "{missing}"),
+    ("-{char}$", "{missing}"),
+    ("{missing}{char} ", "{missing}"),
+    ("{missing}{char}-", "{missing}"),
+    (" {char}{missing}", "{missing}"),
+    ("-{char}{missing}", "{missing}"),
 ]
 
 # Substrings reported by the four checks (report only, no data change).
@@ -273,5 +273,5 @@ def xon_pairs() -> list[tuple[str, str]]:
     out = []
     for ch in XON_CHARS:
         for old, new in XON_TEMPLATES:
-            out.append((old.replace("c", ch).replace("M", MISSING), new.replace("M", MISSING)))
+            out.append((old.replace("{char}", ch).replace("{missing}", MISSING), new.replace("{missing}", MISSING)))
     return out
