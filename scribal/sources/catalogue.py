@@ -3,8 +3,9 @@
 Layout of a landing folder per corpus: a ``catalogue.json`` somewhere
 below ``<landing>/<corpus>/`` (``{"members": {text_id: {field: value}}}``)
 and one JSON tree per text in a ``corpusjson`` folder next to it.
-Catalogues are parsed to a MAP, which keeps JSON member order (the
-keep-first order) and lets the last duplicate key win, as Python does.
+Catalogues keep JSON member order (the keep-first order) and let the last
+duplicate key win, as Python does; a large one is read in many tasks (see
+:mod:`scribal.sources.members`).
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 
 from scribal.operators.collate import order_number
 from scribal.session import path_exists
+from scribal.sources.members import read_members
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES: corpora in union order (= keep-first precedence), with the
@@ -127,7 +129,7 @@ def read_catalogue(spark: SparkSession, landing: str, corpus: str) -> DataFrame:
     folder = catalogue_folder(spark, landing, corpus)
     if folder is None:
         return catalogue_from_text(spark.createDataFrame([], "value string"))
-    return catalogue_from_text(spark.read.option("wholetext", True).text(f"{folder}/catalogue.json"))
+    return read_members(spark, f"{folder}/catalogue.json")
 
 
 def conform_catalogue(cat: DataFrame, corpus: str, kind: str, corpus_rank: int) -> tuple[DataFrame, DataFrame]:
