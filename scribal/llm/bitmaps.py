@@ -111,6 +111,16 @@ def likeliest() -> Column:
     return F.struct(-F.col("known"), F.col("sid"))
 
 
+def any_one() -> Column:
+    """Picks a set by chance, another one in each place."""
+    return F.xxhash64("sid", "place")
+
+
+def crossing(rows: DataFrame) -> DataFrame:
+    """The places of ``rows`` (place, label) that hold several components."""
+    return written(rows.groupBy("place").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("place"))
+
+
 def against_one(members: DataFrame, pick: Column, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of each member (sid, place, label) and the pivot that its place picks
     (the least ``pick``), of another component; of several each member keeps the

@@ -21,9 +21,10 @@ many checks as nodes), pairs are verified on the full sets, and the links' compo
 are found. The pivot is the node whose collection keys most nodes share: as a copy's
 minhashes are mostly those of the text it was made from, that is this text. (4) For
 all tables the least and the largest component of each bucket are aggregated; buckets
-within one component are done. (5) What is left is held against pivots again, twice,
-and then (6) nodes of different components are compared in blocks of bounded size,
-each pair in the first table that it shares: bit counts of the bitmaps bound what two
+within one component are done. (5) What is left is held against pivots again, then
+against nodes picked by chance, another one in each bucket, and (6) nodes of different
+components that meet in an open bucket are compared in blocks of bounded size, each
+pair in the first collection that it shares: bit counts of the bitmaps bound what two
 sets can share, and only pairs that may be similar enough leave the task. Every link
 that counts passes the exact test on the full sets. Copies and near copies in any
 number thus cost as many checks as rows, and nothing is capped.
@@ -47,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scribal.llm.bitmaps import against_one, bitmap, likeliest, open_pairs, pass_bitmaps
+from scribal.llm.bitmaps import against_one, any_one, bitmap, crossing, likeliest, open_pairs, pass_bitmaps
 from scribal.llm.common import frees_tables, keep_named, mark, need, one_of_equal, small, written
 from scribal.llm.labelled import groups
 from scribal.llm.links import components, exact_links, is_text, labelled, named, repeated_rows
@@ -59,8 +60,6 @@ PERCENT = 80
 COLLECTIONS, ROWS = 24, 3
 #: Collections whose tables give the first links.
 PROBES = 5
-#: Rounds in which the nodes of open buckets are held against pivots.
-PIVOT_ROUNDS = 2
 #: Nodes of a bucket that one task compares with each other at a time.
 BLOCK = 512
 #: Pairs that are compared at a time.
@@ -140,25 +139,35 @@ def in_tables(shared: DataFrame, first: int = COLLECTIONS) -> DataFrame:
 
 def open_members(shared: DataFrame, labels: DataFrame) -> DataFrame:
     """Members (place, t, sid, label, known) of the buckets that hold several
-    components."""
+    components. A bucket can do so only if both of its collections' keys do, so
+    tables are formed of these keys only."""
     tagged = labelled(shared, labels)
-    crossing = (in_tables(tagged.select("label", "shared")).groupBy("place").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-                .where("low < high").select("place"))
-    return written(in_tables(tagged).join(small(written(crossing)), "place"))
+    halves = tagged.select("sid", "label", "known", F.explode("shared").alias("h")).select("sid", "label", "known", "h", F.col("h.half").alias("place"))
+    met = halves.join(small(crossing(halves)), "place").groupBy("sid", "label", "known").agg(F.sort_array(F.collect_list("h")).alias("shared"))
+    return still_open(written(in_tables(met.where(F.size("shared") > 1))))
 
 
-def first_shared_table(columns: dict, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Which pairs meet in this table first: the least two collections that they
-    share are the table's own."""
+def still_open(members: DataFrame) -> DataFrame:
+    return written(members.join(small(crossing(members)), "place"))
+
+
+def by_collection(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Open members by single collections (place, c, sid, label, halves): nodes that
+    meet in an open table meet there too, in far fewer places."""
+    both = F.explode(F.array((F.col("t") / COLLECTIONS).cast("int"), (F.col("t") % COLLECTIONS).cast("int"))).alias("c")
+    listed = members.select("sid", "label", both).distinct().join(nodes.select("sid", "halves"), "sid")
+    return written(listed.select("sid", "label", "c", "halves", F.xxhash64("c", F.get("halves", F.col("c"))).alias("place")))
+
+
+def meet_here_first(columns: dict, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which pairs share two collections or more, of which this is the first."""
     code = np.array(columns["halves"], dtype=np.int64).reshape(-1, COLLECTIONS)
-    table = np.array(columns["t"], dtype=np.int64)
+    here = np.array(columns["c"], dtype=np.int64)
     out = np.zeros(len(x), dtype=bool)
     for at in range(0, len(x), CHUNK // 8):
         p, q = x[at:at + CHUNK // 8], y[at:at + CHUNK // 8]
         same = code[p] == code[q]
-        one = same.argmax(axis=1)
-        same[np.arange(len(same)), one] = False
-        out[at:at + len(p)] = one * COLLECTIONS + same.argmax(axis=1) == table[p]
+        out[at:at + len(p)] = (same.argmax(axis=1) == here[p]) & (same.sum(axis=1) > 1)
     return out
 
 
@@ -181,16 +190,16 @@ def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: in
     members = written(in_tables(shared, PROBES).withColumn("label", F.col("sid")))
     links = verified(against_one(members, likeliest(), nodes, percent))
     labels = components(links)
-    for turn in range(PIVOT_ROUNDS + 1):
-        members = open_members(shared, labels)
+    members = open_members(shared, labels)
+    for pick in (likeliest(), any_one()):
         if members.isEmpty():
             break
-        if turn < PIVOT_ROUNDS:
-            pairs = against_one(members, likeliest(), nodes, percent)
-        else:
-            members = members.drop("known").join(nodes.select("sid", "halves"), "sid")
-            pairs = pass_bitmaps(written(open_pairs(members, nodes, percent, BLOCK, CHUNK, first_shared_table)), nodes, percent).select("a", "b")
-        links = written(links.unionByName(verified(pairs)))
+        links = written(links.unionByName(verified(against_one(members, pick, nodes, percent))))
+        labels = components(links)
+        members = still_open(labelled(members.drop("label"), labels))
+    if not members.isEmpty():
+        pairs = open_pairs(by_collection(members, nodes), nodes, percent, BLOCK, CHUNK, meet_here_first)
+        links = written(links.unionByName(verified(pass_bitmaps(written(pairs), nodes, percent).select("a", "b"))))
         labels = components(links)
     return named(described, nodes, labels)
 

@@ -29,7 +29,8 @@ that others were copied from. (3) For all tiles the least and the largest compon
 within one component are done. Linked sets share at least ``share`` tiles of a band
 (as many equal parts as a set cannot leave empty), so sets with fewer open tiles
 leave them, and the others need only the first of theirs: of n open tiles all but
-share - 1. (4) What is left is checked against pivots again, twice. (5) In tiles
+share - 1. (4) What is left is checked against pivots again, then against sets
+picked by chance, another one in each tile. (5) In tiles
 that are open still, pairs of different components are held against their bitmaps
 block by block, in blocks of bounded size and with bitmaps of bounded length, and
 those that pass are decided. Tiles carry narrow rows until then. Copies and near copies in any number thus
@@ -54,7 +55,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scribal.llm.bitmaps import against_one, bitmap, likeliest, open_pairs, pass_bitmaps
+from scribal.llm.bitmaps import against_one, any_one, bitmap, crossing, likeliest, open_pairs, pass_bitmaps
 from scribal.llm.common import frees_tables, keep_named, mark, need, one_of_equal, small, written
 from scribal.llm.labelled import groups
 from scribal.llm.links import components, exact_links, is_text, labelled, named, repeated_rows
@@ -69,8 +70,6 @@ GROWTH = 1.5
 PARTS_FROM = 67
 #: Parts whose tiles give the first links.
 PROBES = 4
-#: Rounds in which the sets of open tiles are checked against pivots.
-PIVOT_ROUNDS = 2
 #: Sets of a tile that one task compares with each other at a time.
 BLOCK = 512
 #: Pairs that are compared at a time.
@@ -171,24 +170,32 @@ def describe(docs: DataFrame, key: str, text: str, width: int, percent: int) ->
 
 
 def open_members(once: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(sid, label, place, known)`` of the tiles that hold several components: for
-    the sets that are in as many as they would share with a linked one, the first
-    of these. ``known``: how many sets the set's open tiles hold in all."""
+    """Members (place, sid, label, kind, share) of the tiles that hold several
+    components: see ``still_open``."""
     tagged = labelled(once, labels)
-    crossing = written(tagged.select("label", F.explode("tiles").alias("place")).groupBy("place").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")).where("low < high").select("place", "n"))
+    found = crossing(tagged.select("label", F.explode("tiles").alias("place")))
     entered = tagged.select("sid", "own", "below", "share_0", "share_1", "label", F.posexplode("tiles").alias("at", "place"))
     kind = F.when(F.col("at") < F.col("own"), 0).when(F.col("at") < F.col("own") + F.col("below"), 1).otherwise(2)
     share = F.when(kind == 0, F.col("share_0")).when(kind == 1, F.col("share_1")).otherwise(1)
-    members = written(entered.join(small(crossing), "place").select("place", "sid", "label", kind.alias("kind"), share.alias("share"), "n"))
-    for _ in range(0 if members.isEmpty() else 2):  # whoever leaves may close tiles for others
+    return still_open(written(entered.join(small(found), "place").select("place", "sid", "label", kind.alias("kind"), share.alias("share"))), 2)
+
+
+def still_open(members: DataFrame, rounds: int = 1) -> DataFrame:
+    """The members of tiles with several components that are in as many such tiles
+    as they would share with a linked set; whoever leaves may close tiles for others."""
+    for _ in range(rounds):
+        members = written(members.join(small(crossing(members)), "place"))
         often = members.groupBy("sid", "kind").agg(F.count("*").alias("n_open"))
-        kept = members.join(often, ["sid", "kind"]).where("n_open >= share")
-        tiles = kept.groupBy("place").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("place")
-        members = written(kept.join(small(written(tiles)), "place").select("place", "sid", "label", "kind", "share", "n"))
-    listed = members.groupBy("sid", "label", "kind", "share").agg(F.sort_array(F.collect_list("place")).alias("tiles"), F.sum("n").alias("known"))
-    first = F.expr("slice(tiles, 1, greatest(0, size(tiles) - share + 1))")  # a set's own tiles only
-    return written(listed.select("sid", "label", "known", F.explode(first).alias("place")).groupBy("sid", "label", "place").agg(F.max("known").alias("known")))
+        members = written(members.join(often, ["sid", "kind"]).where("n_open >= share").drop("n_open"))
+    return written(members.join(small(crossing(members)), "place"))
+
+
+def needed(members: DataFrame) -> DataFrame:
+    """``(sid, label, place)``: of the n open tiles of a set the first n - share + 1;
+    sets that share as many as said share one of these."""
+    listed = members.groupBy("sid", "label", "kind", "share").agg(F.sort_array(F.collect_list("place")).alias("tiles"))  # a set's own tiles
+    first = F.expr("slice(tiles, 1, greatest(0, size(tiles) - share + 1))")
+    return written(listed.select("sid", "label", F.explode(first).alias("place")).distinct())
 
 
 def _popular(members: DataFrame) -> DataFrame:
@@ -223,15 +230,16 @@ def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: in
     probes = written(once.select("sid", F.explode("probes").alias("place"), F.col("sid").alias("label")))
     links = verified(against_one(_popular(probes), likeliest(), sets, percent))
     labels = components(links)
-    for turn in range(PIVOT_ROUNDS + 1):
-        members = open_members(once, labels)
+    members = open_members(once, labels)
+    for pick in (likeliest(), any_one()):
         if members.isEmpty():
             break
-        if turn < PIVOT_ROUNDS:
-            pairs = against_one(members, likeliest(), sets, percent)
-        else:
-            pairs = pass_bitmaps(written(open_pairs(members.drop("known"), sets, percent, BLOCK, CHUNK)), sets, percent).select("a", "b")
-        links = written(links.unionByName(verified(pairs)))
+        links = written(links.unionByName(verified(against_one(_popular(needed(members)), pick, sets, percent))))
+        labels = components(links)
+        members = still_open(labelled(members.drop("label"), labels))
+    if not members.isEmpty():
+        pairs = written(open_pairs(needed(members), sets, percent, BLOCK, CHUNK))
+        links = written(links.unionByName(verified(pass_bitmaps(pairs, sets, percent).select("a", "b"))))
         labels = components(links)
     return named(described, nodes, labels)
 
