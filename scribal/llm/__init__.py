@@ -1,5 +1,5 @@
 """Training-data operators for large text corpora.
 
-Ten operators, one module each; ``queries`` registers them for the driver.
+Thirteen operators, one module each; ``queries`` registers them for the driver.
 Nothing outside this subpackage (and ``corpus_pipeline``) imports it.
 """

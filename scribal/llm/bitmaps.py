@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scribal.llm.common import small, written
+from scribal.llm.common import is_empty, small, written
 
 #: Bits of the shortest bitmap, and of the longest that goes to groups of sets.
 LEAST_BITS, GROUP_BITS = 256, 8192
@@ -81,8 +81,6 @@ def allowed(x: np.ndarray, y: np.ndarray, sizes: np.ndarray, maps: Bitmaps, perc
 def pass_bitmaps(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that sizes and bitmaps let through, with the ``bound`` of
     their similarity. ``sets`` is (sid, size, bits), once per set."""
-    if pairs.isEmpty():
-        return pairs.select("a", "b", F.lit(0.0).alias("bound"))
     asked = written(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct())
     known = written(sets.select("sid", "size", "bits").join(small(asked), "sid"))
     side = {s: known.select(F.col("sid").alias(s), F.col("size").alias(f"size_{s}"), F.col("bits").alias(f"bits_{s}"))
@@ -126,9 +124,11 @@ def against_one(members: DataFrame, pick: Column, sets: DataFrame, percent: int)
     (the least ``pick``), of another component; of several each member keeps the
     likeliest."""
     pivots = written(members.groupBy("place").agg(F.min_by(F.struct("sid", "label"), pick).alias("one")))
-    met = members.join(small(pivots.select("place", F.col("one.sid").alias("pivot"), F.col("one.label").alias("of_pivot"))), "place")
+    met = members.join(small(pivots.select("place", F.col("one.sid").alias("pivot"), F.col("one.label").alias("of_pivot")), of=pivots), "place")
     pairs = written(met.where("label <> of_pivot").select(F.greatest("sid", "pivot").alias("a"), F.least("sid", "pivot").alias("b"), F.col("sid").alias("of"))
                     .groupBy("a", "b").agg(F.max("of").alias("of")))
+    if is_empty(pairs):
+        return pairs.select("a", "b")
     likely = pass_bitmaps(pairs.select("a", "b"), sets, percent).join(pairs, ["a", "b"])
     best = likely.groupBy("of").agg(F.max_by(F.struct("a", "b"), F.struct("bound", "a", "b")).alias("p"))
     return best.select("p.a", "p.b").distinct()

@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable, Iterable
 from functools import reduce, wraps
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 import scribal
@@ -82,9 +82,13 @@ def written(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
     if getattr(_scopes, "open", None):
         _scopes.open[-1].append(path)
-    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    seen = Observation()
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0).cast("long")).alias("bytes"))
+    writer = watched.write.partitionBy(partition_by) if partition_by else watched.write
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = seen.get  # rows and bytes, so that no job need count them
+    return out
 
 
 def frees_tables(make: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
@@ -126,14 +130,27 @@ def _bytes_of(name: str, kind: str) -> Column:
     return F.coalesce(size, F.lit(8)).cast("long")
 
 
-def small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+def _row_bytes(df: DataFrame) -> Column:
+    return reduce(lambda a, b: a + b, [_bytes_of(f"`{c}`", kind) for c, kind in df.dtypes]) + 16
+
+
+def small(df: DataFrame, most: int = BROADCAST_BYTES, of: DataFrame | None = None) -> DataFrame:
     """``df`` with a broadcast hint when its bytes are checked to be few; beyond
-    that Spark joins it by a shuffle. For narrow rows of plain columns."""
-    row = reduce(lambda a, b: a + b, [_bytes_of(c, kind) for c, kind in df.dtypes]) + 16
-    size = df.agg(F.sum(row)).first()[0] or 0
+    that Spark joins it by a shuffle. For narrow rows of plain columns.
+
+    What was written is known; ``of`` names a written table that ``df`` has no more
+    rows and columns than. Else a job adds up the bytes."""
+    known = getattr(df if of is None else of, "_written", None)
+    size = known["bytes"] if known else df.agg(F.sum(_row_bytes(df))).first()[0] or 0
     return F.broadcast(df) if size <= most else df
 
 
+def is_empty(df: DataFrame) -> bool:
+    """Whether a table has no rows; what was written is known."""
+    known = getattr(df, "_written", None)
+    return known["rows"] == 0 if known else df.isEmpty()
+
+
 def mark(text: Column) -> Column:
     """A number that tells apart the texts of rows with one key."""
     return F.xxhash64(F.coalesce(text, F.lit("")))
@@ -153,7 +170,7 @@ def unused(df: DataFrame, *names: str) -> list[str]:
 def one_of_equal(rows: DataFrame, many: DataFrame, same: Column, keys: list[str]) -> DataFrame:
     """``rows`` with one row of each group of ``keys`` that ``many`` names; the
     others, nearly all as a rule, are not shuffled."""
-    if many.isEmpty():
+    if is_empty(many):
         return rows
     few = small(many)
     return rows.join(few, same, "left_anti").unionByName(rows.join(few, same, "left_semi").dropDuplicates(keys))

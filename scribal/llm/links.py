@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scribal.llm.common import small, written
+from scribal.llm.common import is_empty, small, written
 from scribal.llm.labelled import groups
 from scribal.llm.shingles import Shingler, digests
 
@@ -38,7 +38,7 @@ def is_text(key: str = "_key", of_mark: str = "_mark"):
 
 def repeated_rows(described: DataFrame, nodes: DataFrame) -> DataFrame:
     """``(_key, _mark)`` of the nodes for which several equal rows stand."""
-    standing = small(nodes.select(F.col("sid").alias("_sid"), F.col("key").alias("_key"), F.col("mark").alias("_mark")))
+    standing = small(nodes.select(F.col("sid").alias("_sid"), F.col("key").alias("_key"), F.col("mark").alias("_mark")), of=nodes)
     found = described.select("sid", "key", "mark").join(standing, (F.col("sid") == F.col("_sid")) & is_text())
     return written(found.groupBy("_sid").agg(F.count("*").alias("n"), F.first("_key").alias("_key"), F.first("_mark").alias("_mark"))
                    .where("n > 1").select("_key", "_mark"))
@@ -47,7 +47,7 @@ def repeated_rows(described: DataFrame, nodes: DataFrame) -> DataFrame:
 def exact_links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are linked. Pairs are dealt by b and, when b
     has many partners, a block of them, so tasks hold one set of b at a time."""
-    if pairs.isEmpty():
+    if is_empty(pairs):
         return pairs.select("a", "b")
     counts = pairs.groupBy("b").agg(F.count("*").alias("n"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("long")
@@ -89,14 +89,16 @@ def components(links: DataFrame) -> DataFrame:
     both = written(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = written(both.groupBy(F.col("a").alias("sid")).agg(F.min("b").alias("near"))
                      .select("sid", F.least("sid", "near").alias("label")))
-    while not labels.isEmpty():
-        far = both.join(labels, both.b == labels.sid).groupBy("a").agg(F.min("label").alias("far"))
-        spread = labels.join(far, labels.sid == far.a).select("sid", "label", F.least("label", "far").alias("next"))
-        jump = spread.select(F.col("sid").alias("_sid"), F.col("next").alias("_next"))
-        step = written(spread.join(jump, F.col("next") == F.col("_sid")).select(
-            "sid", F.least("next", "_next").alias("label"), (F.least("next", "_next") < F.col("label")).alias("moved")))
+    while not is_empty(labels):
+        known = labels.select(F.col("sid").alias("_sid"), F.col("label").alias("_label"))
+        # the least label among a node, its neighbours and the nodes that they are labelled with
+        near = both.join(known, F.col("b") == F.col("_sid")).groupBy("a").agg(F.min("_label").alias("far"))
+        met = labels.join(near, F.col("sid") == F.col("a")).select("sid", "label", F.least("label", "far").alias("next"))
+        step = written(met.join(known, F.col("next") == F.col("_sid")).select("sid", F.least("next", "_label").alias("label"), F.col("label").alias("was")))
+        moved = written(step.where("label < was").select("sid"))
         labels = step.select("sid", "label")
-        if step.where("moved").isEmpty():
+        labels._written = step._written
+        if is_empty(moved):
             break
     return labels
 
@@ -113,7 +115,7 @@ def named(described: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFram
     of_nodes = nodes.join(small(labels), "sid").select("sid", "label", "key")
     names = written(of_nodes.groupBy("label").agg(F.min("key").alias("name")))
     known = written(of_nodes.select("sid", "label").join(small(names), "label"))
-    alone = nodes.join(small(labels.select("sid")), "sid", "left_anti").select("sid", F.col("sid").alias("label"), F.col("key").alias("name"))
+    alone = nodes.join(small(labels.select("sid"), of=labels), "sid", "left_anti").select("sid", F.col("sid").alias("label"), F.col("key").alias("name"))
     sets = described.select("key", "mark", "size", "sid")
     full = sets.where("size > 0").join(small(written(known.select("sid", "label", "name").unionByName(alone))), "sid")
     empty = sets.where("size = 0").select("key", "mark", "size", F.col("sid").alias("label"), F.col("key").alias("name"))

@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scribal.llm.bitmaps import against_one, any_one, bitmap, crossing, likeliest, open_pairs, pass_bitmaps
-from scribal.llm.common import frees_tables, keep_named, mark, need, one_of_equal, small, written
+from scribal.llm.common import frees_tables, is_empty, keep_named, mark, need, one_of_equal, small, written
 from scribal.llm.labelled import groups
 from scribal.llm.links import components, exact_links, is_text, labelled, named, repeated_rows
 from scribal.llm.shingles import Shingler, digests, pair_hash
@@ -192,15 +192,19 @@ def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: in
     labels = components(links)
     members = open_members(shared, labels)
     for pick in (likeliest(), any_one()):
-        if members.isEmpty():
+        if is_empty(members):
             break
-        links = written(links.unionByName(verified(against_one(members, pick, nodes, percent))))
+        found = verified(against_one(members, pick, nodes, percent))
+        if is_empty(found):
+            continue
+        links = written(links.unionByName(found))
         labels = components(links)
         members = still_open(labelled(members.drop("label"), labels))
-    if not members.isEmpty():
+    if not is_empty(members):
         pairs = open_pairs(by_collection(members, nodes), nodes, percent, BLOCK, CHUNK, meet_here_first)
-        links = written(links.unionByName(verified(pass_bitmaps(written(pairs), nodes, percent).select("a", "b"))))
-        labels = components(links)
+        found = verified(pairs)
+        if not is_empty(found):
+            labels = components(written(links.unionByName(found)))
     return named(described, nodes, labels)
 
 

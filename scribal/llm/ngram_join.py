@@ -56,7 +56,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scribal.llm.bitmaps import against_one, any_one, bitmap, crossing, likeliest, open_pairs, pass_bitmaps
-from scribal.llm.common import frees_tables, keep_named, mark, need, one_of_equal, small, written
+from scribal.llm.common import frees_tables, is_empty, keep_named, mark, need, one_of_equal, small, written
 from scribal.llm.labelled import groups
 from scribal.llm.links import components, exact_links, is_text, labelled, named, repeated_rows
 from scribal.llm.shingles import Shingler, digests, mix, pair_hash, segment_sums
@@ -219,7 +219,7 @@ def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: in
     nodes = written(described.where("size > 0").groupBy("sid").agg(least).select("sid", "least.key", "least.mark"))
     many = repeated_rows(described, nodes)
     texts = one_of_equal(plain, many, is_text(), ["key", "mark"])
-    standing = small(nodes.select(F.col("sid").alias("_sid"), F.col("key").alias("_key"), F.col("mark").alias("_mark")))
+    standing = small(nodes.select(F.col("sid").alias("_sid"), F.col("key").alias("_key"), F.col("mark").alias("_mark")), of=nodes)
     once = one_of_equal(described.where("size > 0").join(standing, (F.col("sid") == F.col("_sid")) & is_text(), "left_semi"),
                         many, is_text(), ["key", "mark"]).drop("key", "mark")
     sets = once.select("sid", "size", "bits")
@@ -232,15 +232,19 @@ def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: in
     labels = components(links)
     members = open_members(once, labels)
     for pick in (likeliest(), any_one()):
-        if members.isEmpty():
+        if is_empty(members):
             break
-        links = written(links.unionByName(verified(against_one(_popular(needed(members)), pick, sets, percent))))
+        found = verified(against_one(_popular(needed(members)), pick, sets, percent))
+        if is_empty(found):
+            continue
+        links = written(links.unionByName(found))
         labels = components(links)
         members = still_open(labelled(members.drop("label"), labels))
-    if not members.isEmpty():
+    if not is_empty(members):
         pairs = written(open_pairs(needed(members), sets, percent, BLOCK, CHUNK))
-        links = written(links.unionByName(verified(pass_bitmaps(pairs, sets, percent).select("a", "b"))))
-        labels = components(links)
+        found = verified(pass_bitmaps(pairs, sets, percent).select("a", "b"))
+        if not is_empty(found):
+            labels = components(written(links.unionByName(found)))
     return named(described, nodes, labels)
 
 
