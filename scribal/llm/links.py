@@ -83,22 +83,25 @@ def exact_links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int,
     return dealt.mapInArrow(batches, "a long, b long").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """``(sid, label)`` for every node of the links: the least node that it is
-    connected with. Labels spread over links and along labels until they stay."""
+    connected with. Labels spread over links and along labels until they stay, or
+    for so many rounds; nodes with one label are connected in any case, and one round
+    is enough for a star."""
     both = written(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = written(both.groupBy(F.col("a").alias("sid")).agg(F.min("b").alias("near"))
                      .select("sid", F.least("sid", "near").alias("label")))
-    while not is_empty(labels):
+    done = 0
+    while not is_empty(labels) and done != rounds:
         known = labels.select(F.col("sid").alias("_sid"), F.col("label").alias("_label"))
         # the least label among a node, its neighbours and the nodes that they are labelled with
         near = both.join(known, F.col("b") == F.col("_sid")).groupBy("a").agg(F.min("_label").alias("far"))
         met = labels.join(near, F.col("sid") == F.col("a")).select("sid", "label", F.least("label", "far").alias("next"))
         step = written(met.join(known, F.col("next") == F.col("_sid")).select("sid", F.least("next", "_label").alias("label"), F.col("label").alias("was")))
-        moved = written(step.where("label < was").select("sid"))
         labels = step.select("sid", "label")
         labels._written = step._written
-        if is_empty(moved):
+        done += 1
+        if done != rounds and step.where("label < was").isEmpty():
             break
     return labels
 

@@ -189,8 +189,7 @@ def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: in
 
     members = written(in_tables(shared, PROBES).withColumn("label", F.col("sid")))
     links = verified(against_one(members, likeliest(), nodes, percent))
-    labels = components(links)
-    members = open_members(shared, labels)
+    members = open_members(shared, components(links, 1))
     for pick in (likeliest(), any_one()):
         if is_empty(members):
             break
@@ -198,14 +197,11 @@ def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: in
         if is_empty(found):
             continue
         links = written(links.unionByName(found))
-        labels = components(links)
-        members = still_open(labelled(members.drop("label"), labels))
+        members = still_open(labelled(members.drop("label"), components(links, 1)))
     if not is_empty(members):
         pairs = open_pairs(by_collection(members, nodes), nodes, percent, BLOCK, CHUNK, meet_here_first)
-        found = verified(pairs)
-        if not is_empty(found):
-            labels = components(written(links.unionByName(found)))
-    return named(described, nodes, labels)
+        links = written(links.unionByName(verified(pairs)))
+    return named(described, nodes, components(links))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:

@@ -229,8 +229,7 @@ def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: in
 
     probes = written(once.select("sid", F.explode("probes").alias("place"), F.col("sid").alias("label")))
     links = verified(against_one(_popular(probes), likeliest(), sets, percent))
-    labels = components(links)
-    members = open_members(once, labels)
+    members = open_members(once, components(links, 1))
     for pick in (likeliest(), any_one()):
         if is_empty(members):
             break
@@ -238,14 +237,11 @@ def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: in
         if is_empty(found):
             continue
         links = written(links.unionByName(found))
-        labels = components(links)
-        members = still_open(labelled(members.drop("label"), labels))
+        members = still_open(labelled(members.drop("label"), components(links, 1)))
     if not is_empty(members):
         pairs = written(open_pairs(needed(members), sets, percent, BLOCK, CHUNK))
-        found = verified(pass_bitmaps(pairs, sets, percent).select("a", "b"))
-        if not is_empty(found):
-            labels = components(written(links.unionByName(found)))
-    return named(described, nodes, labels)
+        links = written(links.unionByName(verified(pass_bitmaps(pairs, sets, percent).select("a", "b"))))
+    return named(described, nodes, components(links))
 
 
 def join_ngrams(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH,
