@@ -93,11 +93,12 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
                      .select("sid", F.least("sid", "near").alias("label")))
     done = 0
     while not is_empty(labels) and done != rounds:
-        known = labels.select(F.col("sid").alias("_sid"), F.col("label").alias("_label"))
-        # the least label among a node, its neighbours and the nodes that they are labelled with
-        near = both.join(known, F.col("b") == F.col("_sid")).groupBy("a").agg(F.min("_label").alias("far"))
-        met = labels.join(near, F.col("sid") == F.col("a")).select("sid", "label", F.least("label", "far").alias("next"))
-        step = written(met.join(known, F.col("next") == F.col("_sid")).select("sid", F.least("next", "_label").alias("label"), F.col("label").alias("was")))
+        known = small(labels.select(F.col("sid").alias("_sid"), F.col("label").alias("_label")), of=labels)
+        # the least label of a node and its neighbours, then of the node that this names
+        near = both.join(known, F.col("b") == F.col("_sid")).select(F.col("a").alias("sid"), "_label", F.lit(None).cast("long").alias("own"))
+        least = near.unionByName(labels.select("sid", F.col("label").alias("_label"), F.col("label").alias("own"))).groupBy("sid").agg(
+            F.min("_label").alias("next"), F.max("own").alias("was"))
+        step = written(least.join(known, F.col("next") == F.col("_sid")).select("sid", F.least("next", "_label").alias("label"), "was"))
         labels = step.select("sid", "label")
         labels._written = step._written
         done += 1
