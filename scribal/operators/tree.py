@@ -63,6 +63,7 @@ TYPES = {
     "c": ["discourse", "phrase", "sentence", "text"],
     "d": ["cell-start", "cell-end", "column", "field-start", "field-end", "line-start", "nonw", "nonx", "object", "surface"],
 }
+_BEGINS = {"STRING": '^"', "ARRAY": r"^\[", "OBJECT": r"^\{", "BOOLEAN": "^[tf]"}
 PARA_FIELDS = ["class", "type", "text", "val", "bracketing_level"]
 PARA_CLASSES = ["syntax", "boundary", "pointer"]
 PARA_TYPES = ["and", "brack_o", "brack_c", "sentence", "no sentence", "no_sentence", "label", "pointer_ref"]
@@ -98,10 +99,15 @@ SELECT id, path, node FROM walk WHERE node IS NOT NULL LIMIT ALL
 """
 
 
+def _filled(v: Column) -> Column:
+    """Whether a value is a list of one item or more; its items are not looked at."""
+    return F.try_variant_get(v, "$[0]", "variant").isNotNull()
+
+
 def _bare(fields: Column, node: Column) -> Column:
     """A node as JSON text; a chunk's child list has been walked: an empty one stands for it."""
     emptied = F.transform_values(fields, lambda k, v: F.when(
-        (k == "cdl") & F.schema_of_variant(v).startswith("ARRAY"), F.parse_json(F.lit("[]"))).otherwise(v))
+        (k == "cdl") & _filled(v), F.parse_json(F.lit("[]"))).otherwise(v))
     return F.when(F.try_variant_get(fields["node"], "$", "string") == "c", F.to_json(emptied)).otherwise(node)
 
 
@@ -117,10 +123,11 @@ def flatten_tree(texts: DataFrame, id_col: str = "id", json_col: str = "json", m
     given = texts.select(F.col(id_col).alias("id"), F.col(json_col).alias("json"))
     large = F.octet_length("json") > VARIANT_BYTES
     walked = spark.sql(_WALK.format(depth=max_depth), texts=given.filter(~large))
-    is_object = F.schema_of_variant("node").startswith("OBJECT")
-    fields = F.from_json(F.to_json("node"), _FIELDS)
+    # a chunk is taken apart as the value it is: its children are never written as
+    # text again, level after level
+    fields = F.try_variant_get("node", "$", _FIELDS)
     text = F.to_json("node")
-    chunk = is_object & (F.try_variant_get("node", "$.node", "string") == "c")
+    chunk = F.try_variant_get("node", "$.node", "string") == "c"
     out = walked.select("id", "path", F.when(chunk, _bare(fields, text)).otherwise(text).alias("node"))
     if not given.filter(large).limit(1).isEmpty():
         long = spark.sql(_WALK_TEXT.format(depth=max_depth), texts=given.filter(large))
@@ -284,8 +291,9 @@ def _kind_problems(kind: str, fields: Column) -> Column:
     missing = F.filter(_named(REQUIRED[kind]), lambda f: ~F.map_contains_key(fields, f))
 
     def wrong(name: str, json_type: str) -> Column:
-        held = F.schema_of_variant(fields[name])
-        return F.when(F.map_contains_key(fields, name) & ~F.coalesce(held.startswith(json_type), F.lit(False)), F.lit(name))
+        # a value's text tells its type by how it begins
+        right = F.to_json(fields[name]).rlike(_BEGINS[json_type])
+        return F.when(F.map_contains_key(fields, name) & ~F.coalesce(right, F.lit(False)), F.lit(name))
 
     types = [wrong(n, "STRING") for n in STRINGS[kind]] + [wrong(n, t) for n, t in OTHERS[kind].items()]
     mistyped = F.array_compact(F.array(*types))
@@ -326,7 +334,8 @@ def tree_rejects(texts: DataFrame, nodes: DataFrame, id_col: str = "id", json_co
     files that are no JSON or hold no node list (scope ``text``), and texts with
     nodes that break the node tables (scope ``tree``; the problems, in order)."""
     parsed = F.try_parse_json(F.col(json_col))
-    listed = F.coalesce(F.schema_of_variant(F.try_variant_get(parsed, "$.cdl", "variant")).startswith("ARRAY"), F.lit(False))
+    top = F.try_variant_get(parsed, "$.cdl", "variant")
+    listed = _filled(top) | F.coalesce(F.to_json(top) == "[]", F.lit(False))
     reason = F.when(parsed.isNull(), F.lit("malformed JSON")).when(~listed, F.lit("no node list"))
     files = texts.select(F.col(id_col).alias("id"), F.lit("text").alias("scope"), reason.alias("reason"))
     problems = nodes.select("id", F.explode(node_problems(F.col("node"))).alias("reason"))
