@@ -15,7 +15,8 @@ its sentences are removed, also from texts that only share a part.
 
 Spans are written once and aggregated by hash to the least key and the least and
 largest row (combined before the shuffle, so a passage that a third of all documents
-share is no hot key); the repeated ones are picked out and grouped by row.
+share is no hot key); the repeated ones are picked out by a join, hot hashes apart,
+and grouped by row.
 
 Defined results: null texts stay null and have no sentences; a text without a
 span long enough stays as it is; a row is its key and its text, so different texts
@@ -43,6 +44,8 @@ LEAST_SENTENCES = 2
 LEAST_WORDS = 20
 #: Of so many words in a row one at least ends a sentence.
 WINDOW = 15
+#: A hash is hot from this share of all spans on (one part in so many).
+HOT_PARTS = 4096
 _END = re.compile(r"[.!?;:,]+[\"'»”)\]]*\s+")
 _MARKED = re.compile(r"[.!?;:,][\"'»”)\]]*$")
 _WORD = re.compile(r"\S+\s*")
@@ -148,16 +151,26 @@ def all_spans(docs: DataFrame, key: str, text: str) -> DataFrame:
     return rows.mapInArrow(batches, schema)
 
 
+def _owned(rows: DataFrame, owners: DataFrame, total: int) -> DataFrame:
+    """``rows`` whose hash has an owner, with it. Owners grow with the spans, so they
+    meet by a shuffle at every size; those of hot hashes, fewer than ``HOT_PARTS``,
+    are sent to all tasks, and their spans stay where they are."""
+    is_hot = F.col("n") * HOT_PARTS > F.lit(total)
+    hot = F.broadcast(owners.where(is_hot).drop("n"))
+    cold = rows.join(hot, "hash", "left_anti").join(owners.where(~is_hot).drop("n").hint("merge"), "hash")
+    return cold.unionByName(rows.join(hot, "hash"))
+
+
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc, mark, first, after, kept_by)``: spans whose sentences are removed,
     of the row with that key and mark, and the key of the row that keeps them."""
     need(docs, [key, text])
     found = written(all_spans(docs, key, text))
     row = F.xxhash64("doc", "mark")
-    # written apart, so that a hash with many spans is split where they meet
-    owners = written(found.groupBy("hash").agg(F.min("doc").alias("kept_by"), F.min(row).alias("low"), F.max(row).alias("high"))
-                     .where("low < high").select("hash", "kept_by"))
-    once = written(found.where("not again").join(small(owners), "hash").select("doc", "mark", "hash", "first", "after", "kept_by"))
+    owners = written(found.groupBy("hash").agg(F.min("doc").alias("kept_by"), F.min(row).alias("low"), F.max(row).alias("high"),
+                                               F.count("*").alias("n")).where("low < high").select("hash", "kept_by", "n"))
+    once = written(_owned(found.where("not again"), owners, found._written["rows"])
+                   .select("doc", "mark", "hash", "first", "after", "kept_by"))
     # of several texts under the first key the one with the least mark keeps the span
     first_key = F.col("doc").eqNullSafe(F.col("kept_by"))
     several = written(once.where(first_key).groupBy("hash").agg(F.min("mark").alias("keeper"), F.max("mark").alias("_last"))
@@ -197,7 +210,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     same = F.col(key).eqNullSafe(F.col(of)) & (F.col(own) == F.col(of_mark))
     losing = small(removal.select(of, of_mark))
     keys = T.ArrayType(docs.schema[key].dataType)
-    changed = marked.join(losing, same, "left_semi").join(removal, same).select(*columns, spans_of, keepers)
+    # by a shuffle at every size: what is removed grows with the texts
+    changed = marked.join(losing, same, "left_semi").join(removal.hint("merge"), same).select(*columns, spans_of, keepers)
     whole = marked.join(losing, same, "left_anti").select(
         *columns, F.lit(None).cast(removal.schema[spans_of].dataType).alias(spans_of), F.array().cast(keys).alias(keepers))
     shaped = changed.unionByName(whole)

@@ -142,3 +142,17 @@ def test_string_keys_and_clashing_columns(frame):
     assert [out["a"][c] for c in ("_mark", "_doc", "n_removed", "_spans")] == ["m", "d", "n", 1]
     assert out["a"].text == rows[0][1] and passage not in out["b"].text and out["b"]["n_removed_"] > 0 and out["b"].kept_by == ["a"]
     assert out["c"].text == "Short." and out["c"]["n_removed_"] == 0
+
+
+def test_owners_meet_by_a_shuffle_hot_ones_apart(spark, monkeypatch):
+    """What grows with the input is never sent to all tasks, and what is shuffled holds no hot hash."""
+    monkeypatch.setattr(S, "HOT_PARTS", 4)
+    rows = [(d, d % 3 if d % 2 else 100 + d // 2) for d in range(90)]
+    spans = spark.createDataFrame(rows, "doc long, hash long")
+    owners = spark.createDataFrame([(h, min(d for d, x in rows if x == h), sum(x == h for _, x in rows)) for h in {x for _, x in rows if x != 2}],
+                                   "hash long, kept_by long, n long")
+    out = S._owned(spans, owners, 50)
+    least = {h: k for h, k, _ in (tuple(r) for r in owners.collect())}
+    assert sorted((r.doc, r.hash, r.kept_by) for r in out.collect()) == [(d, h, least[h]) for d, h in rows if h in least]
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 2
