@@ -11,6 +11,8 @@ from scribal.llm.common import is_empty, small, written
 
 #: Bits of the shortest bitmap, and of the longest that goes to groups of sets.
 LEAST_BITS, GROUP_BITS = 256, 8192
+#: Places of more sets than this are crowded: all their pairs would be far more than their sets.
+CROWD = 32
 
 
 def bitmap_bits(size: int) -> int:
@@ -112,7 +114,14 @@ def likeliest() -> Column:
 def any_one() -> Column:
     """Picks a set by chance, one of a few orders of the sets by each place, so that
     a set meets few pivots."""
-    return F.xxhash64("sid", F.pmod("place", F.lit(16)))
+    return F.xxhash64("sid", F.pmod("place", F.lit(4)))
+
+
+def crowded(members: DataFrame) -> DataFrame:
+    """The members of crowded places. In the others all pairs are compared for less
+    than another round of pivots takes."""
+    counts = members.groupBy("place").agg(F.count("*").alias("n")).where(F.col("n") > CROWD)
+    return written(members.join(small(written(counts.select("place"))), "place"))
 
 
 def crossing(rows: DataFrame) -> DataFrame:

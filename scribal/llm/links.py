@@ -83,16 +83,15 @@ def exact_links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int,
     return dealt.mapInArrow(batches, "a long, b long").distinct()
 
 
-def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """``(sid, label)`` for every node of the links: the least node that it is
-    connected with. Labels spread over links and along labels until they stay, or
-    for so many rounds; nodes with one label are connected in any case, and one round
-    is enough for a star."""
+    connected with. Labels spread over links and along labels until they stay, as
+    whoever compares nodes of different labels would compare nodes of a component
+    that is not whole with each other, by the square of its size."""
     both = written(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = written(both.groupBy(F.col("a").alias("sid")).agg(F.min("b").alias("near"))
                      .select("sid", F.least("sid", "near").alias("label")))
-    done = 0
-    while not is_empty(labels) and done != rounds:
+    while not is_empty(labels):
         known = small(labels.select(F.col("sid").alias("_sid"), F.col("label").alias("_label")), of=labels)
         # the least label of a node and its neighbours, then of the node that this names
         near = both.join(known, F.col("b") == F.col("_sid")).select(F.col("a").alias("sid"), "_label", F.lit(None).cast("long").alias("own"))
@@ -101,8 +100,7 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
         step = written(least.join(known, F.col("next") == F.col("_sid")).select("sid", F.least("next", "_label").alias("label"), "was"))
         labels = step.select("sid", "label")
         labels._written = step._written
-        done += 1
-        if done != rounds and step.where("label < was").isEmpty():
+        if step.where("label < was").isEmpty():
             break
     return labels
 

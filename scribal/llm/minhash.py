@@ -21,8 +21,9 @@ many checks as nodes), pairs are verified on the full sets, and the links' compo
 are found. The pivot is the node whose collection keys most nodes share: as a copy's
 minhashes are mostly those of the text it was made from, that is this text. (4) For
 all tables the least and the largest component of each bucket are aggregated; buckets
-within one component are done. (5) What is left is held against pivots again, then
-against nodes picked by chance, another one in each bucket, and (6) nodes of different
+within one component are done. (5) What is left is held against pivots again, then, in
+crowded buckets, against nodes picked by chance; components are whole after each step, so
+no two nodes that links connect meet again. (6) Nodes of different
 components that meet in an open bucket are compared in blocks of bounded size, each
 pair in the first collection that it shares: bit counts of the bitmaps bound what two
 sets can share, and only pairs that may be similar enough leave the task. Every link
@@ -48,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scribal.llm.bitmaps import against_one, any_one, bitmap, crossing, likeliest, open_pairs, pass_bitmaps
+from scribal.llm.bitmaps import against_one, any_one, bitmap, crossing, crowded, likeliest, open_pairs, pass_bitmaps
 from scribal.llm.common import frees_tables, is_empty, keep_named, mark, need, one_of_equal, small, written
 from scribal.llm.labelled import groups
 from scribal.llm.links import components, exact_links, is_text, labelled, named, repeated_rows
@@ -189,15 +190,15 @@ def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: in
 
     members = written(in_tables(shared, PROBES).withColumn("label", F.col("sid")))
     links = verified(against_one(members, likeliest(), nodes, percent))
-    members = open_members(shared, components(links, 1))
-    for pick in (likeliest(), any_one()):
+    members = open_members(shared, components(links))
+    for pick, asked in ((likeliest(), None), (any_one(), crowded)):
         if is_empty(members):
             break
-        found = verified(against_one(members, pick, nodes, percent))
+        found = verified(against_one(asked(members) if asked else members, pick, nodes, percent))
         if is_empty(found):
             continue
         links = written(links.unionByName(found))
-        members = still_open(labelled(members.drop("label"), components(links, 1)))
+        members = still_open(labelled(members.drop("label"), components(links)))
     if not is_empty(members):
         pairs = open_pairs(by_collection(members, nodes), nodes, percent, BLOCK, CHUNK, meet_here_first)
         links = written(links.unionByName(verified(pairs)))

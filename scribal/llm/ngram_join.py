@@ -29,9 +29,9 @@ that others were copied from. (3) For all tiles the least and the largest compon
 within one component are done. Linked sets share at least ``share`` tiles of a band
 (as many equal parts as a set cannot leave empty), so sets with fewer open tiles
 leave them, and the others need only the first of theirs: of n open tiles all but
-share - 1. (4) What is left is checked against pivots again, then against sets
-picked by chance, another one in each tile. (5) In tiles
-that are open still, pairs of different components are held against their bitmaps
+share - 1. (4) What is left is checked against pivots again, then, in crowded tiles,
+against sets picked by chance. Components are whole after each step, so no two sets that
+links connect meet again. (5) In tiles that are open still, pairs of different components are held against their bitmaps
 block by block, in blocks of bounded size and with bitmaps of bounded length, and
 those that pass are decided. Tiles carry narrow rows until then. Copies and near copies in any number thus
 cost as many checks as rows, and hot tiles are aggregated before they meet.
@@ -55,7 +55,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scribal.llm.bitmaps import against_one, any_one, bitmap, crossing, likeliest, open_pairs, pass_bitmaps
+from scribal.llm.bitmaps import against_one, any_one, bitmap, crossing, crowded, likeliest, open_pairs, pass_bitmaps
 from scribal.llm.common import frees_tables, is_empty, keep_named, mark, need, one_of_equal, small, written
 from scribal.llm.labelled import groups
 from scribal.llm.links import components, exact_links, is_text, labelled, named, repeated_rows
@@ -229,15 +229,15 @@ def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: in
 
     probes = written(once.select("sid", F.explode("probes").alias("place"), F.col("sid").alias("label")))
     links = verified(against_one(_popular(probes), likeliest(), sets, percent))
-    members = open_members(once, components(links, 1))
-    for pick in (likeliest(), any_one()):
+    members = open_members(once, components(links))
+    for pick, asked in ((likeliest(), _popular), (any_one(), crowded)):
         if is_empty(members):
             break
-        found = verified(against_one(_popular(needed(members)), pick, sets, percent))
+        found = verified(against_one(asked(needed(members)), pick, sets, percent))
         if is_empty(found):
             continue
         links = written(links.unionByName(found))
-        members = still_open(labelled(members.drop("label"), components(links, 1)))
+        members = still_open(labelled(members.drop("label"), components(links)))
     if not is_empty(members):
         pairs = written(open_pairs(needed(members), sets, percent, BLOCK, CHUNK))
         links = written(links.unionByName(verified(pass_bitmaps(pairs, sets, percent).select("a", "b"))))

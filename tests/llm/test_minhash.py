@@ -7,7 +7,7 @@ import pytest
 
 from scribal.llm import minhash as M
 from scribal.llm.shingles import Shingler
-from test_ngram_join import corpus, shingle_sets
+from test_ngram_join import checked_again, corpus, shifted, shingle_sets
 
 
 def brute(keys, texts, percent=80, width=2):
@@ -67,6 +67,11 @@ def test_hot_group_chain_and_repeated_rows(frame, monkeypatch):
     assert len(kept) == len({(r.doc_id, r.text) for r in kept}) and {r.doc_id for r in kept} <= names | {None}
 
 
+def test_linked_sets_are_not_compared_again(frame, monkeypatch):
+    docs = frame(shifted(30))
+    assert checked_again(monkeypatch, M, lambda: M.near_duplicates(docs)) == []
+
+
 def test_empty_and_clashing_columns(frame):
     assert M.near_duplicates(frame([])).collect() == []
     assert M.keep_one(frame([])).collect() == []

@@ -7,6 +7,7 @@ import pytest
 
 from scribal.llm import ngram_join as J
 from scribal.llm.bitmaps import Bitmaps, bitmap
+from scribal.llm.common import written
 from scribal.llm.links import linked
 from scribal.llm.shingles import Shingler
 
@@ -85,6 +86,37 @@ def test_hot_group_and_repeated_rows(frame, monkeypatch):
     assert J.join_ngrams(frame([])).count() == 0
 
 
+def checked_again(monkeypatch, module, run):
+    """Pairs that are put to the exact test although links found before connect them."""
+    again, parent, exact = [], {}, module.exact_links
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    def recorded(pairs, *rest):
+        again.extend((r.a, r.b) for r in pairs.collect() if find(r.a) == find(r.b))
+        found = written(exact(pairs, *rest))
+        for r in found.collect():
+            parent[find(r.a)] = find(r.b)
+        return found
+
+    monkeypatch.setattr(module, "exact_links", recorded)
+    assert run().collect()
+    return again
+
+
+def shifted(n, size=100):
+    """A chain: texts that begin one word later than the one before."""
+    return [(k, " ".join(f"c{j}" for j in range(k, size + k))) for k in range(n)]
+
+
+def test_linked_sets_are_not_compared_again(frame, monkeypatch):
+    docs = frame(shifted(30))
+    assert checked_again(monkeypatch, J, lambda: J.join_ngrams(docs)) == []
+
+
 def tiles_of(sets, percent):
     """Per kind and set its tiles, and how many it shares with each linked set."""
     found = J.tile_keys(np.concatenate(sets), np.array([len(s) for s in sets]), percent)
