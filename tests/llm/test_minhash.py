@@ -68,7 +68,7 @@ def test_hot_group_chain_and_repeated_rows(frame, monkeypatch):
 
 
 def test_linked_sets_are_not_compared_again(frame, monkeypatch):
-    docs = frame(shifted(30))
+    docs = frame(shifted(80))
     assert checked_again(monkeypatch, M, lambda: M.near_duplicates(docs)) == []
 
 

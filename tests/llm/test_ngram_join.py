@@ -113,7 +113,7 @@ def shifted(n, size=100):
 
 
 def test_linked_sets_are_not_compared_again(frame, monkeypatch):
-    docs = frame(shifted(30))
+    docs = frame(shifted(80))
     assert checked_again(monkeypatch, J, lambda: J.join_ngrams(docs)) == []
 
 
