@@ -21,11 +21,12 @@ many checks as nodes), pairs are verified on the full sets, and the links' compo
 are found. The pivot is the node whose collection keys most nodes share: as a copy's
 minhashes are mostly those of the text it was made from, that is this text. (4) For
 all tables the least and the largest component of each bucket are aggregated; buckets
-within one component are done. (5) What is left is held against pivots again, then, in
-crowded buckets, against nodes picked by chance; components are whole after each step, so
+within one component are done. From here on nodes meet by the single collections of their
+open buckets, at most 24 rows a node. (5) What is left is held against pivots again, then, where
+it is crowded, against nodes picked by chance; components are whole after each step, so
 no two nodes that links connect meet again. (6) Nodes of different
-components that meet in an open bucket are compared in blocks of bounded size, each
-pair in the first collection that it shares: bit counts of the bitmaps bound what two
+components that share two collections are compared in blocks of bounded size, each
+pair in the first that it shares: bit counts of the bitmaps bound what two
 sets can share, and only pairs that may be similar enough leave the task. Every link
 that counts passes the exact test on the full sets. Copies and near copies in any
 number thus cost as many checks as rows, and nothing is capped.
@@ -138,26 +139,36 @@ def in_tables(shared: DataFrame, first: int = COLLECTIONS) -> DataFrame:
     return shared.select(*rest, F.explode(pairs).alias("_at")).select(*rest, "_at.t", "_at.place")
 
 
-def open_members(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members (place, t, sid, label, known) of the buckets that hold several
-    components. A bucket can do so only if both of its collections' keys do, so
-    tables are formed of these keys only."""
-    tagged = labelled(shared, labels)
-    halves = tagged.select("sid", "label", "known", F.explode("shared").alias("h")).select("sid", "label", "known", "h", F.col("h.half").alias("place"))
-    met = halves.join(small(crossing(halves)), "place").groupBy("sid", "label", "known").agg(F.sort_array(F.collect_list("h")).alias("shared"))
-    return still_open(written(in_tables(met.where(F.size("shared") > 1))))
+def in_collections(shared: DataFrame) -> DataFrame:
+    """One row per collection that a node shares: its other columns, ``c`` and ``place``,
+    the collection's key."""
+    rest = [c for c in shared.columns if c != "shared"]
+    return shared.select(*rest, F.explode("shared").alias("_h")).select(*rest, "_h.c", F.col("_h.half").alias("place"))
 
 
 def still_open(members: DataFrame) -> DataFrame:
-    return written(members.join(small(crossing(members)), "place"))
+    return members.join(small(crossing(members)), "place")
 
 
-def by_collection(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Open members by single collections (place, c, sid, label, halves): nodes that
-    meet in an open table meet there too, in far fewer places."""
+def in_open_tables(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """``shared`` with the nodes, and of these the collections, that are in buckets of
+    several components. A bucket can hold several only if both of its collections' keys
+    do, so tables are formed of these keys only. The rows by tables, up to
+    COLLECTIONS - 1 times those by collections, stay in here."""
+    met = still_open(in_collections(labelled(shared, labels))).groupBy("sid", "label").agg(
+        F.sort_array(F.collect_list(F.struct("c", F.col("place").alias("half")))).alias("shared"))
+    tables = still_open(written(in_tables(met.where(F.size("shared") > 1))))
     both = F.explode(F.array((F.col("t") / COLLECTIONS).cast("int"), (F.col("t") % COLLECTIONS).cast("int"))).alias("c")
-    listed = members.select("sid", "label", both).distinct().join(nodes.select("sid", "halves"), "sid")
-    return written(listed.select("sid", "label", "c", "halves", F.xxhash64("c", F.get("halves", F.col("c"))).alias("place")))
+    kept = tables.select("sid", both).groupBy("sid").agg(F.collect_set("c").alias("kept"))
+    return written(shared.join(kept, "sid").select(
+        "sid", "known", F.filter("shared", lambda h: F.array_contains("kept", h["c"])).alias("shared")))
+
+
+def open_members(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (place, sid, label, known, c) of the collections whose key several
+    components have: nodes that meet in an open table meet there too, in far fewer
+    places. Labels meet nodes, not their rows."""
+    return written(still_open(in_collections(labelled(shared, labels))))
 
 
 def meet_here_first(columns: dict, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -190,7 +201,9 @@ def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: in
 
     members = written(in_tables(shared, PROBES).withColumn("label", F.col("sid")))
     links = verified(against_one(members, likeliest(), nodes, percent))
-    members = open_members(shared, components(links))
+    labels = components(links)
+    shared = in_open_tables(shared, labels)
+    members = open_members(shared, labels)
     for pick, asked in ((likeliest(), None), (any_one(), crowded)):
         if is_empty(members):
             break
@@ -198,9 +211,10 @@ def component_rows(docs: DataFrame, key: str, text: str, width: int, percent: in
         if is_empty(found):
             continue
         links = written(links.unionByName(found))
-        members = still_open(labelled(members.drop("label"), components(links)))
+        members = open_members(shared, components(links))
     if not is_empty(members):
-        pairs = open_pairs(by_collection(members, nodes), nodes, percent, BLOCK, CHUNK, meet_here_first)
+        full = members.drop("known").join(nodes.select("sid", "halves"), "sid")
+        pairs = open_pairs(full, nodes, percent, BLOCK, CHUNK, meet_here_first)
         links = written(links.unionByName(verified(pairs)))
     return named(described, nodes, components(links))
 

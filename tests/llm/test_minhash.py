@@ -72,6 +72,23 @@ def test_linked_sets_are_not_compared_again(frame, monkeypatch):
     assert checked_again(monkeypatch, M, lambda: M.near_duplicates(docs)) == []
 
 
+def test_labels_meet_nodes_not_their_rows_by_tables(frame, monkeypatch):
+    rng = random.Random(8)
+    rows = shifted(40)  # links are found in every round
+    for i in range(40):  # near copies, many of them too far apart from each other
+        words = [f"v{k}" for k in range(100)]
+        for _ in range(rng.randrange(9)):
+            words[rng.randrange(100)] = f"x{rng.random()}"
+        rows.append((100 + i, " ".join(words)))
+    met, members, real, pairs_with = [], [], M.labelled, M.against_one
+    monkeypatch.setattr(M, "labelled", lambda rows, labels: met.append(rows.count()) or real(rows, labels))
+    monkeypatch.setattr(M, "against_one", lambda rows, *rest: members.append(rows.count()) or pairs_with(rows, *rest))
+    out = M.near_duplicates(frame(rows)).collect()
+    assert rows_of(out) == brute([k for k, _ in rows], [t for _, t in rows])
+    assert len(met) > 2 and max(met) <= len(rows)
+    assert len(members) > 1 and max(members[1:]) <= M.COLLECTIONS * len(rows)
+
+
 def test_empty_and_clashing_columns(frame):
     assert M.near_duplicates(frame([])).collect() == []
     assert M.keep_one(frame([])).collect() == []
